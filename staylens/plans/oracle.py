@@ -100,3 +100,259 @@ def _():
     return """
 SELECT source AS area, doc_id AS listing_id, length(text) AS summary_chars
 FROM documents WHERE doc_id % 11 <> 0 AND contains(text, '?')"""
+
+
+# ---------------------------------------------------------------- market / matrix / tiers
+B_MARKET = f"""
+  SELECT l_partkey AS listing_id,
+         {R('CAST(SUM(l_extendedprice) / SUM(l_quantity) AS DECIMAL(18,8))', 2)} AS ADR,
+         CAST(FLOOR(CAST(100.0 AS DOUBLE) * SUM(CASE WHEN l_returnflag <> 'N' THEN 1 ELSE 0 END) / COUNT(*)) AS INTEGER)
+           AS Occupancy,
+         SUM(l_extendedprice) AS Revenue,
+         CAST(LEAST(365, 10 * COUNT(DISTINCT CAST(l_shipdate AS DATE))) AS INTEGER) AS Days_Available
+  FROM lineitem GROUP BY l_partkey"""
+
+ICONS = [f"SYSTEM_{f}_{s}" for f in ("A", "N", "R") for s in ("F", "O")]
+
+
+def _occ(alias: str = "") -> str:
+    p = alias
+    return (f"{p}Occupancy AS Occ_Rate_Based_on_Avail, {p}Days_Available AS Days_Avail, "
+            f"CAST(CEIL(((CAST({p}Occupancy AS DOUBLE) / 100.0) * CAST({p}Days_Available AS DOUBLE)) * 100.0 / 365.0)"
+            f" AS BIGINT) AS Abs_Occ_Rate, "
+            f"{R(f'(CAST({p}Days_Available AS DOUBLE) / 365.0) * 100.0', 2)} AS Avail_Rate")
+
+
+B_ICONS = """
+  SELECT DISTINCT l_partkey AS listing_id, 'SYSTEM_' || l_returnflag || '_' || l_linestatus AS icon
+  FROM lineitem WHERE l_discount >= 0.09"""
+
+B_WIDE = ("SELECT listing_id, " + ", ".join(
+    f"MAX(CASE WHEN icon = '{i}' THEN 'Feature ' || icon END) AS \"{i}\"" for i in ICONS)
+    + f" FROM ({B_ICONS}) GROUP BY listing_id")
+
+B_PARTF = """
+  SELECT p_partkey AS listing_id, p_type AS area, p_size AS capacity,
+         CASE WHEN p_size % 7 = 0 THEN 'False' ELSE CAST(CAST(FLOOR(p_size / 4) AS BIGINT) AS VARCHAR) END AS bedrooms
+  FROM part"""
+
+B_MATRIX = f"""
+  SELECT pf.*, mo.* EXCLUDE (listing_id), (mo.listing_id IS NOT NULL) AS has_airdna_data,
+         fw.* EXCLUDE (listing_id)
+  FROM ({B_PARTF}) pf
+  LEFT JOIN (SELECT m.*, {_occ('m.')} FROM ({B_MARKET}) m) mo USING (listing_id)
+  LEFT JOIN ({B_WIDE}) fw USING (listing_id)"""
+
+_ICON_COLS = ", ".join(f'"{i}"' for i in ICONS)
+
+TIER_CTES = f"""
+mat AS ({B_MATRIX}),
+lng AS (SELECT listing_id, area, capacity, bedrooms, ADR, {_ICON_COLS}, 'adr' AS metric, CAST(ADR AS DOUBLE) AS value
+        FROM mat WHERE has_airdna_data AND ADR > 0
+        UNION ALL
+        SELECT listing_id, area, capacity, bedrooms, ADR, {_ICON_COLS}, 'occupancy' AS metric,
+               CAST(Occ_Rate_Based_on_Avail AS DOUBLE) AS value
+        FROM mat WHERE has_airdna_data AND Occ_Rate_Based_on_Avail > 0),
+th AS (SELECT metric, quantile_cont(value, 0.75) AS hi, quantile_cont(value, 0.25) AS lo, COUNT(*) AS n_valid
+       FROM lng GROUP BY metric HAVING COUNT(*) >= 4),
+tiered AS (SELECT lng.*, 'high' AS tier FROM lng JOIN th USING (metric) WHERE value >= hi
+           UNION ALL
+           SELECT lng.*, 'low' AS tier FROM lng JOIN th USING (metric) WHERE value <= lo),
+st AS (SELECT metric, tier, COUNT(*) AS n,
+              {", ".join(f"SUM(CASE WHEN lower(CAST({chr(34)}{i}{chr(34)} AS VARCHAR)) NOT IN ('false', '') THEN 1 ELSE 0 END) AS a{k}" for k, i in enumerate(ICONS))},
+              AVG(TRY_CAST(CAST(capacity AS VARCHAR) AS DOUBLE)) AS m0,
+              AVG(TRY_CAST(CAST(bedrooms AS VARCHAR) AS DOUBLE)) AS m1
+       FROM tiered GROUP BY metric, tier),
+hl AS (SELECT h.metric, h.n AS hn, l.n AS ln,
+              {", ".join(f"h.a{k} AS ha{k}, l.a{k} AS la{k}" for k in range(len(ICONS)))},
+              h.m0 AS hm0, l.m0 AS lm0, h.m1 AS hm1, l.m1 AS lm1
+       FROM (SELECT * FROM st WHERE tier = 'high') h JOIN (SELECT * FROM st WHERE tier = 'low') l USING (metric)),
+pv0 AS ({" UNION ALL ".join(f"SELECT metric, '{i}' AS amenity, {k} AS amenity_pos, CAST(ha{k} AS DOUBLE) / hn * 100.0 AS hp, CAST(la{k} AS DOUBLE) / ln * 100.0 AS lp FROM hl" for k, i in enumerate(ICONS))}),
+pv AS (SELECT metric, amenity, amenity_pos, {R('hp', 1)} AS high_tier_pct, {R('lp', 1)} AS low_tier_pct,
+              {R('hp - lp', 1)} AS difference FROM pv0),
+pvr AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY metric ORDER BY abs(difference) DESC, amenity_pos) AS rank FROM pv),
+nm AS (SELECT metric, 'capacity' AS attribute, 0 AS attribute_pos, {R('COALESCE(hm0, 0.0)', 2)} AS high_tier_avg,
+              {R('COALESCE(lm0, 0.0)', 2)} AS low_tier_avg, {R('COALESCE(hm0, 0.0) - COALESCE(lm0, 0.0)', 2)} AS difference FROM hl
+       UNION ALL
+       SELECT metric, 'bedrooms', 1, {R('COALESCE(hm1, 0.0)', 2)}, {R('COALESCE(lm1, 0.0)', 2)},
+              {R('COALESCE(hm1, 0.0) - COALESCE(lm1, 0.0)', 2)} FROM hl)"""
+
+
+@q("tier_thresholds")
+def _():
+    return f"WITH {TIER_CTES} SELECT metric, {R('hi', 6)} AS high_threshold, {R('lo', 6)} AS low_threshold, n_valid FROM th"
+
+
+@q("tier_assign")
+def _():
+    return f"WITH {TIER_CTES} SELECT listing_id, metric, tier, value FROM tiered"
+
+
+@q("tier_counts")
+def _():
+    return f"WITH {TIER_CTES} SELECT metric, tier, COUNT(*) AS n FROM tiered GROUP BY metric, tier"
+
+
+@q("amenity_prevalence")
+def _():
+    return f"WITH {TIER_CTES} SELECT metric, amenity, high_tier_pct, low_tier_pct, difference, rank FROM pvr"
+
+
+@q("rank_by_abs_difference")
+def _():
+    return f"WITH {TIER_CTES} SELECT metric, rank, amenity, difference FROM pvr"
+
+
+@q("top_features")
+def _():
+    return f"WITH {TIER_CTES} SELECT metric, rank, amenity, difference FROM pvr WHERE rank <= 15"
+
+
+@q("numeric_tier_stats")
+def _():
+    return f"WITH {TIER_CTES} SELECT metric, attribute, high_tier_avg, low_tier_avg, difference FROM nm"
+
+
+@q("tier_sample")
+def _():
+    return f"""WITH {TIER_CTES},
+s AS (SELECT metric, tier, listing_id,
+             ROW_NUMBER() OVER (PARTITION BY metric, tier ORDER BY ADR DESC NULLS LAST, listing_id) AS sample_rank
+      FROM tiered)
+SELECT metric, tier, sample_rank, listing_id FROM s WHERE sample_rank <= 3"""
+
+
+def _initcap(x: str) -> str:
+    return (f"array_to_string(list_transform(string_split(lower({x}), ' '), "
+            f"lambda w: upper(w[1:1]) || w[2:]), ' ')")
+
+
+def _signed(x: str, d: int, suffix: str = "") -> str:
+    return f"printf('%+.{d}f{suffix}', {R(x, d)})"
+
+
+COMPARISON_SQL = f"""
+al AS (SELECT metric, string_agg('| ' || {_initcap("replace(replace(amenity, 'SYSTEM_', ''), '_', ' ')")} || ' | '
+                 || CAST(high_tier_pct AS VARCHAR) || '% | ' || CAST(low_tier_pct AS VARCHAR) || '% | '
+                 || {_signed('difference', 1, '%%')} || ' |', chr(10) ORDER BY rank) AS t
+       FROM pvr WHERE rank <= 15 GROUP BY metric),
+nl AS (SELECT metric, string_agg('| ' || {_initcap("replace(attribute, '_', ' ')")} || ' | '
+                 || CAST(high_tier_avg AS VARCHAR) || ' | ' || CAST(low_tier_avg AS VARCHAR) || ' | '
+                 || {_signed('difference', 2)} || ' |', chr(10) ORDER BY attribute_pos) AS t
+       FROM nm GROUP BY metric),
+ct AS (SELECT metric,
+              '### Amenity Prevalence (% of properties with feature)' || chr(10) || chr(10)
+              || '| Amenity | High Tier | Low Tier | Difference |' || chr(10)
+              || '|---------|-----------|----------|------------|' || chr(10) || al.t || chr(10) || chr(10)
+              || '### Numeric Averages' || chr(10) || chr(10)
+              || '| Attribute | High Tier Avg | Low Tier Avg | Difference |' || chr(10)
+              || '|-----------|---------------|--------------|------------|' || chr(10) || nl.t AS comparison_text
+       FROM al JOIN nl USING (metric))"""
+
+
+@q("comparison_table_text")
+def _():
+    return f"WITH {TIER_CTES}, {COMPARISON_SQL} SELECT metric, comparison_text FROM ct"
+
+
+@q("tier_pipeline")
+def _():
+    return f"""WITH {TIER_CTES}, {COMPARISON_SQL},
+cnt AS (SELECT metric, SUM(CASE WHEN tier = 'high' THEN 1 ELSE 0 END) AS high_tier_count,
+               SUM(CASE WHEN tier = 'low' THEN 1 ELSE 0 END) AS low_tier_count FROM tiered GROUP BY metric)
+SELECT th.metric,
+       CASE th.metric WHEN 'adr' THEN 'ADR' WHEN 'occupancy' THEN 'Occ_Rate_Based_on_Avail' END AS metric_column,
+       {R('hi', 2)} AS high_tier_threshold, {R('lo', 2)} AS low_tier_threshold,
+       CAST(high_tier_count AS BIGINT) AS high_tier_count, CAST(low_tier_count AS BIGINT) AS low_tier_count,
+       25 AS top_percentile, 25 AS bottom_percentile, comparison_text
+FROM th JOIN cnt USING (metric) JOIN ct USING (metric)"""
+
+
+@q("display_name")
+def _():
+    return f"""WITH i AS ({B_ICONS})
+SELECT icon, {_initcap("replace(replace(icon, 'SYSTEM_', ''), '_', ' ')")} AS display_name, COUNT(*) AS n_listings
+FROM i GROUP BY icon"""
+
+
+@q("occupancy_metrics")
+def _():
+    return f"SELECT listing_id, {_occ()} FROM ({B_MARKET})"
+
+
+@q("valid_metric_filter")
+def _():
+    return f"SELECT listing_id, ADR FROM ({B_MARKET}) WHERE TRY_CAST(ADR AS DOUBLE) > 0"
+
+
+@q("min_days_filter")
+def _():
+    return f"SELECT listing_id, Days_Avail FROM (SELECT listing_id, {_occ()} FROM ({B_MARKET})) WHERE COALESCE(CAST(Days_Avail AS DOUBLE), 0.0) >= 100"
+
+
+@q("empty_metrics_filter")
+def _():
+    return f"""SELECT listing_id FROM ({B_MARKET})
+WHERE NOT (COALESCE(ADR, 0) = 0 AND COALESCE(Revenue, 0) = 0 AND COALESCE(Occupancy, 0) = 0
+           AND COALESCE(Days_Available, 0) = 0)"""
+
+
+@q("join_market_metrics")
+def _():
+    return f"""SELECT listing_id, area, ADR, Occupancy, Days_Available, has_airdna_data FROM ({B_MATRIX})"""
+
+
+@q("has_market_data_filter")
+def _():
+    return f"SELECT listing_id, ADR FROM ({B_MATRIX}) WHERE has_airdna_data"
+
+
+@q("matrix_sort")
+def _():
+    return f"""SELECT listing_id, ADR, ROW_NUMBER() OVER (ORDER BY ADR DESC NULLS LAST, listing_id) AS sort_rank
+FROM ({B_MATRIX})"""
+
+
+@q("amenity_matrix")
+def _():
+    return f"SELECT * FROM ({B_WIDE})"
+
+
+@q("amenity_flags")
+def _():
+    cols = ", ".join(f"CASE WHEN lower(CAST(\"{i}\" AS VARCHAR)) NOT IN ('false', '') THEN 1 ELSE 0 END AS \"{i}\""
+                     for i in ICONS)
+    return f"SELECT listing_id, {cols} FROM ({B_MATRIX})"
+
+
+@q("clean_matrix")
+def _():
+    flags = ", ".join(f"CASE WHEN lower(CAST(\"{i}\" AS VARCHAR)) NOT IN ('false', '') THEN 1 ELSE 0 END AS \"{i}\""
+                      for i in ICONS)
+    return f"""SELECT listing_id, area, capacity,
+       CAST(COALESCE(TRY_CAST(bedrooms AS DOUBLE), 0.0) AS INTEGER) AS bedrooms,
+       ADR, Occupancy, Revenue, Days_Available, Days_Avail, has_airdna_data, {flags}
+FROM ({B_MATRIX}) WHERE COALESCE(CAST(Days_Avail AS DOUBLE), 0.0) >= 100"""
+
+
+@q("first_wins")
+def _():
+    order = ", ".join(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                       "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
+    return f"""SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY {order}) AS rn
+FROM lineitem) WHERE rn = 1"""
+
+
+@q("latest_wins")
+def _():
+    order = ", ".join(f"{c} DESC" for c in ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                                             "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+                                             "l_linestatus", "l_shipdate"])
+    return f"""SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY {order}) AS rn
+FROM lineitem) WHERE rn = 1"""
+
+
+@q("market_merge_audit")
+def _():
+    return """SELECT COUNT(*) AS records, COUNT(DISTINCT l_partkey) AS merged,
+       COUNT(*) - COUNT(DISTINCT l_partkey) AS duplicates_skipped FROM lineitem"""

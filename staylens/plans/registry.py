@@ -74,3 +74,155 @@ def _(spark, sf):
 def _(spark, sf):
     return rv.incomplete_summary_filter(b.b_summaries(spark, sf)).select(
         "area", "listing_id", F.length("summary").alias("summary_chars"))
+
+
+# ---------------------------------------------------------------- tiers (pipeline C)
+from staylens.functions.scalar import display_name, fixed_round  # noqa: E402
+from staylens.operators import market as mk  # noqa: E402
+from staylens.operators import matrix as mx  # noqa: E402
+from staylens.operators import tiers as tr  # noqa: E402
+from staylens.plans import tiers as tp  # noqa: E402
+
+
+def _tiers(spark, sf):
+    return tp.tier_analysis(tp.binding_matrix(spark, sf), tp.BINDING_METRICS, b.BINDING_ICONS,
+                            tr.NUMERIC_COLUMNS)
+
+
+@q("tier_thresholds")
+def _(spark, sf):
+    th = _tiers(spark, sf)["thresholds"]
+    return th.select("metric", fixed_round("high_threshold", 6).alias("high_threshold"),
+                     fixed_round("low_threshold", 6).alias("low_threshold"), "n_valid")
+
+
+@q("tier_assign")
+def _(spark, sf):
+    return _tiers(spark, sf)["tiered"].select("listing_id", "metric", "tier", "value")
+
+
+@q("tier_counts")
+def _(spark, sf):
+    return tr.tier_counts(_tiers(spark, sf)["tiered"])
+
+
+@q("amenity_prevalence")
+def _(spark, sf):
+    return _tiers(spark, sf)["prevalence"].select("metric", "amenity", "high_tier_pct", "low_tier_pct",
+                                                  "difference", "rank")
+
+
+@q("rank_by_abs_difference")
+def _(spark, sf):
+    return _tiers(spark, sf)["prevalence"].select("metric", "rank", "amenity", "difference")
+
+
+@q("top_features")
+def _(spark, sf):
+    return tr.top_features(_tiers(spark, sf)["prevalence"]).select("metric", "rank", "amenity", "difference")
+
+
+@q("numeric_tier_stats")
+def _(spark, sf):
+    return _tiers(spark, sf)["numeric"].select("metric", "attribute", "high_tier_avg", "low_tier_avg",
+                                               "difference")
+
+
+@q("tier_sample")
+def _(spark, sf):
+    return tr.tier_sample(_tiers(spark, sf)["tiered"], k=3).select("metric", "tier", "sample_rank", "listing_id")
+
+
+@q("comparison_table_text")
+def _(spark, sf):
+    r = _tiers(spark, sf)
+    return tr.comparison_table_text(r["prevalence"], r["numeric"])
+
+
+@q("tier_pipeline")
+def _(spark, sf):
+    return tp.tier_report(_tiers(spark, sf), metric_columns=tp.BINDING_METRICS)
+
+
+@q("display_name")
+def _(spark, sf):
+    icons = b.b_feature_icons(spark, sf)
+    return icons.groupBy("icon").agg(F.count(F.lit(1)).alias("n_listings")) \
+        .withColumn("display_name", display_name("icon"))
+
+
+# ---------------------------------------------------------------- market / matrix
+@q("occupancy_metrics")
+def _(spark, sf):
+    return mk.occupancy_metrics(b.b_market(spark, sf)).select(
+        "listing_id", "Occ_Rate_Based_on_Avail", "Days_Avail", "Abs_Occ_Rate", "Avail_Rate")
+
+
+@q("valid_metric_filter")
+def _(spark, sf):
+    return tr.valid_metric_filter(b.b_market(spark, sf), "ADR").select("listing_id", "ADR")
+
+
+@q("min_days_filter")
+def _(spark, sf):
+    return mk.min_days_filter(mk.occupancy_metrics(b.b_market(spark, sf)), 100).select("listing_id", "Days_Avail")
+
+
+@q("empty_metrics_filter")
+def _(spark, sf):
+    return mk.empty_metrics_filter(b.b_market(spark, sf)).select("listing_id")
+
+
+@q("join_market_metrics")
+def _(spark, sf):
+    return tp.binding_matrix(spark, sf).select("listing_id", "area", "ADR", "Occupancy", "Days_Available",
+                                               "has_airdna_data")
+
+
+@q("has_market_data_filter")
+def _(spark, sf):
+    return mk.has_market_data_filter(tp.binding_matrix(spark, sf)).select("listing_id", "ADR")
+
+
+@q("matrix_sort")
+def _(spark, sf):
+    from pyspark.sql import Window
+    m = tp.binding_matrix(spark, sf).select("listing_id", "ADR")
+    # the rank materialises the global order so it survives an unordered compare
+    s = mk.matrix_sort(m)
+    return s.withColumn("sort_rank", F.row_number().over(
+        Window.orderBy(F.col("ADR").desc_nulls_last(), F.col("listing_id"))))
+
+
+@q("amenity_matrix")
+def _(spark, sf):
+    return mx.amenity_matrix(b.b_feature_icons(spark, sf), b.BINDING_ICONS)
+
+
+@q("amenity_flags")
+def _(spark, sf):
+    return mx.amenity_flags(tp.binding_matrix(spark, sf)).select("listing_id", *b.BINDING_ICONS)
+
+
+@q("clean_matrix")
+def _(spark, sf):
+    m = tp.binding_matrix(spark, sf).drop("Abs_Occ_Rate", "Avail_Rate", "Occ_Rate_Based_on_Avail")
+    return mx.clean_matrix(m, min_days=100)
+
+
+@q("first_wins")
+def _(spark, sf):
+    from staylens.sources.tables import table
+    return mk.first_wins(table(spark, sf, "lineitem"), "l_partkey", b.LINEITEM_ORDER)
+
+
+@q("latest_wins")
+def _(spark, sf):
+    from staylens.sources.tables import table
+    return mk.latest_wins(table(spark, sf, "lineitem"), "l_partkey", b.LINEITEM_ORDER)
+
+
+@q("market_merge_audit")
+def _(spark, sf):
+    from staylens.sources.tables import table
+    return mk.market_merge_audit(table(spark, sf, "lineitem"), "l_partkey")
