@@ -356,3 +356,319 @@ FROM lineitem) WHERE rn = 1"""
 def _():
     return """SELECT COUNT(*) AS records, COUNT(DISTINCT l_partkey) AS merged,
        COUNT(*) - COUNT(DISTINCT l_partkey) AS duplicates_skipped FROM lineitem"""
+
+
+# ---------------------------------------------------------------- premium (OLS, closed form for two features)
+OLS_CTES = f"""
+f AS (SELECT p.p_partkey AS listing_id, CAST(p.p_size AS DOUBLE) AS capacity,
+             CAST(p.p_retailprice AS DOUBLE) AS retail_price, m.ADR
+      FROM part p JOIN ({B_MARKET}) m ON m.listing_id = p.p_partkey WHERE m.ADR > 0),
+mo AS (SELECT covar_pop(capacity, capacity) AS s11, covar_pop(retail_price, retail_price) AS s22,
+              covar_pop(capacity, retail_price) AS s12, covar_pop(capacity, ADR) AS s1y,
+              covar_pop(retail_price, ADR) AS s2y, covar_pop(ADR, ADR) AS syy,
+              AVG(ADR) AS ay, AVG(capacity) AS a1, AVG(retail_price) AS a2, COUNT(*) AS n FROM f),
+co AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+              (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM mo),
+cf AS (SELECT *, ay - b1 * a1 - b2 * a2 AS a FROM co),
+res AS (SELECT f.listing_id, f.ADR AS actual, f.ADR - (cf.a + cf.b1 * f.capacity + cf.b2 * f.retail_price) AS residual
+        FROM f, cf),
+tb AS (SELECT * FROM (SELECT 'top' AS side, listing_id, residual,
+                             ROW_NUMBER() OVER (ORDER BY residual DESC, listing_id) AS o FROM res) WHERE o <= 15
+       UNION ALL
+       SELECT * FROM (SELECT 'bottom' AS side, listing_id, residual,
+                             ROW_NUMBER() OVER (ORDER BY residual ASC, listing_id DESC) AS o FROM res) WHERE o <= 15),
+tbr AS (SELECT side, listing_id, residual,
+               ROW_NUMBER() OVER (PARTITION BY side ORDER BY residual DESC, listing_id) AS rank FROM tb)"""
+
+
+@q("ols_fit")
+def _():
+    return f"""WITH {OLS_CTES}
+SELECT 'intercept' AS term, {R('a', 4)} AS coefficient FROM cf
+UNION ALL SELECT 'capacity', {R('b1', 4)} FROM cf
+UNION ALL SELECT 'retail_price', {R('b2', 4)} FROM cf"""
+
+
+@q("ols_residuals")
+def _():
+    return f"WITH {OLS_CTES} SELECT listing_id, {R('residual', 4)} AS residual FROM res"
+
+
+@q("r_squared")
+def _():
+    return f"""WITH {OLS_CTES}
+SELECT COUNT(*) AS n,
+       {R('CASE WHEN var_samp(actual) * (COUNT(*) - 1) > 0 THEN 1.0 - SUM(residual * residual) / (var_samp(actual) * (COUNT(*) - 1)) ELSE 0.0 END', 6)}
+       AS r_squared FROM res"""
+
+
+RESID_STATS = f"""{R('AVG(residual)', 2)} AS mean, {R('stddev_samp(residual)', 2)} AS std,
+       {R('MIN(residual)', 2)} AS min, {R('MAX(residual)', 2)} AS max"""
+
+
+@q("residual_stats")
+def _():
+    return f"WITH {OLS_CTES} SELECT {RESID_STATS} FROM res"
+
+
+@q("regression_moments")
+def _():
+    return f"""WITH {OLS_CTES}
+SELECT 'capacity' AS row_term, 'capacity' AS col_term, {R('s11', 3)} AS covariance FROM mo
+UNION ALL SELECT 'capacity', 'retail_price', {R('s12', 3)} FROM mo
+UNION ALL SELECT 'capacity', 'ADR', {R('s1y', 3)} FROM mo
+UNION ALL SELECT 'retail_price', 'retail_price', {R('s22', 3)} FROM mo
+UNION ALL SELECT 'retail_price', 'ADR', {R('s2y', 3)} FROM mo
+UNION ALL SELECT 'ADR', 'ADR', {R('syy', 3)} FROM mo"""
+
+
+@q("complete_rows_filter")
+def _():
+    return f"""SELECT listing_id, CAST(capacity AS DOUBLE) AS capacity, TRY_CAST(bedrooms AS DOUBLE) AS bedrooms
+FROM ({B_PARTF}) WHERE TRY_CAST(bedrooms AS DOUBLE) IS NOT NULL AND capacity IS NOT NULL"""
+
+
+@q("top_bottom_premium")
+def _():
+    return f"WITH {OLS_CTES} SELECT side, rank, listing_id, {R('residual', 4)} AS residual FROM tbr"
+
+
+@q("premium_pipeline")
+def _():
+    return f"""WITH {OLS_CTES}
+SELECT {R('CASE WHEN var_samp(actual) * (COUNT(*) - 1) > 0 THEN 1.0 - SUM(residual * residual) / (var_samp(actual) * (COUNT(*) - 1)) ELSE 0.0 END', 4)} AS r_squared,
+       2 AS n_features, COUNT(*) AS n_properties, {RESID_STATS} FROM res"""
+
+
+# ---------------------------------------------------------------- description scores
+PY_WS = (r"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x{85}\x{a0}\x{1680}"
+         r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+
+
+def WC(x: str) -> str:
+    return f"CAST(len(regexp_extract_all({x}, '[^{PY_WS}]+')) AS BIGINT)"
+
+
+SCORE_CTES = f"""
+sc AS (SELECT l.doc_id AS listing_id, CAST(l.quality AS DOUBLE) AS quality, CAST(l.toxic AS DOUBLE) AS toxic,
+              CAST({WC('d.text')} AS DOUBLE) AS word_count
+       FROM labels l JOIN documents d ON d.doc_id = l.doc_id),
+rs AS (SELECT doc_id AS listing_id, n_chars - AVG(n_chars) OVER () AS residual FROM documents),
+sl AS (SELECT listing_id, 'quality' AS dimension, 0 AS dimension_pos, quality AS score FROM sc
+       UNION ALL SELECT listing_id, 'toxic', 1, toxic FROM sc
+       UNION ALL SELECT listing_id, 'word_count', 2, word_count FROM sc),
+dc0 AS (SELECT dimension, dimension_pos,
+               {R('COALESCE(covar_pop(score, residual) / NULLIF(stddev_pop(score) * stddev_pop(residual), 0), 0.0)', 4)}
+               AS correlation, COUNT(*) AS n
+        FROM sl JOIN rs USING (listing_id) WHERE score IS NOT NULL GROUP BY dimension, dimension_pos HAVING COUNT(*) >= 3),
+dc AS (SELECT *, ROW_NUMBER() OVER (ORDER BY abs(correlation) DESC, dimension_pos) AS rank FROM dc0),
+rtb0 AS (SELECT * FROM (SELECT 'top' AS side, listing_id, residual,
+                               ROW_NUMBER() OVER (ORDER BY residual DESC, listing_id) AS o FROM rs) WHERE o <= 15
+         UNION ALL
+         SELECT * FROM (SELECT 'bottom' AS side, listing_id, residual,
+                               ROW_NUMBER() OVER (ORDER BY residual ASC, listing_id DESC) AS o FROM rs) WHERE o <= 15),
+rtb AS (SELECT side, listing_id, residual,
+               ROW_NUMBER() OVER (PARTITION BY side ORDER BY residual DESC, listing_id) AS rank FROM rtb0)"""
+
+
+@q("dimension_correlation")
+def _():
+    return f"WITH {SCORE_CTES} SELECT dimension, correlation, n, rank FROM dc"
+
+
+@q("rank_by_abs_correlation")
+def _():
+    return f"WITH {SCORE_CTES} SELECT rank, dimension FROM dc"
+
+
+@q("join_score_residual")
+def _():
+    return f"""WITH {SCORE_CTES}
+SELECT listing_id, quality, toxic, word_count, {R('residual', 4)} AS residual FROM sc JOIN rs USING (listing_id)"""
+
+
+@q("id_intersection")
+def _():
+    return f"WITH {SCORE_CTES} SELECT listing_id FROM sc INTERSECT SELECT listing_id FROM rs"
+
+
+@q("word_count")
+def _():
+    return f"SELECT doc_id, {WC('text')} AS word_count FROM documents"
+
+
+@q("join_residual_description")
+def _():
+    return f"""WITH {SCORE_CTES}
+SELECT rs.listing_id, {R('residual', 4)} AS residual, length(d.text) AS description_chars
+FROM rs JOIN documents d ON d.doc_id = rs.listing_id"""
+
+
+@q("join_topk_scores")
+def _():
+    return f"""WITH {SCORE_CTES}
+SELECT side, rank, rtb.listing_id, quality, toxic, word_count, length(d.text) AS description_chars
+FROM rtb LEFT JOIN sc USING (listing_id) JOIN documents d ON d.doc_id = rtb.listing_id"""
+
+
+@q("sample_tier_descriptions")
+def _():
+    return f"""WITH {TIER_CTES},
+s AS (SELECT * FROM (SELECT metric, tier, listing_id,
+             ROW_NUMBER() OVER (PARTITION BY metric, tier ORDER BY ADR DESC NULLS LAST, listing_id) AS sample_rank
+      FROM tiered) WHERE sample_rank <= 3)
+SELECT metric, tier, sample_rank, listing_id,
+       'Property ' || CAST(listing_id AS VARCHAR) || ': ' ||
+       CASE WHEN length(d.text) > 500 THEN substring(d.text, 1, 500) || '...' ELSE d.text END AS sample
+FROM s JOIN documents d ON d.doc_id = s.listing_id"""
+
+
+SCORE_TEMPLATE = "Score the description of property {PROPERTY_ID}.\n\nDescription:\n{DESCRIPTION}\n\nReturn JSON."
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+@q("description_score_prompts")
+def _():
+    t = _sql_str(SCORE_TEMPLATE)
+    return f"""SELECT doc_id AS listing_id,
+       replace(replace({t}, '{{DESCRIPTION}}', COALESCE(text, '')), '{{PROPERTY_ID}}', CAST(doc_id AS VARCHAR)) AS prompt,
+       {WC('text')} AS word_count
+FROM documents"""
+
+
+@q("fill_template")
+def _():
+    return """SELECT doc_id AS listing_id,
+       replace(replace(replace(replace('Area {ZIP_CODE_HERE} ({ISO_CODE_HERE}) listing {PROPERTY_ID}: {DESCRIPTION}',
+               '{ZIP_CODE_HERE}', COALESCE(source, '')), '{ISO_CODE_HERE}', COALESCE(lang, '')),
+               '{PROPERTY_ID}', CAST(doc_id AS VARCHAR)), '{DESCRIPTION}', COALESCE(text, '')) AS prompt
+FROM documents"""
+
+
+@q("normalize_description")
+def _():
+    return "SELECT doc_id AS listing_id, array_to_string(string_split(text, chr(10)), ' ') AS description FROM documents"
+
+
+@q("truncate_sample")
+def _():
+    return """SELECT doc_id AS listing_id,
+       CASE WHEN length(text) > 500 THEN substring(text, 1, 500) || '...' ELSE text END AS sample FROM documents"""
+
+
+@q("parse_score_json")
+def _():
+    return """WITH t AS (SELECT doc_id AS listing_id,
+              regexp_replace(regexp_replace(trim('```json {"quality":' || CAST(quality AS VARCHAR) || ',"toxic":'
+                || CAST(toxic AS VARCHAR) || '} ```'), '^```(?:json)?\\s*', ''), '\\s*```\\s*$', '') AS body
+           FROM labels)
+SELECT listing_id, j.key AS dimension, CAST(j.value AS DOUBLE) AS score
+FROM t, json_each(t.body) AS j WHERE j.type IN ('UBIGINT', 'BIGINT', 'DOUBLE')"""
+
+
+# ---------------------------------------------------------------- review packing
+BASE_PROMPT = "Summarize what guests say about this listing in five sections."
+NA_LIST = "('nan', 'na', 'none', '<na>')"
+
+
+def _tok(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL OR {x} = '' OR lower({x}) IN {NA_LIST} THEN 0 ELSE length({x}) // 4 END"
+
+
+ORDER_ALL = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
+             "l_returnflag, l_linestatus, l_shipdate")
+
+
+def chunk_ctes(limit: int) -> str:
+    budget = limit - len(BASE_PROMPT) // 4
+    return f"""RECURSIVE r AS (
+  SELECT listing_id, review AS text, CAST({_tok('review')} AS BIGINT) AS tokens,
+         ROW_NUMBER() OVER (PARTITION BY listing_id ORDER BY {ORDER_ALL}) AS pos
+  FROM ({B_REVIEWS})),
+w(listing_id, pos, s, cnt, chunk_no, item_no, truncated) AS (
+  SELECT listing_id, pos, CASE WHEN tokens > {budget} THEN 0 ELSE tokens END,
+         CASE WHEN tokens > {budget} THEN 0 ELSE 1 END, 1, 1, tokens > {budget}
+  FROM r WHERE pos = 1
+  UNION ALL
+  SELECT r.listing_id, r.pos,
+         CASE WHEN w.s + r.tokens > {budget} THEN (CASE WHEN w.cnt > 0 THEN r.tokens ELSE 0 END) ELSE w.s + r.tokens END,
+         CASE WHEN w.s + r.tokens > {budget} THEN (CASE WHEN w.cnt > 0 THEN 1 ELSE 0 END) ELSE w.cnt + 1 END,
+         CASE WHEN w.s + r.tokens > {budget} OR w.cnt = 0 THEN w.chunk_no + 1 ELSE w.chunk_no END,
+         CASE WHEN w.s + r.tokens > {budget} OR w.cnt = 0 THEN 1 ELSE w.cnt + 1 END,
+         (w.s + r.tokens > {budget} AND w.cnt = 0)
+  FROM w JOIN r ON r.listing_id = w.listing_id AND r.pos = w.pos + 1),
+ch AS (SELECT r.listing_id, CAST(w.chunk_no AS BIGINT) AS chunk_no, CAST(w.item_no AS BIGINT) AS item_no,
+              CASE WHEN w.truncated THEN substring(r.text, 1, 2000) || '... [truncated]' ELSE r.text END AS text,
+              r.tokens, w.truncated
+       FROM w JOIN r ON r.listing_id = w.listing_id AND r.pos = w.pos)"""
+
+
+@q("chunk_reviews")
+def _():
+    return f"WITH {chunk_ctes(120000)} SELECT * FROM ch"
+
+
+@q("chunk_reviews_tight")
+def _():
+    return f"WITH {chunk_ctes(100)} SELECT * FROM ch"
+
+
+@q("needs_chunking")
+def _():
+    return f"""WITH r AS ({B_REVIEWS})
+SELECT listing_id, SUM({_tok('review')}) AS review_tokens,
+       ({len(BASE_PROMPT) // 4} + SUM({_tok('review')})) > 100 AS needs_chunking
+FROM r GROUP BY listing_id"""
+
+
+@q("review_numbering")
+def _():
+    return f"""WITH {chunk_ctes(100)}
+SELECT listing_id, chunk_no, item_no, 'Review ' || CAST(item_no AS VARCHAR) || ': ' || COALESCE(text, '<NA>') AS numbered
+FROM ch"""
+
+
+@q("chunk_prompt")
+def _():
+    pt = len(BASE_PROMPT) // 4
+    return f"""WITH {chunk_ctes(100)},
+per AS (SELECT listing_id, chunk_no, COUNT(*) AS n_items, SUM(tokens) AS chunk_tokens,
+               string_agg('Review ' || CAST(item_no AS VARCHAR) || ': ' || COALESCE(text, '<NA>'), chr(10) ORDER BY item_no) AS body
+        FROM ch GROUP BY listing_id, chunk_no),
+per2 AS (SELECT *, MAX(chunk_no) OVER (PARTITION BY listing_id) AS n_chunks,
+                SUM(chunk_tokens) OVER (PARTITION BY listing_id) + {pt} AS total_tokens FROM per)
+SELECT listing_id, chunk_no, n_chunks, n_items,
+       {_sql_str(BASE_PROMPT)} || chr(10) || chr(10)
+       || CASE WHEN total_tokens > 100 THEN printf('Processing chunk %d of %d (%d reviews)', chunk_no, n_chunks, n_items)
+               || chr(10) || chr(10) ELSE '' END
+       || 'Reviews to analyze:' || chr(10) || body || chr(10) || chr(10)
+       || 'Please provide the analysis following the exact format specified above.' AS prompt
+FROM per2"""
+
+
+MERGE_HEAD = ("\nYou have received multiple partial analyses of Airbnb reviews for the same listing. "
+              "Please combine them into a single comprehensive summary following the original format "
+              "requirements.\n\nOriginal format requirements:\n")
+MERGE_TAIL = ("\nPlease provide a single unified analysis that:\n"
+              "1. Maintains the exact 5-section format from the original requirements\n"
+              "2. Combines and reconciles the data from all partial analyses\n"
+              "3. Provides accurate overall percentages and mention counts\n"
+              "4. Creates a coherent final summary\n\nUnified Analysis:")
+
+
+@q("merge_prompt")
+def _():
+    return f"""WITH p AS (SELECT conv_id AS listing_id, turn AS chunk_no, text AS summary FROM conversations
+           WHERE role = 'assistant' AND text IS NOT NULL AND length(text) > 0),
+g AS (SELECT listing_id, COUNT(*) AS n_parts, MIN(summary) AS only_one,
+             string_agg(printf(chr(10) || '--- Analysis %d ---' || chr(10) || '%s' || chr(10), rn, summary), ''
+                        ORDER BY chunk_no) AS body
+      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY listing_id ORDER BY chunk_no) AS rn FROM p) GROUP BY listing_id)
+SELECT listing_id, n_parts,
+       CASE WHEN n_parts = 1 THEN only_one
+            ELSE {_sql_str(MERGE_HEAD)} || trim(split_part({_sql_str(BASE_PROMPT)}, 'Reviews to analyze:', 1))
+                 || chr(10) || chr(10) || 'Partial analyses to merge:' || chr(10) || body || {_sql_str(MERGE_TAIL)} END AS prompt
+FROM g"""

@@ -226,3 +226,241 @@ def _(spark, sf):
 def _(spark, sf):
     from staylens.sources.tables import table
     return mk.market_merge_audit(table(spark, sf, "lineitem"), "l_partkey")
+
+
+# ---------------------------------------------------------------- premium (pipeline D)
+from staylens.operators import packing as pk  # noqa: E402
+from staylens.operators import premium as pm  # noqa: E402
+from staylens.operators import prompts as pr  # noqa: E402
+from staylens.functions.scalar import estimate_tokens, normalize_description, truncate_sample, word_count  # noqa: E402,E501
+from staylens.sources.tables import table  # noqa: E402
+
+OLS_FEATURES = ["capacity", "retail_price"]
+
+
+def _ols_frame(spark, sf):
+    feats = b.b_part_features(spark, sf).select("listing_id", "capacity", "retail_price")
+    return feats.join(b.b_market(spark, sf).select("listing_id", "ADR"), "listing_id")
+
+
+def _ols(spark, sf):
+    frame = _ols_frame(spark, sf)
+    model = pm.ols_fit(frame, "ADR", OLS_FEATURES)
+    return frame, model, pm.ols_residuals(frame, model)
+
+
+@q("ols_fit")
+def _(spark, sf):
+    _f, model, _r = _ols(spark, sf)
+    return model.coefficient_df(spark).select("term", fixed_round("coefficient", 4).alias("coefficient"))
+
+
+@q("ols_residuals")
+def _(spark, sf):
+    return _ols(spark, sf)[2].select("listing_id", fixed_round("residual", 4).alias("residual"))
+
+
+@q("r_squared")
+def _(spark, sf):
+    return pm.r_squared(_ols(spark, sf)[2]).select("n", fixed_round("r_squared", 6).alias("r_squared"))
+
+
+@q("residual_stats")
+def _(spark, sf):
+    return pm.residual_stats(_ols(spark, sf)[2])
+
+
+@q("regression_moments")
+def _(spark, sf):
+    frame, feats = pm.regression_frame(_ols_frame(spark, sf), "ADR", OLS_FEATURES)
+    n, _means, m = pm.regression_moments(frame, "ADR", feats)
+    names = feats + ["ADR"]
+    rows = [(names[i], names[j], float(m[i, j] / n)) for i in range(len(names)) for j in range(i, len(names))]
+    return spark.createDataFrame(rows, "row_term string, col_term string, covariance double") \
+        .select("row_term", "col_term", fixed_round("covariance", 3).alias("covariance"))
+
+
+@q("complete_rows_filter")
+def _(spark, sf):
+    return pm.complete_rows_filter(b.b_part_features(spark, sf), ["capacity", "bedrooms"]) \
+        .select("listing_id", "capacity", "bedrooms")
+
+
+@q("top_bottom_premium")
+def _(spark, sf):
+    return pm.top_bottom_premium(_ols(spark, sf)[2]).select(
+        "side", "rank", "listing_id", fixed_round("residual", 4).alias("residual"))
+
+
+@q("premium_pipeline")
+def _(spark, sf):
+    frame, model, res = _ols(spark, sf)
+    r2 = pm.r_squared(res)
+    st = pm.residual_stats(res)
+    return r2.join(st, how="inner").select(
+        fixed_round("r_squared", 4).alias("r_squared"), F.lit(len(model.features)).alias("n_features"),
+        F.col("n").alias("n_properties"), "mean", "std", "min", "max") if False else \
+        _premium_record(r2, st, len(model.features))
+
+
+def _premium_record(r2, st, p):
+    tagged = r2.select(F.col("n").alias("n_properties"), F.col("r_squared"),
+                       *[F.lit(None).cast("double").alias(c) for c in ("mean", "std", "min", "max")]) \
+        .unionByName(st.select(F.lit(None).cast("long").alias("n_properties"),
+                               F.lit(None).cast("double").alias("r_squared"), "mean", "std", "min", "max"))
+    return tagged.groupBy().agg(fixed_round(F.max("r_squared"), 4).alias("r_squared"),
+                                F.lit(p).alias("n_features"), F.max("n_properties").alias("n_properties"),
+                                F.max("mean").alias("mean"), F.max("std").alias("std"),
+                                F.max("min").alias("min"), F.max("max").alias("max"))
+
+
+# ---------------------------------------------------------------- description scores
+SCORE_DIMS = ["quality", "toxic", "word_count"]
+
+
+@q("dimension_correlation")
+def _(spark, sf):
+    return pm.dimension_correlation(b.b_scores(spark, sf), b.b_residuals(spark, sf), dimensions=SCORE_DIMS) \
+        .select("dimension", "correlation", "n", "rank")
+
+
+@q("rank_by_abs_correlation")
+def _(spark, sf):
+    return pm.dimension_correlation(b.b_scores(spark, sf), b.b_residuals(spark, sf), dimensions=SCORE_DIMS) \
+        .select("rank", "dimension")
+
+
+@q("join_score_residual")
+def _(spark, sf):
+    j = pr.join_score_residual(b.b_scores(spark, sf), b.b_residuals(spark, sf))
+    return j.select("listing_id", *SCORE_DIMS, fixed_round("residual", 4).alias("residual"))
+
+
+@q("id_intersection")
+def _(spark, sf):
+    return pr.id_intersection(b.b_scores(spark, sf), b.b_residuals(spark, sf))
+
+
+@q("word_count")
+def _(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", word_count("text").alias("word_count"))
+
+
+@q("join_residual_description")
+def _(spark, sf):
+    j = b.b_residuals(spark, sf).join(b.b_descriptions(spark, sf), "listing_id")
+    return j.select("listing_id", fixed_round("residual", 4).alias("residual"),
+                    F.length("description").alias("description_chars"))
+
+
+@q("join_topk_scores")
+def _(spark, sf):
+    tb = pm.top_bottom_premium(b.b_residuals(spark, sf))
+    j = pr.join_topk_scores(tb, b.b_scores(spark, sf), b.b_descriptions(spark, sf))
+    return j.select("side", "rank", "listing_id", *SCORE_DIMS, F.length("description").alias("description_chars"))
+
+
+@q("sample_tier_descriptions")
+def _(spark, sf):
+    samples = tr.tier_sample(_tiers(spark, sf)["tiered"], k=3)
+    return pr.sample_descriptions(samples, b.b_descriptions(spark, sf), k=3)
+
+
+SCORE_TEMPLATE = "Score the description of property {PROPERTY_ID}.\n\nDescription:\n{DESCRIPTION}\n\nReturn JSON."
+
+
+@q("description_score_prompts")
+def _(spark, sf):
+    return pr.description_score_prompts(b.b_residuals(spark, sf), b.b_descriptions(spark, sf), SCORE_TEMPLATE)
+
+
+@q("fill_template")
+def _(spark, sf):
+    d = table(spark, sf, "documents")
+    from staylens.functions.scalar import fill_template
+    t = fill_template("Area {ZIP_CODE_HERE} ({ISO_CODE_HERE}) listing {PROPERTY_ID}: {DESCRIPTION}",
+                      {"ZIP_CODE_HERE": F.col("source"), "ISO_CODE_HERE": F.col("lang"),
+                       "PROPERTY_ID": F.col("doc_id"), "DESCRIPTION": F.col("text")})
+    return d.select(F.col("doc_id").alias("listing_id"), t.alias("prompt"))
+
+
+@q("normalize_description")
+def _(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select(F.col("doc_id").alias("listing_id"),
+                    normalize_description(F.split("text", "\n")).alias("description"))
+
+
+@q("truncate_sample")
+def _(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select(F.col("doc_id").alias("listing_id"), truncate_sample("text").alias("sample"))
+
+
+@q("parse_score_json")
+def _(spark, sf):
+    lab = table(spark, sf, "labels")
+    txt = F.concat(F.lit('```json {"quality":'), F.col("quality").cast("string"), F.lit(',"toxic":'),
+                   F.col("toxic").cast("string"), F.lit("} ```"))
+    return pr.parse_score_json(lab.select(F.col("doc_id").alias("listing_id"), txt.alias("response")))
+
+
+@q("synthesis_prompt")
+def _(spark, sf):
+    scores, res = b.b_scores(spark, sf), b.b_residuals(spark, sf)
+    corr = pm.dimension_correlation(scores, res, dimensions=SCORE_DIMS)
+    r2 = res.agg(F.lit(0.0).alias("r_squared"))
+    tb = pm.top_bottom_premium(res)
+    topk = pr.join_topk_scores(tb, scores, b.b_descriptions(spark, sf))
+    tmpl = ("Model fit R2={R_SQUARED}\n\n| Dimension | r | n |\n{CORRELATION_TABLE}\n\n"
+            "Top:\n{TOP_DESCRIPTIONS}\n\nBottom:\n{BOTTOM_DESCRIPTIONS}")
+    return pr.synthesis_prompt(r2, corr, topk, tmpl, SCORE_DIMS)
+
+
+# ---------------------------------------------------------------- review packing (pipeline B)
+BASE_PROMPT = "Summarize what guests say about this listing in five sections."
+TIGHT_LIMIT = 100  # the reference's own small-limit chunking case
+
+
+def _review_items(spark, sf):
+    r = b.b_reviews(spark, sf)
+    return r.withColumn("text", F.col("review"))
+
+
+@q("chunk_reviews")
+def _(spark, sf):
+    pt = len(BASE_PROMPT) // 4
+    return pk.chunk_reviews(_review_items(spark, sf), "listing_id", b.LINEITEM_ORDER, "text", pt)
+
+
+@q("chunk_reviews_tight")
+def _(spark, sf):
+    pt = len(BASE_PROMPT) // 4
+    return pk.chunk_reviews(_review_items(spark, sf), "listing_id", b.LINEITEM_ORDER, "text", pt, TIGHT_LIMIT)
+
+
+@q("needs_chunking")
+def _(spark, sf):
+    return pk.needs_chunking(_review_items(spark, sf), prompt_tokens=len(BASE_PROMPT) // 4, limit=TIGHT_LIMIT)
+
+
+@q("review_numbering")
+def _(spark, sf):
+    ch = pk.chunk_reviews(_review_items(spark, sf), "listing_id", b.LINEITEM_ORDER, "text",
+                          len(BASE_PROMPT) // 4, TIGHT_LIMIT)
+    return pk.review_numbering(ch).select("listing_id", "chunk_no", "item_no", "numbered")
+
+
+@q("chunk_prompt")
+def _(spark, sf):
+    pt = len(BASE_PROMPT) // 4
+    ch = pk.chunk_reviews(_review_items(spark, sf), "listing_id", b.LINEITEM_ORDER, "text", pt, TIGHT_LIMIT)
+    return pk.chunk_prompt(ch, BASE_PROMPT, prompt_tokens=pt, limit=TIGHT_LIMIT)
+
+
+@q("merge_prompt")
+def _(spark, sf):
+    c = table(spark, sf, "conversations").where(F.col("role") == "assistant")
+    parts = c.select(F.col("conv_id").alias("listing_id"), F.col("turn").alias("chunk_no"),
+                     F.col("text").alias("summary"))
+    return pk.merge_prompt(parts, BASE_PROMPT)
