@@ -672,3 +672,274 @@ SELECT listing_id, n_parts,
             ELSE {_sql_str(MERGE_HEAD)} || trim(split_part({_sql_str(BASE_PROMPT)}, 'Reviews to analyze:', 1))
                  || chr(10) || chr(10) || 'Partial analyses to merge:' || chr(10) || body || {_sql_str(MERGE_TAIL)} END AS prompt
 FROM g"""
+
+
+# ---------------------------------------------------------------- costs
+B_REQUESTS = """
+  SELECT conv_id % 10 AS session, conv_id AS listing_id, turn, prompt, text AS response,
+         prompt IS NOT NULL AS success, turn % 7 = 0 AS cached
+  FROM (SELECT *, LAG(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prompt FROM conversations)
+  WHERE role = 'assistant'"""
+
+COSTED = f"""
+  SELECT *, CASE WHEN cached THEN 0.0 ELSE
+           {R('(CAST(input_tokens AS DOUBLE) / 1000000.0) * 0.4 + (CAST(output_tokens AS DOUBLE) / 1000000.0) * 1.6', 6)}
+         END AS cost
+  FROM (SELECT *, CAST(length(COALESCE(prompt, '')) // 4 AS BIGINT) AS input_tokens,
+               CAST(CASE WHEN response IS NOT NULL AND length(response) > 0 THEN length(response) // 4 ELSE 0 END
+                    AS BIGINT) AS output_tokens
+        FROM ({B_REQUESTS}))"""
+
+
+@q("estimate_tokens")
+def _():
+    return f"SELECT conv_id, turn, CAST({_tok('text')} AS BIGINT) AS tokens FROM conversations"
+
+
+@q("request_cost")
+def _():
+    return f"SELECT session, listing_id, turn, input_tokens, output_tokens, cost FROM ({COSTED})"
+
+
+@q("request_cost_session")
+def _():
+    return f"""WITH c AS ({COSTED}),
+a AS (SELECT session, COUNT(*) AS total_requests,
+             SUM(CASE WHEN success THEN 1 ELSE 0 END) AS successful_requests,
+             SUM(CASE WHEN success THEN 0 ELSE 1 END) AS failed_requests,
+             SUM(CASE WHEN cached THEN 1 ELSE 0 END) AS cache_hits,
+             COUNT(DISTINCT listing_id) AS unique_listings,
+             SUM(CASE WHEN NOT cached THEN input_tokens ELSE 0 END) AS total_input_tokens,
+             SUM(CASE WHEN NOT cached THEN output_tokens ELSE 0 END) AS total_output_tokens,
+             SUM(CASE WHEN NOT cached THEN cost ELSE 0.0 END) AS c
+      FROM c GROUP BY session)
+SELECT session, total_requests, CAST(successful_requests AS BIGINT) AS successful_requests,
+       CAST(failed_requests AS BIGINT) AS failed_requests, CAST(cache_hits AS BIGINT) AS cache_hits,
+       {R('CAST(cache_hits AS DOUBLE) / GREATEST(1, total_requests) * 100.0', 1)} AS cache_hit_rate,
+       unique_listings, CAST(total_input_tokens AS BIGINT) AS total_input_tokens,
+       CAST(total_output_tokens AS BIGINT) AS total_output_tokens,
+       CAST(total_input_tokens + total_output_tokens AS BIGINT) AS total_tokens,
+       {R('c', 4)} AS total_cost, {R('c / GREATEST(1, unique_listings)', 4)} AS average_cost_per_listing,
+       {R('c * 100.0 / GREATEST(1, unique_listings)', 2)} AS estimated_cost_per_100_listings
+FROM a"""
+
+
+AS_OF = "2024-01-31 00:00:00"
+
+
+@q("historical_cost")
+def _():
+    return f"""WITH s AS (SELECT user_id AS session, MIN(ts) AS session_start, SUM(value) / 1000.0 AS total_cost,
+                  COUNT(DISTINCT event_type) AS listings, COUNT(*) AS total_requests FROM events GROUP BY user_id),
+r AS (SELECT * FROM s WHERE session_start >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY),
+a AS (SELECT COUNT(*) AS sessions, SUM(total_cost) AS c, SUM(listings) AS tl, SUM(total_requests) AS tr FROM r)
+SELECT 30 AS days, sessions = 0 AS no_data, sessions, {R('COALESCE(c, 0.0)', 4)} AS total_cost,
+       CAST(COALESCE(tl, 0) AS BIGINT) AS total_listings, CAST(COALESCE(tr, 0) AS BIGINT) AS total_requests,
+       {R('COALESCE(c, 0.0) / GREATEST(1, COALESCE(tl, 0))', 4)} AS average_cost_per_listing,
+       {R('COALESCE(c, 0.0) / GREATEST(1, sessions)', 4)} AS average_cost_per_session
+FROM a"""
+
+
+@q("last_n_sessions")
+def _():
+    return f"""WITH s AS (SELECT listing_id AS session, COUNT(*) AS n_requests FROM ({B_REQUESTS}) GROUP BY listing_id)
+SELECT * FROM (SELECT session, n_requests, ROW_NUMBER() OVER (ORDER BY session DESC) AS recency FROM s)
+WHERE recency <= 100"""
+
+
+# ---------------------------------------------------------------- freshness
+STAGES = ["click", "error", "purchase", "signup", "view"]
+B_MANIFEST = "SELECT event_type AS stage, user_id AS listing_id, MAX(ts) AS mtime FROM events GROUP BY 1, 2"
+FRESH = f"(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(mtime)) / 3.6e9 < 72"
+EXPECTED = ("SELECT s.stage, u.listing_id FROM (SELECT DISTINCT user_id AS listing_id FROM events) u, "
+            "(SELECT unnest([" + ", ".join(f"'{s}'" for s in STAGES) + "]) AS stage) s")
+FRESH_MANIFEST = f"SELECT stage, listing_id FROM ({B_MANIFEST}) WHERE {FRESH}"
+
+
+@q("is_fresh")
+def _():
+    return f"SELECT stage, listing_id, COALESCE({FRESH}, false) AS fresh FROM ({B_MANIFEST})"
+
+
+@q("expected_outputs")
+def _():
+    return EXPECTED
+
+
+@q("missing_outputs")
+def _():
+    return f"SELECT stage, listing_id FROM ({EXPECTED}) e ANTI JOIN ({FRESH_MANIFEST}) f USING (stage, listing_id)"
+
+
+@q("stage_freshness")
+def _():
+    return f"""SELECT stage, COUNT(*) AS expected, SUM(CASE WHEN f.listing_id IS NOT NULL THEN 1 ELSE 0 END) AS fresh_outputs,
+       COUNT(*) > 0 AND bool_and(f.listing_id IS NOT NULL) AS stage_fresh
+FROM ({EXPECTED}) e LEFT JOIN ({FRESH_MANIFEST}) f USING (stage, listing_id) GROUP BY stage"""
+
+
+@q("unprocessed_or_stale")
+def _():
+    return f"""SELECT event_id, user_id AS listing_id FROM events
+WHERE user_id NOT IN (SELECT listing_id FROM ({FRESH_MANIFEST}) WHERE stage = 'purchase')"""
+
+
+@q("resolved_prescan")
+def _():
+    return f"""SELECT DISTINCT user_id AS listing_id FROM events
+WHERE user_id IN (SELECT listing_id FROM ({B_MANIFEST}) WHERE stage = 'view')"""
+
+
+@q("id_difference")
+def _():
+    return f"""SELECT DISTINCT user_id AS listing_id FROM events
+WHERE user_id NOT IN (SELECT listing_id FROM ({B_MANIFEST}) WHERE stage = 'view')"""
+
+
+@q("coverage_gate")
+def _():
+    return f"""WITH g AS (SELECT stage, COUNT(*) AS total, SUM(CASE WHEN f.listing_id IS NULL THEN 1 ELSE 0 END) AS missing
+           FROM ({EXPECTED}) e LEFT JOIN ({FRESH_MANIFEST}) f USING (stage, listing_id) GROUP BY stage)
+SELECT stage, total, CAST(missing AS BIGINT) AS missing, {R('CAST(missing AS DOUBLE) / GREATEST(1, total)', 6)} AS missing_rate,
+       CAST(missing AS DOUBLE) / GREATEST(1, total) > 0.2 AS retry FROM g"""
+
+
+# ---------------------------------------------------------------- grid
+BBOX = f"""SELECT n_nationkey AS area,
+       {R('CAST(n_nationkey * 1000 AS DOUBLE) + 140.0', 7)} AS ne_lat, {R('CAST(n_nationkey * 1000 AS DOUBLE) - 140.0', 7)} AS sw_lat,
+       {R('CAST(-n_nationkey * 1000 AS DOUBLE) + 140.0', 7)} AS ne_lon, {R('CAST(-n_nationkey * 1000 AS DOUBLE) - 140.0', 7)} AS sw_lon
+FROM nation"""
+CELLS = f"""SELECT area, i AS cell_row, j AS cell_col, i * 2 + j AS cell_no,
+       sw_lat + i * ((ne_lat - sw_lat) / 2) AS box_sw_lat, sw_lon + j * ((ne_lon - sw_lon) / 2) AS box_sw_lon,
+       sw_lat + i * ((ne_lat - sw_lat) / 2) + (ne_lat - sw_lat) / 2 AS box_ne_lat,
+       sw_lon + j * ((ne_lon - sw_lon) / 2) + (ne_lon - sw_lon) / 2 AS box_ne_lon
+FROM ({BBOX}) b, range(2) r1(i), range(2) r2(j)"""
+PTS = """SELECT c_custkey AS listing_id, c_nationkey AS area,
+       c_nationkey * 1000 + (c_custkey * 37) % 280 - 139.5 AS lat,
+       -c_nationkey * 1000 + (c_custkey * 53) % 280 - 139.5 AS lon FROM customer"""
+HITS = f"""SELECT p.listing_id, p.area, c.cell_no FROM ({PTS}) p JOIN ({CELLS}) c ON c.area = p.area
+WHERE p.lat >= c.box_sw_lat AND p.lat < c.box_ne_lat AND p.lon >= c.box_sw_lon AND p.lon < c.box_ne_lon"""
+
+
+@q("area_bbox")
+def _():
+    return BBOX
+
+
+@q("bbox_grid")
+def _():
+    return f"""SELECT area, CAST(cell_no AS INTEGER) AS cell_no, CAST(cell_row AS INTEGER) AS cell_row,
+       CAST(cell_col AS INTEGER) AS cell_col, {R('box_sw_lat', 7)} AS box_sw_lat, {R('box_sw_lon', 7)} AS box_sw_lon,
+       {R('box_ne_lat', 7)} AS box_ne_lat, {R('box_ne_lon', 7)} AS box_ne_lon FROM ({CELLS})"""
+
+
+@q("grid_range_join")
+def _():
+    return HITS
+
+
+@q("grid_saturation")
+def _():
+    return f"SELECT area, cell_no, COUNT(*) AS hits, COUNT(*) >= 15 AS saturated FROM ({HITS}) GROUP BY area, cell_no"
+
+
+@q("union_cells")
+def _():
+    return HITS
+
+
+# ---------------------------------------------------------------- market page text
+PAGE = f"""SELECT m.listing_id,
+  '★ ' || printf('%.1f', {R('3 + (p.p_size % 20) / CAST(10.0 AS DOUBLE)', 1)}) || ' (' || CAST(p.p_size AS VARCHAR) || ')'
+  || chr(10) || 'Bedrooms: ' || CAST(CAST(FLOOR(p.p_size / 4) AS BIGINT) AS VARCHAR) || ' Baths: '
+  || printf('%.1f', {R('1 + (p.p_size % 4) / CAST(2.0 AS DOUBLE)', 1)}) || ' Guests: ' || CAST(p.p_size % 16 + 1 AS VARCHAR)
+  || chr(10) || '$' || printf('%.1f', {R('m.Revenue / 1000.0', 1)}) || 'K' || chr(10) || 'Annual Revenue' || chr(10)
+  || '$' || printf('%.2f', m.ADR) || chr(10) || 'Average Daily Rate' || chr(10) || CAST(m.Occupancy AS VARCHAR) || '%'
+  || chr(10) || 'Occupancy' || chr(10) || CAST(m.Days_Available AS VARCHAR) || chr(10) || 'Days Available' AS page_text
+FROM ({B_MARKET}) m JOIN part p ON p.p_partkey = m.listing_id"""
+KPI_REVENUE = r"([\$\d,.]+[KkMm]?)\s*\n?\s*Annual Revenue"
+KPI_ADR = r"([\$\d,.]+)\s*\n?\s*Average Daily Rate"
+KPI_OCCUPANCY = r"(\d+%?)\s*\n?\s*Occupancy"
+KPI_DAYS = r"(\d+)\s*\n?\s*Days Available"
+HDR_RATING = r"★?\s*([\d.]+)\s*\((\d+)\)"
+HDR_BED = r"(?i)(?:bed|bedroom)s?\s*[:.]?\s*(\d+)"
+HDR_BATH = r"(?i)(?:bath|bathroom)s?\s*[:.]?\s*(\d+\.?\d*)"
+HDR_GUEST = r"(?i)(?:guest|max.?guest)s?\s*[:.]?\s*(\d+)"
+
+
+def _x(text: str, pat: str, i: int = 1) -> str:
+    return f"CASE WHEN regexp_matches({text}, '{pat}') THEN regexp_extract({text}, '{pat}', {i}) END"
+
+
+def _money(x: str) -> str:
+    return f"TRY_CAST(trim(regexp_replace({x}, '[$,]', '', 'g')) AS DOUBLE)"
+
+
+def _revenue(x: str) -> str:
+    c = f"trim(regexp_replace({x}, '[$,]', '', 'g'))"
+    return (f"TRY_CAST(regexp_replace({c}, '[KkMm]$', '') AS DOUBLE) * CASE WHEN upper({c}) LIKE '%K' THEN 1000.0 "
+            f"WHEN upper({c}) LIKE '%M' THEN 1000000.0 ELSE 1.0 END")
+
+
+def _pct(x: str) -> str:
+    return f"CAST(TRUNC(TRY_CAST(trim(replace({x}, '%', '')) AS DOUBLE)) AS INTEGER)"
+
+
+def _days(x: str) -> str:
+    return f"CASE WHEN regexp_extract({x}, '(\\d+)', 1) <> '' THEN TRY_CAST(regexp_extract({x}, '(\\d+)', 1) AS INTEGER) END"
+
+
+@q("extract_kpis")
+def _():
+    return f"""SELECT listing_id,
+       {R(f"COALESCE({_revenue(_x('page_text', KPI_REVENUE))}, 0.0)", 2)} AS Revenue,
+       COALESCE({_money(_x('page_text', KPI_ADR))}, 0.0) AS ADR,
+       COALESCE({_pct(_x('page_text', KPI_OCCUPANCY))}, 0) AS Occupancy,
+       COALESCE({_days(_x('page_text', KPI_DAYS))}, 0) AS Days_Available
+FROM ({PAGE})"""
+
+
+@q("extract_header")
+def _():
+    h = "substring(page_text, 1, 500)"
+    return f"""SELECT listing_id, TRY_CAST({_x('page_text', HDR_RATING, 1)} AS DOUBLE) AS Rating,
+       TRY_CAST({_x('page_text', HDR_RATING, 2)} AS INTEGER) AS Review_Count,
+       TRY_CAST({_x(h, HDR_BED)} AS INTEGER) AS Bedrooms, TRY_CAST({_x(h, HDR_BATH)} AS DOUBLE) AS Bathrooms,
+       TRY_CAST({_x(h, HDR_GUEST)} AS INTEGER) AS Max_Guests
+FROM ({PAGE})"""
+
+
+KPI_STRINGS = f"""SELECT listing_id, regexp_extract(page_text, '{KPI_REVENUE}', 1) AS rev_s,
+       regexp_extract(page_text, '{KPI_ADR}', 1) AS adr_s, regexp_extract(page_text, '{KPI_OCCUPANCY}', 1) AS occ_s,
+       regexp_extract(page_text, '{KPI_DAYS}', 1) AS days_s,
+       regexp_extract(substring(page_text, 1, 500), '{HDR_BATH}', 1) AS bath_s FROM ({PAGE})"""
+
+
+@q("parse_currency")
+def _():
+    return f"SELECT listing_id, adr_s, {_money('adr_s')} AS value FROM ({KPI_STRINGS})"
+
+
+@q("parse_revenue")
+def _():
+    return f"SELECT listing_id, rev_s, {R(_revenue('rev_s'), 2)} AS value FROM ({KPI_STRINGS})"
+
+
+@q("parse_percentage")
+def _():
+    return f"SELECT listing_id, occ_s, {_pct('occ_s')} AS value FROM ({KPI_STRINGS})"
+
+
+@q("parse_days")
+def _():
+    return f"SELECT listing_id, days_s, {_days('days_s')} AS value FROM ({KPI_STRINGS})"
+
+
+@q("parse_decimal")
+def _():
+    return f"SELECT listing_id, bath_s, TRY_CAST(trim(bath_s) AS DOUBLE) AS value FROM ({KPI_STRINGS})"
+
+
+@q("listing_link")
+def _():
+    return "SELECT p_partkey AS listing_id, 'https://www.airbnb.com/rooms/' || CAST(p_partkey AS VARCHAR) AS link FROM part"

@@ -464,3 +464,210 @@ def _(spark, sf):
     parts = c.select(F.col("conv_id").alias("listing_id"), F.col("turn").alias("chunk_no"),
                      F.col("text").alias("summary"))
     return pk.merge_prompt(parts, BASE_PROMPT)
+
+
+# ---------------------------------------------------------------- costs
+from staylens.operators import costs as cs  # noqa: E402
+from staylens.operators import freshness as fr  # noqa: E402
+from staylens.operators import grid as gd  # noqa: E402
+
+
+def _costed(spark, sf):
+    return cs.request_costs(b.b_requests(spark, sf))
+
+
+@q("estimate_tokens")
+def _(spark, sf):
+    c = table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", estimate_tokens("text").alias("tokens"))
+
+
+@q("request_cost")
+def _(spark, sf):
+    return _costed(spark, sf).select("session", "listing_id", "turn", "input_tokens", "output_tokens", "cost")
+
+
+@q("request_cost_session")
+def _(spark, sf):
+    return cs.request_cost_session(_costed(spark, sf))
+
+
+def _event_sessions(spark, sf):
+    e = table(spark, sf, "events")
+    return e.groupBy(F.col("user_id").alias("session")).agg(
+        F.min("ts").alias("session_start"), (F.sum("value") / 1000.0).alias("total_cost"),
+        F.count_distinct("event_type").alias("listings"), F.count(F.lit(1)).alias("total_requests"))
+
+
+AS_OF = "2024-01-31 00:00:00"
+TTL_HOURS = 72
+
+
+@q("historical_cost")
+def _(spark, sf):
+    return cs.historical_cost(_event_sessions(spark, sf), AS_OF, days=30)
+
+
+@q("last_n_sessions")
+def _(spark, sf):
+    s = b.b_requests(spark, sf).groupBy(F.col("listing_id").alias("session")).agg(
+        F.count(F.lit(1)).alias("n_requests"))
+    return cs.last_n_sessions(s, "session", 100)
+
+
+# ---------------------------------------------------------------- freshness
+STAGES = ["click", "error", "purchase", "signup", "view"]
+
+
+def _users(spark, sf):
+    return table(spark, sf, "events").select(F.col("user_id").alias("listing_id"))
+
+
+@q("is_fresh")
+def _(spark, sf):
+    return fr.with_freshness(b.b_manifest(spark, sf), AS_OF, TTL_HOURS).select("stage", "listing_id", "fresh")
+
+
+@q("expected_outputs")
+def _(spark, sf):
+    return fr.expected_outputs(_users(spark, sf), STAGES)
+
+
+@q("missing_outputs")
+def _(spark, sf):
+    exp = fr.expected_outputs(_users(spark, sf), STAGES)
+    return fr.missing_outputs(exp, b.b_manifest(spark, sf), AS_OF, TTL_HOURS)
+
+
+@q("stage_freshness")
+def _(spark, sf):
+    exp = fr.expected_outputs(_users(spark, sf), STAGES)
+    return fr.stage_freshness(exp, b.b_manifest(spark, sf), AS_OF, TTL_HOURS)
+
+
+@q("unprocessed_or_stale")
+def _(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", F.col("user_id").alias("listing_id"))
+    out = b.b_manifest(spark, sf).where(F.col("stage") == "purchase")
+    return fr.unprocessed_or_stale(ev, out, AS_OF, TTL_HOURS)
+
+
+@q("resolved_prescan")
+def _(spark, sf):
+    done = b.b_manifest(spark, sf).where(F.col("stage") == "view")
+    return fr.resolved_prescan(_users(spark, sf).distinct(), done)
+
+
+@q("id_difference")
+def _(spark, sf):
+    done = b.b_manifest(spark, sf).where(F.col("stage") == "view")
+    return fr.id_difference(_users(spark, sf).distinct(), done)
+
+
+@q("coverage_gate")
+def _(spark, sf):
+    exp = fr.expected_outputs(_users(spark, sf), STAGES)
+    done = fr.with_freshness(b.b_manifest(spark, sf), AS_OF, TTL_HOURS).where("fresh")
+    return fr.coverage_gate(exp, done, fr.REVIEW_RETRY_THRESHOLD).select(
+        "stage", "total", "missing", fixed_round("missing_rate", 6).alias("missing_rate"), "retry")
+
+
+# ---------------------------------------------------------------- grid
+GRID_HALF = 140.0  # binding coordinates are milli-degrees
+
+
+def _cells(spark, sf):
+    return gd.bbox_grid(gd.area_bbox(b.b_centroids(spark, sf), half_width=GRID_HALF))
+
+
+def _hits(spark, sf):
+    return gd.grid_range_join(b.b_grid(spark, sf), _cells(spark, sf))
+
+
+@q("area_bbox")
+def _(spark, sf):
+    return gd.area_bbox(b.b_centroids(spark, sf), half_width=GRID_HALF)
+
+
+@q("bbox_grid")
+def _(spark, sf):
+    return _cells(spark, sf).select("area", "cell_no", "cell_row", "cell_col",
+                                    *[fixed_round(c, 7).alias(c) for c in
+                                      ("box_sw_lat", "box_sw_lon", "box_ne_lat", "box_ne_lon")])
+
+
+@q("grid_range_join")
+def _(spark, sf):
+    return _hits(spark, sf).select("listing_id", "area", "cell_no")
+
+
+@q("grid_saturation")
+def _(spark, sf):
+    return gd.grid_saturation(_hits(spark, sf), threshold=15)
+
+
+@q("union_cells")
+def _(spark, sf):
+    hits = _hits(spark, sf).select("listing_id", "area", "cell_no")
+    parts = [hits.where(F.col("cell_no") == k) for k in range(gd.GRID_DIMENSIONS ** 2)]
+    return gd.union_cells(*parts)
+
+
+# ---------------------------------------------------------------- market page text
+@q("extract_kpis")
+def _(spark, sf):
+    k = mk.extract_kpis(b.b_page_text(spark, sf))
+    return k.select("listing_id", fixed_round("Revenue", 2).alias("Revenue"), "ADR", "Occupancy",
+                    "Days_Available")
+
+
+@q("extract_header")
+def _(spark, sf):
+    return mk.extract_header(b.b_page_text(spark, sf)).select(
+        "listing_id", "Rating", "Review_Count", "Bedrooms", "Bathrooms", "Max_Guests")
+
+
+def _kpi_strings(spark, sf):
+    t = F.col("page_text")
+    return b.b_page_text(spark, sf).select(
+        "listing_id",
+        F.regexp_extract(t, mk.KPI_REVENUE, 1).alias("rev_s"), F.regexp_extract(t, mk.KPI_ADR, 1).alias("adr_s"),
+        F.regexp_extract(t, mk.KPI_OCCUPANCY, 1).alias("occ_s"), F.regexp_extract(t, mk.KPI_DAYS, 1).alias("days_s"),
+        F.regexp_extract(F.substring(t, 1, mk.HEADER_CHARS), mk.HDR_BATH, 1).alias("bath_s"))
+
+
+@q("parse_currency")
+def _(spark, sf):
+    from staylens.functions.scalar import parse_currency
+    return _kpi_strings(spark, sf).select("listing_id", "adr_s", parse_currency("adr_s").alias("value"))
+
+
+@q("parse_revenue")
+def _(spark, sf):
+    from staylens.functions.scalar import parse_revenue
+    return _kpi_strings(spark, sf).select("listing_id", "rev_s", fixed_round(parse_revenue("rev_s"), 2).alias("value"))
+
+
+@q("parse_percentage")
+def _(spark, sf):
+    from staylens.functions.scalar import parse_percentage
+    return _kpi_strings(spark, sf).select("listing_id", "occ_s", parse_percentage("occ_s").alias("value"))
+
+
+@q("parse_days")
+def _(spark, sf):
+    from staylens.functions.scalar import parse_days
+    return _kpi_strings(spark, sf).select("listing_id", "days_s", parse_days("days_s").alias("value"))
+
+
+@q("parse_decimal")
+def _(spark, sf):
+    from staylens.functions.scalar import parse_decimal
+    return _kpi_strings(spark, sf).select("listing_id", "bath_s", parse_decimal("bath_s").alias("value"))
+
+
+@q("listing_link")
+def _(spark, sf):
+    from staylens.functions.scalar import listing_link
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("listing_id"),
+                                           listing_link("p_partkey").alias("link"))
