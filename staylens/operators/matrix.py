@@ -159,10 +159,12 @@ def parse_details(details: DataFrame, key: str = "listing_id", legacy: bool = Fa
 
 def build_matrix(details: DataFrame, metrics: DataFrame, icons: Sequence[str] | None = None,
                  key: str = "listing_id", strict_entire_home: bool = False,
-                 categorical: bool = False) -> DataFrame:
+                 categorical: bool = False, rating_keys: Sequence[str] = ()) -> DataFrame:
     """Raw matrix: link + financials for every listing; basic details and
     amenity columns only for entire homes (non-entire rows survive with
-    link + financials, as in the reference); sorted by ADR desc."""
+    link + financials, as in the reference).  The ADR-desc order is applied
+    by the sink (``write_matrix``), not here, so no global sort runs unless
+    an ordered file is written."""
     from staylens.functions.scalar import listing_link
     from staylens.operators.market import occupancy_metrics
     base = details.select(key, "room_type").withColumn("link", listing_link(key))
@@ -171,10 +173,12 @@ def build_matrix(details: DataFrame, metrics: DataFrame, icons: Sequence[str] |
     m = base.join(fin.withColumn("has_airdna_data", F.lit(True)), key, "left") \
         .withColumn("has_airdna_data", F.coalesce("has_airdna_data", F.lit(False)))
     ent = details.where(F.col("room_type") == ENTIRE_HOME)
-    basic = parse_details(ent, key).drop("room_type", "is_entire_home", "house_rules",
-                                         "neighborhood_highlight", "rating")
+    basic = parse_details(ent, key)
+    basic = basic.select(*[c for c in basic.columns if c not in ("room_type", "is_entire_home", "house_rules",
+                                                                 "neighborhood_highlight", "rating")],
+                         *[F.col("rating")[k].alias(k) for k in rating_keys])
     wide = amenity_matrix(amenity_long(ent, key, categorical), icons, key)
     out = m.join(basic, key, "left").join(wide, key, "left")
     if strict_entire_home:
         out = out.where(F.col("room_type") == ENTIRE_HOME)
-    return out.drop("room_type").orderBy(F.col("ADR").desc_nulls_last(), F.col(key))
+    return out.drop("room_type")

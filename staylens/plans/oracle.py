@@ -943,3 +943,114 @@ def _():
 @q("listing_link")
 def _():
     return "SELECT p_partkey AS listing_id, 'https://www.airbnb.com/rooms/' || CAST(p_partkey AS VARCHAR) AS link FROM part"
+
+
+# ---------------------------------------------------------------- listing details -> matrix
+DET = """SELECT CAST(p_partkey AS VARCHAR) AS listing_id, p_partkey, p_size, p_name, p_brand, p_type,
+       CASE WHEN p_size % 5 = 0 THEN 'Private room' ELSE 'Entire home/apt' END AS room_type,
+       CASE WHEN p_size % 4 <> 0 THEN p_name || ' ' || p_brand ELSE p_name END AS description
+FROM part"""
+LONG = f"""SELECT listing_id, icon, arg_max(title, src) AS title, MAX(src) AS source FROM (
+  SELECT CAST(listing_id AS VARCHAR) AS listing_id, icon, 'Feature ' || icon AS title, 0 AS src FROM ({B_ICONS})
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'SYSTEM_A_F', 'No pets', 1 FROM part WHERE p_size % 3 = 0
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'SYSTEM_N_O', 'Guest favourite', 2 FROM part WHERE p_size % 4 = 0
+) GROUP BY listing_id, icon"""
+
+
+@q("read_listing_details")
+def _():
+    return f"""SELECT d.listing_id, room_type, CAST(p_size AS BIGINT) AS person_capacity, p_name AS title,
+       CAST(COALESCE(c.n, 0) AS INTEGER) AS n_amenity_icons, description
+FROM ({DET}) d LEFT JOIN (SELECT listing_id, COUNT(*) AS n FROM ({B_ICONS}) GROUP BY listing_id) c
+  ON c.listing_id = d.p_partkey"""
+
+
+@q("amenity_long")
+def _():
+    return f"SELECT listing_id, icon, title, CAST(source AS INTEGER) AS source FROM ({LONG})"
+
+
+SUB = """CAST(CAST(FLOOR(p_size / 4) AS BIGINT) AS VARCHAR) AS bedrooms,
+       CAST(CAST(FLOOR(p_size / 3) AS BIGINT) AS VARCHAR) AS beds, CAST(1 + p_size % 3 AS VARCHAR) AS bathrooms"""
+
+
+@q("parse_sub_description")
+def _():
+    return f"SELECT listing_id, {SUB} FROM ({DET})"
+
+
+@q("entire_home_filter")
+def _():
+    return f"SELECT listing_id, room_type = 'Entire home/apt' AS is_entire_home FROM ({DET})"
+
+
+@q("house_rules_text")
+def _():
+    return f"SELECT listing_id, 'Quiet hours for ' || p_brand AS house_rules FROM ({DET})"
+
+
+@q("neighborhood_highlight")
+def _():
+    return f"SELECT listing_id, CASE WHEN p_size % 2 = 0 THEN p_type END AS neighborhood_highlight FROM ({DET})"
+
+
+_WIDE_BUILT = ", ".join(f"MAX(CASE WHEN icon = '{i}' THEN title END) AS \"{i}\"" for i in ICONS)
+BUILT = f"""SELECT d.listing_id, 'https://www.airbnb.com/rooms/' || d.listing_id AS link,
+       m.ADR, m.Occupancy AS Occ_Rate_Based_on_Avail, m.Days_Available AS Days_Avail,
+       CAST(CEIL(((CAST(m.Occupancy AS DOUBLE) / 100.0) * CAST(m.Days_Available AS DOUBLE)) * 100.0 / 365.0) AS BIGINT)
+         AS Abs_Occ_Rate,
+       {R('(CAST(m.Days_Available AS DOUBLE) / 365.0) * 100.0', 2)} AS Avail_Rate,
+       m.listing_id IS NOT NULL AS has_airdna_data,
+       CASE WHEN e THEN CAST(p_size AS BIGINT) END AS capacity, CASE WHEN e THEN p_name END AS title,
+       CASE WHEN e THEN CAST(CAST(FLOOR(p_size / 4) AS BIGINT) AS VARCHAR) END AS bedrooms,
+       CASE WHEN e THEN CAST(CAST(FLOOR(p_size / 3) AS BIGINT) AS VARCHAR) END AS beds,
+       CASE WHEN e THEN CAST(1 + p_size % 3 AS VARCHAR) END AS bathrooms,
+       CASE WHEN e THEN 3 + (p_size % 20) / CAST(10.0 AS DOUBLE) END AS guest_satisfaction,
+       {", ".join(f'w."{i}"' for i in ICONS)}
+FROM (SELECT *, room_type = 'Entire home/apt' AS e FROM ({DET})) d
+LEFT JOIN ({B_MARKET}) m ON m.listing_id = d.p_partkey
+LEFT JOIN (SELECT l.listing_id, {_WIDE_BUILT} FROM ({LONG}) l JOIN ({DET}) dd USING (listing_id)
+           WHERE dd.room_type = 'Entire home/apt' GROUP BY l.listing_id) w ON w.listing_id = d.listing_id"""
+
+
+@q("build_matrix")
+def _():
+    return BUILT
+
+
+@q("drop_columns")
+def _():
+    return f"SELECT * EXCLUDE (link, Occ_Rate_Based_on_Avail, Abs_Occ_Rate, Avail_Rate, title, guest_satisfaction) FROM ({BUILT})"
+
+
+def _fill(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL OR lower({c}) = 'false' THEN '0' ELSE {c} END AS {c}"
+
+
+@q("fill_missing")
+def _():
+    icons = ", ".join(_fill(f'"{i}"') for i in ICONS)
+    return f"""SELECT listing_id, ADR, Days_Avail, has_airdna_data, capacity, {_fill('bedrooms')}, {_fill('beds')},
+       {_fill('bathrooms')}, {icons} FROM ({BUILT})"""
+
+
+@q("clean_built_matrix")
+def _():
+    flags = ", ".join(f"CASE WHEN \"{i}\" IS NOT NULL AND lower(\"{i}\") NOT IN ('false', '') THEN 1 ELSE 0 END AS \"{i}\""
+                      for i in ICONS)
+    return f"""SELECT listing_id, ADR, Days_Avail, has_airdna_data, capacity,
+       CAST(COALESCE(TRY_CAST(bedrooms AS DOUBLE), 0.0) AS INTEGER) AS bedrooms,
+       CAST(COALESCE(TRY_CAST(beds AS DOUBLE), 0.0) AS INTEGER) AS beds,
+       COALESCE(TRY_CAST(bathrooms AS DOUBLE), 0.0) AS bathrooms, {flags}
+FROM ({BUILT}) WHERE COALESCE(CAST(Days_Avail AS DOUBLE), 0.0) >= 100"""
+
+
+@q("read_market_metrics")
+def _():
+    return f"""SELECT CAST(listing_id AS VARCHAR) AS listing_id, ADR, Occupancy, {R('Revenue', 2)} AS Revenue, Days_Available
+FROM ({B_MARKET})"""
+
+
+@q("read_descriptions")
+def _():
+    return f"SELECT listing_id, description FROM ({DET})"

@@ -671,3 +671,99 @@ def _(spark, sf):
     from staylens.functions.scalar import listing_link
     return table(spark, sf, "part").select(F.col("p_partkey").alias("listing_id"),
                                            listing_link("p_partkey").alias("link"))
+
+
+# ---------------------------------------------------------------- listing details -> matrix (pipeline A)
+from staylens.sources import files as fl  # noqa: E402
+from staylens.session import scratch_path  # noqa: E402
+
+
+def _details(spark, sf):
+    """Derived details written as JSON lines to the shared scratch folder, read back."""
+    path = scratch_path(spark, "details")
+    b.b_details(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    return fl.read_listing_details(spark, path, lines=True)
+
+
+def _metrics_str(spark, sf):
+    return b.b_market(spark, sf).withColumn("listing_id", F.col("listing_id").cast("string"))
+
+
+@q("read_listing_details")
+def _(spark, sf):
+    d = _details(spark, sf)
+    return d.select("listing_id", "room_type", "person_capacity", "title",
+                    F.size(F.flatten(F.transform("amenities", lambda g: g["values"]))).alias("n_amenity_icons"),
+                    fl.normalize_description_value(F.col("description")).alias("description"))
+
+
+@q("amenity_long")
+def _(spark, sf):
+    return mx.amenity_long(_details(spark, sf))
+
+
+@q("parse_sub_description")
+def _(spark, sf):
+    sub = mx.parse_sub_description()
+    return _details(spark, sf).select("listing_id", *[sub[c].alias(c) for c in ("bedrooms", "beds", "bathrooms")])
+
+
+@q("entire_home_filter")
+def _(spark, sf):
+    return mk.entire_home_filter(_details(spark, sf)).select("listing_id", "is_entire_home")
+
+
+@q("house_rules_text")
+def _(spark, sf):
+    return mx.parse_details(_details(spark, sf)).select("listing_id", "house_rules")
+
+
+@q("neighborhood_highlight")
+def _(spark, sf):
+    return mx.parse_details(_details(spark, sf)).select("listing_id", "neighborhood_highlight")
+
+
+def _built(spark, sf):
+    return mx.build_matrix(_details(spark, sf), _metrics_str(spark, sf), b.BINDING_ICONS,
+                           rating_keys=["guest_satisfaction"])
+
+
+@q("build_matrix")
+def _(spark, sf):
+    return _built(spark, sf)
+
+
+@q("drop_columns")
+def _(spark, sf):
+    return mx.drop_columns(_built(spark, sf))
+
+
+@q("fill_missing")
+def _(spark, sf):
+    m = mx.drop_columns(_built(spark, sf))
+    return mx.fill_missing(m, ["bedrooms", "beds", "bathrooms", *b.BINDING_ICONS])
+
+
+@q("clean_built_matrix")
+def _(spark, sf):
+    return mx.clean_matrix(_built(spark, sf), min_days=100)
+
+
+@q("read_market_metrics")
+def _(spark, sf):
+    path = scratch_path(spark, "metrics")
+    m = b.b_market(spark, sf)
+    doc = F.to_json(F.create_map(F.col("listing_id").cast("string"),
+                                 F.struct("ADR", "Occupancy", "Revenue", "Days_Available")))
+    m.select(doc.alias("value")).write.text(path)
+    r = fl.read_market_metrics(spark, path, glob=None, wholetext=False)
+    return r.select("listing_id", "ADR", "Occupancy", fixed_round("Revenue", 2).alias("Revenue"), "Days_Available")
+
+
+@q("read_descriptions")
+def _(spark, sf):
+    path = scratch_path(spark, "descriptions")
+    d = b.b_details(spark, sf)
+    doc = F.to_json(F.create_map(F.col("listing_id"), F.col("description")))
+    d.select(doc.alias("value")).write.text(path)
+    return fl.read_descriptions(spark, path, wholetext=False)

@@ -165,3 +165,45 @@ def b_summaries(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents")
     return d.select(F.col("source").alias("area"), F.col("doc_id").alias("listing_id"),
                     F.when(F.col("doc_id") % 11 == 0, F.lit("")).otherwise(F.col("text")).alias("summary"))
+
+
+def _plural(n: F.Column, word: str) -> F.Column:
+    return F.when(n == 1, F.lit(f"1 {word}")).otherwise(F.concat(n.cast("string"), F.lit(f" {word}s")))
+
+
+def b_details(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested listing-details records derived from part + amenity icons, in the
+    reference's shape (amenity groups, house rules, highlights, sub-description
+    items, list-or-string description).  The per-listing amenity list is
+    bounded by the icon vocabulary."""
+    p = table(spark, sf, "part")
+    icons = b_feature_icons(spark, sf).groupBy("listing_id").agg(
+        F.array_sort(F.collect_list(F.struct("title", "icon"))).alias("vals"))
+    size = F.col("p_size")
+    desc_json = F.when(size % 4 != 0, F.to_json(F.array("p_name", "p_brand"))) \
+        .otherwise(F.to_json(F.array("p_name")).substr(F.lit(2), F.length(F.to_json(F.array("p_name"))) - 2))
+    empty_groups = F.array().cast("array<struct<values:array<struct<title:string,icon:string>>>>")
+    empty_icons = F.array().cast("array<struct<title:string,icon:string>>")
+    d = p.join(icons, p.p_partkey == icons.listing_id, "left").select(
+        F.col("p_partkey").cast("string").alias("listing_id"),
+        F.when(size % 5 == 0, F.lit("Private room")).otherwise(F.lit("Entire home/apt")).alias("room_type"),
+        size.cast("long").alias("person_capacity"),
+        F.create_map(F.lit("guest_satisfaction"), (3 + (size % 20) / 10.0)).alias("rating"),
+        F.struct(F.concat(F.lit("Quiet hours for "), F.col("p_brand")).alias("aditional"),
+                 F.when(size % 3 == 0, F.array(F.struct(F.array(F.struct(
+                     F.lit("No pets").alias("title"), F.lit("SYSTEM_A_F").alias("icon"))).alias("values"))))
+                 .otherwise(empty_groups).alias("general")).alias("house_rules"),
+        F.col("p_name").alias("title"),
+        F.struct(F.array(F.concat(size.cast("string"), F.lit(" guests")),
+                         _plural(F.floor(size / 4), "bedroom"), _plural(F.floor(size / 3), "bed"),
+                         _plural(1 + size % 3, "bath")).alias("items")).alias("sub_description"),
+        F.array(F.struct(F.when(size % 2 == 0, F.lit("Neighborhood highlights"))
+                         .otherwise(F.lit("Getting around")).alias("title"),
+                         F.col("p_type").alias("content"))).alias("location_descriptions"),
+        F.parse_json(desc_json).alias("description"),
+        F.when(F.col("vals").isNotNull(), F.array(F.struct(F.col("vals").alias("values"))))
+         .otherwise(empty_groups).alias("amenities"),
+        F.when(size % 4 == 0, F.array(F.struct(F.lit("Guest favourite").alias("title"),
+                                               F.lit("SYSTEM_N_O").alias("icon"))))
+         .otherwise(empty_icons).alias("highlights"))
+    return d
