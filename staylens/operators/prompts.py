@@ -109,16 +109,18 @@ def synthesis_prompt(r2: DataFrame, correlations: DataFrame, topk: DataFrame, te
 
 def area_summary_pack(summaries: DataFrame, n: int, area: str = "area", key: str = "listing_id",
                       summary: str = "summary") -> DataFrame:
-    """First ``n`` non-empty summaries per area in key order, each rendered as
-    one line block, with the area's property count.
-
-    The pack stays one row per summary (``area, pack_pos, n_properties,
-    rendered``); a sink writes them in ``pack_pos`` order per area, so no
-    single row or task ever holds an area's whole text.
+    """First ``n`` non-empty summaries per area in key order, rendered as
+    'Listing <id>:\n<summary>', with the area's property count.
+
+    One row per summary (``area, pack_pos, key, n_properties, rendered``): the
+    area request is then packed by :func:`staylens.operators.packing.chunk_reviews`
+    keyed on the area, so no row or task holds an area's whole text.  The
+    ``row_number() <= n`` filter lets Spark prune each map task to its own
+    first ``n`` rows per area before the shuffle.
     """
     ne = summaries.where(F.col(summary).isNotNull() & (F.length(summary) > 0))
     w = Window.partitionBy(area).orderBy(key)
     ranked = ne.withColumn("pack_pos", F.row_number().over(w)).where(F.col("pack_pos") <= n)
     counts = ranked.groupBy(area).agg(F.count(F.lit(1)).alias("n_properties"))
-    rendered = F.concat(F.lit("Property "), F.col(key).cast("string"), F.lit(":\n"), F.col(summary), F.lit("\n"))
+    rendered = F.concat(F.lit("Listing "), F.col(key).cast("string"), F.lit(":\n"), F.col(summary))
     return ranked.join(counts, area).select(area, "pack_pos", key, "n_properties", rendered.alias("rendered"))

@@ -1054,3 +1054,122 @@ FROM ({B_MARKET})"""
 @q("read_descriptions")
 def _():
     return f"SELECT listing_id, description FROM ({DET})"
+
+
+# ---------------------------------------------------------------- review / area packs
+def chunk_generic(items: str, key: str, order: str, budget: str) -> str:
+    """Recursive greedy packing over ``items`` (columns: key, text, tokens, budget + order columns)."""
+    return f"""r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY {order}) AS pos FROM ({items})),
+w({key}, pos, s, cnt, chunk_no, item_no, truncated) AS (
+  SELECT {key}, pos, CASE WHEN tokens > {budget} THEN 0 ELSE tokens END,
+         CASE WHEN tokens > {budget} THEN 0 ELSE 1 END, 1, 1, tokens > {budget}
+  FROM r WHERE pos = 1
+  UNION ALL
+  SELECT r.{key}, r.pos,
+         CASE WHEN w.s + r.tokens > r.{budget} THEN (CASE WHEN w.cnt > 0 THEN r.tokens ELSE 0 END) ELSE w.s + r.tokens END,
+         CASE WHEN w.s + r.tokens > r.{budget} THEN (CASE WHEN w.cnt > 0 THEN 1 ELSE 0 END) ELSE w.cnt + 1 END,
+         CASE WHEN w.s + r.tokens > r.{budget} OR w.cnt = 0 THEN w.chunk_no + 1 ELSE w.chunk_no END,
+         CASE WHEN w.s + r.tokens > r.{budget} OR w.cnt = 0 THEN 1 ELSE w.cnt + 1 END,
+         (w.s + r.tokens > r.{budget} AND w.cnt = 0)
+  FROM w JOIN r ON r.{key} = w.{key} AND r.pos = w.pos + 1),
+ch AS (SELECT r.*, CAST(w.chunk_no AS BIGINT) AS chunk_no, CAST(w.item_no AS BIGINT) AS item_no,
+              CASE WHEN w.truncated THEN substring(r.text, 1, 2000) || '... [truncated]' ELSE r.text END AS ctext
+       FROM w JOIN r ON r.{key} = w.{key} AND r.pos = w.pos)"""
+
+
+def prompt_from_chunks(key: str, limit: int) -> str:
+    return f"""per AS (SELECT {key}, chunk_no, COUNT(*) AS n_items, SUM(tokens) AS chunk_tokens,
+               MIN(base_prompt) AS base_prompt, MIN(prompt_tokens) AS prompt_tokens,
+               string_agg('Review ' || CAST(item_no AS VARCHAR) || ': ' || COALESCE(ctext, '<NA>'), chr(10) ORDER BY item_no) AS body
+        FROM ch GROUP BY {key}, chunk_no),
+per2 AS (SELECT *, MAX(chunk_no) OVER (PARTITION BY {key}) AS n_chunks,
+                SUM(chunk_tokens) OVER (PARTITION BY {key}) + prompt_tokens AS total_tokens FROM per),
+pr AS (SELECT {key}, chunk_no, n_chunks, n_items,
+       base_prompt || chr(10) || chr(10)
+       || CASE WHEN total_tokens > {limit} THEN printf('Processing chunk %d of %d (%d reviews)', chunk_no, n_chunks, n_items)
+               || chr(10) || chr(10) ELSE '' END
+       || 'Reviews to analyze:' || chr(10) || body || chr(10) || chr(10)
+       || 'Please provide the analysis following the exact format specified above.' AS prompt
+FROM per2)"""
+
+
+LISTING_TEMPLATE = ("Summarize the guest reviews of a listing in {ZIP_CODE_HERE} ({ISO_CODE_HERE}). "
+                    "The listing's mean rating is {RATING_AVERAGE_HERE}; the area mean is {OVERALL_MEAN}.")
+AREA_TEMPLATE = ("Summarize the listings of area {ZIP_CODE_HERE} ({ISO_CODE_HERE}); "
+                 "the overall mean rating is {OVERALL_MEAN}.")
+MEAN4 = R('SUM(COALESCE(CAST(rating AS DOUBLE), 0.0)) / COUNT(*)', 4)
+
+
+@q("review_pack")
+def _():
+    items = f"""SELECT rv.listing_id, {ORDER_ALL.replace('l_', 'rv.l_')},
+         CASE WHEN f.floaty THEN CAST(CAST(rv.rating AS DOUBLE) AS VARCHAR) ELSE CAST(CAST(rv.rating AS BIGINT) AS VARCHAR) END
+           || ' ' || rv.review AS text, h.base_prompt, h.prompt_tokens, 120000 - h.prompt_tokens AS budget
+  FROM ({B_REVIEWS}) rv
+  JOIN (SELECT listing_id, bool_or(rating IS NULL OR CAST(rating AS DOUBLE) <> floor(CAST(rating AS DOUBLE))) AS floaty
+        FROM ({B_REVIEWS}) GROUP BY listing_id) f USING (listing_id)
+  JOIN heads h USING (listing_id)"""
+    items = f"SELECT *, CAST({_tok('text')} AS BIGINT) AS tokens FROM ({items})"
+    return f"""WITH RECURSIVE per0 AS (SELECT listing_id, {MEAN4} AS m, COUNT(*) AS n FROM ({B_REVIEWS}) GROUP BY listing_id),
+o AS (SELECT {R('AVG(m)', 4)} AS overall FROM per0),
+heads0 AS (SELECT per0.listing_id,
+                  replace(replace(replace(replace({_sql_str(LISTING_TEMPLATE)}, '{{ZIP_CODE_HERE}}', COALESCE(p.p_type, '')),
+                          '{{ISO_CODE_HERE}}', 'us'), '{{RATING_AVERAGE_HERE}}', CAST(per0.m AS VARCHAR)),
+                          '{{OVERALL_MEAN}}', CAST(o.overall AS VARCHAR)) AS base_prompt
+           FROM per0 CROSS JOIN o LEFT JOIN part p ON p.p_partkey = per0.listing_id WHERE per0.n >= 5),
+heads AS (SELECT *, CAST({_tok('base_prompt')} AS BIGINT) AS prompt_tokens FROM heads0),
+{chunk_generic(items, 'listing_id', ORDER_ALL, 'budget')},
+{prompt_from_chunks('listing_id', 120000)}
+SELECT * FROM pr"""
+
+
+SUMMARIES = "SELECT source AS area, doc_id AS listing_id, CASE WHEN doc_id % 11 = 0 THEN '' ELSE text END AS summary FROM documents"
+PACK = f"""SELECT area, pack_pos, listing_id, COUNT(*) OVER (PARTITION BY area) AS n_properties,
+       'Listing ' || CAST(listing_id AS VARCHAR) || ':' || chr(10) || summary AS rendered
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY area ORDER BY listing_id) AS pack_pos FROM ({SUMMARIES})
+      WHERE summary IS NOT NULL AND length(summary) > 0) WHERE pack_pos <= 100000"""
+
+
+@q("area_summary_pack")
+def _():
+    return PACK
+
+
+@q("area_prompts")
+def _():
+    items = f"""SELECT p.*, p.rendered AS text, CAST({_tok('p.rendered')} AS BIGINT) AS tokens, h.base_prompt, h.prompt_tokens,
+         120000 - h.prompt_tokens AS budget
+  FROM ({PACK}) p JOIN heads h USING (area)"""
+    return f"""WITH RECURSIVE o AS (SELECT {R('AVG(m)', 4)} AS overall FROM (SELECT {MEAN4} AS m FROM ({B_REVIEWS}) GROUP BY listing_id)),
+heads0 AS (SELECT DISTINCT area, replace(replace(replace({_sql_str(AREA_TEMPLATE)}, '{{ZIP_CODE_HERE}}', area),
+                  '{{ISO_CODE_HERE}}', 'us'), '{{OVERALL_MEAN}}', CAST(o.overall AS VARCHAR)) AS base_prompt
+           FROM ({PACK}) CROSS JOIN o),
+heads AS (SELECT *, CAST({_tok('base_prompt')} AS BIGINT) AS prompt_tokens FROM heads0),
+{chunk_generic(items, 'area', 'pack_pos', 'budget')},
+{prompt_from_chunks('area', 120000)}
+SELECT pr.*, c.n_properties FROM pr JOIN (SELECT DISTINCT area, n_properties FROM ({PACK})) c USING (area)"""
+
+
+@q("threshold_label")
+def _():
+    return f"""WITH {TIER_CTES}
+SELECT metric,
+       CASE WHEN metric = 'adr' THEN printf('$%.2f', {R('hi', 2)}) ELSE printf('%.1f%%', {R('hi', 1)}) END AS high_label,
+       CASE WHEN metric = 'adr' THEN printf('$%.2f', {R('lo', 2)}) ELSE printf('%.1f%%', {R('lo', 1)}) END AS low_label
+FROM th"""
+
+
+@q("stream_review_ratings")
+def _():
+    return SQL["listing_mean_rating"]
+
+
+@q("stream_request_cost")
+def _():
+    return f"""WITH c AS (SELECT *, to_timestamp(1704067200 + listing_id * 600 + turn * 30) AS ts FROM ({COSTED}))
+SELECT session, CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, COUNT(*) AS total_requests,
+       CAST(SUM(CASE WHEN cached THEN 1 ELSE 0 END) AS BIGINT) AS cache_hits,
+       CAST(SUM(CASE WHEN NOT cached THEN input_tokens ELSE 0 END) AS BIGINT) AS total_input_tokens,
+       CAST(SUM(CASE WHEN NOT cached THEN output_tokens ELSE 0 END) AS BIGINT) AS total_output_tokens,
+       {R('SUM(CASE WHEN NOT cached THEN cost ELSE 0.0 END)', 4)} AS total_cost
+FROM c GROUP BY session, date_trunc('day', ts)"""

@@ -767,3 +767,47 @@ def _(spark, sf):
     doc = F.to_json(F.create_map(F.col("listing_id"), F.col("description")))
     d.select(doc.alias("value")).write.text(path)
     return fl.read_descriptions(spark, path, wholetext=False)
+
+
+# ---------------------------------------------------------------- review / area packs, labels, streams
+from staylens.plans import reviews as rp  # noqa: E402
+from staylens.streaming import incremental as st  # noqa: E402
+
+
+@q("review_pack")
+def _(spark, sf):
+    areas = table(spark, sf, "part").select(F.col("p_partkey").alias("listing_id"), F.col("p_type").alias("area"))
+    return rp.review_pack(b.b_reviews(spark, sf), b.LINEITEM_ORDER, areas)
+
+
+@q("area_summary_pack")
+def _(spark, sf):
+    return pr.area_summary_pack(b.b_summaries(spark, sf), rp.NUM_TO_SUMMARIZE).select(
+        "area", "pack_pos", "listing_id", "n_properties", "rendered")
+
+
+@q("area_prompts")
+def _(spark, sf):
+    overall = rv.overall_mean_rating(b.b_reviews(spark, sf)).first()["overall_mean"]
+    return rp.area_prompts(b.b_summaries(spark, sf), overall)
+
+
+@q("threshold_label")
+def _(spark, sf):
+    from staylens.functions.scalar import threshold_label
+    th = _tiers(spark, sf)["thresholds"]
+    unit = F.when(F.col("metric") == "adr", threshold_label("high_threshold", "$")) \
+        .otherwise(threshold_label("high_threshold", "%"))
+    lunit = F.when(F.col("metric") == "adr", threshold_label("low_threshold", "$")) \
+        .otherwise(threshold_label("low_threshold", "%"))
+    return th.select("metric", unit.alias("high_label"), lunit.alias("low_label"))
+
+
+@q("stream_review_ratings")
+def _(spark, sf):
+    return st.stream_review_ratings(spark, b.b_reviews(spark, sf))
+
+
+@q("stream_request_cost")
+def _(spark, sf):
+    return st.stream_request_cost(spark, _costed(spark, sf))
