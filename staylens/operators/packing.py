@@ -117,7 +117,8 @@ def _pack_partitions(key: str, text_col: str, limit: int, prompt):
         pt = pdf[prompt].to_numpy(dtype="int64") if isinstance(prompt, str) else np.full(len(pdf), int(prompt))
         chunk, item, trunc = pack_many(pdf[key].to_numpy(), tok, limit - pt)
         text = pdf[text_col].astype("object")
-        cut = text.where(~trunc, text.fillna("").astype(str).str.slice(0, TRUNCATE_CHARS) + TRUNCATE_MARKER)
+        cut_text = text.where(text.isna(), text.fillna("").astype(str).str.slice(0, TRUNCATE_CHARS) + TRUNCATE_MARKER)
+        cut = text.where(~trunc, cut_text)
         return pd.DataFrame({key: pdf[key].to_numpy(), "chunk_no": chunk, "item_no": item,
                              "text": cut.to_numpy(), "tokens": tok, "truncated": trunc})
 
@@ -139,19 +140,35 @@ def _pack_partitions(key: str, text_col: str, limit: int, prompt):
     return fn
 
 
+# Listings with more items than this are packed by the distributed path.
+HOT_ITEMS = 2_000_000
+
+
 def chunk_reviews(df: DataFrame, key: str = "listing_id", order_cols: Sequence[str] = ("pos",),
                   text_col: str = "text", prompt_tokens: int | str = 0,
-                  limit: int = CHUNK_TOKEN_LIMIT) -> DataFrame:
+                  limit: int = CHUNK_TOKEN_LIMIT, hot_items: int | None = HOT_ITEMS) -> DataFrame:
     """Assign every item to a chunk: ``key, chunk_no, item_no, text, tokens, truncated``.
 
     ``prompt_tokens`` is a number or the name of a per-listing column (the
     filled template differs per listing).  Every item of the input is kept
     (only cut items change text).
 
-    Plan: hash-partition on the key, sort inside partitions by (key, order),
-    then one ``mapInPandas`` pass packs whole batches of listings with numpy
-    (no per-listing Python call).
+    Plan: a size check (``groupBy(key).count()``, partial-aggregated) finds
+    listings with more than ``hot_items`` items -- at most rows / hot_items
+    keys, so the list is bounded.  Those go through the exact distributed
+    path (:mod:`staylens.operators.packing_dist`); every other listing is
+    hash-partitioned on the key, sorted inside partitions by (key, order) and
+    packed by one ``mapInPandas`` pass over whole batches of listings.
+    ``hot_items=None`` skips the check when sizes are known to be bounded.
     """
+    if hot_items is not None:
+        hot = [r[0] for r in df.groupBy(key).count().where(F.col("count") > hot_items).select(key).collect()]
+        if hot:
+            from staylens.operators.packing_dist import chunk_distributed
+            is_hot = F.col(key).isin(hot)
+            local = chunk_reviews(df.where(~is_hot), key, order_cols, text_col, prompt_tokens, limit, None)
+            dist = chunk_distributed(df.where(is_hot), key, order_cols, text_col, prompt_tokens, limit)
+            return local.unionByName(dist)
     kt = df.schema[key].dataType.simpleString()
     schema = f"{key} {kt}, chunk_no long, item_no long, text string, tokens long, truncated boolean"
     extra = [prompt_tokens] if isinstance(prompt_tokens, str) else []

@@ -103,3 +103,16 @@ def test_merge_prompt_single_passes_through(spark):
     out = {r["listing_id"]: r for r in pk.merge_prompt(parts, "BASE").collect()}
     assert out["a"]["prompt"] == "only"
     assert out["b"]["n_parts"] == 2 and "--- Analysis 2 ---\np2\n" in out["b"]["prompt"]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 120)), min_size=1, max_size=50),
+       st.integers(0, 60))
+def test_distributed_path_equals_local_path(spark, pairs, limit):
+    texts = [(k, i, "z" * n if n % 7 else None) for i, (k, n) in enumerate(pairs)]
+    df = spark.createDataFrame(texts, "listing_id string, pos int, text string")
+    local = pk.chunk_reviews(df, "listing_id", ["pos"], "text", prompt_tokens=3, limit=limit, hot_items=None)
+    dist = pk.chunk_reviews(df, "listing_id", ["pos"], "text", prompt_tokens=3, limit=limit, hot_items=0)
+    cols = ["listing_id", "chunk_no", "item_no", "text", "tokens", "truncated"]
+    assert sorted(tuple(r[c] for c in cols) for r in local.collect()) == \
+        sorted(tuple(r[c] for c in cols) for r in dist.collect())
