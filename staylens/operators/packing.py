@@ -222,7 +222,6 @@ def chunk_prompt(chunks: DataFrame, base_prompt, key: str = "listing_id", prompt
     ``collect_list`` is per chunk, so its size is bounded by the token budget
     (plus at most one oversized item), never by the listing size.
     """
-    from pyspark.sql import Window
     numbered = review_numbering(chunks)
     base = F.lit(base_prompt) if isinstance(base_prompt, str) else base_prompt
     pt = F.lit(int(prompt_tokens)) if not isinstance(prompt_tokens, str) else F.first(prompt_tokens)
@@ -231,9 +230,9 @@ def chunk_prompt(chunks: DataFrame, base_prompt, key: str = "listing_id", prompt
         F.count(F.lit(1)).alias("n_items"),
         F.sum("tokens").alias("chunk_tokens"),
         F.first(base).alias("base_prompt"), pt.alias("prompt_tokens"))
-    w = Window.partitionBy(key)
-    per = per.withColumn("n_chunks", F.max("chunk_no").over(w)) \
-             .withColumn("total_tokens", F.sum("chunk_tokens").over(w) + F.col("prompt_tokens"))
+    # listing totals by a partial-aggregated groupBy joined back (no per-listing window task)
+    tot = per.groupBy(key).agg(F.max("chunk_no").alias("n_chunks"), F.sum("chunk_tokens").alias("_tt"))
+    per = per.join(tot, key).withColumn("total_tokens", F.col("_tt") + F.col("prompt_tokens"))
     body = F.array_join(F.transform("items", lambda x: x["numbered"]), "\n")
     info = F.when(F.col("total_tokens") > F.lit(int(limit)),
                   F.concat(F.format_string(CHUNK_INFO, F.col("chunk_no").cast("int"), F.col("n_chunks").cast("int"),

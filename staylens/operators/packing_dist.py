@@ -72,12 +72,18 @@ def _local_positions(key: str, weight: str):
 def global_positions(df: DataFrame, key: str, order_cols: Sequence[str], weight: str | None = None,
                      partitions: int | None = None) -> DataFrame:
     """Adds ``gidx`` (0-based position inside the key in ``order_cols`` order)
-    and ``pe`` (sum of ``weight`` over earlier rows) without a per-key task."""
+    and ``pe`` (sum of ``weight`` over earlier rows) without a per-key task.
+
+    ``order_cols`` may be names or sort expressions (e.g. ``F.col(c).desc()``).
+    The range partitioner splits a hot key across partitions by its order
+    values, so even a key holding a third of the rows is spread out."""
     spark = df.sparkSession
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
     w = weight or "_one"
     src = df if weight else df.withColumn("_one", F.lit(1).cast("long"))
     ranged = src.repartitionByRange(n, key, *order_cols).sortWithinPartitions(key, *order_cols)
+    if isinstance(key, str) and key not in src.columns:
+        raise ValueError(f"unknown key column {key}")
     from pyspark.sql import types as T
     schema = T.StructType(list(ranged.schema.fields) + [
         T.StructField("_pid", T.IntegerType()), T.StructField("_lidx", T.LongType()),

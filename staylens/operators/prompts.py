@@ -115,12 +115,13 @@ def area_summary_pack(summaries: DataFrame, n: int, area: str = "area", key: str
     One row per summary (``area, pack_pos, key, n_properties, rendered``): the
     area request is then packed by :func:`staylens.operators.packing.chunk_reviews`
     keyed on the area, so no row or task holds an area's whole text.  The
-    ``row_number() <= n`` filter lets Spark prune each map task to its own
-    first ``n`` rows per area before the shuffle.
+    position inside the area comes from a range-partitioned numbering
+    (``global_positions``), so a hot area is spread over many tasks.
     """
+    from staylens.operators.packing_dist import global_positions
     ne = summaries.where(F.col(summary).isNotNull() & (F.length(summary) > 0))
-    w = Window.partitionBy(area).orderBy(key)
-    ranked = ne.withColumn("pack_pos", F.row_number().over(w)).where(F.col("pack_pos") <= n)
+    ranked = global_positions(ne, area, [key]).withColumn("pack_pos", F.col("gidx") + 1) \
+        .drop("gidx", "pe").where(F.col("pack_pos") <= n)
     counts = ranked.groupBy(area).agg(F.count(F.lit(1)).alias("n_properties"))
     rendered = F.concat(F.lit("Listing "), F.col(key).cast("string"), F.lit(":\n"), F.col(summary))
     return ranked.join(counts, area).select(area, "pack_pos", key, "n_properties", rendered.alias("rendered"))

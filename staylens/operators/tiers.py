@@ -70,18 +70,34 @@ def valid_metric_filter(df: DataFrame, col: str) -> DataFrame:
     return df.where(valid_metric(col).isNotNull())
 
 
+# Groups larger than this use the rank-based exact quantile path.
+EXACT_PERCENTILE_ROWS = 5_000_000
+
+
 def tier_thresholds(df: DataFrame, metrics: Mapping[str, str], top: int = 25, bottom: int = 25,
-                    by: Sequence[str] | str | None = None) -> DataFrame:
+                    by: Sequence[str] | str | None = None,
+                    exact_rows: int | None = EXACT_PERCENTILE_ROWS) -> DataFrame:
     """Exact thresholds per (group, metric): ``high_threshold = q(1 - top/100)``,
     ``low_threshold = q(bottom/100)`` over valid rows; groups with fewer than four
     valid rows produce no row.
 
     ``metrics`` maps metric key -> column.  One scan handles every metric: the
-    columns are unpivoted (stack) before the aggregate.
+    columns are unpivoted before the aggregate.  Groups up to ``exact_rows``
+    rows use Spark's exact ``percentile`` (partial value->count maps); above
+    it (a hot area holding a large share of all rows) the rank-based
+    :func:`exact_quantiles` is used, whose work is spread over range
+    partitions.  ``exact_rows=None`` skips the size check.
     """
     keys = _keys(by)
     long = _metric_long(df, metrics, keys)
     hi_p, lo_p = 1 - top / 100.0, bottom / 100.0
+    if exact_rows is not None:
+        biggest = long.groupBy(*keys, "metric").count().agg(F.max("count")).first()[0] or 0
+        if biggest > exact_rows:
+            q = exact_quantiles(long, keys + ["metric"], "value", [hi_p, lo_p])
+            return q.where(F.col("n") >= MIN_VALID_ROWS).select(
+                *keys, "metric", F.col("q0").alias("high_threshold"), F.col("q1").alias("low_threshold"),
+                F.col("n").alias("n_valid"))
     agg = long.groupBy(*keys, "metric").agg(
         F.percentile("value", F.array(F.lit(hi_p), F.lit(lo_p))).alias("q"),
         F.count(F.lit(1)).alias("n_valid"))
@@ -90,6 +106,35 @@ def tier_thresholds(df: DataFrame, metrics: Mapping[str, str], top: int = 25, bo
         F.col("q")[0].alias("high_threshold"), F.col("q")[1].alias("low_threshold"), "n_valid")
 
 
+def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """Linear-interpolated quantiles per group from ranks, with no per-group task.
+
+    Rows are numbered inside each group in value order over range partitions
+    (``global_positions``); only the rows at ranks floor / ceil of
+    ``p * (n - 1)`` are kept (two per probability and group) and combined.
+    Returns ``group.., n, q0, q1, ...``.
+    """
+    from staylens.operators.packing_dist import global_positions
+    g = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in group])
+    base = df.select(*group, F.col(value).cast("double").alias("_v")).withColumn("_g", g)
+    pos = global_positions(base, "_g", ["_v"])
+    n = pos.groupBy("_g").agg(F.count(F.lit(1)).alias("n"))
+    j = pos.join(n, "_g")
+    keep = F.lit(False)
+    aggs = []
+    for k, p in enumerate(probs):
+        r = F.lit(float(p)) * (F.col("n") - 1)
+        lo_i, hi_i = F.floor(r), F.ceil(r)
+        keep = keep | (F.col("gidx") == lo_i) | (F.col("gidx") == hi_i)
+        aggs += [F.max(F.when(F.col("gidx") == lo_i, F.col("_v"))).alias(f"_lo{k}"),
+                 F.max(F.when(F.col("gidx") == hi_i, F.col("_v"))).alias(f"_hi{k}"),
+                 F.first(r - lo_i).alias(f"_f{k}")]
+    sel = j.where(keep).groupBy("_g", *group, "n").agg(*aggs)
+    outs = [(F.col(f"_lo{k}") + (F.col(f"_hi{k}") - F.col(f"_lo{k}")) * F.col(f"_f{k}")).alias(f"q{k}")
+            for k in range(len(probs))]
+    return sel.select(*group, "n", *outs)
+
+
 def _metric_long(df: DataFrame, metrics: Mapping[str, str], keys: list[str],
                  extra: Sequence[str] = ()) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), valid_metric(c, _is_num(df, c)).alias("value"))

@@ -186,12 +186,12 @@ def _(spark, sf):
 
 @q("matrix_sort")
 def _(spark, sf):
-    from pyspark.sql import Window
-    m = tp.binding_matrix(spark, sf).select("listing_id", "ADR")
-    # the rank materialises the global order so it survives an unordered compare
-    s = mk.matrix_sort(m)
-    return s.withColumn("sort_rank", F.row_number().over(
-        Window.orderBy(F.col("ADR").desc_nulls_last(), F.col("listing_id"))))
+    from staylens.operators.packing_dist import global_positions
+    m = tp.binding_matrix(spark, sf).select("listing_id", "ADR").withColumn("_all", F.lit(0))
+    # the rank materialises the global order so it survives an unordered compare;
+    # it is computed over range partitions (no single-task window)
+    r = global_positions(m, "_all", [F.col("ADR").desc_nulls_last(), F.col("listing_id")])
+    return r.select("listing_id", "ADR", (F.col("gidx") + 1).alias("sort_rank"))
 
 
 @q("amenity_matrix")

@@ -63,3 +63,18 @@ def test_numeric_stats_coerce_and_zero_when_all_null(spark):
     out = {r["attribute"]: r for r in tr.numeric_tier_stats(df, ["bedrooms", "beds"]).collect()}
     assert (out["bedrooms"]["high_tier_avg"], out["bedrooms"]["low_tier_avg"], out["bedrooms"]["difference"]) == (3.0, 1.0, 2.0)
     assert (out["beds"]["high_tier_avg"], out["beds"]["low_tier_avg"]) == (0.0, 0.0)
+
+
+def test_rank_quantiles_equal_percentile(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [(rnd.choice("xyz"), f"l{i}", round(rnd.uniform(1, 500), 2)) for i in range(400)]
+    rows += [("w", "w1", 5.0), ("w", "w2", 6.0)]  # a group below four rows
+    df = spark.createDataFrame(rows, "area string, listing_id string, v double")
+    a = {r["area"]: r for r in tr.tier_thresholds(df, {"m": "v"}, by="area", exact_rows=None).collect()}
+    b = {r["area"]: r for r in tr.tier_thresholds(df, {"m": "v"}, by="area", exact_rows=0).collect()}
+    assert set(a) == set(b) == {"x", "y", "z"}
+    for k in a:
+        assert abs(a[k]["high_threshold"] - b[k]["high_threshold"]) < 1e-9
+        assert abs(a[k]["low_threshold"] - b[k]["low_threshold"]) < 1e-9
+        assert a[k]["n_valid"] == b[k]["n_valid"]
