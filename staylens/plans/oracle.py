@@ -815,8 +815,8 @@ CELLS = f"""SELECT area, i AS cell_row, j AS cell_col, i * 2 + j AS cell_no,
        sw_lon + j * ((ne_lon - sw_lon) / 2) + (ne_lon - sw_lon) / 2 AS box_ne_lon
 FROM ({BBOX}) b, range(2) r1(i), range(2) r2(j)"""
 PTS = """SELECT c_custkey AS listing_id, c_nationkey AS area,
-       c_nationkey * 1000 + (c_custkey * 37) % 280 - 139.5 AS lat,
-       -c_nationkey * 1000 + (c_custkey * 53) % 280 - 139.5 AS lon FROM customer"""
+       CAST(c_nationkey * 1000 + (c_custkey * 37) % 280 - 139.5 AS DOUBLE) AS lat,
+       CAST(-c_nationkey * 1000 + (c_custkey * 53) % 280 - 139.5 AS DOUBLE) AS lon FROM customer"""
 HITS = f"""SELECT p.listing_id, p.area, c.cell_no FROM ({PTS}) p JOIN ({CELLS}) c ON c.area = p.area
 WHERE p.lat >= c.box_sw_lat AND p.lat < c.box_ne_lat AND p.lon >= c.box_sw_lon AND p.lon < c.box_ne_lon"""
 
@@ -1173,3 +1173,88 @@ SELECT session, CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, COUNT(
        CAST(SUM(CASE WHEN NOT cached THEN output_tokens ELSE 0 END) AS BIGINT) AS total_output_tokens,
        {R('SUM(CASE WHEN NOT cached THEN cost ELSE 0.0 END)', 4)} AS total_cost
 FROM c GROUP BY session, date_trunc('day', ts)"""
+
+
+# ---------------------------------------------------------------- source / sink round trips
+@q("read_search_results")
+def _():
+    return f"SELECT CAST(area AS VARCHAR) AS area, CAST(listing_id AS VARCHAR) AS listing_id, lat, lon FROM ({PTS})"
+
+
+@q("read_summaries")
+def _():
+    return """SELECT source AS area, CAST(doc_id AS VARCHAR) AS listing_id,
+       length(CASE WHEN doc_id % 11 = 0 THEN '' ELSE text END) AS summary_chars FROM documents"""
+
+
+@q("write_matrix")
+def _():
+    return SQL["clean_built_matrix"]
+
+
+@q("read_matrix")
+def _():
+    return f"SELECT listing_id, ADR, Days_Avail, capacity, bedrooms, {_ICON_COLS} FROM ({BUILT})"
+
+
+@q("write_side_tables")
+def _():
+    return SQL["house_rules_text"]
+
+
+@q("write_market_master")
+def _():
+    return f"""SELECT p.p_type AS area, m.listing_id, m.ADR, m.Occupancy, m.Days_Available
+FROM ({B_MARKET}) m JOIN part p ON p.p_partkey = m.listing_id"""
+
+
+@q("write_reviews")
+def _():
+    return f"""SELECT p.p_type AS area, r.listing_id, {MEAN4} AS mean_rating, COUNT(*) AS n_reviews
+FROM ({B_REVIEWS}) r JOIN part p ON p.p_partkey = r.listing_id GROUP BY p.p_type, r.listing_id"""
+
+
+@q("write_tier_stats")
+def _():
+    sql = SQL["tier_pipeline"]
+    return sql.replace("25 AS top_percentile, 25 AS bottom_percentile, comparison_text",
+                       "25 AS top_percentile, 25 AS bottom_percentile")
+
+
+@q("write_quality_stats")
+def _():
+    return SQL["premium_pipeline"]
+
+
+@q("render_report")
+def _():
+    hi = f"CASE WHEN th.metric = 'adr' THEN printf('$%.2f', {R(R('hi', 2), 2)}) ELSE printf('%.1f%%', {R(R('hi', 2), 1)}) END"
+    lo = f"CASE WHEN th.metric = 'adr' THEN printf('$%.2f', {R(R('lo', 2), 2)}) ELSE printf('%.1f%%', {R(R('lo', 2), 1)}) END"
+    nl = "chr(10)"
+    return f"""WITH {TIER_CTES}, {COMPARISON_SQL},
+cnt AS (SELECT metric, SUM(CASE WHEN tier = 'high' THEN 1 ELSE 0 END) AS hc,
+               SUM(CASE WHEN tier = 'low' THEN 1 ELSE 0 END) AS lc FROM tiered GROUP BY metric)
+SELECT th.metric,
+       '# ' || CASE th.metric WHEN 'adr' THEN 'Average Daily Rate' WHEN 'occupancy' THEN 'Occupancy Rate' END
+       || ' Correlation Analysis' || {nl} || {nl} || '**Zipcode:** all' || {nl} || {nl}
+       || '**High Tier:** ' || {hi} || ' (top 25%, n=' || CAST(hc AS VARCHAR) || ')' || {nl} || {nl}
+       || '**Low Tier:** ' || {lo} || ' (bottom 25%, n=' || CAST(lc AS VARCHAR) || ')' || {nl} || {nl}
+       || '---' || {nl} || {nl} || comparison_text AS report
+FROM th JOIN cnt USING (metric) JOIN ct USING (metric)"""
+
+
+@q("write_request_log")
+def _():
+    return """SELECT session, recency FROM (
+  SELECT user_id AS session, ROW_NUMBER() OVER (ORDER BY MIN(ts) DESC) AS recency FROM events GROUP BY user_id)
+WHERE recency <= 100"""
+
+
+@q("normalize_reviews")
+def _():
+    return f"SELECT listing_id, COUNT(*) AS n, SUM(length(review)) AS review_chars FROM ({B_REVIEWS}) GROUP BY listing_id"
+
+
+@q("select_numeric_features")
+def _():
+    return f"SELECT listing_id, Days_Avail, capacity, bedrooms, beds, bathrooms, {_ICON_COLS} FROM ({SQL['clean_built_matrix']})"

@@ -811,3 +811,119 @@ def _(spark, sf):
 @q("stream_request_cost")
 def _(spark, sf):
     return st.stream_request_cost(spark, _costed(spark, sf))
+
+
+# ---------------------------------------------------------------- sources / sinks round trips
+from staylens.sources import sinks as sk  # noqa: E402
+
+
+@q("read_search_results")
+def _(spark, sf):
+    path = scratch_path(spark, "search")
+    g = b.b_grid(spark, sf)
+    rid = F.when(F.col("listing_id") % 4 == 0, F.lit("")).otherwise(F.col("listing_id").cast("string"))
+    g.select("area", rid.alias("room_id"), F.col("listing_id").cast("string").alias("id"), "lat", "lon") \
+        .write.partitionBy("area").json(path)
+    return fl.read_search_results(spark, path, lines=True)
+
+
+@q("read_summaries")
+def _(spark, sf):
+    path = scratch_path(spark, "summaries")
+    s = b.b_summaries(spark, sf)
+    s.select("area", F.to_json(F.create_map(F.col("listing_id").cast("string"), F.col("summary"))).alias("value")) \
+        .write.partitionBy("area").text(path)
+    r = fl.read_summaries(spark, path, glob="*.txt", wholetext=False)
+    return r.select("area", "listing_id", F.length("summary").alias("summary_chars"))
+
+
+@q("write_matrix")
+def _(spark, sf):
+    path = scratch_path(spark, "matrix")
+    raw = _built(spark, sf)
+    sk.write_matrix(raw, mx.clean_matrix(raw, 100), path)
+    return fl.read_matrix(spark, f"{path}/clean")
+
+
+@q("read_matrix")
+def _(spark, sf):
+    path = scratch_path(spark, "matrix-csv")
+    raw = _built(spark, sf).select("listing_id", "ADR", "Days_Avail", "capacity", "bedrooms", *b.BINDING_ICONS)
+    sk.write_matrix(raw, raw, path, fmt="csv")
+    return fl.read_matrix(spark, f"{path}/raw", schema=raw.schema, fmt="csv")
+
+
+@q("write_side_tables")
+def _(spark, sf):
+    path = scratch_path(spark, "side")
+    sk.write_side_tables(_details(spark, sf), path)
+    return spark.read.schema("listing_id string, house_rules string").json(f"{path}/house_rules")
+
+
+@q("write_market_master")
+def _(spark, sf):
+    path = scratch_path(spark, "market")
+    m = b.b_market(spark, sf).join(table(spark, sf, "part").select(F.col("p_partkey").alias("listing_id"),
+                                                                    F.col("p_type").alias("area")), "listing_id")
+    sk.write_market_master(m, path)
+    r = spark.read.parquet(path)
+    return r.select("area", "listing_id", "ADR", "Occupancy", "Days_Available")
+
+
+@q("write_reviews")
+def _(spark, sf):
+    path = scratch_path(spark, "reviews")
+    r = b.b_reviews(spark, sf).join(table(spark, sf, "part").select(F.col("p_partkey").alias("listing_id"),
+                                                                     F.col("p_type").alias("area")), "listing_id")
+    sk.write_by_area(r.select("area", "listing_id", "rating", "review"), path)
+    back = spark.read.parquet(path)
+    return rv.listing_mean_rating(back, by="area")
+
+
+@q("write_tier_stats")
+def _(spark, sf):
+    path = scratch_path(spark, "tier-stats")
+    rep = tp.tier_report(_tiers(spark, sf), metric_columns=tp.BINDING_METRICS).drop("comparison_text")
+    sk.write_json_record(rep, path)
+    return spark.read.schema(rep.schema).json(path)
+
+
+@q("write_quality_stats")
+def _(spark, sf):
+    path = scratch_path(spark, "quality-stats")
+    frame, model, res = _ols(spark, sf)
+    rec = _premium_record(pm.r_squared(res), pm.residual_stats(res), len(model.features))
+    sk.write_json_record(rec, path)
+    return spark.read.schema(rec.schema).json(path)
+
+
+@q("render_report")
+def _(spark, sf):
+    path = scratch_path(spark, "reports")
+    rep = tp.tier_report_markdown(tp.tier_report(_tiers(spark, sf), metric_columns=tp.BINDING_METRICS), "all")
+    sk.render_report(rep, path, ("metric",), "report")
+    back = spark.read.text(path, wholetext=True)
+    return back.select("metric", F.regexp_replace("value", "\n$", "").alias("report"))
+
+
+@q("write_request_log")
+def _(spark, sf):
+    path = scratch_path(spark, "request-log")
+    sessions = _event_sessions(spark, sf)
+    sk.write_request_log(sessions, path)
+    return sk.read_request_log(spark, path, "session_start", 100).select("session", "recency")
+
+
+@q("normalize_reviews")
+def _(spark, sf):
+    raw = b.b_reviews(spark, sf).select("listing_id", F.col("review").alias("comments"), "rating", "l_orderkey",
+                                        "l_linenumber")
+    return rv.normalize_reviews(raw).groupBy("listing_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("review")).alias("review_chars"))
+
+
+@q("select_numeric_features")
+def _(spark, sf):
+    clean = mx.clean_matrix(_built(spark, sf), 100)
+    feats = mx.select_numeric_features(clean, "ADR", exclude=["listing_id"])
+    return clean.select("listing_id", *feats)

@@ -77,3 +77,26 @@ def tier_report(res: dict[str, DataFrame], top: int = 25, bottom: int = 25, by=N
                       "high_tier_count", "low_tier_count",
                       F.lit(top).alias("top_percentile"), F.lit(bottom).alias("bottom_percentile"),
                       "comparison_text")
+
+
+def tier_report_markdown(report: DataFrame, area_label: str, metric_config=None) -> DataFrame:
+    """One Markdown report per metric: title, area, both tier thresholds with
+    counts, then the comparison block as the body (the model's insight text
+    is appended downstream when it exists)."""
+    from staylens.functions.scalar import threshold_label
+    cfg = metric_config or tr.METRIC_CONFIG
+    title = F.lit(None).cast("string")
+    hi = F.lit(None).cast("string")
+    lo = F.lit(None).cast("string")
+    for k, v in cfg.items():
+        is_k = F.col("metric") == k
+        title = F.when(is_k, F.lit(v["display_name"])).otherwise(title)
+        hi = F.when(is_k, threshold_label("high_tier_threshold", v["unit"])).otherwise(hi)
+        lo = F.when(is_k, threshold_label("low_tier_threshold", v["unit"])).otherwise(lo)
+    text = F.concat(
+        F.lit("# "), F.coalesce(title, F.col("metric")), F.lit(" Correlation Analysis\n\n**Zipcode:** "),
+        F.lit(area_label), F.lit("\n\n**High Tier:** "), hi, F.lit(" (top "), F.col("top_percentile").cast("string"),
+        F.lit("%, n="), F.col("high_tier_count").cast("string"), F.lit(")\n\n**Low Tier:** "), lo,
+        F.lit(" (bottom "), F.col("bottom_percentile").cast("string"), F.lit("%, n="),
+        F.col("low_tier_count").cast("string"), F.lit(")\n\n---\n\n"), F.col("comparison_text"))
+    return report.select("metric", text.alias("report"))

@@ -54,14 +54,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder there).  Only when it is unset -- local runs and tests -- a private
     folder is created and registered.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="staylens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

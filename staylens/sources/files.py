@@ -66,22 +66,26 @@ def _file_name() -> F.Column:
 
 def _json_docs(spark: SparkSession, path: str, glob: str | None, wholetext: bool) -> DataFrame:
     """(file, doc) rows: whole files or JSON lines."""
-    r = spark.read.option("wholetext", wholetext)
+    r = spark.read
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.text(path)
-    return df.select(_file_name().alias("file"), F.col("value").alias("doc")).where(F.length(F.trim("doc")) > 0)
+    df = r.text(path, wholetext=wholetext)  # the argument, not .option(): text() would override it
+    return df.select(_file_name().alias("file"), F.col("_metadata.file_path").alias("path"),
+                     F.col("value").alias("doc")).where(F.length(F.trim("doc")) > 0)
 
 
-def read_search_results(spark: SparkSession, path: str, area_pattern: str = r"_(\w+)\.json$") -> DataFrame:
+def read_search_results(spark: SparkSession, path: str, area_pattern: str = r"_(\w+)\.json$",
+                        lines: bool = False) -> DataFrame:
     """Search hits: ``area, listing_id, lat, lon``; id = room_id, else id; falsy ids dropped."""
     schema = "room_id string, id string, lat double, lon double"
     if not _exists(path):
         return _empty(spark, f"area string, listing_id string, lat double, lon double")
-    df = spark.read.schema(schema).option("multiLine", True).json(path)
+    df = spark.read.schema(schema).option("multiLine", not lines).json(path)
     rid = F.coalesce(F.nullif(F.col("room_id"), F.lit("")), F.nullif(F.col("id"), F.lit("")))
-    area = F.regexp_extract(F.col("_metadata.file_path"), area_pattern, 1)
-    return df.select(F.nullif(area, F.lit("")).alias("area"), rid.alias("listing_id"), "lat", "lon") \
+    area = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), area_pattern, 1), F.lit(""))
+    # area=<value>/ partition folders (our sink layout) take precedence over file names
+    part = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), r"/area=([^/]+)/", 1), F.lit(""))
+    return df.select(F.coalesce(part, area).alias("area"), rid.alias("listing_id"), "lat", "lon") \
         .where(F.col("listing_id").isNotNull())
 
 
@@ -147,8 +151,9 @@ def read_summaries(spark: SparkSession, path: str, area: str | None = None, glob
         return _empty(spark, "area string, listing_id string, summary string")
     g = glob or (f"listing_summary_{area}_*.json" if area else "listing_summary_*.json")
     docs = _json_docs(spark, path, g, wholetext)
-    ar = F.regexp_extract("file", r"^listing_summary_([^_]+)_", 1)
-    out = docs.select(F.nullif(ar, F.lit("")).alias("area"),
+    ar = F.coalesce(F.nullif(F.regexp_extract("file", r"^listing_summary_([^_]+)_", 1), F.lit("")),
+                    F.nullif(F.regexp_extract("path", r"/area=([^/]+)/", 1), F.lit("")))
+    out = docs.select(ar.alias("area"),
                       F.explode(F.from_json("doc", "map<string,string>")).alias("listing_id", "summary"))
     return out if area is None else out.where(F.col("area") == area)
 

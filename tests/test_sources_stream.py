@@ -7,7 +7,7 @@ from staylens.sources import sinks as sk
 
 def _write(path, name, obj):
     with open(os.path.join(path, name), "w") as f:
-        json.dump(obj, f)
+        json.dump(obj, f, indent=4)  # pretty-printed, like the reference's files
 
 
 def test_missing_paths_give_empty_frames(spark, tmpdir_path):
