@@ -84,13 +84,16 @@ def synthesis_prompt(r2: DataFrame, correlations: DataFrame, topk: DataFrame, te
     bottom descriptions with their scores.  Every input is already bounded
     (one r2 row, one row per dimension, 2k listings), so the single output row
     is bounded too."""
-    corr_line = F.format_string("| %s | %+.3f | %d |", F.col("dimension"), F.col("correlation"), F.col("n"))
+    from staylens.functions.scalar import fixed_round
+    # numbers are rounded before formatting so no half-way digit is left to the formatter
+    corr_line = F.format_string("| %s | %+.3f | %d |", F.col("dimension"), fixed_round("correlation", 3),
+                                F.col("n"))
     desc_line = F.concat(F.lit("#"), F.col("rank").cast("string"), F.lit(" (residual "),
-                         F.format_string("%+.0f", F.col("residual")), F.lit(") "), F.col(key).cast("string"),
+                         F.format_string("%+.0f", fixed_round("residual", 0)), F.lit(") "), F.col(key).cast("string"),
                          F.lit(" ["), _fmt_scores(dims), F.lit("]: "), F.col(desc_col))
     # one tagged union + one global aggregate assembles the single row (no joins)
     tagged = (r2.select(F.lit("r2").alias("part"), F.lit(0).alias("o"),
-                        F.format_string("%.3f", F.col("r_squared")).alias("t"))
+                        F.format_string("%.3f", fixed_round("r_squared", 3)).alias("t"))
               .unionByName(correlations.select(F.lit("corr").alias("part"), F.col("rank").cast("int").alias("o"),
                                                corr_line.alias("t")))
               .unionByName(topk.select(F.col("side").alias("part"), F.col("rank").cast("int").alias("o"),

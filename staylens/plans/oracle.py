@@ -1258,3 +1258,25 @@ def _():
 @q("select_numeric_features")
 def _():
     return f"SELECT listing_id, Days_Avail, capacity, bedrooms, beds, bathrooms, {_ICON_COLS} FROM ({SQL['clean_built_matrix']})"
+
+
+@q("synthesis_prompt")
+def _():
+    tmpl = ("Model fit R2={R_SQUARED}\n\n| Dimension | r | n |\n{CORRELATION_TABLE}\n\n"
+            "Top:\n{TOP_DESCRIPTIONS}\n\nBottom:\n{BOTTOM_DESCRIPTIONS}")
+    line = (f"'#' || CAST(rank AS VARCHAR) || ' (residual ' || printf('%+.0f', {R('residual', 0)}) || ') ' "
+            "|| CAST(listing_id AS VARCHAR) || ' [' || concat_ws(', ', CASE WHEN quality IS NOT NULL THEN 'quality=' "
+            "|| CAST(quality AS VARCHAR) END, CASE WHEN toxic IS NOT NULL THEN 'toxic=' || CAST(toxic AS VARCHAR) END, "
+            "CASE WHEN word_count IS NOT NULL THEN 'word_count=' || CAST(word_count AS VARCHAR) END) || ']: ' || description")
+    return f"""WITH {SCORE_CTES},
+r2 AS (SELECT CASE WHEN var_samp(d.n_chars) * (COUNT(*) - 1) > 0
+                   THEN 1.0 - SUM(rs.residual * rs.residual) / (var_samp(d.n_chars) * (COUNT(*) - 1)) ELSE 0.0 END AS v
+       FROM rs JOIN documents d ON d.doc_id = rs.listing_id),
+tk AS (SELECT rtb.*, sc.quality, sc.toxic, sc.word_count, d.text AS description
+       FROM rtb LEFT JOIN sc USING (listing_id) JOIN documents d ON d.doc_id = rtb.listing_id),
+parts AS (SELECT (SELECT printf('%.3f', {R('v', 3)}) FROM r2) AS r2,
+                 (SELECT string_agg(printf('| %s | %+.3f | %d |', dimension, {R('correlation', 3)}, n), chr(10) ORDER BY rank) FROM dc) AS ct,
+                 (SELECT string_agg({line}, chr(10) || chr(10) ORDER BY rank) FROM tk WHERE side = 'top') AS tt,
+                 (SELECT string_agg({line}, chr(10) || chr(10) ORDER BY rank) FROM tk WHERE side = 'bottom') AS bt)
+SELECT replace(replace(replace(replace({_sql_str(tmpl)}, '{{R_SQUARED}}', r2), '{{CORRELATION_TABLE}}', ct),
+               '{{TOP_DESCRIPTIONS}}', tt), '{{BOTTOM_DESCRIPTIONS}}', bt) AS prompt FROM parts"""

@@ -19,7 +19,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 def q(name: str):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            # timestamps in the tables are zone-less; evaluate them as UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf)
+        run.__name__ = name
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
@@ -409,7 +415,10 @@ def _(spark, sf):
 def _(spark, sf):
     scores, res = b.b_scores(spark, sf), b.b_residuals(spark, sf)
     corr = pm.dimension_correlation(scores, res, dimensions=SCORE_DIMS)
-    r2 = res.agg(F.lit(0.0).alias("r_squared"))
+    # the residual table is a mean-only fit of n_chars: its r-squared comes from the data
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("listing_id"),
+                                                F.col("n_chars").cast("double").alias("actual"))
+    r2 = pm.r_squared(docs.join(res, "listing_id"))
     tb = pm.top_bottom_premium(res)
     topk = pr.join_topk_scores(tb, scores, b.b_descriptions(spark, sf))
     tmpl = ("Model fit R2={R_SQUARED}\n\n| Dimension | r | n |\n{CORRELATION_TABLE}\n\n"
