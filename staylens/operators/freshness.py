@@ -22,14 +22,23 @@ REVIEW_RETRY_THRESHOLD = 0.20
 METRICS_RETRY_THRESHOLD = 0.25
 
 
-def with_freshness(manifest: DataFrame, as_of, ttl_hours: float, mtime: str = "mtime") -> DataFrame:
-    return manifest.withColumn("fresh", is_fresh(mtime, F.lit(as_of), ttl_hours))
-
-
-def expected_outputs(listings: DataFrame, stages: Sequence[str], key: str = "listing_id") -> DataFrame:
-    """Every (stage, listing) pair that should have an output."""
-    return listings.select(key).distinct().select(F.explode(F.array(*[F.lit(s) for s in stages])).alias("stage"),
-                                                  key)
+def with_freshness(manifest: DataFrame, as_of, ttl_hours: float, mtime: str = "mtime",
+                   enabled: bool = True, force_refresh: bool = False) -> DataFrame:
+    return manifest.withColumn("fresh", is_fresh(mtime, F.lit(as_of), ttl_hours, enabled, force_refresh))
+
+
+def expected_outputs(listings: DataFrame, stages: Sequence[str], key: str = "listing_id",
+                     exclude: DataFrame | None = None) -> DataFrame:
+    """Every (stage, listing) pair that should have an output.
+
+    ``exclude`` (stage, key) removes pairs that can never have an output --
+    e.g. listings known to have zero reviews, which the reference keeps
+    expecting forever (so its review stage is never fresh)."""
+    exp = listings.select(key).distinct().select(F.explode(F.array(*[F.lit(s) for s in stages])).alias("stage"),
+                                                 key)
+    if exclude is not None:
+        exp = exp.join(exclude.select("stage", key), ["stage", key], "left_anti")
+    return exp
 
 
 def missing_outputs(expected: DataFrame, manifest: DataFrame, as_of, ttl_hours: float,

@@ -113,12 +113,16 @@ def pack_many(keys: np.ndarray, tokens: np.ndarray, budget: np.ndarray):
 
 def _pack_partitions(key: str, text_col: str, limit: int, prompt):
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        tok = py_estimate_tokens(pdf[text_col])
+        tok = pdf["_tok"].to_numpy(dtype="int64")  # estimated in the JVM
         pt = pdf[prompt].to_numpy(dtype="int64") if isinstance(prompt, str) else np.full(len(pdf), int(prompt))
         chunk, item, trunc = pack_many(pdf[key].to_numpy(), tok, limit - pt)
         text = pdf[text_col].astype("object")
-        cut_text = text.where(text.isna(), text.fillna("").astype(str).str.slice(0, TRUNCATE_CHARS) + TRUNCATE_MARKER)
-        cut = text.where(~trunc, cut_text)
+        cut = text
+        if trunc.any():
+            sub = text[trunc]
+            cut = text.copy()
+            cut[trunc] = sub.where(sub.isna(), sub.fillna("").astype(str).str.slice(0, TRUNCATE_CHARS)
+                                   + TRUNCATE_MARKER)
         return pd.DataFrame({key: pdf[key].to_numpy(), "chunk_no": chunk, "item_no": item,
                              "text": cut.to_numpy(), "tokens": tok, "truncated": trunc})
 
@@ -146,7 +150,8 @@ HOT_ITEMS = 2_000_000
 
 def chunk_reviews(df: DataFrame, key: str = "listing_id", order_cols: Sequence[str] = ("pos",),
                   text_col: str = "text", prompt_tokens: int | str = 0,
-                  limit: int = CHUNK_TOKEN_LIMIT, hot_items: int | None = HOT_ITEMS) -> DataFrame:
+                  limit: int = CHUNK_TOKEN_LIMIT, hot_items: int | None = HOT_ITEMS,
+                  hot_keys: Sequence | None = None) -> DataFrame:
     """Assign every item to a chunk: ``key, chunk_no, item_no, text, tokens, truncated``.
 
     ``prompt_tokens`` is a number or the name of a per-listing column (the
@@ -159,10 +164,12 @@ def chunk_reviews(df: DataFrame, key: str = "listing_id", order_cols: Sequence[s
     path (:mod:`staylens.operators.packing_dist`); every other listing is
     hash-partitioned on the key, sorted inside partitions by (key, order) and
     packed by one ``mapInPandas`` pass over whole batches of listings.
+    ``hot_keys`` passes the list when the caller already knows the counts;
     ``hot_items=None`` skips the check when sizes are known to be bounded.
     """
-    if hot_items is not None:
-        hot = [r[0] for r in df.groupBy(key).count().where(F.col("count") > hot_items).select(key).collect()]
+    if hot_keys is not None or hot_items is not None:
+        hot = list(hot_keys) if hot_keys is not None else \
+            [r[0] for r in df.groupBy(key).count().where(F.col("count") > hot_items).select(key).collect()]
         if hot:
             from staylens.operators.packing_dist import chunk_distributed
             is_hot = F.col(key).isin(hot)
@@ -173,8 +180,9 @@ def chunk_reviews(df: DataFrame, key: str = "listing_id", order_cols: Sequence[s
     schema = f"{key} {kt}, chunk_no long, item_no long, text string, tokens long, truncated boolean"
     extra = [prompt_tokens] if isinstance(prompt_tokens, str) else []
     cols = [key, *order_cols, text_col, *extra]
-    ordered = df.select(*cols).repartition(key).sortWithinPartitions(key, *order_cols)
-    return ordered.select(key, text_col, *extra).mapInPandas(
+    ordered = df.select(*cols, estimate_tokens(text_col).alias("_tok")) \
+        .repartition(key).sortWithinPartitions(key, *order_cols)
+    return ordered.select(key, text_col, "_tok", *extra).mapInPandas(
         _pack_partitions(key, text_col, int(limit), prompt_tokens), schema)
 
 

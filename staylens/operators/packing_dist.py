@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.functions.scalar import estimate_tokens, truncate_item
-from staylens.plans.common import materialize
+from staylens.plans.common import materialize, reuse
 
 
 def _local_positions(key: str, weight: str):
@@ -88,7 +88,7 @@ def global_positions(df: DataFrame, key: str, order_cols: Sequence[str], weight:
     schema = T.StructType(list(ranged.schema.fields) + [
         T.StructField("_pid", T.IntegerType()), T.StructField("_lidx", T.LongType()),
         T.StructField("_lpre", T.LongType())])
-    loc = materialize(ranged.mapInPandas(_local_positions(key, w), schema))
+    loc = reuse(ranged.mapInPandas(_local_positions(key, w), schema))
     off = loc.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_c"), F.sum(w).alias("_s"))
     from pyspark.sql import Window
     win = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -125,8 +125,8 @@ def chunk_distributed(df: DataFrame, key: str, order_cols: Sequence[str], text_c
         F.min(F.when(F.col("tokens") <= F.col("budget"), F.col("gidx"))).alias("first_fit"))
     tot = tot.withColumn("w", F.greatest(F.lit(1), 4 * F.ceil(F.col("tt") / F.greatest(F.col("n"), F.lit(1))))
                          .cast("long"))
-    tot = materialize(tot)
-    pos = materialize(pos.join(tot, key))
+    tot = reuse(tot)
+    pos = reuse(pos.join(tot, key))
 
     # 2. next(i)
     probes = pos.where(F.col("tokens") <= F.col("budget")).select(

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
+def reuse(df: DataFrame) -> DataFrame:
+    """A DataFrame read by more than one later step of the same plan.
+
+    Persisted to executor memory / local disk (``MEMORY_AND_DISK``); its
+    lineage is short, so blocks lost with an executor are recomputed from it.
+    Lazy: the first action fills it, no extra job."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage for a DataFrame that feeds more than one action.
+    """Cut lineage (iterative plans such as pointer doubling).
 
     Writes a reliable checkpoint under the session's ``spark.checkpoint.dir``
     (a shared folder on a cluster), so a lost executor does not force the
-    upstream scan and shuffles to rerun.
-    """
+    whole chain of earlier rounds to rerun."""
     from staylens.session import checkpoint_root
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)

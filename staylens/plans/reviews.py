@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions.scalar import estimate_tokens, fill_template
+from staylens.functions.scalar import estimate_tokens, fill_template, fixed_round
 from staylens.operators import packing as pk
-from staylens.operators import reviews as rv
 from staylens.operators.prompts import area_summary_pack
+from staylens.plans.common import reuse
 
 # Placeholders filled in the listing and area prompt templates.
 LISTING_TEMPLATE = ("Summarize the guest reviews of a listing in {ZIP_CODE_HERE} ({ISO_CODE_HERE}). "
@@ -21,17 +21,20 @@ REVIEW_THRESHOLD = 5
 NUM_TO_SUMMARIZE = 100000
 
 
-def rating_text(reviews: DataFrame, key: str = "listing_id", rating: str = "rating") -> DataFrame:
-    """Rating rendered as text the way a pandas column renders: integers as
-    '5', but a listing with any missing or fractional rating renders every
-    rating as a float ('5.0').  The per-listing flag is a partial-aggregated
-    groupBy joined back (AQE splits a hot listing's side of the join)."""
+def listing_stats(reviews: DataFrame, key: str = "listing_id", rating: str = "rating") -> DataFrame:
+    """One pass: mean rating (4 dp, NULL as 0 in the sum), review count, and
+    whether the listing's ratings render as floats -- pandas renders a rating
+    column with any missing or fractional value as '5.0', else as '5'."""
     r = F.col(rating).cast("double")
-    flags = reviews.groupBy(key).agg(
+    return reviews.groupBy(key).agg(
+        fixed_round(F.sum(F.coalesce(r, F.lit(0.0))) / F.count(F.lit(1)), 4).alias("mean_rating"),
+        F.count(F.lit(1)).alias("n_reviews"),
         F.max(F.when(r.isNull() | (r != F.floor(r)), 1).otherwise(0)).alias("_floaty"))
-    j = reviews.join(flags, key)
-    txt = F.when(F.col("_floaty") == 1, r.cast("string")).otherwise(r.cast("long").cast("string"))
-    return j.withColumn("rating_text", txt).drop("_floaty")
+
+
+def rating_text(rating: str = "rating") -> F.Column:
+    r = F.col(rating).cast("double")
+    return F.when(F.col("_floaty") == 1, r.cast("string")).otherwise(r.cast("long").cast("string"))
 
 
 def review_pack(reviews: DataFrame, order_cols: Sequence[str], area_of: DataFrame | None = None,
@@ -40,10 +43,15 @@ def review_pack(reviews: DataFrame, order_cols: Sequence[str], area_of: DataFram
                 limit: int = pk.CHUNK_TOKEN_LIMIT) -> DataFrame:
     """Per listing: mean rating, global macro mean, threshold, filled template,
     combined '<rating> <review>' items packed under the token limit, one
-    prompt row per chunk (``key, chunk_no, n_chunks, n_items, prompt``)."""
-    means = rv.listing_mean_rating(reviews, key, rating)
-    overall = rv.overall_mean_rating(reviews, key, rating).first()["overall_mean"]
-    keep = means.where(F.col("n_reviews") >= threshold)
+    prompt row per chunk (``key, chunk_no, n_chunks, n_items, prompt``).
+
+    Plan: one partial-aggregated pass builds the per-listing table (materialised
+    once: it feeds the macro mean, the hot-listing check and the prompts);
+    one join attaches it to the reviews; packing and prompt assembly follow.
+    """
+    stats = reuse(listing_stats(reviews, key, rating))
+    overall = stats.agg(fixed_round(F.avg("mean_rating"), 4)).first()[0]
+    keep = stats.where(F.col("n_reviews") >= threshold)
     if area_of is not None:
         keep = keep.join(area_of.select(key, "area"), key, "left")
     else:
@@ -52,12 +60,13 @@ def review_pack(reviews: DataFrame, order_cols: Sequence[str], area_of: DataFram
         "ZIP_CODE_HERE": F.col("area"), "ISO_CODE_HERE": F.lit(iso_code),
         "RATING_AVERAGE_HERE": F.col("mean_rating").cast("string"),
         "OVERALL_MEAN": F.lit(str(overall))})
-    heads = keep.select(key, prompt.alias("base_prompt")).withColumn("prompt_tokens", estimate_tokens("base_prompt"))
-    items = rating_text(reviews.join(heads.select(key), key, "left_semi"), key, rating)
-    items = items.withColumn("text", F.concat(F.col("rating_text"), F.lit(" "), F.col(review)))
-    items = items.join(heads, key)
-    ch = pk.chunk_reviews(items, key, list(order_cols), "text", "prompt_tokens", limit)
-    ch = ch.join(heads, key)
+    heads = keep.select(key, "_floaty", prompt.alias("base_prompt")) \
+        .withColumn("prompt_tokens", estimate_tokens("base_prompt"))
+    hot = [r[0] for r in keep.where(F.col("n_reviews") > pk.HOT_ITEMS).select(key).collect()]
+    items = reviews.join(heads, key)
+    items = items.withColumn("text", F.concat(rating_text(rating), F.lit(" "), F.col(review)))
+    ch = pk.chunk_reviews(items, key, list(order_cols), "text", "prompt_tokens", limit, hot_keys=hot)
+    ch = ch.join(heads.select(key, "base_prompt", "prompt_tokens"), key)
     return pk.chunk_prompt(ch, F.col("base_prompt"), key, "prompt_tokens", limit)
 
 

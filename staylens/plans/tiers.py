@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from staylens.functions.scalar import fixed_round
 from staylens.operators import market as mk
 from staylens.operators import tiers as tr
-from staylens.plans.common import materialize
+from staylens.plans.common import reuse
 from staylens.sources import bindings as b
 
 
@@ -37,14 +37,16 @@ def tier_analysis(matrix: DataFrame, metrics: Mapping[str, str] = None, amenitie
     amenities = amenities or tr.AMENITY_COLUMNS
     df = mk.has_market_data_filter(matrix)
     if persist:
-        df = materialize(df)
+        df = reuse(df)
     th = tr.tier_thresholds(df, metrics, top, bottom, by)
-    if persist:
-        th = materialize(th)
+    if persist and by is not None:
+        th = reuse(th)  # joined back per group and reused by the report
     tiered = tr.tier_assign(df, metrics, th, top, bottom, by)
     present_a = [a for a in amenities if a in df.columns]
     present_n = [c for c in numeric if c in df.columns]
     stats = tr.tier_feature_stats(tiered, present_a, present_n, by)
+    if persist:
+        stats = reuse(stats)  # groups x metrics x 2 rows; feeds prevalence, numeric and counts
     prev = tr.amenity_prevalence(tiered, present_a, by, stats=_rename(stats, "a", len(present_a)))
     num = tr.numeric_tier_stats(tiered, present_n, by, stats=_rename(stats, "m", len(present_n)))
     return {"thresholds": th, "tiered": tiered, "stats": stats, "prevalence": prev, "numeric": num}
@@ -60,7 +62,7 @@ def tier_report(res: dict[str, DataFrame], top: int = 25, bottom: int = 25, by=N
     """One row per (group, metric): the ``write_tier_stats`` record plus the
     comparison text -- thresholds rounded to 2 dp, tier counts."""
     keys = [] if by is None else ([by] if isinstance(by, str) else list(by))
-    counts = tr.tier_counts(res["tiered"], by)
+    counts = res["stats"].select(*keys, "metric", "tier", "n")
     cnt = counts.groupBy(*keys, "metric").agg(
         F.max(F.when(F.col("tier") == "high", F.col("n"))).alias("high_tier_count"),
         F.max(F.when(F.col("tier") == "low", F.col("n"))).alias("low_tier_count"))

@@ -40,7 +40,7 @@ def b_market(spark: SparkSession, sf: str) -> DataFrame:
         F.floor(100.0 * F.sum(F.when(F.col("l_returnflag") != "N", 1).otherwise(0)) / F.count(F.lit(1)))
          .cast("int").alias("Occupancy"),
         F.sum("l_extendedprice").alias("Revenue"),
-        F.least(F.lit(365), 10 * F.countDistinct(F.to_date("l_shipdate"))).cast("int").alias("Days_Available"),
+        F.least(F.lit(365), 10 * F.countDistinct(F.col("l_shipdate").cast("date"))).cast("int").alias("Days_Available"),
     )
 
 

@@ -8,10 +8,42 @@ from pyspark.sql import functions as F
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+# A scan smaller than this is never spread (broadcast-sized dimension tables).
+SPREAD_MIN_BYTES = 4 << 20
+# Tables whose rows carry whole texts: per-row work (regexes, word counts,
+# template fills) outweighs one extra round-robin exchange.
+TEXT_TABLES = {"documents", "pages"}
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; timestamp_ntz columns become session timestamps (UTC)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+def _path_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def spread_scan(df: DataFrame, path: str) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (an unsplittable file with a single row group).  On a cluster the
+    scan already has one partition per file split and this is a no-op."""
+    spark = df.sparkSession
+    if spark.conf.get("staylens.spreadScans", "true") != "true":
+        return df
+    par = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par or _path_bytes(spark, path) < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(par)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
+    """Read one driver table; timestamp_ntz columns become session timestamps (UTC).
+
+    ``spread`` (default: text tables only) applies :func:`spread_scan`."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     casts = [F.col(f.name).cast("timestamp").alias(f.name) if f.dataType.typeName() == "timestamp_ntz"
              else F.col(f.name) for f in df.schema.fields]
-    return df.select(*casts)
+    out = df.select(*casts)
+    if spread if spread is not None else name in TEXT_TABLES:
+        out = spread_scan(out, path)
+    return out
