@@ -49,10 +49,13 @@ def missing_outputs(expected: DataFrame, manifest: DataFrame, as_of, ttl_hours:
 
 
 def stage_freshness(expected: DataFrame, manifest: DataFrame, as_of, ttl_hours: float,
-                    key: str = "listing_id") -> DataFrame:
-    """Per stage: fresh iff its expected set is non-empty and every expected
-    output exists within the TTL."""
-    fresh = with_freshness(manifest, as_of, ttl_hours).select("stage", key, "fresh")
+                    key: str = "listing_id", enabled: bool = True,
+                    force_stages: Sequence[str] = ()) -> DataFrame:
+    """Per stage: fresh iff caching is enabled, the stage is not forced, its
+    expected set is non-empty and every expected output exists within the TTL."""
+    fresh = with_freshness(manifest, as_of, ttl_hours, enabled=enabled).select("stage", key, "fresh")
+    if force_stages:
+        fresh = fresh.withColumn("fresh", F.col("fresh") & ~F.col("stage").isin(*force_stages))
     j = expected.join(fresh, ["stage", key], "left")
     return j.groupBy("stage").agg(
         F.count(F.lit(1)).alias("expected"),

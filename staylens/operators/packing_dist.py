@@ -92,10 +92,12 @@ def global_positions(df: DataFrame, key: str, order_cols: Sequence[str], weight:
     off = loc.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_c"), F.sum(w).alias("_s"))
     from pyspark.sql import Window
     win = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per (range partition, key): at most partitions x keys rows -> broadcast
+    # one row per (range partition, key) present: about keys + partitions rows.
+    # No broadcast hint: AQE broadcasts it when its measured size is small
+    # (few hot keys), else joins by sort-merge.
     off = off.select("_pid", key, F.coalesce(F.sum("_c").over(win), F.lit(0)).alias("_bi"),
                      F.coalesce(F.sum("_s").over(win), F.lit(0)).alias("_bs"))
-    out = loc.join(F.broadcast(off), ["_pid", key]).withColumns({
+    out = loc.join(off, ["_pid", key]).withColumns({
         "gidx": F.col("_bi") + F.col("_lidx"), "pe": F.col("_bs") + F.col("_lpre")})
     return out.drop("_pid", "_lidx", "_lpre", "_bi", "_bs", *(["_one"] if not weight else []))
 

@@ -58,3 +58,14 @@ def test_text_helpers(spark):
     r = df.select(sc.word_count("t"), sc.truncate_sample(F.lit("x" * 501)), sc.display_name(F.lit("SYSTEM_POOL_TABLE")),
                   sc.threshold_label(F.lit(364.1), "$"), sc.threshold_label(F.lit(64.0), "%")).collect()[0]
     assert r[0] == 4 and r[1] == "x" * 500 + "..." and r[2] == "Pool Table" and r[3] == "$364.10" and r[4] == "64.0%"
+
+
+def test_stage_freshness_forced_stage(spark):
+    listings = spark.createDataFrame([("a",)], "listing_id string")
+    manifest = spark.createDataFrame([("s1", "a", "2024-01-30 12:00:00"), ("s2", "a", "2024-01-30 12:00:00")],
+                                     "stage string, listing_id string, mtime string") \
+        .withColumn("mtime", F.col("mtime").cast("timestamp"))
+    exp = fr.expected_outputs(listings, ["s1", "s2"])
+    out = {r["stage"]: r["stage_fresh"] for r in
+           fr.stage_freshness(exp, manifest, "2024-01-31 00:00:00", 72, force_stages=["s2"]).collect()}
+    assert out == {"s1": True, "s2": False}
