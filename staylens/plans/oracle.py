@@ -255,7 +255,7 @@ def _():
     return f"WITH {TIER_CTES}, {COMPARISON_SQL} SELECT metric, comparison_text FROM ct"
 
 
-@q("tier_pipeline")
+@q("tier_analysis")
 def _():
     return f"""WITH {TIER_CTES}, {COMPARISON_SQL},
 cnt AS (SELECT metric, SUM(CASE WHEN tier = 'high' THEN 1 ELSE 0 END) AS high_tier_count,
@@ -433,7 +433,7 @@ def _():
     return f"WITH {OLS_CTES} SELECT side, rank, listing_id, {R('residual', 4)} AS residual FROM tbr"
 
 
-@q("premium_pipeline")
+@q("premium_analysis")
 def _():
     return f"""WITH {OLS_CTES}
 SELECT {R('CASE WHEN var_samp(actual) * (COUNT(*) - 1) > 0 THEN 1.0 - SUM(residual * residual) / (var_samp(actual) * (COUNT(*) - 1)) ELSE 0.0 END', 4)} AS r_squared,
@@ -1216,14 +1216,14 @@ FROM ({B_REVIEWS}) r JOIN part p ON p.p_partkey = r.listing_id GROUP BY p.p_type
 
 @q("write_tier_stats")
 def _():
-    sql = SQL["tier_pipeline"]
+    sql = SQL["tier_analysis"]
     return sql.replace("25 AS top_percentile, 25 AS bottom_percentile, comparison_text",
                        "25 AS top_percentile, 25 AS bottom_percentile")
 
 
 @q("write_quality_stats")
 def _():
-    return SQL["premium_pipeline"]
+    return SQL["premium_analysis"]
 
 
 @q("render_report")

@@ -145,7 +145,7 @@ def _(spark, sf):
     return tr.comparison_table_text(r["prevalence"], r["numeric"])
 
 
-@q("tier_pipeline")
+@q("tier_analysis")
 def _(spark, sf):
     return tp.tier_report(_tiers(spark, sf), metric_columns=tp.BINDING_METRICS)
 
@@ -298,7 +298,7 @@ def _(spark, sf):
         "side", "rank", "listing_id", fixed_round("residual", 4).alias("residual"))
 
 
-@q("premium_pipeline")
+@q("premium_analysis")
 def _(spark, sf):
     frame, model, res = _ols(spark, sf)
     r2 = pm.r_squared(res)

@@ -14,7 +14,7 @@ def test_entry_and_registry(spark):
 
 
 @pytest.mark.skipif(not has_data(), reason="driver tables not present")
-@pytest.mark.parametrize("name", ["tier_pipeline", "chunk_reviews_tight", "ols_fit", "stage_freshness",
+@pytest.mark.parametrize("name", ["tier_analysis", "chunk_reviews_tight", "ols_fit", "stage_freshness",
                                   "build_matrix", "stream_request_cost"])
 def test_queries_run_on_smallest_tables(spark, name):
     import __spark_entry__ as e
