@@ -54,7 +54,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder there).  Only when it is unset -- local runs and tests -- a private
     folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint directory
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return d
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -48,8 +48,11 @@ def _exists(path: str) -> bool:
     HDFS and object-store paths behave the same."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
+    try:
+        jvm = spark._jvm
+        conf = spark._jsc.hadoopConfiguration()
+    except Exception:  # no JVM handle (Spark Connect): let the reader report a missing path
+        return True
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
     st = fs.globStatus(p)

@@ -29,8 +29,11 @@ def spread_scan(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get("staylens.spreadScans", "true") != "true":
         return df
-    par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par or _path_bytes(spark, path) < SPREAD_MIN_BYTES:
+    try:
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= par or _path_bytes(spark, path) < SPREAD_MIN_BYTES:
+            return df
+    except Exception:  # no JVM handle (e.g. a Spark Connect session): leave the scan as is
         return df
     return df.repartition(par)
 
