@@ -1,10 +1,10 @@
 """Listing x amenity matrix (pipeline A): nested details -> long features ->
 wide matrix -> clean matrix.
 
-The long form ``(listing_id, icon, title, src_rank, pos)`` is the primary
-representation; the wide matrix is one ``groupBy(listing).pivot(icon, icons)``
-whose icon list is supplied (or found by one small distinct job), so no extra
-pass over the data is needed to discover pivot values.
+The long form ``(listing_id, icon, title, source)`` is the primary
+representation; the wide matrix is one hash aggregate per listing (icon ->
+title map) whose icon list is supplied (or found by one small distinct job),
+so no extra pass over the data is needed to discover the columns.
 """
 
 from __future__ import annotations
@@ -59,12 +59,20 @@ def amenity_matrix(long: DataFrame, icons: Sequence[str] | None = None, key: str
                    value: str = "title") -> DataFrame:
     """Wide matrix: one column per icon holding the title (NULL = missing).
 
-    ``icons`` fixes the pivot columns; without it one distinct job lists them
-    (the icon vocabulary is small -- a few hundred names at most).
+    ``long`` has one row per (listing, icon), as :func:`amenity_long` returns.
+    ``icons`` fixes the columns; without it one distinct job lists them (the
+    icon vocabulary is small -- a few hundred names at most).
+
+    Plan: one hash aggregate per listing builds an icon -> title map
+    (``collect_list`` runs in ObjectHashAggregate; a listing holds at most the
+    vocabulary), then each column is a map lookup.  A ``pivot`` of string
+    values would instead compile to a sort-based aggregate with one ``first``
+    per icon.
     """
     if icons is None:
         icons = sorted(r[0] for r in long.select("icon").distinct().collect())
-    return long.groupBy(key).pivot("icon", list(icons)).agg(F.first(value))
+    m = long.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("icon", value))).alias("_m"))
+    return m.select(key, *[F.col("_m")[i].alias(i) for i in icons])
 
 
 def amenity_flags(df: DataFrame, prefix: str = "SYSTEM_") -> DataFrame:
