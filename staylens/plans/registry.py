@@ -617,7 +617,8 @@ def _(spark, sf):
 
 @q("union_cells")
 def _(spark, sf):
-    hits = _hits(spark, sf).select("listing_id", "area", "cell_no")
+    from staylens.plans.common import reuse
+    hits = reuse(_hits(spark, sf).select("listing_id", "area", "cell_no"))  # read once per cell
     parts = [hits.where(F.col("cell_no") == k) for k in range(gd.GRID_DIMENSIONS ** 2)]
     return gd.union_cells(*parts)
 

@@ -99,11 +99,15 @@ def b_descriptions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def b_requests(spark: SparkSession, sf: str) -> DataFrame:
-    """Model request log derived from conversations (one row per assistant turn)."""
-    from pyspark.sql import Window as W
-    c = table(spark, sf, "conversations")
-    w = W.partitionBy("conv_id").orderBy("turn")
-    base = c.withColumn("prompt", F.lag("text").over(w))
+    """Model request log derived from conversations (one row per assistant turn).
+
+    The prompt is the previous turn's text.  Instead of a ``lag`` window (one
+    task per conversation), turns get range-partitioned positions and the
+    previous turn is an equi-join on (conversation, position - 1)."""
+    from staylens.operators.packing_dist import global_positions
+    c = global_positions(table(spark, sf, "conversations"), "conv_id", ["turn"]).drop("pe")
+    prev = c.select("conv_id", (F.col("gidx") + 1).alias("gidx"), F.col("text").alias("prompt"))
+    base = c.join(prev, ["conv_id", "gidx"], "left")
     a = base.where(F.col("role") == "assistant")
     return a.select(
         (F.col("conv_id") % 10).alias("session"),

@@ -116,3 +116,23 @@ def test_distributed_path_equals_local_path(spark, pairs, limit):
     cols = ["listing_id", "chunk_no", "item_no", "text", "tokens", "truncated"]
     assert sorted(tuple(r[c] for c in cols) for r in local.collect()) == \
         sorted(tuple(r[c] for c in cols) for r in dist.collect())
+
+
+def test_global_positions_hot_key_spans_partitions(spark):
+    from staylens.operators.packing_dist import global_positions
+    import random
+    rnd = random.Random(3)
+    rows = [("hot", i, rnd.randint(0, 9)) for i in range(500)] + [(f"k{i % 7}", i, rnd.randint(0, 9)) for i in range(60)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, o int, w long")
+    out = global_positions(df, "k", ["o"], weight="w", partitions=16).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r["k"], []).append((r["o"], r["gidx"], r["pe"], r["w"]))
+    for k, xs in by.items():
+        xs.sort()
+        assert [x[1] for x in xs] == list(range(len(xs)))
+        acc = 0
+        for _o, _g, pe, w in xs:
+            assert pe == acc
+            acc += w
