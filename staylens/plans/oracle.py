@@ -108,7 +108,7 @@ B_MARKET = f"""
          {R('CAST(SUM(l_extendedprice) / SUM(l_quantity) AS DECIMAL(18,8))', 2)} AS ADR,
          CAST(FLOOR(CAST(100.0 AS DOUBLE) * SUM(CASE WHEN l_returnflag <> 'N' THEN 1 ELSE 0 END) / COUNT(*)) AS INTEGER)
            AS Occupancy,
-         SUM(l_extendedprice) AS Revenue,
+         {R('SUM(l_extendedprice)', 2)} AS Revenue,
          CAST(LEAST(365, 10 * COUNT(DISTINCT CAST(l_shipdate AS DATE))) AS INTEGER) AS Days_Available
   FROM lineitem GROUP BY l_partkey"""
 
