@@ -29,14 +29,20 @@ def request_costs(requests: DataFrame, prompt: str = "prompt", response: str = "
 
 
 def request_cost_session(costed: DataFrame, session: str = "session", key: str = "listing_id",
-                         success: str = "success", cached: str = "cached") -> DataFrame:
+                         success: str = "success", cached: str = "cached",
+                         strip_merge_suffix: bool = False) -> DataFrame:
     """Session summary: counts, cache rate (1 dp), unique listings, token and
     cost sums over uncached requests, cost per listing (4 dp) and per 100
-    listings (2 dp), with max(1, n) denominators."""
+    listings (2 dp), with max(1, n) denominators.
+
+    Merge requests are logged as listing '<id>_merge' (counted as another
+    listing, as the reference does); ``strip_merge_suffix`` counts them under
+    their listing instead."""
     unc = ~F.col(cached)
     n_req = F.count(F.lit(1))
     hits = F.sum(F.when(F.col(cached), 1).otherwise(0))
-    listings = F.count_distinct(key)
+    lid = F.col(key).cast("string")
+    listings = F.count_distinct(F.regexp_replace(lid, "_merge$", "") if strip_merge_suffix else F.col(key))
     in_t = F.sum(F.when(unc, F.col("input_tokens")).otherwise(0))
     out_t = F.sum(F.when(unc, F.col("output_tokens")).otherwise(0))
     cost = F.sum(F.when(unc, F.col("cost")).otherwise(0.0))

@@ -111,8 +111,10 @@ def pack_many(keys: np.ndarray, tokens: np.ndarray, budget: np.ndarray):
     return chunk_no.astype("int64"), item_no.astype("int64"), trunc
 
 
-def _pack_partitions(key: str, text_col: str, limit: int, prompt):
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+def _pack_buckets(key: str, order_cols: list[str], text_col: str, limit: int, prompt):
+    """Grouped-map body: one call holds every row of each listing in its bucket."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([key, *order_cols], na_position="first", kind="mergesort").reset_index(drop=True)
         tok = pdf["_tok"].to_numpy(dtype="int64")  # estimated in the JVM
         pt = pdf[prompt].to_numpy(dtype="int64") if isinstance(prompt, str) else np.full(len(pdf), int(prompt))
         chunk, item, trunc = pack_many(pdf[key].to_numpy(), tok, limit - pt)
@@ -125,65 +127,63 @@ def _pack_partitions(key: str, text_col: str, limit: int, prompt):
                                    + TRUNCATE_MARKER)
         return pd.DataFrame({key: pdf[key].to_numpy(), "chunk_no": chunk, "item_no": item,
                              "text": cut.to_numpy(), "tokens": tok, "truncated": trunc})
-
-    def fn(batches):
-        carry = None
-        for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if len(pdf) == 0:
-                continue
-            k = pdf[key].to_numpy()
-            # the last listing may continue in the next Arrow batch: hold it back
-            tail = int(np.flatnonzero(k != k[-1])[-1]) + 1 if (k != k[-1]).any() else 0
-            done, carry = pdf.iloc[:tail], pdf.iloc[tail:].reset_index(drop=True)
-            if len(done):
-                yield pack(done.reset_index(drop=True))
-        if carry is not None and len(carry):
-            yield pack(carry)
     return fn
 
 
 # Listings with more items than this are packed by the distributed path.
 HOT_ITEMS = 2_000_000
+# Rows per grouped-map call aimed at by the bucket count (listings stay whole).
+ROWS_PER_BUCKET = 200_000
 
 
 def chunk_reviews(df: DataFrame, key: str = "listing_id", order_cols: Sequence[str] = ("pos",),
                   text_col: str = "text", prompt_tokens: int | str = 0,
                   limit: int = CHUNK_TOKEN_LIMIT, hot_items: int | None = HOT_ITEMS,
-                  hot_keys: Sequence | None = None) -> DataFrame:
+                  hot_keys: Sequence | None = None, total_rows: int | None = None) -> DataFrame:
     """Assign every item to a chunk: ``key, chunk_no, item_no, text, tokens, truncated``.
 
     ``prompt_tokens`` is a number or the name of a per-listing column (the
     filled template differs per listing).  Every item of the input is kept
     (only cut items change text).
 
-    Plan: a size check (``groupBy(key).count()``, partial-aggregated) finds
-    listings with more than ``hot_items`` items -- at most rows / hot_items
-    keys, so the list is bounded.  Those go through the exact distributed
-    path (:mod:`staylens.operators.packing_dist`); every other listing is
-    hash-partitioned on the key, sorted inside partitions by (key, order) and
-    packed by one ``mapInPandas`` pass over whole batches of listings.
-    ``hot_keys`` passes the list when the caller already knows the counts;
-    ``hot_items=None`` skips the check when sizes are known to be bounded.
+    Plan: one small size-check job (``groupBy(key).count()``, partial-
+    aggregated) returns the row total and the listings with more than
+    ``hot_items`` items -- at most rows / hot_items keys, so the list is
+    bounded.  Those go through the exact distributed path
+    (:mod:`staylens.operators.packing_dist`).  Every other listing is packed
+    by ``groupBy(bucket).applyInPandas``: the bucket is a hash of the key, so
+    Spark delivers each listing whole to one call (a guarantee, unlike the
+    physical layout after ``repartition``, which the optimizer may elide), and
+    the bucket count (rows / ROWS_PER_BUCKET, at least the shuffle partition
+    count) keeps each call to a bounded number of rows plus at most one
+    listing below ``hot_items``.  Callers that know the sizes pass
+    ``hot_keys`` and ``total_rows``; ``hot_items=None`` skips the hot path.
     """
-    if hot_keys is not None or hot_items is not None:
-        hot = list(hot_keys) if hot_keys is not None else \
-            [r[0] for r in df.groupBy(key).count().where(F.col("count") > hot_items).select(key).collect()]
-        if hot:
-            from staylens.operators.packing_dist import chunk_distributed
-            is_hot = F.col(key).isin(hot)
-            local = chunk_reviews(df.where(~is_hot), key, order_cols, text_col, prompt_tokens, limit, None)
-            dist = chunk_distributed(df.where(is_hot), key, order_cols, text_col, prompt_tokens, limit)
-            return local.unionByName(dist)
+    spark = df.sparkSession
+    if hot_keys is None or total_rows is None:
+        counts = df.groupBy(key).count()
+        hot_cond = (F.col("count") > hot_items) if hot_items is not None else F.lit(False)
+        row = counts.agg(F.sum("count").alias("total"),
+                         F.collect_list(F.when(hot_cond, F.col(key))).alias("hot")).first()
+        total_rows = int(row["total"] or 0)
+        if hot_keys is None:
+            hot_keys = list(row["hot"] or [])
+    if hot_keys:
+        from staylens.operators.packing_dist import chunk_distributed
+        is_hot = F.col(key).isin(list(hot_keys))
+        local = chunk_reviews(df.where(~is_hot), key, order_cols, text_col, prompt_tokens, limit,
+                              hot_items=None, hot_keys=[], total_rows=total_rows)
+        dist = chunk_distributed(df.where(is_hot), key, order_cols, text_col, prompt_tokens, limit)
+        return local.unionByName(dist)
     kt = df.schema[key].dataType.simpleString()
     schema = f"{key} {kt}, chunk_no long, item_no long, text string, tokens long, truncated boolean"
     extra = [prompt_tokens] if isinstance(prompt_tokens, str) else []
-    cols = [key, *order_cols, text_col, *extra]
-    ordered = df.select(*cols, estimate_tokens(text_col).alias("_tok")) \
-        .repartition(key).sortWithinPartitions(key, *order_cols)
-    return ordered.select(key, text_col, "_tok", *extra).mapInPandas(
-        _pack_partitions(key, text_col, int(limit), prompt_tokens), schema)
+    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(n_part, -(-int(total_rows) // ROWS_PER_BUCKET), 1)
+    staged = df.select(key, *order_cols, text_col, *extra, estimate_tokens(text_col).alias("_tok"),
+                       F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket"))
+    fn = _pack_buckets(key, list(order_cols), text_col, int(limit), prompt_tokens)
+    return staged.groupBy("_bucket").applyInPandas(fn, schema)
 
 
 def needs_chunking(df: DataFrame, key: str = "listing_id", text_col: str = "text", prompt_tokens: int = 0,

@@ -25,7 +25,6 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -172,5 +171,3 @@ def chunk_distributed(df: DataFrame, key: str, order_cols: Sequence[str], text_c
 
 
 __all__ = ["chunk_distributed", "global_positions"]
-
-_ = pd  # pandas is used by mapInPandas batches

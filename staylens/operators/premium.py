@@ -124,8 +124,8 @@ def ols_fit(df: DataFrame, label: str = LABEL, features: Sequence[str] | None =
     if n < p + 1:
         return model
     g, c = m[:p, :p], m[:p, p]
-    scale = max(np.max(np.abs(np.diag(g))), 1e-300)
-    beta = np.linalg.pinv(g, rcond=1e-12, hermitian=True) @ c if scale > 0 else np.zeros(p)
+    # minimum-norm solution of the centred normal equations (rank-deficient designs included)
+    beta = np.linalg.pinv(g, rcond=1e-12, hermitian=True) @ c
     model.coefficients = [float(x) for x in beta]
     model.intercept = float(means[p] - np.dot(np.asarray(means[:p]), beta))
     model.ok = True

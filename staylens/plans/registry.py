@@ -300,16 +300,12 @@ def _(spark, sf):
 
 @q("premium_analysis")
 def _(spark, sf):
-    frame, model, res = _ols(spark, sf)
-    r2 = pm.r_squared(res)
-    st = pm.residual_stats(res)
-    return r2.join(st, how="inner").select(
-        fixed_round("r_squared", 4).alias("r_squared"), F.lit(len(model.features)).alias("n_features"),
-        F.col("n").alias("n_properties"), "mean", "std", "min", "max") if False else \
-        _premium_record(r2, st, len(model.features))
+    _frame, model, res = _ols(spark, sf)
+    return _premium_record(pm.r_squared(res), pm.residual_stats(res), len(model.features))
 
 
 def _premium_record(r2, st, p):
+    """One record from two one-row aggregates: tagged union + one global agg (no join)."""
     tagged = r2.select(F.col("n").alias("n_properties"), F.col("r_squared"),
                        *[F.lit(None).cast("double").alias(c) for c in ("mean", "std", "min", "max")]) \
         .unionByName(st.select(F.lit(None).cast("long").alias("n_properties"),

@@ -69,3 +69,12 @@ def test_stage_freshness_forced_stage(spark):
     out = {r["stage"]: r["stage_fresh"] for r in
            fr.stage_freshness(exp, manifest, "2024-01-31 00:00:00", 72, force_stages=["s2"]).collect()}
     assert out == {"s1": True, "s2": False}
+
+
+def test_merge_requests_listing_count(spark):
+    reqs = spark.createDataFrame([(1, "l1", "p", "r", True, False), (1, "l1_merge", "Merge prompt", "r", True, False)],
+                                 "session int, listing_id string, prompt string, response string, "
+                                 "success boolean, cached boolean")
+    c = cs.request_costs(reqs)
+    assert cs.request_cost_session(c).collect()[0]["unique_listings"] == 2
+    assert cs.request_cost_session(c, strip_merge_suffix=True).collect()[0]["unique_listings"] == 1
