@@ -8,6 +8,28 @@ from pyspark.sql import functions as F
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+# Declared schemas of the driver tables: reading with a schema skips Spark's
+# footer-inference job on every read.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "pages": "page_id long, url string, html string",
+    "benchmark": "item_id long, text string",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
 # A scan smaller than this is never spread (broadcast-sized dimension tables).
 SPREAD_MIN_BYTES = 4 << 20
 # Tables whose rows carry whole texts: per-row work (regexes, word counts,
@@ -43,7 +65,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = Non
 
     ``spread`` (default: text tables only) applies :func:`spread_scan`."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    df = reader.parquet(path)
     casts = [F.col(f.name).cast("timestamp").alias(f.name) if f.dataType.typeName() == "timestamp_ntz"
              else F.col(f.name) for f in df.schema.fields]
     out = df.select(*casts)

@@ -44,9 +44,15 @@ def run_available(stream: DataFrame, out_path: str, checkpoint: str, mode: str =
 
 
 def review_ratings_stream(spark: SparkSession, source: str, schema: str, key: str = "listing_id",
-                          rating: str = "rating", max_files: int = 1) -> DataFrame:
-    """Running per-listing rating sums and counts over a review file folder."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
+                          rating: str = "rating", max_files: int | None = None) -> DataFrame:
+    """Running per-listing rating sums and counts over a review file folder.
+
+    ``max_files`` caps files per micro-batch (None: everything that has
+    landed since the last batch; the checkpoint remembers what was seen)."""
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    src = r.parquet(source)
     return src.groupBy(key).agg(F.sum(F.coalesce(F.col(rating).cast("double"), F.lit(0.0))).alias("rating_sum"),
                                 F.count(F.lit(1)).alias("n_reviews"))
 
@@ -78,16 +84,18 @@ def request_cost_stream(src: DataFrame, watermark: str, window: str, session: st
 
 
 def stream_request_cost(spark: SparkSession, costed: DataFrame, watermark: str = "30 days",
-                        window: str = "1 day", files: int = 4) -> DataFrame:
+                        window: str = "1 day", files: int = 4, max_files: int | None = None) -> DataFrame:
     """Land costed requests as files, stream them through a watermarked
     windowed aggregate, return the final value per (session, window)."""
     cols = ["session", "listing_id", "ts", "cached", "input_tokens", "output_tokens", "cost"]
     src = scratch_path(spark, "stream-cost-src")
     costed.select(*cols).repartitionByRange(files, "ts").write.parquet(src)
-    schema = spark.read.parquet(src).schema
+    schema = costed.select(*cols).schema
     out, ck = scratch_path(spark, "stream-cost-out"), scratch_path(spark, "stream-cost-ck")
-    stream = request_cost_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src),
-                                 watermark, window)
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    stream = request_cost_stream(r.parquet(src), watermark, window)
     stream = stream.select("session", F.col("w.start").alias("window_start"), "total_requests", "cache_hits",
                            "total_input_tokens", "total_output_tokens", "total_cost")
     run_available(stream, out, ck, "update")

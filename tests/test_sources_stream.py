@@ -76,3 +76,22 @@ def test_stream_equals_batch(spark):
     s = sorted(tuple(r) for r in stream_review_ratings(spark, df).collect())
     b = sorted(tuple(r) for r in listing_mean_rating(df).select("listing_id", "mean_rating", "n_reviews").collect())
     assert s == b
+
+
+def test_stream_one_file_per_batch_equals_batch(spark):
+    from staylens.operators.reviews import listing_mean_rating
+    from staylens.session import scratch_path
+    from staylens.streaming import incremental as inc
+    from pyspark.sql import functions as F
+    data = [(f"l{i % 5}", float(i % 4)) for i in range(120)]
+    df = spark.createDataFrame(data, "listing_id string, rating double")
+    src = scratch_path(spark, "t-src")
+    df.repartition(4).write.parquet(src)
+    out, ck = scratch_path(spark, "t-out"), scratch_path(spark, "t-ck")
+    inc.run_available(inc.review_ratings_stream(spark, src, "listing_id string, rating double", max_files=1),
+                      out, ck)
+    assert spark.read.parquet(out).select("batch_id").distinct().count() == 4  # one micro-batch per file
+    res = inc._latest(spark, out, ["listing_id"])
+    got = sorted((r["listing_id"], r["n_reviews"]) for r in res.collect())
+    exp = sorted((r["listing_id"], r["n_reviews"]) for r in listing_mean_rating(df).collect())
+    assert got == exp
