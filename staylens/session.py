@@ -66,8 +66,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        # unset (local runs, tests): a private folder, registered on the
+        # context only -- spark.checkpoint.dir cannot be changed at runtime
         d = tempfile.mkdtemp(prefix="staylens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

@@ -16,8 +16,9 @@ def spark():
     s = get_session(master="local[2]", shuffle_partitions=8,
                     extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="staylens-test-ckpt-"))
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        # unset only outside a configured cluster; the context accepts a folder at runtime
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="staylens-test-ckpt-"))
     yield s
 
 
