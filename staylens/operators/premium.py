@@ -114,7 +114,9 @@ def ols_fit(df: DataFrame, label: str = LABEL, features: Sequence[str] | None =
 
     Needs n >= p + 1 rows, else ``ok=False`` (no coefficients, like the
     reference's early return)."""
+    from staylens.plans.common import reuse
     frame, feats = regression_frame(df, label, features, exclude)
+    frame = reuse(frame.select(*feats, label))  # two passes (means, moments) read it
     model = OlsModel(label=label, features=feats)
     if not feats:
         return model

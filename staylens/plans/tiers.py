@@ -39,8 +39,8 @@ def tier_analysis(matrix: DataFrame, metrics: Mapping[str, str] = None, amenitie
     if persist:
         df = reuse(df)
     th = tr.tier_thresholds(df, metrics, top, bottom, by)
-    if persist and by is not None:
-        th = reuse(th)  # joined back per group and reused by the report
+    if persist:
+        th = reuse(th)  # attached to every row and reused by the report
     tiered = tr.tier_assign(df, metrics, th, top, bottom, by)
     present_a = [a for a in amenities if a in df.columns]
     present_n = [c for c in numeric if c in df.columns]
