@@ -1280,3 +1280,22 @@ parts AS (SELECT (SELECT printf('%.3f', {R('v', 3)}) FROM r2) AS r2,
                  (SELECT string_agg({line}, chr(10) || chr(10) ORDER BY rank) FROM tk WHERE side = 'bottom') AS bt)
 SELECT replace(replace(replace(replace({_sql_str(tmpl)}, '{{R_SQUARED}}', r2), '{{CORRELATION_TABLE}}', ct),
                '{{TOP_DESCRIPTIONS}}', tt), '{{BOTTOM_DESCRIPTIONS}}', bt) AS prompt FROM parts"""
+
+
+@q("tier_thresholds_by_area")
+def _():
+    return f"""WITH {TIER_CTES},
+tha AS (SELECT area, metric, quantile_cont(value, 0.75) AS hi, quantile_cont(value, 0.25) AS lo, COUNT(*) AS n_valid
+        FROM lng GROUP BY area, metric HAVING COUNT(*) >= 4),
+ta AS (SELECT lng.area, lng.metric, 'high' AS tier FROM lng JOIN tha USING (area, metric) WHERE value >= hi
+       UNION ALL
+       SELECT lng.area, lng.metric, 'low' AS tier FROM lng JOIN tha USING (area, metric) WHERE value <= lo)
+SELECT tha.area, tha.metric, {R('hi', 6)} AS high_threshold, {R('lo', 6)} AS low_threshold, n_valid, tier, COUNT(*) AS n
+FROM tha JOIN ta USING (area, metric) GROUP BY tha.area, tha.metric, hi, lo, n_valid, tier"""
+
+
+@q("overall_mean_rating_by_area")
+def _():
+    return f"""WITH per AS (SELECT p.p_type AS area, r.listing_id, {MEAN4} AS m
+             FROM ({B_REVIEWS}) r JOIN part p ON p.p_partkey = r.listing_id GROUP BY p.p_type, r.listing_id)
+SELECT area, {R('AVG(m)', 4)} AS overall_mean, COUNT(*) AS n_listings FROM per GROUP BY area"""

@@ -933,3 +933,19 @@ def _(spark, sf):
     clean = mx.clean_matrix(_built(spark, sf), 100)
     feats = mx.select_numeric_features(clean, "ADR", exclude=["listing_id"])
     return clean.select("listing_id", *feats)
+
+
+@q("tier_thresholds_by_area")
+def _(spark, sf):
+    m = mk.has_market_data_filter(tp.binding_matrix(spark, sf))
+    th = tr.tier_thresholds(m, tp.BINDING_METRICS, by="area")
+    counts = tr.tier_counts(tr.tier_assign(m, tp.BINDING_METRICS, th, by="area"), by="area")
+    return th.join(counts, ["area", "metric"]).select(
+        "area", "metric", fixed_round("high_threshold", 6).alias("high_threshold"),
+        fixed_round("low_threshold", 6).alias("low_threshold"), "n_valid", "tier", "n")
+
+
+@q("overall_mean_rating_by_area")
+def _(spark, sf):
+    areas = table(spark, sf, "part").select(F.col("p_partkey").alias("listing_id"), F.col("p_type").alias("area"))
+    return rv.overall_mean_rating(b.b_reviews(spark, sf).join(areas, "listing_id"), by="area")
