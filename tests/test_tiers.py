@@ -78,3 +78,16 @@ def test_rank_quantiles_equal_percentile(spark):
         assert abs(a[k]["high_threshold"] - b[k]["high_threshold"]) < 1e-9
         assert abs(a[k]["low_threshold"] - b[k]["low_threshold"]) < 1e-9
         assert a[k]["n_valid"] == b[k]["n_valid"]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(1, 6), min_size=4, max_size=40))
+def test_rank_quantiles_with_ties_match_numpy(spark, vals):
+    import numpy as np
+    df = spark.createDataFrame([(f"l{i}", float(v)) for i, v in enumerate(vals)], "listing_id string, v double")
+    q = tr.exact_quantiles(df.withColumn("g", tr.F.lit("a")), ["g"], "v", [0.75, 0.25]).collect()[0]
+    assert abs(q["q0"] - np.quantile(vals, 0.75)) < 1e-9 and abs(q["q1"] - np.quantile(vals, 0.25)) < 1e-9
