@@ -112,7 +112,7 @@ B_MARKET = f"""
          CAST(LEAST(365, 10 * COUNT(DISTINCT CAST(l_shipdate AS DATE))) AS INTEGER) AS Days_Available
   FROM lineitem GROUP BY l_partkey"""
 
-ICONS = [f"SYSTEM_{f}_{s}" for f in ("A", "N", "R") for s in ("F", "O")]
+from staylens.sources.bindings import BINDING_ICONS as ICONS  # noqa: E402
 
 
 def _occ(alias: str = "") -> str:
@@ -441,8 +441,7 @@ SELECT {R('CASE WHEN var_samp(actual) * (COUNT(*) - 1) > 0 THEN 1.0 - SUM(residu
 
 
 # ---------------------------------------------------------------- description scores
-PY_WS = (r"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x{85}\x{a0}\x{1680}"
-         r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+from staylens.functions.scalar import PY_WHITESPACE_CLASS as PY_WS  # noqa: E402
 
 
 def WC(x: str) -> str:
@@ -523,7 +522,7 @@ SELECT metric, tier, sample_rank, listing_id,
 FROM s JOIN documents d ON d.doc_id = s.listing_id"""
 
 
-SCORE_TEMPLATE = "Score the description of property {PROPERTY_ID}.\n\nDescription:\n{DESCRIPTION}\n\nReturn JSON."
+from staylens.plans.templates import SCORE_TEMPLATE  # noqa: E402
 
 
 def _sql_str(s: str) -> str:
@@ -570,7 +569,7 @@ FROM t, json_each(t.body) AS j WHERE j.type IN ('UBIGINT', 'BIGINT', 'DOUBLE')""
 
 
 # ---------------------------------------------------------------- review packing
-BASE_PROMPT = "Summarize what guests say about this listing in five sections."
+from staylens.plans.templates import BASE_PROMPT  # noqa: E402
 NA_LIST = "('nan', 'na', 'none', '<na>')"
 
 
@@ -649,14 +648,7 @@ SELECT listing_id, chunk_no, n_chunks, n_items,
 FROM per2"""
 
 
-MERGE_HEAD = ("\nYou have received multiple partial analyses of Airbnb reviews for the same listing. "
-              "Please combine them into a single comprehensive summary following the original format "
-              "requirements.\n\nOriginal format requirements:\n")
-MERGE_TAIL = ("\nPlease provide a single unified analysis that:\n"
-              "1. Maintains the exact 5-section format from the original requirements\n"
-              "2. Combines and reconciles the data from all partial analyses\n"
-              "3. Provides accurate overall percentages and mention counts\n"
-              "4. Creates a coherent final summary\n\nUnified Analysis:")
+from staylens.operators.packing import MERGE_HEAD, MERGE_TAIL  # noqa: E402
 
 
 @q("merge_prompt")
@@ -857,14 +849,8 @@ PAGE = f"""SELECT m.listing_id,
   || '$' || printf('%.2f', m.ADR) || chr(10) || 'Average Daily Rate' || chr(10) || CAST(m.Occupancy AS VARCHAR) || '%'
   || chr(10) || 'Occupancy' || chr(10) || CAST(m.Days_Available AS VARCHAR) || chr(10) || 'Days Available' AS page_text
 FROM ({B_MARKET}) m JOIN part p ON p.p_partkey = m.listing_id"""
-KPI_REVENUE = r"([\$\d,.]+[KkMm]?)\s*\n?\s*Annual Revenue"
-KPI_ADR = r"([\$\d,.]+)\s*\n?\s*Average Daily Rate"
-KPI_OCCUPANCY = r"(\d+%?)\s*\n?\s*Occupancy"
-KPI_DAYS = r"(\d+)\s*\n?\s*Days Available"
-HDR_RATING = r"★?\s*([\d.]+)\s*\((\d+)\)"
-HDR_BED = r"(?i)(?:bed|bedroom)s?\s*[:.]?\s*(\d+)"
-HDR_BATH = r"(?i)(?:bath|bathroom)s?\s*[:.]?\s*(\d+\.?\d*)"
-HDR_GUEST = r"(?i)(?:guest|max.?guest)s?\s*[:.]?\s*(\d+)"
+from staylens.operators.market import (HDR_BATH, HDR_BED, HDR_GUEST, HDR_RATING, KPI_ADR,  # noqa: E402
+                                       KPI_DAYS, KPI_OCCUPANCY, KPI_REVENUE)
 
 
 def _x(text: str, pat: str, i: int = 1) -> str:
@@ -1093,10 +1079,7 @@ pr AS (SELECT {key}, chunk_no, n_chunks, n_items,
 FROM per2)"""
 
 
-LISTING_TEMPLATE = ("Summarize the guest reviews of a listing in {ZIP_CODE_HERE} ({ISO_CODE_HERE}). "
-                    "The listing's mean rating is {RATING_AVERAGE_HERE}; the area mean is {OVERALL_MEAN}.")
-AREA_TEMPLATE = ("Summarize the listings of area {ZIP_CODE_HERE} ({ISO_CODE_HERE}); "
-                 "the overall mean rating is {OVERALL_MEAN}.")
+from staylens.plans.reviews import AREA_TEMPLATE, LISTING_TEMPLATE  # noqa: E402
 MEAN4 = R('SUM(COALESCE(CAST(rating AS DOUBLE), 0.0)) / COUNT(*)', 4)
 
 

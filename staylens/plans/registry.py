@@ -368,7 +368,7 @@ def _(spark, sf):
     return pr.sample_descriptions(samples, b.b_descriptions(spark, sf), k=3)
 
 
-SCORE_TEMPLATE = "Score the description of property {PROPERTY_ID}.\n\nDescription:\n{DESCRIPTION}\n\nReturn JSON."
+from staylens.plans.templates import SCORE_TEMPLATE  # noqa: E402
 
 
 @q("description_score_prompts")
@@ -423,7 +423,7 @@ def _(spark, sf):
 
 
 # ---------------------------------------------------------------- review packing (pipeline B)
-BASE_PROMPT = "Summarize what guests say about this listing in five sections."
+from staylens.plans.templates import BASE_PROMPT  # noqa: E402
 TIGHT_LIMIT = 100  # the reference's own small-limit chunking case
 
 
