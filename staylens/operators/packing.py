@@ -139,7 +139,8 @@ ROWS_PER_BUCKET = 200_000
 def chunk_reviews(df: DataFrame, key: str = "listing_id", order_cols: Sequence[str] = ("pos",),
                   text_col: str = "text", prompt_tokens: int | str = 0,
                   limit: int = CHUNK_TOKEN_LIMIT, hot_items: int | None = HOT_ITEMS,
-                  hot_keys: Sequence | None = None, total_rows: int | None = None) -> DataFrame:
+                  hot_keys: DataFrame | None = None, total_rows: int | None = None,
+                  n_hot: int | None = None) -> DataFrame:
     """Assign every item to a chunk: ``key, chunk_no, item_no, text, tokens, truncated``.
 
     ``prompt_tokens`` is a number or the name of a per-listing column (the
@@ -147,33 +148,36 @@ def chunk_reviews(df: DataFrame, key: str = "listing_id", order_cols: Sequence[s
     (only cut items change text).
 
     Plan: one small size-check job (``groupBy(key).count()``, partial-
-    aggregated) returns the row total and the listings with more than
-    ``hot_items`` items -- at most rows / hot_items keys, so the list is
-    bounded.  Those go through the exact distributed path
-    (:mod:`staylens.operators.packing_dist`).  Every other listing is packed
-    by ``groupBy(bucket).applyInPandas``: the bucket is a hash of the key, so
-    Spark delivers each listing whole to one call (a guarantee, unlike the
-    physical layout after ``repartition``, which the optimizer may elide), and
-    the bucket count (rows / ROWS_PER_BUCKET, at least the shuffle partition
-    count) keeps each call to a bounded number of rows plus at most one
-    listing below ``hot_items``.  Callers that know the sizes pass
-    ``hot_keys`` and ``total_rows``; ``hot_items=None`` skips the hot path.
+    aggregated) yields the row total and the number of listings with more
+    than ``hot_items`` items; only these two numbers reach the driver.  Hot
+    listings (a ``left_semi`` join with the hot-key table, which AQE
+    broadcasts when small) go through the exact distributed path
+    (:mod:`staylens.operators.packing_dist`).  Every other listing
+    (``left_anti``) is packed by ``groupBy(bucket).applyInPandas``: the bucket
+    is a hash of the key, so Spark delivers each listing whole to one call (a
+    guarantee, unlike the physical layout after ``repartition``, which the
+    optimizer may elide), and the bucket count (rows / ROWS_PER_BUCKET, at
+    least the shuffle partition count) keeps each call to a bounded number of
+    rows plus at most one listing below ``hot_items``.  Callers that already
+    know the sizes pass ``hot_keys`` (a DataFrame of keys), ``n_hot`` and
+    ``total_rows``; ``hot_items=None`` skips the hot path.
     """
     spark = df.sparkSession
-    if hot_keys is None or total_rows is None:
+    if total_rows is None or (hot_items is not None and n_hot is None):
         counts = df.groupBy(key).count()
-        hot_cond = (F.col("count") > hot_items) if hot_items is not None else F.lit(False)
+        is_big = (F.col("count") > hot_items) if hot_items is not None else F.lit(False)
         row = counts.agg(F.sum("count").alias("total"),
-                         F.collect_list(F.when(hot_cond, F.col(key))).alias("hot")).first()
+                         F.sum(F.when(is_big, 1).otherwise(0)).alias("n_hot")).first()
         total_rows = int(row["total"] or 0)
-        if hot_keys is None:
-            hot_keys = list(row["hot"] or [])
-    if hot_keys:
+        if hot_keys is None and hot_items is not None:
+            n_hot = int(row["n_hot"] or 0)
+            hot_keys = counts.where(is_big).select(key)
+    if hot_keys is not None and n_hot:
         from staylens.operators.packing_dist import chunk_distributed
-        is_hot = F.col(key).isin(list(hot_keys))
-        local = chunk_reviews(df.where(~is_hot), key, order_cols, text_col, prompt_tokens, limit,
-                              hot_items=None, hot_keys=[], total_rows=total_rows)
-        dist = chunk_distributed(df.where(is_hot), key, order_cols, text_col, prompt_tokens, limit)
+        local = chunk_reviews(df.join(hot_keys, key, "left_anti"), key, order_cols, text_col, prompt_tokens,
+                              limit, hot_items=None, total_rows=total_rows)
+        dist = chunk_distributed(df.join(hot_keys, key, "left_semi"), key, order_cols, text_col,
+                                 prompt_tokens, limit)
         return local.unionByName(dist)
     kt = df.schema[key].dataType.simpleString()
     schema = f"{key} {kt}, chunk_no long, item_no long, text string, tokens long, truncated boolean"

@@ -62,13 +62,14 @@ def review_pack(reviews: DataFrame, order_cols: Sequence[str], area_of: DataFram
         "OVERALL_MEAN": F.lit(str(overall))})
     heads = keep.select(key, "_floaty", prompt.alias("base_prompt")) \
         .withColumn("prompt_tokens", estimate_tokens("base_prompt"))
-    sizes = keep.agg(F.sum("n_reviews").alias("total"),
-                     F.collect_list(F.when(F.col("n_reviews") > pk.HOT_ITEMS, F.col(key))).alias("hot")).first()
-    hot, total = list(sizes["hot"] or []), int(sizes["total"] or 0)
+    is_big = F.col("n_reviews") > pk.HOT_ITEMS
+    sizes = keep.agg(F.sum("n_reviews").alias("total"), F.sum(F.when(is_big, 1).otherwise(0)).alias("n_hot")).first()
+    total, n_hot = int(sizes["total"] or 0), int(sizes["n_hot"] or 0)
+    hot = keep.where(is_big).select(key)
     items = reviews.join(heads, key)
     items = items.withColumn("text", F.concat(rating_text(rating), F.lit(" "), F.col(review)))
     ch = pk.chunk_reviews(items, key, list(order_cols), "text", "prompt_tokens", limit, hot_keys=hot,
-                          total_rows=total)
+                          total_rows=total, n_hot=n_hot)
     ch = ch.join(heads.select(key, "base_prompt", "prompt_tokens"), key)
     return pk.chunk_prompt(ch, F.col("base_prompt"), key, "prompt_tokens", limit)
 
