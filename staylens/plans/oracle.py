@@ -778,14 +778,14 @@ WHERE user_id NOT IN (SELECT listing_id FROM ({FRESH_MANIFEST}) WHERE stage = 'p
 
 @q("resolved_prescan")
 def _():
-    return f"""SELECT DISTINCT user_id AS listing_id FROM events
-WHERE user_id IN (SELECT listing_id FROM ({B_MANIFEST}) WHERE stage = 'view')"""
+    return f"""SELECT c_custkey AS listing_id FROM customer
+WHERE c_custkey IN (SELECT listing_id FROM ({B_MANIFEST}) WHERE stage = 'view')"""
 
 
 @q("id_difference")
 def _():
-    return f"""SELECT DISTINCT user_id AS listing_id FROM events
-WHERE user_id NOT IN (SELECT listing_id FROM ({B_MANIFEST}) WHERE stage = 'view')"""
+    return f"""SELECT c_custkey AS listing_id FROM customer
+WHERE c_custkey NOT IN (SELECT listing_id FROM ({B_MANIFEST}) WHERE stage = 'view')"""
 
 
 @q("coverage_gate")
