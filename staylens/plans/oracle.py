@@ -91,14 +91,14 @@ SELECT DISTINCT listing_id FROM r ORDER BY listing_id LIMIT 100"""
 @q("empty_summary_filter")
 def _():
     return """
-SELECT source AS area, doc_id AS listing_id, length(text) AS summary_chars
+SELECT source AS area, doc_id AS listing_id, CAST(length(text) AS INTEGER) AS summary_chars
 FROM documents WHERE doc_id % 11 <> 0 AND length(text) > 0"""
 
 
 @q("incomplete_summary_filter")
 def _():
     return """
-SELECT source AS area, doc_id AS listing_id, length(text) AS summary_chars
+SELECT source AS area, doc_id AS listing_id, CAST(length(text) AS INTEGER) AS summary_chars
 FROM documents WHERE doc_id % 11 <> 0 AND contains(text, '?')"""
 
 
@@ -170,7 +170,7 @@ hl AS (SELECT h.metric, h.n AS hn, l.n AS ln,
 pv0 AS ({" UNION ALL ".join(f"SELECT metric, '{i}' AS amenity, {k} AS amenity_pos, CAST(ha{k} AS DOUBLE) / hn * 100.0 AS hp, CAST(la{k} AS DOUBLE) / ln * 100.0 AS lp FROM hl" for k, i in enumerate(ICONS))}),
 pv AS (SELECT metric, amenity, amenity_pos, {R('hp', 1)} AS high_tier_pct, {R('lp', 1)} AS low_tier_pct,
               {R('hp - lp', 1)} AS difference FROM pv0),
-pvr AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY metric ORDER BY abs(difference) DESC, amenity_pos) AS rank FROM pv),
+pvr AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY metric ORDER BY abs(difference) DESC, amenity_pos) AS INTEGER) AS rank FROM pv),
 nm AS (SELECT metric, 'capacity' AS attribute, 0 AS attribute_pos, {R('COALESCE(hm0, 0.0)', 2)} AS high_tier_avg,
               {R('COALESCE(lm0, 0.0)', 2)} AS low_tier_avg, {R('COALESCE(hm0, 0.0) - COALESCE(lm0, 0.0)', 2)} AS difference FROM hl
        UNION ALL
@@ -217,7 +217,7 @@ def _():
 def _():
     return f"""WITH {TIER_CTES},
 s AS (SELECT metric, tier, listing_id,
-             ROW_NUMBER() OVER (PARTITION BY metric, tier ORDER BY ADR DESC NULLS LAST, listing_id) AS sample_rank
+             CAST(ROW_NUMBER() OVER (PARTITION BY metric, tier ORDER BY ADR DESC NULLS LAST, listing_id) AS INTEGER) AS sample_rank
       FROM tiered)
 SELECT metric, tier, sample_rank, listing_id FROM s WHERE sample_rank <= 3"""
 
@@ -378,7 +378,7 @@ tb AS (SELECT * FROM (SELECT 'top' AS side, listing_id, residual,
        SELECT * FROM (SELECT 'bottom' AS side, listing_id, residual,
                              ROW_NUMBER() OVER (ORDER BY residual ASC, listing_id DESC) AS o FROM res) WHERE o <= 15),
 tbr AS (SELECT side, listing_id, residual,
-               ROW_NUMBER() OVER (PARTITION BY side ORDER BY residual DESC, listing_id) AS rank FROM tb)"""
+               CAST(ROW_NUMBER() OVER (PARTITION BY side ORDER BY residual DESC, listing_id) AS INTEGER) AS rank FROM tb)"""
 
 
 @q("ols_fit")
@@ -460,14 +460,14 @@ dc0 AS (SELECT dimension, dimension_pos,
                {R('COALESCE(covar_pop(score, residual) / NULLIF(stddev_pop(score) * stddev_pop(residual), 0), 0.0)', 4)}
                AS correlation, COUNT(*) AS n
         FROM sl JOIN rs USING (listing_id) WHERE score IS NOT NULL GROUP BY dimension, dimension_pos HAVING COUNT(*) >= 3),
-dc AS (SELECT *, ROW_NUMBER() OVER (ORDER BY abs(correlation) DESC, dimension_pos) AS rank FROM dc0),
+dc AS (SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY abs(correlation) DESC, dimension_pos) AS INTEGER) AS rank FROM dc0),
 rtb0 AS (SELECT * FROM (SELECT 'top' AS side, listing_id, residual,
                                ROW_NUMBER() OVER (ORDER BY residual DESC, listing_id) AS o FROM rs) WHERE o <= 15
          UNION ALL
          SELECT * FROM (SELECT 'bottom' AS side, listing_id, residual,
                                ROW_NUMBER() OVER (ORDER BY residual ASC, listing_id DESC) AS o FROM rs) WHERE o <= 15),
 rtb AS (SELECT side, listing_id, residual,
-               ROW_NUMBER() OVER (PARTITION BY side ORDER BY residual DESC, listing_id) AS rank FROM rtb0)"""
+               CAST(ROW_NUMBER() OVER (PARTITION BY side ORDER BY residual DESC, listing_id) AS INTEGER) AS rank FROM rtb0)"""
 
 
 @q("dimension_correlation")
@@ -499,14 +499,14 @@ def _():
 @q("join_residual_description")
 def _():
     return f"""WITH {SCORE_CTES}
-SELECT rs.listing_id, {R('residual', 4)} AS residual, length(d.text) AS description_chars
+SELECT rs.listing_id, {R('residual', 4)} AS residual, CAST(length(d.text) AS INTEGER) AS description_chars
 FROM rs JOIN documents d ON d.doc_id = rs.listing_id"""
 
 
 @q("join_topk_scores")
 def _():
     return f"""WITH {SCORE_CTES}
-SELECT side, rank, rtb.listing_id, quality, toxic, word_count, length(d.text) AS description_chars
+SELECT side, rank, rtb.listing_id, quality, toxic, word_count, CAST(length(d.text) AS INTEGER) AS description_chars
 FROM rtb LEFT JOIN sc USING (listing_id) JOIN documents d ON d.doc_id = rtb.listing_id"""
 
 
@@ -514,7 +514,7 @@ FROM rtb LEFT JOIN sc USING (listing_id) JOIN documents d ON d.doc_id = rtb.list
 def _():
     return f"""WITH {TIER_CTES},
 s AS (SELECT * FROM (SELECT metric, tier, listing_id,
-             ROW_NUMBER() OVER (PARTITION BY metric, tier ORDER BY ADR DESC NULLS LAST, listing_id) AS sample_rank
+             CAST(ROW_NUMBER() OVER (PARTITION BY metric, tier ORDER BY ADR DESC NULLS LAST, listing_id) AS INTEGER) AS sample_rank
       FROM tiered) WHERE sample_rank <= 3)
 SELECT metric, tier, sample_rank, listing_id,
        'Property ' || CAST(listing_id AS VARCHAR) || ': ' ||
@@ -618,7 +618,7 @@ def _():
 @q("needs_chunking")
 def _():
     return f"""WITH r AS ({B_REVIEWS})
-SELECT listing_id, SUM({_tok('review')}) AS review_tokens,
+SELECT listing_id, CAST(SUM({_tok('review')}) AS BIGINT) AS review_tokens,
        ({len(BASE_PROMPT) // 4} + SUM({_tok('review')})) > 100 AS needs_chunking
 FROM r GROUP BY listing_id"""
 
@@ -735,7 +735,7 @@ FROM a"""
 @q("last_n_sessions")
 def _():
     return f"""WITH s AS (SELECT listing_id AS session, COUNT(*) AS n_requests FROM ({B_REQUESTS}) GROUP BY listing_id)
-SELECT * FROM (SELECT session, n_requests, ROW_NUMBER() OVER (ORDER BY session DESC) AS recency FROM s)
+SELECT * FROM (SELECT session, n_requests, CAST(ROW_NUMBER() OVER (ORDER BY session DESC) AS INTEGER) AS recency FROM s)
 WHERE recency <= 100"""
 
 
@@ -765,7 +765,7 @@ def _():
 
 @q("stage_freshness")
 def _():
-    return f"""SELECT stage, COUNT(*) AS expected, SUM(CASE WHEN f.listing_id IS NOT NULL THEN 1 ELSE 0 END) AS fresh_outputs,
+    return f"""SELECT stage, COUNT(*) AS expected, CAST(SUM(CASE WHEN f.listing_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS fresh_outputs,
        COUNT(*) > 0 AND bool_and(f.listing_id IS NOT NULL) AS stage_fresh
 FROM ({EXPECTED}) e LEFT JOIN ({FRESH_MANIFEST}) f USING (stage, listing_id) GROUP BY stage"""
 
@@ -801,7 +801,7 @@ BBOX = f"""SELECT n_nationkey AS area,
        {R('CAST(n_nationkey * 1000 AS DOUBLE) + 140.0', 7)} AS ne_lat, {R('CAST(n_nationkey * 1000 AS DOUBLE) - 140.0', 7)} AS sw_lat,
        {R('CAST(-n_nationkey * 1000 AS DOUBLE) + 140.0', 7)} AS ne_lon, {R('CAST(-n_nationkey * 1000 AS DOUBLE) - 140.0', 7)} AS sw_lon
 FROM nation"""
-CELLS = f"""SELECT area, i AS cell_row, j AS cell_col, i * 2 + j AS cell_no,
+CELLS = f"""SELECT area, CAST(i AS INTEGER) AS cell_row, CAST(j AS INTEGER) AS cell_col, CAST(i * 2 + j AS INTEGER) AS cell_no,
        sw_lat + i * ((ne_lat - sw_lat) / 2) AS box_sw_lat, sw_lon + j * ((ne_lon - sw_lon) / 2) AS box_sw_lon,
        sw_lat + i * ((ne_lat - sw_lat) / 2) + (ne_lat - sw_lat) / 2 AS box_ne_lat,
        sw_lon + j * ((ne_lon - sw_lon) / 2) + (ne_lon - sw_lon) / 2 AS box_ne_lon
@@ -1167,7 +1167,7 @@ def _():
 @q("read_summaries")
 def _():
     return """SELECT source AS area, CAST(doc_id AS VARCHAR) AS listing_id,
-       length(CASE WHEN doc_id % 11 = 0 THEN '' ELSE text END) AS summary_chars FROM documents"""
+       CAST(length(CASE WHEN doc_id % 11 = 0 THEN '' ELSE text END) AS INTEGER) AS summary_chars FROM documents"""
 
 
 @q("write_matrix")
@@ -1229,13 +1229,13 @@ FROM th JOIN cnt USING (metric) JOIN ct USING (metric)"""
 @q("write_request_log")
 def _():
     return """SELECT session, recency FROM (
-  SELECT user_id AS session, ROW_NUMBER() OVER (ORDER BY MIN(ts) DESC) AS recency FROM events GROUP BY user_id)
+  SELECT user_id AS session, CAST(ROW_NUMBER() OVER (ORDER BY MIN(ts) DESC) AS INTEGER) AS recency FROM events GROUP BY user_id)
 WHERE recency <= 100"""
 
 
 @q("normalize_reviews")
 def _():
-    return f"SELECT listing_id, COUNT(*) AS n, SUM(length(review)) AS review_chars FROM ({B_REVIEWS}) GROUP BY listing_id"
+    return f"SELECT listing_id, COUNT(*) AS n, CAST(SUM(length(review)) AS BIGINT) AS review_chars FROM ({B_REVIEWS}) GROUP BY listing_id"
 
 
 @q("select_numeric_features")
