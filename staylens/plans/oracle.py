@@ -1282,3 +1282,19 @@ def _():
     return f"""WITH per AS (SELECT p.p_type AS area, r.listing_id, {MEAN4} AS m
              FROM ({B_REVIEWS}) r JOIN part p ON p.p_partkey = r.listing_id GROUP BY p.p_type, r.listing_id)
 SELECT area, {R('AVG(m)', 4)} AS overall_mean, COUNT(*) AS n_listings FROM per GROUP BY area"""
+
+
+@q("extract_kpis_pages")
+def _():
+    h = "substring(page_text, 1, 500)"
+    return f"""WITH pg AS (SELECT page_id AS listing_id, regexp_replace(html, '<[^>]+>', ' ', 'g') AS page_text FROM pages)
+SELECT listing_id,
+       {R(f"COALESCE({_revenue(_x('page_text', KPI_REVENUE))}, 0.0)", 2)} AS Revenue,
+       COALESCE({_money(_x('page_text', KPI_ADR))}, 0.0) AS ADR,
+       COALESCE({_pct(_x('page_text', KPI_OCCUPANCY))}, 0) AS Occupancy,
+       COALESCE({_days(_x('page_text', KPI_DAYS))}, 0) AS Days_Available,
+       TRY_CAST({_x('page_text', HDR_RATING, 1)} AS DOUBLE) AS Rating,
+       TRY_CAST({_x('page_text', HDR_RATING, 2)} AS INTEGER) AS Review_Count,
+       TRY_CAST({_x(h, HDR_BED)} AS INTEGER) AS Bedrooms, TRY_CAST({_x(h, HDR_BATH)} AS DOUBLE) AS Bathrooms,
+       TRY_CAST({_x(h, HDR_GUEST)} AS INTEGER) AS Max_Guests
+FROM pg"""

@@ -954,3 +954,13 @@ def _(spark, sf):
 def _(spark, sf):
     areas = table(spark, sf, "part").select(F.col("p_partkey").alias("listing_id"), F.col("p_type").alias("area"))
     return rv.overall_mean_rating(b.b_reviews(spark, sf).join(areas, "listing_id"), by="area")
+
+
+@q("extract_kpis_pages")
+def _(spark, sf):
+    """The page-text job over raw pages: tags stripped, whole pages scanned."""
+    p = table(spark, sf, "pages").select(F.col("page_id").alias("listing_id"),
+                                         F.regexp_replace("html", "<[^>]+>", " ").alias("page_text"))
+    k = mk.extract_header(mk.extract_kpis(p))
+    return k.select("listing_id", fixed_round("Revenue", 2).alias("Revenue"), "ADR", "Occupancy", "Days_Available",
+                    "Rating", "Review_Count", "Bedrooms", "Bathrooms", "Max_Guests")
