@@ -80,7 +80,7 @@ def area_prompts(summaries: DataFrame, overall_mean: float | None = None, n: int
                  limit: int = pk.CHUNK_TOKEN_LIMIT) -> DataFrame:
     """Area requests: the first ``n`` non-empty summaries per area, packed under
     the token limit like reviews (``area, chunk_no, n_chunks, n_items, prompt``)."""
-    pack = area_summary_pack(summaries, n, area, key, summary)
+    pack = reuse(area_summary_pack(summaries, n, area, key, summary))  # read by items, heads and counts
     mean_txt = F.lit(str(overall_mean if overall_mean is not None else 0.0))
     base = fill_template(F.lit(template), {"ZIP_CODE_HERE": F.col(area).cast("string"),
                                            "ISO_CODE_HERE": F.lit(iso_code), "OVERALL_MEAN": mean_txt})
