@@ -71,3 +71,21 @@ def test_top_bottom_premium_overlap_when_small(spark):
     bottom = sorted((r["rank"], r["listing_id"]) for r in tb if r["side"] == "bottom")
     assert top[0] == (1, "p19") and len(top) == 15
     assert bottom[0] == (1, "p14") and bottom[-1] == (15, "p0")
+
+
+def test_wide_rank_deficient_design_matches_numpy(spark):
+    rng = np.random.default_rng(5)
+    n, p = 200, 30
+    x = rng.normal(size=(n, p))
+    x[:, 7] = 2.0 * x[:, 3] - x[:, 11]  # exact collinearity -> rank p - 1
+    y = 300 + x @ rng.normal(size=p) * 10 + rng.normal(size=n)
+    y = y - y.min() + 1.0  # valid (positive) labels
+    cols = [f"f{i}" for i in range(p)]
+    rows = [(f"l{i}", float(y[i]), *map(float, x[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, ", ".join(["listing_id string", "ADR double"] + [f"{c} double" for c in cols]))
+    model = pm.ols_fit(df, "ADR", cols)
+    got = {r["listing_id"]: r["residual"] for r in pm.ols_residuals(df, model).collect()}
+    design = np.column_stack([np.ones(n), x])
+    coef, *_ = np.linalg.lstsq(design, y, rcond=None)
+    exp = y - design @ coef
+    assert np.allclose([got[f"l{i}"] for i in range(n)], exp, atol=1e-6)
