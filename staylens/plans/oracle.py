@@ -7,6 +7,8 @@ aliases.  ``R(x, n)`` is the shared half-up decimal rounding.
 
 from __future__ import annotations
 
+from staylens.functions.scalar import LISTING_URL_PREFIX
+
 
 def R(x: str, n: int) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
@@ -928,7 +930,7 @@ def _():
 
 @q("listing_link")
 def _():
-    return "SELECT p_partkey AS listing_id, 'https://www.airbnb.com/rooms/' || CAST(p_partkey AS VARCHAR) AS link FROM part"
+    return f"SELECT p_partkey AS listing_id, '{LISTING_URL_PREFIX}' || CAST(p_partkey AS VARCHAR) AS link FROM part"
 
 
 # ---------------------------------------------------------------- listing details -> matrix
@@ -981,7 +983,7 @@ def _():
 
 
 _WIDE_BUILT = ", ".join(f"MAX(CASE WHEN icon = '{i}' THEN title END) AS \"{i}\"" for i in ICONS)
-BUILT = f"""SELECT d.listing_id, 'https://www.airbnb.com/rooms/' || d.listing_id AS link,
+BUILT = f"""SELECT d.listing_id, '{LISTING_URL_PREFIX}' || d.listing_id AS link,
        m.ADR, m.Occupancy AS Occ_Rate_Based_on_Avail, m.Days_Available AS Days_Avail,
        CAST(CEIL(((CAST(m.Occupancy AS DOUBLE) / 100.0) * CAST(m.Days_Available AS DOUBLE)) * 100.0 / 365.0) AS BIGINT)
          AS Abs_Occ_Rate,
