@@ -40,7 +40,7 @@ def rating_text(rating: str = "rating") -> F.Column:
 def review_pack(reviews: DataFrame, order_cols: Sequence[str], area_of: DataFrame | None = None,
                 key: str = "listing_id", rating: str = "rating", review: str = "review",
                 template: str = LISTING_TEMPLATE, iso_code: str = "us", threshold: int = REVIEW_THRESHOLD,
-                limit: int = pk.CHUNK_TOKEN_LIMIT) -> DataFrame:
+                limit: int = pk.CHUNK_TOKEN_LIMIT, mean_by_area: bool = False) -> DataFrame:
     """Per listing: mean rating, global macro mean, threshold, filled template,
     combined '<rating> <review>' items packed under the token limit, one
     prompt row per chunk (``key, chunk_no, n_chunks, n_items, prompt``).
@@ -50,16 +50,24 @@ def review_pack(reviews: DataFrame, order_cols: Sequence[str], area_of: DataFram
     one join attaches it to the reviews; packing and prompt assembly follow.
     """
     stats = reuse(listing_stats(reviews, key, rating))
-    overall = stats.agg(fixed_round(F.avg("mean_rating"), 4)).first()[0]
-    keep = stats.where(F.col("n_reviews") >= threshold)
     if area_of is not None:
-        keep = keep.join(area_of.select(key, "area"), key, "left")
+        stats = reuse(stats.join(area_of.select(key, "area"), key, "left"))
     else:
-        keep = keep.withColumn("area", F.lit(None).cast("string"))
+        stats = stats.withColumn("area", F.lit(None).cast("string"))
+    if mean_by_area:
+        # macro mean per area (one row per area), attached by an equi-join
+        per_area = stats.groupBy("area").agg(fixed_round(F.avg("mean_rating"), 4).alias("_overall"))
+        keep = stats.where(F.col("n_reviews") >= threshold).join(per_area, "area", "left")
+        overall_txt = F.col("_overall").cast("string")
+    else:
+        # the reference's form: one macro mean over every listing loaded
+        overall = stats.agg(fixed_round(F.avg("mean_rating"), 4)).first()[0]
+        keep = stats.where(F.col("n_reviews") >= threshold)
+        overall_txt = F.lit(str(overall))
     prompt = fill_template(F.lit(template), {
         "ZIP_CODE_HERE": F.col("area"), "ISO_CODE_HERE": F.lit(iso_code),
         "RATING_AVERAGE_HERE": F.col("mean_rating").cast("string"),
-        "OVERALL_MEAN": F.lit(str(overall))})
+        "OVERALL_MEAN": overall_txt})
     heads = keep.select(key, "_floaty", prompt.alias("base_prompt")) \
         .withColumn("prompt_tokens", estimate_tokens("base_prompt"))
     is_big = F.col("n_reviews") > pk.HOT_ITEMS

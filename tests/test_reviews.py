@@ -50,3 +50,16 @@ def test_normalize_reviews_defaults(spark):
     raw = spark.createDataFrame([("a", "nice", 5.0), ("a", None, None)], "listing_id string, comments string, rating double")
     out = rv.normalize_reviews(raw).orderBy(F.col("review").asc_nulls_last()).collect()
     assert out[0]["review"] == "nice" and out[1]["review"] is None and out[1]["rating"] is None
+
+
+def test_review_pack_overall_mean_global_or_by_area(spark):
+    from staylens.plans import reviews as rp
+    data = [("a", i, 5.0, "great") for i in range(5)] + [("b", i, 3.0, "ok") for i in range(5)]
+    reviews = spark.createDataFrame(data, "listing_id string, pos int, rating double, review string")
+    areas = spark.createDataFrame([("a", "north"), ("b", "south")], "listing_id string, area string")
+    tmpl = "{ZIP_CODE_HERE} {RATING_AVERAGE_HERE} {OVERALL_MEAN}"
+    g = {r["listing_id"]: r["prompt"] for r in rp.review_pack(reviews, ["pos"], areas, template=tmpl).collect()}
+    assert g["a"].startswith("north 5.0 4.0\n\nReviews to analyze:\nReview 1: 5 great")
+    a = {r["listing_id"]: r["prompt"] for r in
+         rp.review_pack(reviews, ["pos"], areas, template=tmpl, mean_by_area=True).collect()}
+    assert a["a"].startswith("north 5.0 5.0") and a["b"].startswith("south 3.0 3.0")
