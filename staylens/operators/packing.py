@@ -254,17 +254,33 @@ def chunk_prompt(chunks: DataFrame, base_prompt, key: str = "listing_id", prompt
     return per.select(key, "chunk_no", "n_chunks", "n_items", prompt.alias("prompt"))
 
 
+# Partial analyses combined by one merge request at most; more form a next level.
+MERGE_FANIN = 50
+
+
 def merge_prompt(partials: DataFrame, base_prompt: str, key: str = "listing_id",
-                 summary: str = "summary") -> DataFrame:
-    """Merge request per listing from its successful partial analyses (failed,
-    NULL partials are dropped); a single one passes through unchanged.
-    Partials per listing = its chunk count (bounded by tokens / budget)."""
+                 summary: str = "summary", max_parts: int = MERGE_FANIN) -> DataFrame:
+    """Merge requests from the successful partial analyses of each listing
+    (failed, NULL or empty partials are dropped, as in the reference).
+
+    Partials are grouped by chunk number into groups of at most ``max_parts``
+    (``merge_group``); each group yields one request whose partials are
+    numbered 1..n in chunk order, and a group with a single partial passes it
+    through unchanged.  A listing with up to ``max_parts`` chunks therefore gets
+    exactly the reference's single merge request (``final`` = true); a larger
+    listing gets several bounded requests (``final`` = false) whose answers
+    are merged again the same way.  Every ``collect_list`` holds at most
+    ``max_parts`` texts, never a whole listing.
+    """
     ok = partials.where(F.col(summary).isNotNull() & (F.length(summary) > 0))
-    per = ok.groupBy(key).agg(
+    ok = ok.withColumn("merge_group", F.floor((F.col("chunk_no") - 1) / max_parts).cast("long"))
+    per = ok.groupBy(key, "merge_group").agg(
         F.array_sort(F.collect_list(F.struct("chunk_no", F.col(summary).alias("s")))).alias("parts"),
         F.count(F.lit(1)).alias("n_parts"))
+    groups = per.groupBy(key).agg(F.count(F.lit(1)).alias("n_groups"))
     numbered = F.transform("parts", lambda x, i: F.format_string(MERGE_ITEM, (i + 1).cast("int"), x["s"]))
     head = F.trim(F.split(F.lit(base_prompt), REVIEWS_HEADER[:-1]).getItem(0))
     merged = F.concat(F.lit(MERGE_HEAD), head, F.lit(MERGE_PARTS), F.array_join(numbered, ""), F.lit(MERGE_TAIL))
-    return per.select(key, "n_parts", F.when(F.col("n_parts") == 1, F.col("parts")[0]["s"])
-                      .otherwise(merged).alias("prompt"))
+    return per.join(groups, key).select(
+        key, "merge_group", "n_groups", "n_parts", (F.col("n_groups") == 1).alias("final"),
+        F.when(F.col("n_parts") == 1, F.col("parts")[0]["s"]).otherwise(merged).alias("prompt"))

@@ -655,17 +655,20 @@ from staylens.operators.packing import MERGE_HEAD, MERGE_TAIL  # noqa: E402
 
 @q("merge_prompt")
 def _():
-    return f"""WITH p AS (SELECT conv_id AS listing_id, turn AS chunk_no, text AS summary FROM conversations
+    return f"""WITH p AS (SELECT conv_id AS listing_id, turn AS chunk_no, text AS summary,
+                  CAST(FLOOR((turn - 1) / 50) AS BIGINT) AS merge_group FROM conversations
            WHERE role = 'assistant' AND text IS NOT NULL AND length(text) > 0),
-g AS (SELECT listing_id, COUNT(*) AS n_parts, MIN(summary) AS only_one,
+g AS (SELECT listing_id, merge_group, COUNT(*) AS n_parts, MIN(summary) AS only_one,
              string_agg(printf(chr(10) || '--- Analysis %d ---' || chr(10) || '%s' || chr(10), rn, summary), ''
                         ORDER BY chunk_no) AS body
-      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY listing_id ORDER BY chunk_no) AS rn FROM p) GROUP BY listing_id)
-SELECT listing_id, n_parts,
+      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY listing_id, merge_group ORDER BY chunk_no) AS rn FROM p)
+      GROUP BY listing_id, merge_group),
+ng AS (SELECT listing_id, COUNT(*) AS n_groups FROM g GROUP BY listing_id)
+SELECT listing_id, merge_group, n_groups, n_parts, n_groups = 1 AS final,
        CASE WHEN n_parts = 1 THEN only_one
             ELSE {_sql_str(MERGE_HEAD)} || trim(split_part({_sql_str(BASE_PROMPT)}, 'Reviews to analyze:', 1))
                  || chr(10) || chr(10) || 'Partial analyses to merge:' || chr(10) || body || {_sql_str(MERGE_TAIL)} END AS prompt
-FROM g"""
+FROM g JOIN ng USING (listing_id)"""
 
 
 # ---------------------------------------------------------------- costs

@@ -136,3 +136,12 @@ def test_global_positions_hot_key_spans_partitions(spark):
         for _o, _g, pe, w in xs:
             assert pe == acc
             acc += w
+
+
+def test_merge_prompt_bounded_groups(spark):
+    parts = spark.createDataFrame([("a", i, f"p{i}") for i in range(1, 8)], "listing_id string, chunk_no int, summary string")
+    out = sorted(pk.merge_prompt(parts, "BASE", max_parts=3).collect(), key=lambda r: r["merge_group"])
+    assert [(r["merge_group"], r["n_parts"], r["final"]) for r in out] == [(0, 3, False), (1, 3, False), (2, 1, False)]
+    assert out[2]["prompt"] == "p7" and "--- Analysis 3 ---\np3\n" in out[0]["prompt"]
+    one = pk.merge_prompt(parts, "BASE").collect()
+    assert len(one) == 1 and one[0]["final"] and one[0]["n_parts"] == 7
