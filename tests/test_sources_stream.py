@@ -82,7 +82,6 @@ def test_stream_one_file_per_batch_equals_batch(spark):
     from staylens.operators.reviews import listing_mean_rating
     from staylens.session import scratch_path
     from staylens.streaming import incremental as inc
-    from pyspark.sql import functions as F
     data = [(f"l{i % 5}", float(i % 4)) for i in range(120)]
     df = spark.createDataFrame(data, "listing_id string, rating double")
     src = scratch_path(spark, "t-src")
