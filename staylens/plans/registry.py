@@ -692,7 +692,7 @@ from staylens.session import scratch_path  # noqa: E402
 def _details(spark, sf):
     """Derived details written as JSON lines to the shared scratch folder, read back."""
     path = scratch_path(spark, "details")
-    b.b_details(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    b.b_details(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
     return fl.read_listing_details(spark, path, lines=True)
 
 
@@ -766,7 +766,7 @@ def _(spark, sf):
     m = b.b_market(spark, sf)
     doc = F.to_json(F.create_map(F.col("listing_id").cast("string"),
                                  F.struct("ADR", "Occupancy", "Revenue", "Days_Available")))
-    m.select(doc.alias("value")).write.text(path)
+    m.select(doc.alias("value")).write.mode("overwrite").text(path)
     r = fl.read_market_metrics(spark, path, glob=None, wholetext=False)
     return r.select("listing_id", "ADR", "Occupancy", fixed_round("Revenue", 2).alias("Revenue"), "Days_Available")
 
@@ -776,7 +776,7 @@ def _(spark, sf):
     path = scratch_path(spark, "descriptions")
     d = b.b_details(spark, sf)
     doc = F.to_json(F.create_map(F.col("listing_id"), F.col("description")))
-    d.select(doc.alias("value")).write.text(path)
+    d.select(doc.alias("value")).write.mode("overwrite").text(path)
     return fl.read_descriptions(spark, path, wholetext=False)
 
 
@@ -834,7 +834,7 @@ def _(spark, sf):
     g = b.b_grid(spark, sf)
     rid = F.when(F.col("listing_id") % 4 == 0, F.lit("")).otherwise(F.col("listing_id").cast("string"))
     g.select("area", rid.alias("room_id"), F.col("listing_id").cast("string").alias("id"), "lat", "lon") \
-        .write.partitionBy("area").json(path)
+        .write.mode("overwrite").partitionBy("area").json(path)
     return fl.read_search_results(spark, path, lines=True)
 
 
@@ -843,7 +843,7 @@ def _(spark, sf):
     path = scratch_path(spark, "summaries")
     s = b.b_summaries(spark, sf)
     s.select("area", F.to_json(F.create_map(F.col("listing_id").cast("string"), F.col("summary"))).alias("value")) \
-        .write.partitionBy("area").text(path)
+        .write.mode("overwrite").partitionBy("area").text(path)
     r = fl.read_summaries(spark, path, glob="*.txt", wholetext=False)
     return r.select("area", "listing_id", F.length("summary").alias("summary_chars"))
 

@@ -62,7 +62,7 @@ def stream_review_ratings(spark: SparkSession, reviews: DataFrame, key: str = "l
     """Land ``reviews`` as several files, stream them, return the per-listing
     mean (4 dp) -- equal to the batch ``listing_mean_rating``."""
     src = scratch_path(spark, "stream-reviews-src")
-    reviews.select(key, rating).repartition(files).write.parquet(src)
+    reviews.select(key, rating).repartition(files).write.mode("overwrite").parquet(src)
     schema = reviews.select(key, rating).schema.simpleString()[len("struct<"):-1].replace(":", " ")
     out, ck = scratch_path(spark, "stream-reviews-out"), scratch_path(spark, "stream-reviews-ck")
     run_available(review_ratings_stream(spark, src, schema, key, rating), out, ck, "update")
@@ -89,7 +89,7 @@ def stream_request_cost(spark: SparkSession, costed: DataFrame, watermark: str =
     windowed aggregate, return the final value per (session, window)."""
     cols = ["session", "listing_id", "ts", "cached", "input_tokens", "output_tokens", "cost"]
     src = scratch_path(spark, "stream-cost-src")
-    costed.select(*cols).repartitionByRange(files, "ts").write.parquet(src)
+    costed.select(*cols).repartitionByRange(files, "ts").write.mode("overwrite").parquet(src)
     schema = costed.select(*cols).schema
     out, ck = scratch_path(spark, "stream-cost-out"), scratch_path(spark, "stream-cost-ck")
     r = spark.readStream.schema(schema)
