@@ -145,3 +145,15 @@ def test_merge_prompt_bounded_groups(spark):
     assert out[2]["prompt"] == "p7" and "--- Analysis 3 ---\np3\n" in out[0]["prompt"]
     one = pk.merge_prompt(parts, "BASE").collect()
     assert len(one) == 1 and one[0]["final"] and one[0]["n_parts"] == 7
+
+
+def test_distributed_path_with_per_listing_prompt_column(spark):
+    rows = [(k, i, "w" * (7 * ((i * 13 + len(k)) % 11)), {"a": 2, "b": 30, "c": 90}[k])
+            for k in "abc" for i in range(25)]
+    df = spark.createDataFrame(rows, "listing_id string, pos int, text string, pt long")
+    cols = ["listing_id", "chunk_no", "item_no", "text", "tokens", "truncated"]
+    local = pk.chunk_reviews(df, "listing_id", ["pos"], "text", prompt_tokens="pt", limit=60, hot_items=None)
+    dist = pk.chunk_reviews(df, "listing_id", ["pos"], "text", prompt_tokens="pt", limit=60, hot_items=0)
+    a = sorted(tuple(r[c] for c in cols) for r in local.collect())
+    assert a == sorted(tuple(r[c] for c in cols) for r in dist.collect())
+    assert any(r[5] for r in a)  # listing "c" (prompt over the limit) truncates everything
