@@ -1303,3 +1303,31 @@ SELECT listing_id,
        TRY_CAST({_x(h, HDR_BED)} AS INTEGER) AS Bedrooms, TRY_CAST({_x(h, HDR_BATH)} AS DOUBLE) AS Bathrooms,
        TRY_CAST({_x(h, HDR_GUEST)} AS INTEGER) AS Max_Guests
 FROM pg"""
+
+
+@q("tier_insight_prompts")
+def _():
+    from staylens.plans.templates import INSIGHT_TEMPLATE, NO_DESCRIPTIONS
+    hi = f"CASE WHEN th.metric = 'adr' THEN printf('$%.2f', {R('hi', 2)}) ELSE printf('%.1f%%', {R('hi', 1)}) END"
+    lo = f"CASE WHEN th.metric = 'adr' THEN printf('$%.2f', {R('lo', 2)}) ELSE printf('%.1f%%', {R('lo', 1)}) END"
+    fills = [("ZIPCODE", "'all'"), ("HIGH_THRESHOLD", hi), ("LOW_THRESHOLD", lo), ("TOP_PERCENTILE", "'25'"),
+             ("BOTTOM_PERCENTILE", "'25'"), ("FEATURE_COMPARISON", "comparison_text"),
+             ("HIGH_TIER_DESCRIPTIONS", f"COALESCE(NULLIF(shi, ''), {_sql_str(NO_DESCRIPTIONS)})"),
+             ("LOW_TIER_DESCRIPTIONS", f"COALESCE(NULLIF(slo, ''), {_sql_str(NO_DESCRIPTIONS)})")]
+    expr = _sql_str(INSIGHT_TEMPLATE)
+    for k, v in fills:
+        expr = f"replace({expr}, '{{{k}}}', {v})"
+    return f"""WITH {TIER_CTES}, {COMPARISON_SQL},
+s AS (SELECT * FROM (SELECT metric, tier, listing_id,
+             ROW_NUMBER() OVER (PARTITION BY metric, tier ORDER BY ADR DESC NULLS LAST, listing_id) AS sample_rank
+      FROM tiered) WHERE sample_rank <= 3),
+sd AS (SELECT s.metric, s.tier, s.sample_rank,
+              'Property ' || CAST(s.listing_id AS VARCHAR) || ': ' ||
+              CASE WHEN length(d.text) > 500 THEN substring(d.text, 1, 500) || '...' ELSE d.text END AS sample
+       FROM s JOIN documents d ON d.doc_id = s.listing_id),
+sb AS (SELECT metric,
+              string_agg(CASE WHEN tier = 'high' THEN sample END, chr(10) || chr(10) ORDER BY sample_rank) AS shi,
+              string_agg(CASE WHEN tier = 'low' THEN sample END, chr(10) || chr(10) ORDER BY sample_rank) AS slo
+       FROM sd GROUP BY metric)
+SELECT th.metric, {expr} AS prompt
+FROM th JOIN ct USING (metric) LEFT JOIN sb USING (metric)"""

@@ -964,3 +964,12 @@ def _(spark, sf):
     k = mk.extract_header(mk.extract_kpis(p))
     return k.select("listing_id", fixed_round("Revenue", 2).alias("Revenue"), "ADR", "Occupancy", "Days_Available",
                     "Rating", "Review_Count", "Bedrooms", "Bathrooms", "Max_Guests")
+
+
+@q("tier_insight_prompts")
+def _(spark, sf):
+    from staylens.plans.templates import INSIGHT_TEMPLATE
+    res = _tiers(spark, sf)
+    rep = tp.tier_report(res, metric_columns=tp.BINDING_METRICS, raw_thresholds=True)
+    samples = pr.sample_descriptions(tr.tier_sample(res["tiered"], k=3), b.b_descriptions(spark, sf), k=3)
+    return tp.tier_insight_prompts(rep, samples, INSIGHT_TEMPLATE, "all")

@@ -58,7 +58,7 @@ def _rename(stats: DataFrame, prefix: str, n: int) -> DataFrame:
 
 
 def tier_report(res: dict[str, DataFrame], top: int = 25, bottom: int = 25, by=None,
-                metric_columns: Mapping[str, str] | None = None) -> DataFrame:
+                metric_columns: Mapping[str, str] | None = None, raw_thresholds: bool = False) -> DataFrame:
     """One row per (group, metric): the ``write_tier_stats`` record plus the
     comparison text -- thresholds rounded to 2 dp, tier counts."""
     keys = [] if by is None else ([by] if isinstance(by, str) else list(by))
@@ -74,6 +74,7 @@ def tier_report(res: dict[str, DataFrame], top: int = 25, bottom: int = 25, by=N
     out = (res["thresholds"].join(cnt, keys + ["metric"]).join(text, keys + ["metric"])
            .where(F.col("high_tier_count").isNotNull() & F.col("low_tier_count").isNotNull()))
     return out.select(*keys, "metric", col_expr.alias("metric_column"),
+                      *(["high_threshold", "low_threshold"] if raw_thresholds else []),
                       fixed_round("high_threshold", 2).alias("high_tier_threshold"),
                       fixed_round("low_threshold", 2).alias("low_tier_threshold"),
                       "high_tier_count", "low_tier_count",
@@ -102,3 +103,38 @@ def tier_report_markdown(report: DataFrame, area_label: str, metric_config=None)
         F.lit(" (bottom "), F.col("bottom_percentile").cast("string"), F.lit("%, n="),
         F.col("low_tier_count").cast("string"), F.lit(")\n\n---\n\n"), F.col("comparison_text"))
     return report.select("metric", text.alias("report"))
+
+
+def tier_insight_prompts(report: DataFrame, samples: DataFrame, template: str, area_label: str,
+                         units: Mapping[str, str] | None = None) -> DataFrame:
+    """The per-metric insights request: thresholds as labels ('$x.xx' or
+    'x.x%'), percentiles, the comparison block and up to three sample
+    descriptions per tier joined by blank lines ('No descriptions
+    available.' when a tier has none).  ``samples`` comes from
+    :func:`staylens.operators.prompts.sample_descriptions`; every list is
+    bounded by the sample size."""
+    from staylens.functions.scalar import fill_template, threshold_label
+    from staylens.plans.templates import NO_DESCRIPTIONS
+    units = units or {k: v["unit"] for k, v in tr.METRIC_CONFIG.items()}
+
+    def block(tier):
+        items = F.array_sort(F.collect_list(F.when(F.col("tier") == tier, F.struct("sample_rank", "sample"))))
+        return F.array_join(F.transform(items, lambda x: x["sample"]), "\n\n")
+    s = samples.groupBy("metric").agg(block("high").alias("_hi"), block("low").alias("_lo"))
+    j = report.join(s, "metric", "left")
+    hi_lbl = F.lit(None).cast("string")
+    lo_lbl = F.lit(None).cast("string")
+    for m, unit in units.items():
+        hi_lbl = F.when(F.col("metric") == m, threshold_label("_hi_raw", unit)).otherwise(hi_lbl)
+        lo_lbl = F.when(F.col("metric") == m, threshold_label("_lo_raw", unit)).otherwise(lo_lbl)
+
+    def or_none(c):
+        return F.when(F.coalesce(F.length(c), F.lit(0)) > 0, F.col(c)).otherwise(F.lit(NO_DESCRIPTIONS))
+    j = j.withColumnsRenamed({"high_threshold": "_hi_raw", "low_threshold": "_lo_raw"})
+    prompt = fill_template(F.lit(template), {
+        "ZIPCODE": F.lit(area_label), "HIGH_THRESHOLD": hi_lbl, "LOW_THRESHOLD": lo_lbl,
+        "TOP_PERCENTILE": F.col("top_percentile").cast("string"),
+        "BOTTOM_PERCENTILE": F.col("bottom_percentile").cast("string"),
+        "FEATURE_COMPARISON": F.col("comparison_text"),
+        "HIGH_TIER_DESCRIPTIONS": or_none("_hi"), "LOW_TIER_DESCRIPTIONS": or_none("_lo")})
+    return j.select("metric", prompt.alias("prompt"))
