@@ -1331,3 +1331,25 @@ sb AS (SELECT metric,
        FROM sd GROUP BY metric)
 SELECT th.metric, {expr} AS prompt
 FROM th JOIN ct USING (metric) LEFT JOIN sb USING (metric)"""
+
+
+@q("render_quality_report")
+def _():
+    nl = "chr(10)"
+    line = (f"CAST(rank AS VARCHAR) || '. **' || CAST(listing_id AS VARCHAR) || '** — ADR premium $' || "
+            f"printf('%+.0f', {R('residual', 0)}) || '/night — [View on Airbnb](' || '{LISTING_URL_PREFIX}' || "
+            f"CAST(listing_id AS VARCHAR) || ')'")
+    r2 = ("CASE WHEN var_samp(actual) * (COUNT(*) - 1) > 0 THEN 1.0 - SUM(residual * residual) / "
+          "(var_samp(actual) * (COUNT(*) - 1)) ELSE 0.0 END")
+    return f"""WITH {OLS_CTES}, {SCORE_CTES.strip().lstrip(',')},
+agg AS (SELECT printf('%.3f', {R(r2, 3)}) AS r2, CAST(COUNT(*) AS VARCHAR) AS n FROM res),
+sc_n AS (SELECT CAST(COUNT(*) AS VARCHAR) AS s FROM sc JOIN res USING (listing_id)),
+tops AS (SELECT string_agg({line}, {nl} ORDER BY rank) AS top FROM tbr WHERE side = 'top'),
+bots AS (SELECT string_agg({line}, {nl} ORDER BY rank) AS bottom FROM tbr WHERE side = 'bottom'),
+body AS (SELECT string_agg(printf('| %s | %+.3f | %d |', dimension, {R('correlation', 3)}, n), {nl} ORDER BY rank) AS b FROM dc)
+SELECT '# Listing Description Quality Analysis' || {nl} || {nl} || '**Zipcode:** all' || {nl} || {nl}
+       || '**Feature-Adjustment R²:** ' || r2 || ' (proportion of ADR variance explained by 2 features: capacity, retail_price)'
+       || {nl} || {nl} || '**Properties Analyzed:** ' || n || ' (' || s || ' descriptions scored)' || {nl} || {nl}
+       || '## Property Links' || {nl} || {nl} || '### Top 15 — Highest ADR Premium' || {nl} || {nl} || top || {nl}
+       || '### Bottom 15 — Lowest ADR Premium' || {nl} || {nl} || bottom || {nl} || '---' || {nl} || {nl} || b AS report
+FROM agg, sc_n, tops, bots, body"""

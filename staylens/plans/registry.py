@@ -973,3 +973,22 @@ def _(spark, sf):
     rep = tp.tier_report(res, metric_columns=tp.BINDING_METRICS, raw_thresholds=True)
     samples = pr.sample_descriptions(tr.tier_sample(res["tiered"], k=3), b.b_descriptions(spark, sf), k=3)
     return tp.tier_insight_prompts(rep, samples, INSIGHT_TEMPLATE, "all")
+
+
+@q("render_quality_report")
+def _(spark, sf):
+    from staylens.plans import premium as pp
+    frame, model, res = _ols(spark, sf)
+    from staylens.plans.common import reuse
+    res = reuse(res)  # read by r2, top/bottom and the scored count
+    scored = pr.join_score_residual(b.b_scores(spark, sf), res.select("listing_id")).agg(
+        F.count(F.lit(1)).alias("n_scored"))
+    corr = pm.dimension_correlation(b.b_scores(spark, sf), b.b_residuals(spark, sf), dimensions=SCORE_DIMS)
+    body = corr.select(F.col("rank").alias("o"), F.format_string("| %s | %+.3f | %d |", F.col("dimension"),
+                                                                  fixed_round("correlation", 3), F.col("n")).alias("t"))
+    path = scratch_path(spark, "quality-report")
+    rep = pp.quality_report_markdown(pm.r_squared(res), pm.top_bottom_premium(res), scored, model.features, "all",
+                                     body)
+    sk.render_report(rep.withColumn("name", F.lit("description_quality")), path, ("name",), "report")
+    back = spark.read.text(path, wholetext=True)
+    return back.select(F.regexp_replace("value", "\n$", "").alias("report"))
