@@ -2,10 +2,12 @@
 
 Plan shape (per call, whatever the data size):
 
-1. ``tier_thresholds``: one aggregate pass computing the exact linear-
-   interpolated quantiles of every metric (``percentile`` keeps a value ->
-   count map per group and merges partial maps after the map side, so its
-   state is bounded by the number of distinct metric values, not rows).
+1. ``tier_thresholds``: a size check, then one aggregate pass computing the
+   exact linear-interpolated quantiles of every metric: ``percentile`` (a
+   value -> count map per group, partial maps merged after the map side) for
+   groups up to ``EXACT_PERCENTILE_ROWS`` rows, rank-based
+   ``exact_quantiles`` over range partitions above it, so no group is ever
+   gathered in one task.
 2. ``tier_assign``: thresholds are attached as literals (global) or through a
    join on the grouping keys (one row per group and metric), then each row is
    exploded into the tiers it belongs to -- inclusive on both sides, so a row
