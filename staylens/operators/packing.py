@@ -237,11 +237,14 @@ def chunk_prompt(chunks: DataFrame, base_prompt, key: str = "listing_id", prompt
     numbered = review_numbering(chunks)
     base = F.lit(base_prompt) if isinstance(base_prompt, str) else base_prompt
     pt = F.lit(int(prompt_tokens)) if not isinstance(prompt_tokens, str) else F.first(prompt_tokens)
-    per = numbered.groupBy(key, "chunk_no").agg(
+    from staylens.plans.common import reuse
+    # read twice below (listing totals and the join back): persisted so the
+    # packing upstream runs once
+    per = reuse(numbered.groupBy(key, "chunk_no").agg(
         F.array_sort(F.collect_list(F.struct("item_no", "numbered"))).alias("items"),
         F.count(F.lit(1)).alias("n_items"),
         F.sum("tokens").alias("chunk_tokens"),
-        F.first(base).alias("base_prompt"), pt.alias("prompt_tokens"))
+        F.first(base).alias("base_prompt"), pt.alias("prompt_tokens")))
     # listing totals by a partial-aggregated groupBy joined back (no per-listing window task)
     tot = per.groupBy(key).agg(F.max("chunk_no").alias("n_chunks"), F.sum("chunk_tokens").alias("_tt"))
     per = per.join(tot, key).withColumn("total_tokens", F.col("_tt") + F.col("prompt_tokens"))

@@ -74,7 +74,9 @@ def review_pack(reviews: DataFrame, order_cols: Sequence[str], area_of: DataFram
     sizes = keep.agg(F.sum("n_reviews").alias("total"), F.sum(F.when(is_big, 1).otherwise(0)).alias("n_hot")).first()
     total, n_hot = int(sizes["total"] or 0), int(sizes["n_hot"] or 0)
     hot = keep.where(is_big).select(key)
-    items = reviews.join(heads, key)
+    # only the per-listing numbers travel with the reviews; the prompt text is
+    # attached per chunk after packing
+    items = reviews.join(heads.select(key, "_floaty", "prompt_tokens"), key)
     items = items.withColumn("text", F.concat(rating_text(rating), F.lit(" "), F.col(review)))
     ch = pk.chunk_reviews(items, key, list(order_cols), "text", "prompt_tokens", limit, hot_keys=hot,
                           total_rows=total, n_hot=n_hot)
