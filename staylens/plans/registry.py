@@ -357,7 +357,8 @@ def _(spark, sf):
 
 @q("join_topk_scores")
 def _(spark, sf):
-    tb = pm.top_bottom_premium(b.b_residuals(spark, sf))
+    from staylens.plans.common import reuse
+    tb = pm.top_bottom_premium(reuse(b.b_residuals(spark, sf)))  # read by both top-k branches
     j = pr.join_topk_scores(tb, b.b_scores(spark, sf), b.b_descriptions(spark, sf))
     return j.select("side", "rank", "listing_id", *SCORE_DIMS, F.length("description").alias("description_chars"))
 
@@ -409,7 +410,9 @@ def _(spark, sf):
 
 @q("synthesis_prompt")
 def _(spark, sf):
-    scores, res = b.b_scores(spark, sf), b.b_residuals(spark, sf)
+    from staylens.plans.common import reuse
+    # both feed several branches (correlation, r2, top / bottom, score join)
+    scores, res = reuse(b.b_scores(spark, sf)), reuse(b.b_residuals(spark, sf))
     corr = pm.dimension_correlation(scores, res, dimensions=SCORE_DIMS)
     # the residual table is a mean-only fit of n_chars: its r-squared comes from the data
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("listing_id"),
