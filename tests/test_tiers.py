@@ -91,3 +91,17 @@ def test_rank_quantiles_with_ties_match_numpy(spark, vals):
     df = spark.createDataFrame([(f"l{i}", float(v)) for i, v in enumerate(vals)], "listing_id string, v double")
     q = tr.exact_quantiles(df.withColumn("g", tr.F.lit("a")), ["g"], "v", [0.75, 0.25]).collect()[0]
     assert abs(q["q0"] - np.quantile(vals, 0.75)) < 1e-9 and abs(q["q1"] - np.quantile(vals, 0.25)) < 1e-9
+
+
+def test_insight_prompt_without_samples_says_so(spark):
+    from staylens.plans import tiers as tp
+    from staylens.plans.templates import NO_DESCRIPTIONS
+    report = spark.createDataFrame(
+        [("adr", 364.1, 201.8, 25, 25, "TABLE")],
+        "metric string, high_threshold double, low_threshold double, top_percentile int, "
+        "bottom_percentile int, comparison_text string")
+    samples = spark.createDataFrame([("adr", "high", 1, "Property 7: nice")],
+                                    "metric string, tier string, sample_rank int, sample string")
+    out = tp.tier_insight_prompts(report, samples, "{HIGH_THRESHOLD}|{LOW_THRESHOLD}|{FEATURE_COMPARISON}|"
+                                  "{HIGH_TIER_DESCRIPTIONS}|{LOW_TIER_DESCRIPTIONS}", "97067").collect()[0]
+    assert out["prompt"] == f"$364.10|$201.80|TABLE|Property 7: nice|{NO_DESCRIPTIONS}"
