@@ -157,3 +157,14 @@ def test_distributed_path_with_per_listing_prompt_column(spark):
     a = sorted(tuple(r[c] for c in cols) for r in local.collect())
     assert a == sorted(tuple(r[c] for c in cols) for r in dist.collect())
     assert any(r[5] for r in a)  # listing "c" (prompt over the limit) truncates everything
+
+
+def test_global_positions_descending_expression(spark):
+    from pyspark.sql import functions as F
+    from staylens.operators.packing_dist import global_positions
+    rows = [("all", float((i * 37) % 101), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, v double, id int")
+    out = global_positions(df, "k", [F.col("v").desc(), F.col("id")], partitions=7).collect()
+    got = [r["id"] for r in sorted(out, key=lambda r: r["gidx"])]
+    exp = [r[2] for r in sorted(rows, key=lambda r: (-r[1], r[2]))]
+    assert got == exp and sorted(r["gidx"] for r in out) == list(range(300))
