@@ -181,7 +181,10 @@ class WordEncoder:
         return b"".join(map(self._part, self.pieces(text.lower())))
 
     def __call__(self, text: str | None) -> np.ndarray:
-        ws = (text or "").encode("utf-8").split()  # the six ASCII white-space bytes
+        return self.lowered((text or "").encode("utf-8").split())  # the six ASCII white-space bytes
+
+    def lowered(self, ws: list[bytes]) -> np.ndarray:
+        """Ids of a list of words."""
         if len(self.words) >= self.cached:
             self.words.old = {}
             self.words = _Memo(self._word, self.words)
