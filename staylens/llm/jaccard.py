@@ -5,22 +5,24 @@ Documents are sets of distinct 3-word shingles (64-bit hashes).  Two link when
 
 1. *List lengths.*  Every token's document frequency is counted over all
    documents (sorted, pre-counted blobs per hash range instead of a row per
-   token).  The ``FREQUENT`` most frequent tokens -- a table of fixed size --
-   order the tokens globally: plain tokens by hash first, then frequent ones by
-   frequency.  Any global order gives exact results; this one keeps long
-   inverted lists out of the prefixes.
+   token).  Two tables of fixed size order the tokens globally: a bitmap of the
+   tokens in two documents or more, and the ``FREQUENT`` most frequent tokens.
+   Tokens of one document come first, frequent ones last.  Any global order
+   gives exact results; this one keeps long inverted lists out of the prefixes.
 2. *Prefixes.*  Equal sets are collapsed to their smallest document.  A pair
-   that reaches the overlap T must share one of the first ``n - ceil(0.9 n) + 1``
-   tokens of both, so only those are posted.
+   that reaches the overlap T must share tokens among the first
+   ``n - ceil(0.9 n) + 1`` of both; those in two documents or more are posted.
 3. *Stars.*  Every list links its members to its smallest document; verified
    star links are merged first, with work linear in the postings.
 4. *DivideSkip.*  Lists whose members are still in several components are
    gathered by their smallest document and searched: within a group every
-   document outside the largest component is a query against the inverted lists
-   of the group; the longest lists are set aside, the short ones are
-   heap-merged, and candidates are completed by binary search in the long ones.
-   Large groups are cut into blocks and each pair of blocks is one group, so no
-   task holds an unbounded list and none is capped.
+   document outside the largest component is a query against the inverted
+   prefix lists of the group; the longest lists are set aside, the short ones
+   are heap-merged, candidates are completed by binary search in the long ones,
+   and those reaching the required overlap are retained.  Large groups are cut
+   into blocks and each pair of blocks is one group, so no task holds an
+   unbounded list and none is capped.
+5. Retained pairs are verified on the whole sets.
 
 Defined cases: null, blank and empty texts have the empty set and link with
 nothing; one or two words form a single shingle; repeated rows of a document
@@ -41,8 +43,9 @@ from staylens.llm.common import cut, load, shuffle_parts
 
 WORDS = 3
 PERCENT = 90
-FREQUENT = 1 << 21     # tokens in the table of frequent ones (24 MB), whatever the corpus
-MIN_FREQUENT = 2       # a token in fewer documents is never frequent
+FREQUENT = 1 << 20     # tokens in the table of frequent ones (12 MB), whatever the corpus
+SHARED_BITS = 1 << 27  # of the bitmap of tokens in two documents or more (16 MB), whatever the corpus
+MIN_FREQUENT = 4       # a token in fewer documents is never frequent
 FLUSH = 1 << 21        # tokens a task gathers before it writes its counted blobs
 GROUP = 256            # documents of a block of a long list
 CACHED_WORDS = 1 << 19
@@ -86,6 +89,14 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def prefix_overlap(a: int, b: int, percent: int = PERCENT) -> int:
+    """Shared tokens that the prefixes of two linked sets hold at least.  With
+    an overlap of T the prefix of a holds at least prefix - (a - T) of the first
+    common tokens, that of b likewise, and the smaller number is in both."""
+    t = needed_overlap(a, b, percent)
+    return t - max(-(-percent * a // 100), -(-percent * b // 100)) + 1
+
+
 def needed_overlap(a: int, b: int, percent: int = PERCENT) -> int:
     """Smallest intersection with 100 * i >= percent * (a + b - i)."""
     return -(-percent * (a + b) // (100 + percent))
@@ -134,39 +145,66 @@ def _shift(buckets: int) -> int:
     return max(0, ((1 << 64) // buckets + 1).bit_length() - 32)
 
 
-def frequent_tokens(docs: DataFrame, k: int = WORDS, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray, int]:
-    """The at most ``most`` most frequent tokens (as bucketed short hashes,
-    sorted) and their frequencies.  Short hashes may merge tokens, which only
-    changes the order of tokens, never a result."""
+class TokenOrder:
+    """Global order of tokens from tables of fixed size.  Tokens are looked up
+    by bucketed short hashes; a clash only changes the order, or keeps a token
+    that could have been left out, never a result."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.bits = buckets, SHARED_BITS // buckets // 8 * 8
+        self.token, self.n = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.shared = np.zeros((buckets, self.bits // 8), np.uint8)
+
+    def rank(self, tokens: np.ndarray) -> np.ndarray:
+        """0: in one document; 1: in several; the frequency for frequent tokens."""
+        short = short_hash(tokens, self.buckets)
+        at = ((short & 0xFFFFFFFF) * self.bits) >> 32
+        rank = ((self.shared[short >> 32, at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(np.int64)
+        if len(self.token):
+            i = np.minimum(np.searchsorted(self.token, short), len(self.token) - 1)
+            rank = np.where(self.token[i] == short, self.n[i], rank)
+        return rank
+
+
+def token_order(docs: DataFrame, k: int = WORDS, most: int = FREQUENT) -> TokenOrder:
+    """Counts the document frequencies of all tokens of all documents."""
     spark = docs.sparkSession
-    buckets = shuffle_parts(spark)
+    buckets = min(shuffle_parts(spark), SHARED_BITS // 64)
+    order = TokenOrder(buckets)
+    bits = order.bits
 
     def merge(key, table):
         t = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table.column("tokens")])
         c = np.concatenate([np.frombuffer(x.as_buffer(), "<u2") for x in table.column("counts")]).astype(np.int64)
-        order = np.argsort(t, kind="stable")
-        t, c = t[order], c[order]
+        sort = np.argsort(t, kind="stable")
+        t, c = t[sort], c[sort]
         first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-        total = np.add.reduceat(c, first)
+        total, t = np.add.reduceat(c, first), t[first].astype(np.int64)
+        seen = np.zeros(bits, np.uint8)
+        seen[(t[total > 1] * bits) >> 32] = 1
         keep = total >= MIN_FREQUENT
-        low, total = t[first][keep], total[keep]
-        short = (np.int64(key[0].as_py()) << np.int64(32)) | low.astype(np.int64)
-        return pa.table({"token": pa.array(short, pa.int64()), "n": pa.array(total, pa.int64())})
+        low, total = t[keep], total[keep]
+        short = (np.int64(key[0].as_py()) << np.int64(32)) | low
+        return pa.table({"token": pa.array(np.append(short, key[0].as_py()), pa.int64()),
+                         "n": pa.array(np.append(total, 0), pa.int64()),
+                         "bits": pa.array([None] * len(low) + [np.packbits(seen, bitorder="little").tobytes()], pa.binary())})
 
-    counts = token_counts(docs, buckets, k).groupBy("bucket").applyInArrow(merge, "token long, n long")
+    counts = token_counts(docs, buckets, k).groupBy("bucket").applyInArrow(merge, "token long, n long, bits binary")
     counts = cut(counts, "token-counts")
-    steps = counts.groupBy(F.floor(F.log2("n") * 4).alias("step")).count().collect()
+    for r in counts.where("n = 0").select("token", "bits").toLocalIterator():  # SHARED_BITS in all
+        order.shared[r[0]] = np.frombuffer(r[1], np.uint8)
+    steps = counts.where("n > 0").groupBy(F.floor(F.log2("n") * 4).alias("step")).count().collect()
     total, least = 0, None
     for step, n in sorted(steps, reverse=True):
         if total + n > most:
             break
         total, least = total + n, step
-    if least is None:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32), buckets
-    table = counts.where(F.floor(F.log2("n") * 4) >= least).toArrow()
-    token, n = table.column("token").to_numpy(), table.column("n").to_numpy()
-    order = np.argsort(token)
-    return token[order], np.minimum(n[order], 2 ** 31 - 1).astype(np.int32), buckets
+    if least is not None:
+        table = counts.where((F.col("n") > 0) & (F.floor(F.log2("n") * 4) >= least)).select("token", "n").toArrow()
+        token, n = table.column("token").to_numpy(), table.column("n").to_numpy()
+        sort = np.argsort(token)
+        order.token, order.n = token[sort], np.minimum(n[sort], 2 ** 31 - 1).astype(np.int32)
+    return order
 
 
 def short_hash(tokens: np.ndarray, buckets: int) -> np.ndarray:
@@ -179,14 +217,13 @@ def short_hash(tokens: np.ndarray, buckets: int) -> np.ndarray:
 # ---- 2. prefixes -------------------------------------------------------------------------
 
 def prefixes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b (128-bit digest of the set), prefix."""
-    token, n, buckets = frequent_tokens(docs, k)
-    shared = docs.sparkSession.sparkContext.broadcast((token, n))  # FREQUENT entries at most
+    """doc_id, n_shingles, set_a, set_b (128-bit digest of the set), prefix
+    (its tokens that other documents may hold, sorted)."""
+    shared = docs.sparkSession.sparkContext.broadcast(token_order(docs, k))
 
     def run(batches):
         import xxhash
-        shingle = Shingler(k)
-        token, n = shared.value
+        shingle, order = Shingler(k), shared.value
         for b in batches:
             size, a, z, prefix = [], [], [], []
             for t in b.column("text"):
@@ -195,15 +232,11 @@ def prefixes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFra
                 d = xxhash.xxh128_digest(s.tobytes())
                 a.append(int.from_bytes(d[:8], "little", signed=True))
                 z.append(int.from_bytes(d[8:], "little", signed=True))
-                if not len(s):
-                    prefix.append([])
-                    continue
-                if len(token):
-                    short = short_hash(s, buckets)
-                    at = np.minimum(np.searchsorted(token, short), len(token) - 1)
-                    rank = np.where(token[at] == short, n[at], 0)
-                    s = s[np.lexsort((s, rank))]
-                prefix.append(s[:prefix_size(len(s), percent)].view(np.int64))
+                if len(s):
+                    rank = order.rank(s)
+                    first = np.lexsort((s, rank))[:prefix_size(len(s), percent)]
+                    s = np.sort(s[first[rank[first] > 0]])
+                prefix.append(s.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(size, pa.int64()), pa.array(a, pa.int64()), pa.array(z, pa.int64()),
                  pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_a", "set_b", "prefix"])
@@ -267,62 +300,77 @@ def inverted_lists(sets: list[np.ndarray]) -> tuple[dict, list[np.ndarray]]:
     return (t, o, first, t[first], np.append(first, len(t))), own
 
 
-def links_within(sets: list[np.ndarray], labels: list, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Pairs (i, j), i < j, of differently labelled sets that link, from one
-    T-occurrence search per set outside the most frequent label.  A set with
-    fewer shared tokens than its smallest possible overlap is no query."""
-    sizes = [len(s) for s in sets]
+def candidates_within(prefix: list[np.ndarray], sizes: list[int], labels: list, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Pairs (i, j), i < j, of differently labelled sets whose prefixes share
+    as many tokens as a link needs, from one T-occurrence search per set outside
+    the most frequent label."""
     main = Counter(labels).most_common(1)[0][0]
-    index, own = inverted_lists(sets)
+    index, own = inverted_lists(prefix)
     out = []
     for i, n in enumerate(sizes):
-        if not n or labels[i] == main:
+        if labels[i] == main or not len(own[i]):
             continue
-        smallest = -(-percent * n // 100)  # of a set that can link
-        least = needed_overlap(n, smallest, percent)
+        lo, hi = -(-percent * n // 100), n * 100 // percent  # sizes that can link
+        fit = sorted({m for m in sizes if lo <= m <= hi})
+        least = min((prefix_overlap(n, m, percent) for m in fit), default=1)
         if len(own[i]) < least:
             continue
         _, ids, _, names, edges = index
-        at = np.searchsorted(names, own[i])
-        lists = [ids[edges[k]:edges[k + 1]] for k in at.tolist()]
-        # set aside as many lists as leaves the shared prefix to the heap
+        lists = [ids[edges[x]:edges[x + 1]] for x in np.searchsorted(names, own[i]).tolist()]
         for j, count in divide_skip(lists, least, least - 1).items():
-            if labels[i] != labels[j] and (j > i or labels[j] == main) \
-                    and count >= needed_overlap(n, sizes[j], percent):
+            if labels[i] != labels[j] and (j > i or labels[j] == main) and lo <= sizes[j] <= hi \
+                    and count >= prefix_overlap(n, sizes[j], percent):
                 out.append((min(i, j), max(i, j)))
     return out
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) whose shingle sets link.  ``sets``: id, tokens (sorted)."""
-    x = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
-    y = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
+def pairwise(pairs: DataFrame, sets: DataFrame, keep) -> DataFrame:
+    """Pairs (a, b) for which ``keep(set a, size a, set b, size b)`` holds.
+    ``sets``: id, n, tokens (sorted)."""
+    x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
+    y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = pairs.join(x, "a").join(y, "b")
 
     def run(batches):
-        for bt in batches:
-            keep = []
-            for p, q in zip(bt.column("ta"), bt.column("tb")):
-                u, v = p.values.to_numpy(), q.values.to_numpy()
-                i = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(100 * i >= percent * (len(u) + len(v) - i))
-            m = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([bt.column("a"), bt.column("b")], names=["a", "b"]).filter(m)
+        for t in batches:
+            mask = [keep(p.values.to_numpy(), n, q.values.to_numpy(), m) for p, n, q, m in zip(
+                t.column("ta"), t.column("na").to_pylist(), t.column("tb"), t.column("nb").to_pylist())]
+            yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b")], names=["a", "b"]).filter(pa.array(mask, pa.bool_()))
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return both.select("a", "na", "ta", "b", "nb", "tb").mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, prefix: DataFrame | None, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs whose whole sets link.  With ``prefix``, pairs whose prefixes share
+    too little are left out before whole sets are built and moved."""
+
+    def enough(p, n, q, m):
+        return len(np.intersect1d(p, q, assume_unique=True)) >= prefix_overlap(n, m, percent)
+
+    def link(p, n, q, m):
+        i = len(np.intersect1d(p, q, assume_unique=True))
+        return 100 * i >= percent * (len(p) + len(q) - i)
+
+    if prefix is not None:
+        pairs = pairwise(pairs, prefix, enough).distinct()
+    pairs = cut(pairs, "jaccard-pairs")
+    ids = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "jaccard-ids")
+    return pairwise(pairs, text_sets(docs, ids, k), link).distinct()
 
 
 def text_sets(docs: DataFrame, ids: DataFrame, k: int = WORDS) -> DataFrame:
-    """id, tokens of the documents whose id is in ``ids`` (id, distinct)."""
+    """id, n, tokens of the documents whose id is in ``ids`` (id, distinct)."""
 
     def run(batches):
         shingle = Shingler(k)
         for b in batches:
             sets = [shingle(t.as_py()).view(np.int64) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                names=["id", "n", "tokens"])
 
     some = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return some.mapInArrow(run, "id long, tokens array<long>")
+    return cut(some.mapInArrow(run, "id long, n long, tokens array<long>"), "jaccard-tokens")
 
 
 def components(edges: DataFrame, name: str, rounds: int = 60) -> DataFrame:
@@ -390,36 +438,36 @@ def open_groups(live: DataFrame, label: DataFrame, size: int = GROUP) -> DataFra
                                 F.greatest("block", "other").cast("string")).alias("gid"), "id", "label"))
 
 
-def search(groups: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) found by DivideSkip inside the groups.  A task reads its
-    groups one after the other and holds one at a time."""
-    rows = groups.join(sets, "id").select("gid", "id", "label", "tokens")
+def search(groups: DataFrame, prefix: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Candidate pairs (a, b) found by DivideSkip inside the groups.  A task
+    reads its groups one after the other and holds one at a time."""
+    rows = groups.join(prefix, "id").select("gid", "id", "label", "n", "tokens")
     rows = rows.repartition(shuffle_parts(groups.sparkSession), "gid").sortWithinPartitions("gid")
 
     def run(batches):
-        gid, ids, labels, sets_ = None, [], [], []
+        gid, ids, labels, sizes, sets = None, [], [], [], []
 
         def close():
-            pairs = links_within(sets_, labels, percent) if len(ids) > 1 else []
+            pairs = candidates_within(sets, sizes, labels, percent) if len(ids) > 1 else []
             return pa.RecordBatch.from_arrays(
-                [pa.array([ids[i] for i, _ in pairs], pa.int64()), pa.array([ids[j] for _, j in pairs], pa.int64())],
-                names=["a", "b"])
+                [pa.array([min(ids[i], ids[j]) for i, j in pairs], pa.int64()),
+                 pa.array([max(ids[i], ids[j]) for i, j in pairs], pa.int64())], names=["a", "b"])
 
         for b in batches:
-            for g, i, lab, t in zip(b.column("gid").to_pylist(), b.column("id").to_pylist(),
-                                    b.column("label").to_pylist(), b.column("tokens")):
+            for g, i, lab, n, t in zip(*(b.column(c).to_pylist() for c in ("gid", "id", "label", "n")), b.column("tokens")):
                 if g != gid:
                     yield close()
-                    gid, ids, labels, sets_ = g, [], [], []
+                    gid, ids, labels, sizes, sets = g, [], [], [], []
                 ids.append(i)
                 labels.append(lab)
-                sets_.append(t.values.to_numpy())
+                sizes.append(n)
+                sets.append(t.values.to_numpy())
         yield close()
 
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, star_rounds: int = 2) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, star_rounds: int = 1) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
     Rows that share a doc_id are one document with several texts; rows without
     an id have no component."""
@@ -434,19 +482,19 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
                .select("doc_id", "a"))
     edges = member.join(several, "doc_id").select("a", F.col("rep").alias("b")).where("a != b")
     reps = member.where("doc_id = rep").dropDuplicates(["doc_id", "set_a", "set_b"])
-    postings = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("prefix").alias("token")).distinct()
-    postings = cut(postings, "jaccard-postings")
+    prefix = cut(reps.where(F.size("prefix") > 0).select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"),
+                                                         F.col("prefix").alias("tokens")), "jaccard-reps")
+    postings = prefix.select("id", "n", F.explode("tokens").alias("token"))
     shared = cut(postings.groupBy("token").count().where("count > 1").select(F.col("token").alias("t")), "jaccard-lists")
     live = cut(postings.join(shared, F.col("token") == F.col("t")).select("token", "id", "n"), "jaccard-shared")
-    sets = cut(text_sets(docs, live.select("id").distinct(), k), "jaccard-tokens")
     label = None
     for i in range(star_rounds):
         pairs = star_pairs(live, label, i, percent)
-        edges = cut(edges.unionByName(verified(pairs, sets, percent)), "jaccard-links")
+        edges = cut(edges.unionByName(verified(pairs, prefix, docs, k, percent)), "jaccard-links")
         label = components(edges, "jaccard-labels")
-    found = search(cut(open_groups(live, label), "jaccard-groups"), sets, percent)
-    label = components(edges.unionByName(found), "jaccard-labels")
-    label = label.select(F.col("id").alias("rep"), "label")
+    found = search(cut(open_groups(live, label), "jaccard-groups"), prefix, percent)
+    edges = edges.unionByName(verified(found, None, docs, k, percent))
+    label = components(edges, "jaccard-labels").select(F.col("id").alias("rep"), "label")
     classes = (member.select("doc_id", "rep").distinct().join(label, "rep", "left")
                .groupBy("doc_id").agg(F.min(F.coalesce("label", "rep")).alias("c")))
     classes = cut(classes.select(F.col("doc_id").alias("d"), "c"), "jaccard-classes")
