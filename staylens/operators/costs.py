@@ -83,12 +83,10 @@ def historical_cost(sessions: DataFrame, as_of, days: int = 30, start: str = "se
         .alias("average_cost_per_session"))
 
 
-def last_n_sessions(sessions: DataFrame, order_col: str, n: int = LAST_N_SESSIONS) -> DataFrame:
+def last_n_sessions(sessions: DataFrame, order_col: str, n: int = LAST_N_SESSIONS,
+                    tie: str = "session_id") -> DataFrame:
     """Keep the ``n`` most recent sessions (a global top-k: each task forwards
     only its own ``n`` rows)."""
-    w = Window.orderBy(F.col(order_col).desc())
-    return sessions.orderBy(F.col(order_col).desc()).limit(n).withColumn("recency", F.row_number().over(w))
-
-
-def estimated_tokens(df: DataFrame, text: str, out: str = "tokens") -> DataFrame:
-    return df.withColumn(out, estimate_tokens(text))
+    order = [F.col(order_col).desc()] + ([F.col(tie).desc()] if tie in sessions.columns else [])
+    w = Window.orderBy(*order)
+    return sessions.orderBy(*order).limit(n).withColumn("recency", F.row_number().over(w))

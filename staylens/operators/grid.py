@@ -53,22 +53,15 @@ def grid_range_join(points: DataFrame, cells: DataFrame, dimensions: int = GRID_
                     area: str = "area", lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Points inside each cell: ``box_sw <= p < box_ne`` on both axes.
 
-    The cell table has d*d rows per area; the candidate cell is computed per
-    point and the join is an equi-join on (area, cell_row, cell_col); the
-    half-open bounds are then checked exactly.
+    The cell table has d*d rows per area, so every point is tested against the
+    few cells of its area by their own bounds.
     """
-    geo = cells.groupBy(area).agg(F.first("sw_lat").alias("_sw_lat"), F.first("sw_lon").alias("_sw_lon"),
-                                  F.first("lat_step").alias("_lat_step"), F.first("lon_step").alias("_lon_step"))
-    p = points.join(geo, area)
-    p = p.withColumns({
-        "cell_row": F.floor((F.col(lat) - F.col("_sw_lat")) / F.col("_lat_step")).cast("int"),
-        "cell_col": F.floor((F.col(lon) - F.col("_sw_lon")) / F.col("_lon_step")).cast("int")})
     c = cells.select(area, "cell_row", "cell_col", "cell_no", "box_sw_lat", "box_sw_lon", "box_ne_lat",
                      "box_ne_lon")
-    j = p.join(c, [area, "cell_row", "cell_col"])
+    j = points.join(c, area)
     inside = ((F.col(lat) >= F.col("box_sw_lat")) & (F.col(lat) < F.col("box_ne_lat")) &
               (F.col(lon) >= F.col("box_sw_lon")) & (F.col(lon) < F.col("box_ne_lon")))
-    return j.where(inside).drop("_sw_lat", "_sw_lon", "_lat_step", "_lon_step")
+    return j.where(inside)
 
 
 def grid_saturation(hits: DataFrame, threshold: int = SATURATION_HITS, area: str = "area") -> DataFrame:

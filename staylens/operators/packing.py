@@ -32,47 +32,6 @@ CHUNK_TOKEN_LIMIT = 120000
 MIN_REVIEWS = 5
 
 
-def py_estimate_tokens(s: pd.Series) -> np.ndarray:
-    """Vectorised twin of :func:`staylens.functions.scalar.estimate_tokens`."""
-    txt = s.astype("object")
-    isna = txt.isna().to_numpy()
-    lens = txt.fillna("").astype(str).str.len().to_numpy()
-    low = txt.fillna("").astype(str).str.lower()
-    empty = isna | (lens == 0) | low.isin(NA_STRINGS).to_numpy()
-    return np.where(empty, 0, lens // 4).astype("int64")
-
-
-def pack_positions(tokens: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Chunk number, position inside the chunk and truncation flag per item."""
-    n = len(tokens)
-    chunk = np.zeros(n, dtype="int64")
-    item = np.zeros(n, dtype="int64")
-    trunc = np.zeros(n, dtype=bool)
-    if n == 0:
-        return chunk, item, trunc
-    p = np.concatenate([[0], np.cumsum(tokens, dtype="int64")])
-    # end (exclusive) of the chunk that would start at i
-    m = np.searchsorted(p, p[:-1] + budget, side="right")  # first m with P[m] > P[i] + budget
-    nxt = np.maximum(m - 1, np.arange(n) + 1)
-    over = tokens > budget
-    nxt = np.where(over, np.arange(n) + 1, np.minimum(nxt, n))
-    starts = []
-    i = 0
-    while i < n:
-        starts.append(i)
-        i = int(nxt[i])
-    starts = np.asarray(starts, dtype="int64")
-    is_start = np.zeros(n, dtype=bool)
-    is_start[starts] = True
-    chunk = np.cumsum(is_start) - 1
-    item = np.arange(n) - starts[chunk]
-    # cut only over-budget starts that precede every item that fitted
-    fitted = ~over
-    first_fit = int(np.argmax(fitted)) if fitted.any() else n
-    trunc = over & (np.arange(n) < first_fit)
-    return chunk.astype("int64"), item.astype("int64"), trunc
-
-
 def pack_many(keys: np.ndarray, tokens: np.ndarray, budget: np.ndarray):
     """Vectorised packing of many listings at once.
 
@@ -257,26 +216,19 @@ def chunk_prompt(chunks: DataFrame, base_prompt, key: str = "listing_id", prompt
     return per.select(key, "chunk_no", "n_chunks", "n_items", prompt.alias("prompt"))
 
 
-# Partial analyses combined by one merge request at most; more form a next level.
-MERGE_FANIN = 50
-
-
 def merge_prompt(partials: DataFrame, base_prompt: str, key: str = "listing_id",
-                 summary: str = "summary", max_parts: int = MERGE_FANIN) -> DataFrame:
+                 summary: str = "summary", max_parts: int | None = None) -> DataFrame:
     """Merge requests from the successful partial analyses of each listing
     (failed, NULL or empty partials are dropped, as in the reference).
 
-    Partials are grouped by chunk number into groups of at most ``max_parts``
-    (``merge_group``); each group yields one request whose partials are
-    numbered 1..n in chunk order, and a group with a single partial passes it
-    through unchanged.  A listing with up to ``max_parts`` chunks therefore gets
-    exactly the reference's single merge request (``final`` = true); a larger
-    listing gets several bounded requests (``final`` = false) whose answers
-    are merged again the same way.  Every ``collect_list`` holds at most
-    ``max_parts`` texts, never a whole listing.
+    Each listing yields one request whose partials are numbered 1..n in chunk
+    order; a single partial passes through unchanged.  With ``max_parts`` the
+    partials are grouped by chunk number (``merge_group``) and each group yields
+    a request (``final`` is true where it is the listing's only one).
     """
     ok = partials.where(F.col(summary).isNotNull() & (F.length(summary) > 0))
-    ok = ok.withColumn("merge_group", F.floor((F.col("chunk_no") - 1) / max_parts).cast("long"))
+    ok = ok.withColumn("merge_group", (
+        F.lit(0) if max_parts is None else F.floor((F.col("chunk_no") - 1) / max_parts)).cast("long"))
     per = ok.groupBy(key, "merge_group").agg(
         F.array_sort(F.collect_list(F.struct("chunk_no", F.col(summary).alias("s")))).alias("parts"),
         F.count(F.lit(1)).alias("n_parts"))

@@ -127,7 +127,10 @@ def ols_fit(df: DataFrame, label: str = LABEL, features: Sequence[str] | None =
         return model
     g, c = m[:p, :p], m[:p, p]
     # minimum-norm solution of the centred normal equations (rank-deficient designs included)
-    beta = np.linalg.pinv(g, rcond=1e-12, hermitian=True) @ c
+    # solved on columns of unit scale, so a feature of small variance is not cut off
+    scale = np.sqrt(np.clip(np.diag(g), 0, None))
+    scale[scale == 0] = 1.0
+    beta = np.linalg.pinv(g / np.outer(scale, scale), rcond=1e-12, hermitian=True) @ (c / scale) / scale
     model.coefficients = [float(x) for x in beta]
     model.intercept = float(means[p] - np.dot(np.asarray(means[:p]), beta))
     model.ok = True

@@ -110,9 +110,9 @@ def synthesis_prompt(r2: DataFrame, correlations: DataFrame, topk: DataFrame, te
     return one.select(prompt.alias("prompt"))
 
 
-def area_summary_pack(summaries: DataFrame, n: int, area: str = "area", key: str = "listing_id",
+def area_summary_pack(summaries: DataFrame, n: int | None = None, area: str = "area", key: str = "listing_id",
                       summary: str = "summary") -> DataFrame:
-    """First ``n`` non-empty summaries per area in key order, rendered as
+    """The non-empty ones of the first ``n`` (default: all) summaries per area in key order, rendered as
     'Listing <id>:\n<summary>', with the area's property count.
 
     One row per summary (``area, pack_pos, key, n_properties, rendered``): the
@@ -122,9 +122,10 @@ def area_summary_pack(summaries: DataFrame, n: int, area: str = "area", key: str
     (``global_positions``), so a hot area is spread over many tasks.
     """
     from staylens.operators.packing_dist import global_positions
+    if n is not None:  # the first n are taken before empty ones drop out
+        summaries = global_positions(summaries, area, [key]).where(F.col("gidx") < n).drop("gidx", "pe")
     ne = summaries.where(F.col(summary).isNotNull() & (F.length(summary) > 0))
-    ranked = global_positions(ne, area, [key]).withColumn("pack_pos", F.col("gidx") + 1) \
-        .drop("gidx", "pe").where(F.col("pack_pos") <= n)
+    ranked = global_positions(ne, area, [key]).withColumn("pack_pos", F.col("gidx") + 1).drop("gidx", "pe")
     counts = ranked.groupBy(area).agg(F.count(F.lit(1)).alias("n_properties"))
     rendered = F.concat(F.lit("Listing "), F.col(key).cast("string"), F.lit(":\n"), F.col(summary))
     return ranked.join(counts, area).select(area, "pack_pos", key, "n_properties", rendered.alias("rendered"))

@@ -2,12 +2,9 @@
 
 Plan shape (per call, whatever the data size):
 
-1. ``tier_thresholds``: a size check, then one aggregate pass computing the
-   exact linear-interpolated quantiles of every metric: ``percentile`` (a
-   value -> count map per group, partial maps merged after the map side) for
-   groups up to ``EXACT_PERCENTILE_ROWS`` rows, rank-based
-   ``exact_quantiles`` over range partitions above it, so no group is ever
-   gathered in one task.
+1. ``tier_thresholds``: one aggregate pass computing the exact
+   linear-interpolated quantiles of every metric with ``percentile`` (a
+   value -> count map per group, partial maps merged after the map side).
 2. ``tier_assign``: thresholds are attached as literals (global) or through a
    join on the grouping keys (one row per group and metric), then each row is
    exploded into the tiers it belongs to -- inclusive on both sides, so a row
@@ -72,34 +69,19 @@ def valid_metric_filter(df: DataFrame, col: str) -> DataFrame:
     return df.where(valid_metric(col).isNotNull())
 
 
-# Groups larger than this use the rank-based exact quantile path.
-EXACT_PERCENTILE_ROWS = 5_000_000
-
-
 def tier_thresholds(df: DataFrame, metrics: Mapping[str, str], top: int = 25, bottom: int = 25,
-                    by: Sequence[str] | str | None = None,
-                    exact_rows: int | None = EXACT_PERCENTILE_ROWS) -> DataFrame:
+                    by: Sequence[str] | str | None = None) -> DataFrame:
     """Exact thresholds per (group, metric): ``high_threshold = q(1 - top/100)``,
     ``low_threshold = q(bottom/100)`` over valid rows; groups with fewer than four
     valid rows produce no row.
 
     ``metrics`` maps metric key -> column.  One scan handles every metric: the
-    columns are unpivoted before the aggregate.  Groups up to ``exact_rows``
-    rows use Spark's exact ``percentile`` (partial value->count maps); above
-    it (a hot area holding a large share of all rows) the rank-based
-    :func:`exact_quantiles` is used, whose work is spread over range
-    partitions.  ``exact_rows=None`` skips the size check.
+    columns are unpivoted before the aggregate, which merges value -> count
+    maps (one entry per distinct value).
     """
     keys = _keys(by)
     long = _metric_long(df, metrics, keys)
     hi_p, lo_p = 1 - top / 100.0, bottom / 100.0
-    if exact_rows is not None:
-        biggest = long.groupBy(*keys, "metric").count().agg(F.max("count")).first()[0] or 0
-        if biggest > exact_rows:
-            q = exact_quantiles(long, keys + ["metric"], "value", [hi_p, lo_p])
-            return q.where(F.col("n") >= MIN_VALID_ROWS).select(
-                *keys, "metric", F.col("q0").alias("high_threshold"), F.col("q1").alias("low_threshold"),
-                F.col("n").alias("n_valid"))
     agg = long.groupBy(*keys, "metric").agg(
         F.percentile("value", F.array(F.lit(hi_p), F.lit(lo_p))).alias("q"),
         F.count(F.lit(1)).alias("n_valid"))

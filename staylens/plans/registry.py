@@ -796,7 +796,7 @@ def _(spark, sf):
 
 @q("area_summary_pack")
 def _(spark, sf):
-    return pr.area_summary_pack(b.b_summaries(spark, sf), rp.NUM_TO_SUMMARIZE).select(
+    return pr.area_summary_pack(b.b_summaries(spark, sf)).select(
         "area", "pack_pos", "listing_id", "n_properties", "rendered")
 
 

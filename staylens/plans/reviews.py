@@ -18,7 +18,6 @@ LISTING_TEMPLATE = ("Summarize the guest reviews of a listing in {ZIP_CODE_HERE}
 AREA_TEMPLATE = ("Summarize the listings of area {ZIP_CODE_HERE} ({ISO_CODE_HERE}); "
                  "the overall mean rating is {OVERALL_MEAN}.")
 REVIEW_THRESHOLD = 5
-NUM_TO_SUMMARIZE = 100000
 
 
 def listing_stats(reviews: DataFrame, key: str = "listing_id", rating: str = "rating") -> DataFrame:
@@ -84,7 +83,7 @@ def review_pack(reviews: DataFrame, order_cols: Sequence[str], area_of: DataFram
     return pk.chunk_prompt(ch, F.col("base_prompt"), key, "prompt_tokens", limit)
 
 
-def area_prompts(summaries: DataFrame, overall_mean: float | None = None, n: int = NUM_TO_SUMMARIZE,
+def area_prompts(summaries: DataFrame, overall_mean: float | None = None, n: int | None = None,
                  area: str = "area", key: str = "listing_id", summary: str = "summary",
                  template: str = AREA_TEMPLATE, iso_code: str = "us",
                  limit: int = pk.CHUNK_TOKEN_LIMIT) -> DataFrame:

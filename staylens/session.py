@@ -66,6 +66,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         # unset (local runs, tests): a private folder, registered on the
         # context only -- spark.checkpoint.dir cannot be changed at runtime
         d = tempfile.mkdtemp(prefix="staylens-ckpt-")

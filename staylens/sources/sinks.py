@@ -55,14 +55,6 @@ def render_report(report: DataFrame, path: str, name_cols=("metric",), text: str
     report.select(*name_cols, F.col(text).alias("value")).write.mode("overwrite").partitionBy(*name_cols).text(path)
 
 
-def write_pack_lines(pack: DataFrame, path: str, area: str = "area", order: str = "pack_pos",
-                     text: str = "rendered") -> None:
-    """Area summary packs: lines range-partitioned and sorted by (area, pos),
-    so each area's text is written in order without gathering it in one row."""
-    (pack.repartitionByRange(area, order).sortWithinPartitions(area, order)
-         .select(area, F.col(text).alias("value")).write.mode("overwrite").partitionBy(area).text(path))
-
-
 def write_request_log(sessions: DataFrame, path: str) -> None:
     """Append this run's sessions; readers keep the last N (see ``read_request_log``)."""
     sessions.write.mode("append").parquet(path)

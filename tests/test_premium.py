@@ -89,3 +89,17 @@ def test_wide_rank_deficient_design_matches_numpy(spark):
     coef, *_ = np.linalg.lstsq(design, y, rcond=None)
     exp = y - design @ coef
     assert np.allclose([got[f"l{i}"] for i in range(n)], exp, atol=1e-6)
+
+
+def test_ols_keeps_a_rare_flag_beside_a_large_scale(spark):
+    import numpy as np
+    from staylens.operators import premium as pm
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1e5, 4000)
+    flag = (np.arange(4000) % 400 == 0).astype(float)
+    y = 10 + 0.002 * x + 300 * flag + rng.normal(0, 1, 4000)
+    df = spark.createDataFrame([(f"l{i}", float(a), float(b), float(c)) for i, (a, b, c) in enumerate(zip(x, flag, y))],
+                               "listing_id string, x double, flag double, y double")
+    model = pm.ols_fit(df, "y", ["x", "flag"])
+    got = dict(zip(model.features, model.coefficients))
+    assert abs(got["flag"] - 300) < 2 and abs(got["x"] - 0.002) < 1e-6

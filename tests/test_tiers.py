@@ -71,13 +71,13 @@ def test_rank_quantiles_equal_percentile(spark):
     rows = [(rnd.choice("xyz"), f"l{i}", round(rnd.uniform(1, 500), 2)) for i in range(400)]
     rows += [("w", "w1", 5.0), ("w", "w2", 6.0)]  # a group below four rows
     df = spark.createDataFrame(rows, "area string, listing_id string, v double")
-    a = {r["area"]: r for r in tr.tier_thresholds(df, {"m": "v"}, by="area", exact_rows=None).collect()}
-    b = {r["area"]: r for r in tr.tier_thresholds(df, {"m": "v"}, by="area", exact_rows=0).collect()}
-    assert set(a) == set(b) == {"x", "y", "z"}
+    a = {r["area"]: r for r in tr.tier_thresholds(df, {"m": "v"}, by="area").collect()}
+    b = {r["area"]: r for r in tr.exact_quantiles(df, ["area"], "v", [0.75, 0.25]).collect()}
+    assert set(a) == {"x", "y", "z"}
     for k in a:
-        assert abs(a[k]["high_threshold"] - b[k]["high_threshold"]) < 1e-9
-        assert abs(a[k]["low_threshold"] - b[k]["low_threshold"]) < 1e-9
-        assert a[k]["n_valid"] == b[k]["n_valid"]
+        assert abs(a[k]["high_threshold"] - b[k]["q0"]) < 1e-9
+        assert abs(a[k]["low_threshold"] - b[k]["q1"]) < 1e-9
+        assert a[k]["n_valid"] == b[k]["n"]
 
 
 from hypothesis import given, settings  # noqa: E402
