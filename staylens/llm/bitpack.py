@@ -11,7 +11,8 @@ id of every block, then the footer's own length, so a reader finds any id with
 two seeks.  ``width`` is the number of bits the largest vocabulary id needs.
 
 Documents are written in ascending order of their id (null first; equal ids by
-checksum), one file per range of ids.
+a hash of the text), one file per range of ids.  The texts are dealt and sorted
+first, so each is encoded once, in the task that packs it.
 
 Defined cases: null text is the empty text (one end id); repeated rows are
 encoded each; an empty table gives no rows; extra columns are ignored.
@@ -20,9 +21,11 @@ encoded each; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -158,15 +161,27 @@ class WordEncoder:
         # byte-level alphabet: printable bytes stand for themselves, the rest for 256 and up
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [x for x in range(256) if x not in shown]
-        self.letters = {x: chr(x) for x in shown} | {x: chr(256 + i) for i, x in enumerate(rest)}
+        self.letters = {x: chr(256 + i) for i, x in enumerate(rest)}
+
+    @classmethod
+    def shared(cls, spec: str) -> WordEncoder:
+        """The encoder of this Python worker for ``spec``: Spark runs many
+        tasks in one worker, and its caches serve them all.  It is kept beside
+        the tokenizer library, as code sent with a task is new in every task."""
+        import tokenizers
+        held = tokenizers.__dict__.setdefault("_word_encoders", {})
+        key = (zlib.crc32(spec.encode("utf-8")), len(spec))
+        if key not in held:
+            held[key] = cls(spec)
+        return held[key]
 
     def _part(self, piece: str) -> bytes:
         out = self.parts.get(piece)
         if out is None:
             out = self.old_parts.get(piece)
             if out is None:
-                text = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode("utf-8")))
-                out = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
+                text = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.letters)
+                out = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
             if len(self.parts) >= self.cached:
                 self.parts, self.old_parts = {}, self.parts
             self.parts[piece] = out
@@ -174,11 +189,17 @@ class WordEncoder:
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8")
-        if any(x in text for x in self.WHOLE) or not text.isprintable():
+        if not text.isprintable() or any([x in text for x in self.WHOLE]):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
-        return b"".join(map(self._part, self.pieces(text.lower())))
+        text = text.lower()
+        if text.isalpha():  # letters alone, or with punctuation after them: no search for pieces
+            return self._part(text)
+        head = text.rstrip(string.punctuation)
+        if head.isalpha():
+            return self._part(head) + self._part(text[len(head):])
+        return b"".join(map(self._part, self.pieces(text)))
 
     def __call__(self, text: str | None) -> np.ndarray:
         return self.lowered((text or "").encode("utf-8").split())  # the six ASCII white-space bytes
@@ -191,36 +212,19 @@ class WordEncoder:
         return np.frombuffer(b"".join(map(self.words.__getitem__, ws)), "<u4")
 
 
-def encode(docs: DataFrame, spec: str, width: int, end_id: int = END_ID) -> DataFrame:
-    """doc_id, n_ids, tie, ids (packed ``width`` bits) of every whole text."""
-    spec_b = docs.sparkSession.sparkContext.broadcast(spec)
-
-    def run(batches):
-        enc = WordEncoder(spec_b.value)
-        end = np.array([end_id], "<u4")
-        for b in batches:
-            n, tie, packed = [], [], []
-            for t in b.column("text"):
-                ids = np.concatenate([enc(t.as_py()), end])
-                n.append(len(ids))
-                tie.append(zlib.crc32(ids.tobytes()))
-                packed.append(pack(ids, width))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(tie, pa.int64()), pa.array(packed, pa.binary())],
-                names=["doc_id", "n_ids", "tie", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .mapInArrow(run, "doc_id long, n_ids long, tie long, ids binary")
-
-
 def write_packed(docs: DataFrame, path: str, spec: str, vocabulary: int, end_id: int = END_ID,
                  block_ids: int = BLOCK_IDS) -> None:
+    """Encodes every whole text of ``docs`` (doc_id, text) and writes the files."""
     width = min_width(vocabulary)
-    enc = encode(docs, spec, width, end_id)
-    order = ["doc_id", "tie", "n_ids"]
-    ranges = enc.repartitionByRange(shuffle_parts(docs.sparkSession), *order).sortWithinPartitions(*order)
+    spec_b = docs.sparkSession.sparkContext.broadcast(spec)
+    order = ["doc_id", "tie"]
+    ranges = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+              .withColumn("tie", F.xxhash64("text"))
+              .repartitionByRange(shuffle_parts(docs.sparkSession), *order).sortWithinPartitions(*order))
 
     def run(batches):
+        encoder = WordEncoder.shared(spec_b.value)
+        end = np.array([end_id], "<u4")
         offsets, starts, at, first, size = [], [], 0, 0, 0
         doc_ids, arrays = [], []
 
@@ -235,10 +239,11 @@ def write_packed(docs: DataFrame, path: str, spec: str, vocabulary: int, end_id:
             return pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], names=["block"])
 
         for b in batches:
-            for d, n, ids in zip(b.column("doc_id").to_pylist(), b.column("n_ids").to_pylist(), b.column("ids")):
+            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text")):
+                ids = np.concatenate([encoder(t.as_py()), end])
                 doc_ids.append(d)
-                arrays.append(unpack(ids.as_buffer(), width, 0, n))
-                size += n
+                arrays.append(ids)
+                size += len(ids)
                 if size >= block_ids:
                     yield flush()
         if doc_ids:
@@ -246,7 +251,7 @@ def write_packed(docs: DataFrame, path: str, spec: str, vocabulary: int, end_id:
         if offsets:
             yield pa.RecordBatch.from_arrays([pa.array([make_footer(offsets, starts)], pa.binary())], names=["block"])
 
-    write_binary(ranges.mapInArrow(run, "block binary"), path, "block", SYNC)
+    write_binary(ranges.select("doc_id", "text").mapInArrow(run, "block binary"), path, "block", SYNC)
 
 
 def read_packed(spark: SparkSession, path: str) -> DataFrame:
