@@ -289,6 +289,28 @@ def test_attention_lm(spark, docs, empty, tokenizer, monkeypatch):
     assert attention_lm.scored(empty, tokenizer[0], 49408).count() == 0
 
 
+def test_attention_lm_learns_from_every_document(spark, tokenizer):
+    spec, tok = tokenizer
+    # training documents of which a sample of every 24th id holds none
+    ids = [i for i in range(400) if not attention_lm.is_held(i) and zlib.crc32(f"s{i}".encode()) % 24][:120]
+    topics = ["the river runs down from green hills", "price stock market trade bank money"]
+    rows = [(i, " ".join([topics[n % 2]] * 5)) for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lang, _, _ = attention_lm.learn(df, spec, 49408)
+    assert attention_lm.class_sequences(df, spec, lang).count() == len(rows)
+    share = np.append(lang.mass, len(rows) + 0.5)
+    assert np.abs(lang.flat - attention_lm.initial((share / share.sum()).astype(np.float32))).max() > 0.01
+    best = [lang.id_cluster[tok.encode(t, add_special_tokens=False).ids].argmax(axis=1) for t in topics]
+    assert not set(best[0]) & set(best[1])
+
+
+def test_attention_batch_gradient():
+    rng = np.random.default_rng(5)
+    p = attention_lm.split(attention_lm.initial(np.full(attention_lm.CLASSES + 1, 1 / (attention_lm.CLASSES + 1), np.float32)))
+    x, y, _ = attention_lm.windows([np.append(rng.integers(0, attention_lm.CLASSES, n), attention_lm.END) for n in (900, 3, 400)])
+    assert np.abs(attention_lm.batch_gradient(p, x, y, 16) - attention_lm.gradient(p, x, y)).max() < 1e-5
+
+
 def test_cotraining_held_out(spark):
     from staylens.llm.common import load
     sf = "/root/testdata/sf0.01"
