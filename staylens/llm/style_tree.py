@@ -7,8 +7,11 @@ it, and its contents are the different texts.  A node's importance is the
 larger of its presentation entropy (how varied the child sequences are) and its
 content entropy (how varied the texts are), each relative to the pages it
 occurs on: a menu that looks and reads the same on every page has importance 0.
-Branches below ``IMPORTANCE`` on hosts with at least ``MIN_PAGES`` different
-pages are removed from each page.
+In branches below ``IMPORTANCE`` that at least ``MIN_PAGES`` different pages of
+the host hold, the contents that repeat from page to page are removed; what only
+one page says stays.  Pages with equal text are one page, whatever their markup,
+comments and scripts, and a content that makes up ``MOSTLY`` or more of the text
+of its pages is an article with near copies, not furniture.
 
 What HTML itself marks as not being content goes before the tree is built:
 scripts, styles, forms, navigation, page headers and footers, sidebars, and
@@ -20,7 +23,7 @@ in page order joined by one space.
 
 Pages of one host never meet in a task: nodes are counted per (host, path,
 variant), the entropies are sums over those counts, and pages read back only
-the list of removed paths of their host.
+the list of removed contents of their host.
 
 Defined cases: null or empty html gives empty text; a null or unusable url is
 the host "" ; repeated rows are extracted each and count once in the tree; an
@@ -40,6 +43,7 @@ from staylens.llm.common import cut, load
 
 IMPORTANCE = 0.2
 MIN_PAGES = 8        # different pages of a host that hold the node
+MOSTLY = 0.5         # share of a page's text
 MAX_DEPTH = 200      # deeper elements belong to their ancestor at this depth
 
 # HTML element names by behaviour.
@@ -192,15 +196,15 @@ def path_hash(path: str) -> int:
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, page (hash of the html), texts, above (hashes of the
-    paths over each text), nodes: path, style and content hashes of the page's
-    elements that may be content."""
+    """page_id, url, host, page (hash of the texts), texts, above (content
+    hashes of the nodes over each text), nodes: path, style and content hashes
+    of the page's elements that may be content, and their share of its text.  A
+    content hash is one of path and text."""
 
     def run(batches):
-        import xxhash
         signed = lambda b: path_hash(b)
         for b in batches:
-            cols = {k: [] for k in ("host", "page", "texts", "above", "path", "style", "content")}
+            cols = {k: [] for k in ("host", "page", "texts", "above", "path", "style", "content", "share")}
             for u, h in zip(b.column("url").to_pylist(), b.column("html")):
                 page = h.as_py() or ""
                 nodes, pieces = parse(page)
@@ -212,7 +216,7 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
                     while up.parent is not None:
                         if up.path not in hashes:
                             hashes[up.path] = signed(up.path)
-                        chain.append(hashes[up.path])
+                        chain.append(up.path)
                         below.setdefault(up.path, []).append(t)
                         up = up.parent
                     texts.append(t)
@@ -222,31 +226,40 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
                     if n.path in below:
                         style.setdefault(n.path, []).append(" ".join(n.children))
                 keys = list(below)
+                content = {k: signed("\n".join([k, *below[k]])) for k in keys}
+                size = {k: sum(map(len, below[k])) for k in keys}
+                total = max(1, sum(map(len, texts)))
                 cols["host"].append(host_of(u))
-                cols["page"].append(signed(page))
+                cols["page"].append(signed("\n".join(texts)))
                 cols["texts"].append(texts)
-                cols["above"].append(above)
+                cols["above"].append([[content[k] for k in c] for c in above])
                 cols["path"].append([hashes[k] for k in keys])
                 cols["style"].append([signed("|".join(style[k])) for k in keys])
-                cols["content"].append([signed("\n".join(below[k])) for k in keys])
-            types = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64()))] + 3 * [pa.list_(pa.int64())]
+                cols["content"].append([content[k] for k in keys])
+                cols["share"].append([size[k] / total for k in keys])
+            types = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64()))] + 3 * [pa.list_(pa.int64())] \
+                + [pa.list_(pa.float64())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url")] + [pa.array(v, t) for v, t in zip(cols.values(), types)],
                 names=["page_id", "url"] + list(cols))
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(
         run, "page_id long, url string, host string, page long, texts array<string>, above array<array<bigint>>, "
-             "path array<bigint>, style array<bigint>, content array<bigint>")
+             "path array<bigint>, style array<bigint>, content array<bigint>, share array<double>")
+
+
+def tree_nodes(parsed: DataFrame) -> DataFrame:
+    """host, path, style, content, share: the nodes of the different pages."""
+    once = parsed.select("host", "page", "path", "style", "content", "share").dropDuplicates(["host", "page"])
+    return once.select("host", F.explode(F.arrays_zip("path", "style", "content", "share")).alias("n")) \
+        .select("host", "n.path", "n.style", "n.content", "n.share")
 
 
 def importance(parsed: DataFrame) -> DataFrame:
     """host, path, pages, presentation, content, importance of every node of
     the site style trees.  Entropies are in units of log(pages), so 1 means
     that every page differs and 0 that all are the same."""
-    once = parsed.select("host", "page", "path", "style", "content").dropDuplicates(["host", "page"])
-    nodes = once.select("host", F.explode(F.arrays_zip("path", "style", "content")).alias("n")) \
-        .select("host", "n.path", "n.style", "n.content")
-    kinds = nodes.select("host", "path", F.explode(F.array(
+    kinds = tree_nodes(parsed).select("host", "path", F.explode(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("style").alias("variant")),
         F.struct(F.lit(1).alias("kind"), F.col("content").alias("variant")))).alias("v"))
     counts = kinds.groupBy("host", "path", "v.kind", "v.variant").agg(F.count("*").alias("c"))
@@ -260,11 +273,20 @@ def importance(parsed: DataFrame) -> DataFrame:
             .withColumn("importance", F.greatest("presentation", "content")).drop("s", "t"))
 
 
+def repeated_contents(parsed: DataFrame, low: DataFrame) -> DataFrame:
+    """host, path, content: the contents of the ``low`` nodes (host, path) that
+    more than one page has and that are not most of those pages."""
+    counts = (tree_nodes(parsed).join(low.select("host", "path"), ["host", "path"], "left_semi")
+              .groupBy("host", "path", "content").agg(F.count("*").alias("c"), F.avg("share").alias("share")))
+    return counts.where((F.col("c") > 1) & (F.col("share") < MOSTLY)).select("host", "path", "content")
+
+
 def main_text(pages: DataFrame, least: float = IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """page_id, url, host, text, removed (texts in low-importance branches)."""
+    """page_id, url, host, text, removed (texts left out)."""
     parsed = cut(parsed_pages(pages), "pages-parsed")
     low = importance(parsed).where((F.col("importance") < least) & (F.col("pages") >= min_pages))
-    low = cut(low.groupBy(F.col("host").alias("h")).agg(F.collect_list("path").alias("low")), "pages-low")
+    low = repeated_contents(parsed, cut(low, "pages-nodes"))
+    low = cut(low.groupBy(F.col("host").alias("h")).agg(F.collect_list("content").alias("low")), "pages-low")
     joined = parsed.join(low, F.col("host") == F.col("h"), "left")
     low_ = F.coalesce("low", F.array().cast("array<bigint>"))
     zipped = F.arrays_zip("texts", "above")

@@ -196,6 +196,18 @@ def test_style_tree(spark):
         assert got[i] == f"H{i} {body(i)} two b {i}"
 
 
+def test_style_tree_near_copies(spark):
+    page = lambda i, body, ad="": (i, f"http://n.example/{i}", f"<body><!-- ad {i} --><script>track({i})</script>"
+                                   f"<article><h1>T</h1><p>{body}</p>{ad}</article></body>")
+    text = lambda i: " ".join(f"c{i}x{j}" for j in range(30))
+    rows = [page(i, text(0)) for i in range(300)] + [page(300 + i, text(1 + i)) for i in range(20)]
+    rows += [page(1000 + i, text(99), f"<p>offer {i}</p>") for i in range(300)]  # copies that differ in what is seen
+    got = {r.page_id: r.text for r in style_tree.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == text(0 if i < 300 else i - 299) for i in range(320))  # the heading is the same on all pages
+    assert all(text(99) in got[1000 + i] for i in range(300))
+
+
 def test_decontamination(spark, docs, empty):
     item = " ".join(f"Item{i}," for i in range(30))
     bench = spark.createDataFrame([(1, item), (2, "too short"), (3, None), (4, item)], "item_id long, text string")
