@@ -13,10 +13,14 @@ one page says stays.  Pages with equal text are one page, whatever their markup,
 comments and scripts, and a content that makes up ``MOSTLY`` or more of the text
 of its pages is an article with near copies, not furniture.
 
-What HTML itself marks as not being content goes before the tree is built:
-scripts, styles, forms, navigation, page headers and footers, sidebars, and
-elements whose class, id or role names them as such (fixed lists below).  Where
-a page has an article or main element, its text is taken from there.
+The tree holds every element that a page shows, menus and adverts included.
+Element names and class, id and role words that name page furniture (fixed
+lists below) are a prior beside it: on given sites a menu, advert or footer is
+drawn anew for each page, so its importance is as high as an article's.  A named
+branch goes unless it is an important one (or one on too few pages to tell) that
+holds ``MOSTLY`` or more of the text of its pages, such as a wrapper called
+"has-sidebar"; names further down still count.  Where article or main elements
+hold ``MOSTLY`` or more of what is left of a page, its text is taken from there.
 
 Text: character references decoded, white space inside a block one space, blocks
 in page order joined by one space.
@@ -49,8 +53,8 @@ MAX_DEPTH = 200      # deeper elements belong to their ancestor at this depth
 # HTML element names by behaviour.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript iframe xmp noembed noframes".split())
-DROP = set("head script style noscript template iframe svg math canvas object form button select textarea input label "
-           "nav aside footer dialog menu audio video map".split())
+UNSEEN = set("head script style noscript template iframe".split())
+NAMED_TAGS = set("svg math canvas object form button select textarea input label nav aside footer dialog menu audio video map".split())
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
             "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody "
             "td tfoot th thead tr ul".split())
@@ -76,10 +80,11 @@ WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "children", "drop", "main", "depth")
+    __slots__ = ("tag", "path", "parent", "children", "drop", "named", "main", "depth")
 
-    def __init__(self, tag, path, parent, drop, main, depth):
-        self.tag, self.path, self.parent, self.drop, self.main, self.depth = tag, path, parent, drop, main, depth
+    def __init__(self, tag, path, parent, drop, named, main, depth):
+        self.tag, self.path, self.parent, self.drop, self.depth = tag, path, parent, drop, depth
+        self.named, self.main = named, main  # named: itself, not by what it is in
         self.children = []
 
 
@@ -93,7 +98,7 @@ def names_of(attributes: str) -> set[str]:
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     """Elements of a page and its text pieces (block element, text) in order."""
-    root = Node("#root", "", None, False, False, 0)
+    root = Node("#root", "", None, False, False, False, 0)
     nodes, pieces, at = [root], [], 0
     here, block, text = root, root, []
 
@@ -133,7 +138,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
                 up = up.parent
             if up is root:
                 continue
-            if any(x in BLOCK for x in _between(here, up)):
+            if any(x.tag in BLOCK or x.named for x in _between(here, up)):
                 close_block()
                 here_block = up.parent
             here = up.parent
@@ -159,10 +164,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             continue
         names = names_of(attributes) if attributes else set()
         inside = here.main
-        drop = here.drop or tag in DROP or bool(names & FURNITURE and tag not in ("html", "body", "main")) \
-            or bool(HIDDEN.search(attributes)) or (not inside and (tag == "header" or bool(names & HEADERS)))
+        drop = here.drop or tag in UNSEEN or bool(HIDDEN.search(attributes))
+        named = tag in NAMED_TAGS or bool(names & FURNITURE and tag not in ("html", "body", "main")) \
+            or (not inside and (tag == "header" or bool(names & HEADERS)))
+        if named and tag not in BLOCK:  # its text is a piece of its own
+            close_block()
         path = here.path + "/" + tag + ("." + ".".join(sorted(names)) if names else "") if here.depth < MAX_DEPTH else here.path
-        node = Node(tag, path, here, drop, inside or (not drop and (tag in MAIN or "main" in names and tag == "div")), here.depth + 1)
+        node = Node(tag, path, here, drop, named, inside or (not drop and (tag in MAIN or "main" in names and tag == "div")), here.depth + 1)
         here.children.append(tag)
         nodes.append(node)
         if tag in RAW or tag == "plaintext":
@@ -171,7 +179,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             here = node
             continue
         here = node
-        if tag in BLOCK:
+        if tag in BLOCK or named:
             here_block = node
     close_block()
     return nodes, pieces
@@ -179,9 +187,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
 
 def _between(low: Node, high: Node):
     while low is not high:
-        yield low.tag
+        yield low
         low = low.parent
-    yield high.tag
+    yield high
 
 
 def host_of(url) -> str:
@@ -195,81 +203,96 @@ def path_hash(path: str) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
+def prior_choice(pieces: list[tuple[Node, str]], chains: list[list[Node]], size: dict, total: int) -> list[str]:
+    """The texts that names and main elements alone would take from a page."""
+    free = [(n, t) for (n, t), c in zip(pieces, chains) if not any(x.named and size[x.path] < MOSTLY * total for x in c)]
+    main = [(n, t) for n, t in free if n.main]
+    if sum(len(t) for _, t in main) >= MOSTLY * sum(len(t) for _, t in free):
+        free = main
+    return [t for _, t in free or pieces]
+
+
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, page (hash of the texts), texts, above (content
-    hashes of the nodes over each text), nodes: path, style and content hashes
-    of the page's elements that may be content, and their share of its text.  A
-    content hash is one of path and text."""
+    """page_id, url, host, page (hash of the texts that names alone would take), texts,
+    above (content hashes of the nodes over each text), named (path hashes of the
+    named ones among them), main, nodes: path, style and content hashes of the
+    page's elements with text, their share of its text, and whether they are
+    named.  A content hash is one of path and text."""
 
     def run(batches):
         signed = lambda b: path_hash(b)
         for b in batches:
-            cols = {k: [] for k in ("host", "page", "texts", "above", "path", "style", "content", "share")}
+            cols = {k: [] for k in ("host", "page", "texts", "above", "named", "main", "path", "style", "content", "share", "furniture")}
             for u, h in zip(b.column("url").to_pylist(), b.column("html")):
-                page = h.as_py() or ""
-                nodes, pieces = parse(page)
-                if any(n.main for n, _ in pieces):
-                    pieces = [(n, t) for n, t in pieces if n.main]
-                hashes, texts, above, below = {}, [], [], {}
+                nodes, pieces = parse(h.as_py() or "")
+                texts, chains, below, named = [t for _, t in pieces], [], {}, set()
                 for n, t in pieces:
                     chain, up = [], n
                     while up.parent is not None:
-                        if up.path not in hashes:
-                            hashes[up.path] = signed(up.path)
-                        chain.append(up.path)
-                        below.setdefault(up.path, []).append(t)
+                        if not chain or up.path != chain[-1].path:
+                            below.setdefault(up.path, []).append(t)
+                        chain.append(up)
+                        if up.named:
+                            named.add(up.path)
                         up = up.parent
-                    texts.append(t)
-                    above.append(list(dict.fromkeys(chain)))
+                    chains.append(chain)
                 style = {}
                 for n in nodes:
                     if n.path in below:
                         style.setdefault(n.path, []).append(" ".join(n.children))
                 keys = list(below)
+                hashes = {k: signed(k) for k in keys}
                 content = {k: signed("\n".join([k, *below[k]])) for k in keys}
                 size = {k: sum(map(len, below[k])) for k in keys}
                 total = max(1, sum(map(len, texts)))
                 cols["host"].append(host_of(u))
-                cols["page"].append(signed("\n".join(texts)))
+                cols["page"].append(signed("\n".join(prior_choice(pieces, chains, size, total))))
                 cols["texts"].append(texts)
-                cols["above"].append([[content[k] for k in c] for c in above])
+                cols["above"].append([list(dict.fromkeys(content[n.path] for n in c)) for c in chains])
+                cols["named"].append([list(dict.fromkeys(hashes[n.path] for n in c if n.named)) for c in chains])
+                cols["main"].append([n.main for n, _ in pieces])
                 cols["path"].append([hashes[k] for k in keys])
                 cols["style"].append([signed("|".join(style[k])) for k in keys])
                 cols["content"].append([content[k] for k in keys])
                 cols["share"].append([size[k] / total for k in keys])
-            types = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64()))] + 3 * [pa.list_(pa.int64())] \
-                + [pa.list_(pa.float64())]
+                cols["furniture"].append([k in named for k in keys])
+            longs = pa.list_(pa.int64())
+            types = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(longs), pa.list_(longs), pa.list_(pa.bool_()),
+                     longs, longs, longs, pa.list_(pa.float64()), pa.list_(pa.bool_())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url")] + [pa.array(v, t) for v, t in zip(cols.values(), types)],
                 names=["page_id", "url"] + list(cols))
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(
         run, "page_id long, url string, host string, page long, texts array<string>, above array<array<bigint>>, "
-             "path array<bigint>, style array<bigint>, content array<bigint>, share array<double>")
+             "named array<array<bigint>>, main array<boolean>, path array<bigint>, style array<bigint>, content array<bigint>, "
+             "share array<double>, furniture array<boolean>")
 
 
 def tree_nodes(parsed: DataFrame) -> DataFrame:
-    """host, path, style, content, share: the nodes of the different pages."""
-    once = parsed.select("host", "page", "path", "style", "content", "share").dropDuplicates(["host", "page"])
-    return once.select("host", F.explode(F.arrays_zip("path", "style", "content", "share")).alias("n")) \
-        .select("host", "n.path", "n.style", "n.content", "n.share")
+    """host, path, style, content, share, furniture: the nodes of the different pages."""
+    node = ["path", "style", "content", "share", "furniture"]
+    once = parsed.groupBy("host", "page").agg(F.min(F.struct(*node)).alias("p"))  # the same one on every run
+    return once.select("host", F.explode(F.arrays_zip(*[F.col(f"p.{c}") for c in node])).alias("n")).select("host", *[f"n.{c}" for c in node])
 
 
 def importance(parsed: DataFrame) -> DataFrame:
-    """host, path, pages, presentation, content, importance of every node of
-    the site style trees.  Entropies are in units of log(pages), so 1 means
+    """host, path, pages, share, furniture, presentation, content, importance of
+    every node of the site style trees.  Entropies are in units of log(pages), so 1 means
     that every page differs and 0 that all are the same."""
-    kinds = tree_nodes(parsed).select("host", "path", F.explode(F.array(
+    kinds = tree_nodes(parsed).select("host", "path", "share", "furniture", F.explode(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("style").alias("variant")),
         F.struct(F.lit(1).alias("kind"), F.col("content").alias("variant")))).alias("v"))
-    counts = kinds.groupBy("host", "path", "v.kind", "v.variant").agg(F.count("*").alias("c"))
+    counts = kinds.groupBy("host", "path", "v.kind", "v.variant").agg(
+        F.count("*").alias("c"), F.sum("share").alias("share"), F.max("furniture").alias("furniture"))
     sums = counts.groupBy("host", "path").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("pages"),
+        F.sum(F.when(F.col("kind") == 0, F.col("share"))).alias("share"), F.max("furniture").alias("furniture"),
         F.sum(F.when(F.col("kind") == 0, F.col("c") * F.log("c"))).alias("s"),
         F.sum(F.when(F.col("kind") == 1, F.col("c") * F.log("c"))).alias("t"))
     m = F.col("pages")
     entropy = lambda x: F.when(m > 1, F.lit(1.0) - F.col(x) / (m * F.log(m))).otherwise(F.lit(1.0))
-    return (sums.withColumn("presentation", entropy("s")).withColumn("content", entropy("t"))
+    return (sums.withColumn("share", F.col("share") / m).withColumn("presentation", entropy("s")).withColumn("content", entropy("t"))
             .withColumn("importance", F.greatest("presentation", "content")).drop("s", "t"))
 
 
@@ -284,15 +307,26 @@ def repeated_contents(parsed: DataFrame, low: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame, least: float = IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, host, text, removed (texts left out)."""
     parsed = cut(parsed_pages(pages), "pages-parsed")
-    low = importance(parsed).where((F.col("importance") < least) & (F.col("pages") >= min_pages))
-    low = repeated_contents(parsed, cut(low, "pages-nodes"))
-    low = cut(low.groupBy(F.col("host").alias("h")).agg(F.collect_list("content").alias("low")), "pages-low")
-    joined = parsed.join(low, F.col("host") == F.col("h"), "left")
-    low_ = F.coalesce("low", F.array().cast("array<bigint>"))
-    zipped = F.arrays_zip("texts", "above")
-    kept = F.filter(zipped, lambda z: ~F.arrays_overlap(z["above"], low_))
-    return joined.select("page_id", "url", "host", F.array_join(F.transform(kept, lambda z: z["texts"]), " ").alias("text"),
-                         (F.size("texts") - F.size(kept)).alias("removed"))
+    tree = importance(parsed)
+    is_low = (F.col("importance") < least) & (F.col("pages") >= min_pages)
+    most = F.col("furniture") & (F.col("share") >= MOSTLY) & ~is_low
+    tree = cut(tree.where(is_low | most).select("host", "path", is_low.alias("is_low")), "pages-nodes")
+    per_host = cut(repeated_contents(parsed, tree.where("is_low")).select("host", "content", F.lit(None).cast("long").alias("path"))
+                   .unionByName(tree.where("not is_low").select("host", F.lit(None).cast("long").alias("content"), "path"))
+                   .groupBy(F.col("host").alias("h")).agg(F.collect_list("content").alias("low"), F.collect_list("path").alias("most")),
+                   "pages-low")
+    joined = parsed.join(per_host, F.col("host") == F.col("h"), "left")
+    none = F.array().cast("array<bigint>")
+    low_, most_ = F.coalesce("low", none), F.coalesce("most", none)
+    zipped = F.arrays_zip("texts", "above", "named", "main")
+    kept = F.filter(zipped, lambda z: ~F.arrays_overlap(z["above"], low_) & (F.size(F.array_except(z["named"], most_)) == 0))
+    joined = joined.select("page_id", "url", "host", F.size("texts").alias("n"), kept.alias("kept"))
+    chars = lambda a: F.aggregate(a, F.lit(0), lambda x, z: x + F.length(z["texts"]))
+    main = F.filter("kept", lambda z: z["main"])
+    kept = F.when(chars(main) >= MOSTLY * chars(F.col("kept")), main).otherwise(F.col("kept"))
+    return joined.withColumn("kept", kept).select(
+        "page_id", "url", "host", F.array_join(F.transform("kept", lambda z: z["texts"]), " ").alias("text"),
+        (F.col("n") - F.size("kept")).alias("removed"))
 
 
 def op6_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

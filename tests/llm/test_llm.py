@@ -208,6 +208,20 @@ def test_style_tree_near_copies(spark):
     assert all(text(99) in got[1000 + i] for i in range(300))
 
 
+def test_style_tree_names_are_a_prior(spark):
+    text = lambda i: " ".join(f"d{i}x{j}" for j in range(40))
+    nav = lambda i: f"<nav>menu {i}</nav><div class='ad'>buy {i}</div>"
+    rows = [(i, f"http://w.example/{i}", f"<body>{nav(i)}<div class='has-sidebar'><article class='category-legal'><p>{text(i)}</p></article>"
+                                         f"<div class='sidebar'>side {i}</div></div><footer>f {i}</footer></body>") for i in range(12)]
+    rows += [(20 + i, f"http://cards.example/{i}", f"<body>{nav(i)}<div class='story'><p>{text(20 + i)}</p></div>"
+                                                   f"<article>card {i}</article></body>") for i in range(12)]
+    rows += [(40, "http://one.example/", f"<body>{nav(1)}<form id='page'><article>{text(40)}</article></form></body>")]
+    got = {r.page_id: r.text for r in style_tree.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == text(i) for i in [*range(12), 40])
+    assert all(text(20 + i) in got[20 + i] and "menu" not in got[20 + i] for i in range(12))
+
+
 def test_decontamination(spark, docs, empty):
     item = " ".join(f"Item{i}," for i in range(30))
     bench = spark.createDataFrame([(1, item), (2, "too short"), (3, None), (4, item)], "item_id long, text string")
