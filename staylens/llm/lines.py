@@ -7,8 +7,9 @@ Line frequency: lines are normalised and hashed, the distinct documents that
 hold a line are counted per host (``source`` for documents), lines above the
 limit are removed, and documents depleted by that are rejected.  "Distinct"
 means different texts: exact copies count once, so a document is not rejected
-for having copies.  The limit of a host is the larger of ``MIN_DOCS`` and
-``HOST_SHARE`` of its documents.
+for having copies.  The limit is a number of documents, the same for every host and
+size of the table: ``MIN_DOCS``, or ``LONG_DOCS`` for lines of more than
+``LONG_WORDS`` words, which do not repeat by chance.
 
 Defined cases: null or empty text has no words and fails the base rules; a
 null host is a host of its own; repeated rows get equal verdicts; an empty
@@ -27,7 +28,8 @@ WINDOW = 8
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
 MIN_DOCS = 20          # a line in at most so many documents of a host stays
-HOST_SHARE = 0.005     # and so does one in at most this share of them
+LONG_WORDS = 50        # a line of more words is a passage
+LONG_DOCS = 5          # and stays in at most so many documents
 MIN_LEFT_SHARE = 0.3   # of a document's words, after removal
 MIN_LEFT_WORDS = 5
 
@@ -80,27 +82,24 @@ def normalised(line: Column) -> Column:
 def document_lines(docs: DataFrame, host: Column) -> DataFrame:
     """One row per document and distinct normalised line: key (stable identity
     of the row), host, content (hash of the text), line, n (words of all its
-    occurrences)."""
+    occurrences), long (whether the line is a passage)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     line = F.transform(lines_with_words(text), lambda x: F.struct(
         F.xxhash64(normalised(x)).alias("line"), F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")).alias("n")))
     one = docs.select(F.xxhash64("doc_id", host, text).alias("key"), host.alias("host"),
                       F.xxhash64(text, F.lit(1)).alias("content"), F.explode(line).alias("l"))
-    return one.select("key", "host", "content", "l.line", "l.n")
+    return one.select("key", "host", "content", "l.line", "l.n", (F.col("l.n") > LONG_WORDS).alias("long"))
 
 
-def frequent_lines(lines: DataFrame, hosts: DataFrame, min_docs: int = MIN_DOCS,
-                   share: float = HOST_SHARE) -> DataFrame:
-    """(host, line) held by more distinct texts of the host than its limit.
-    ``hosts``: host, n_docs (distinct texts)."""
-    once = lines.select("host", "line", "content").distinct()
-    counts = once.groupBy("host", "line").agg(F.count("*").alias("n_texts")).where(F.col("n_texts") > min_docs)
-    limit = F.greatest(F.lit(float(min_docs)), F.col("n_docs") * F.lit(share))
-    return (counts.join(hosts.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h")))
-            .where(F.col("n_texts") > limit).select("host", "line", "n_texts"))
+def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, long_docs: int = LONG_DOCS) -> DataFrame:
+    """(host, line) held by more distinct texts of the host than the limit."""
+    once = lines.select("host", "line", "content", "long").distinct()
+    counts = once.groupBy("host", "line").agg(F.count("*").alias("n_texts"), F.max("long").alias("long"))
+    limit = F.when(F.col("long"), F.lit(min(min_docs, long_docs))).otherwise(F.lit(min_docs))
+    return counts.where(F.col("n_texts") > limit).select("host", "line", "n_texts")
 
 
-def line_rules(docs: DataFrame, host_col: str = "source", min_docs: int = MIN_DOCS, share: float = HOST_SHARE,
+def line_rules(docs: DataFrame, host_col: str = "source", min_docs: int = MIN_DOCS, long_docs: int = LONG_DOCS,
                min_left_share: float = MIN_LEFT_SHARE, min_left_words: int = MIN_LEFT_WORDS) -> DataFrame:
     """doc_id, the base counts, ``removed_words``, ``base_failed`` and ``kept``."""
     host = F.col(host_col)
@@ -108,9 +107,8 @@ def line_rules(docs: DataFrame, host_col: str = "source", min_docs: int = MIN_DO
     base = cut(base_rules(docs, [F.col("doc_id"), host.alias("host"),
                                  F.xxhash64("doc_id", host, text).alias("key"),
                                  F.xxhash64(text, F.lit(1)).alias("content")]), "line-base")
-    hosts = base.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("n_docs"))
     lines = cut(document_lines(docs, host), "lines")
-    hot = cut(frequent_lines(lines, hosts, min_docs, share), "lines-hot")
+    hot = cut(frequent_lines(lines, min_docs, long_docs), "lines-hot")
     hits = (lines.join(hot.select(F.col("host").alias("h"), F.col("line").alias("l")),
                        (F.col("line") == F.col("l")) & F.col("host").eqNullSafe(F.col("h")), "left_semi")
             .groupBy("key").agg(F.sum("n").alias("removed")))

@@ -112,6 +112,21 @@ def test_line_rules(spark, docs, empty):
     assert all(got[i] == (i >= 30) for i in got)
 
 
+def test_line_limit_does_not_grow_with_the_host(spark):
+    name = lambda i: "".join(chr(97 + int(c)) for c in f"{i:05d}")  # noqa: E731 -- digits are normalised
+    own = lambda i: " ".join(f"o{name(i)}{name(j)}" for j in range(24))
+    line, passage = (" ".join(f"{p}{name(j)}" for j in range(n)) for p, n in (("l", 50), ("p", 60)))
+    planted = [(i, f"{line}\n{own(i)[:60]}", "h") for i in range(25)]
+    planted += [(100 + i, f"{passage}\n{own(100 + i)[:60]}", "h") for i in range(6)]
+    planted += [(200 + i, f"{passage} q\n{own(200 + i)[:60]}", "h") for i in range(5)]
+    rest = [(1000 + i, own(1000 + i), "h") for i in range(6000)]  # 0.5 % of them are 30
+    for rows in (planted, planted + rest):
+        got = {r.doc_id: r.kept for r in lines.line_rules(
+            spark.createDataFrame(rows, "doc_id long, text string, source string")).select("doc_id", "kept").collect()}
+        assert not any(got[i] for i in [*range(25), *range(100, 106)])
+        assert all(kept for i, kept in got.items() if i >= 200)
+
+
 def test_sharding(docs, empty):
     got = sharding.shard_documents(docs, 5).collect()
     sizes = Counter(r.shard for r in got)
