@@ -31,6 +31,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +39,8 @@ from pyspark.sql import types as T
 from staylens.llm.common import load
 
 CACHED_WORDS = 200_000      # words, and as many pieces, per task and cache generation
-OUT_IDS = 1 << 20           # ids per record batch handed on (one text is never split)
+TEXT_BYTES = 4 << 20        # text cut into words together (one text is never split)
+OUT_IDS = 1 << 18           # ids decoded together
 FOREST = 1 << 20            # leaves worked on together
 NONE = np.int64(1) << 62    # a leaf without a mergeable pair
 SETTLED_SCRIPTS = "\u0590"  # letters below are the same in every Unicode version of the libraries
@@ -318,10 +320,11 @@ def encode(docs: DataFrame, spec: str, text: str = "text") -> DataFrame:
     def run(batches):
         encoder = Encoder(given.value)
         for b in batches:
-            ids = encoder([t.as_py() for t in b.column("ids").cast(pa.binary())])
-            for rows, lists in slices(ids):
-                values = np.concatenate([np.zeros(0, "<u4"), *lists]).astype(np.int32)
+            texts = b.column("ids").cast(pa.binary())
+            for rows in slices(pc.binary_length(texts).to_numpy(zero_copy_only=False), TEXT_BYTES):
+                lists = encoder([t.as_py() for t in texts.slice(rows.start, len(rows))])
                 ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+                values = np.concatenate([np.zeros(0, "<u4"), *lists]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(c).slice(rows.start, len(rows)) for c in range(b.num_columns - 1)]
                     + [pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], names=b.schema.names)
@@ -329,14 +332,14 @@ def encode(docs: DataFrame, spec: str, text: str = "text") -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
-def slices(lists: list):
-    """Runs of rows with about ``OUT_IDS`` ids."""
-    start, size = 0, 0
-    for k, x in enumerate(lists):
-        size += len(x)
-        if size >= OUT_IDS or k == len(lists) - 1:
-            yield range(start, k + 1), lists[start:k + 1]
-            start, size = k + 1, 0
+def slices(sizes: np.ndarray, most: int):
+    """Runs of rows whose sizes add up to about ``most``."""
+    start, total = 0, 0
+    for k, size in enumerate(sizes.tolist()):
+        total += size
+        if total >= most or k == len(sizes) - 1:
+            yield range(start, k + 1)
+            start, total = k + 1, 0
 
 
 def decode(rows: DataFrame, spec: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -353,8 +356,10 @@ def decode(rows: DataFrame, spec: str, ids: str = "ids", out: str = "decoded") -
             lists = b.column(b.num_columns - 1)
             ends = lists.offsets.to_numpy()
             values = lists.values.to_numpy(zero_copy_only=False)
-            texts = [decoder(values[s:e]) for s, e in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string())], names=b.schema.names)
+            for rows in slices(np.diff(ends), OUT_IDS):
+                texts = [decoder(values[ends[k]:ends[k + 1]]) for k in rows]
+                yield pa.RecordBatch.from_arrays([c.slice(rows.start, len(rows)) for c in b.columns[:-1]]
+                                                 + [pa.array(texts, pa.string())], names=b.schema.names)
 
     return source.mapInArrow(run, schema)
 

@@ -54,6 +54,7 @@ def test_refuses_other_rules(spec):
 
 def test_query(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sb, "OUT_IDS", 50)
+    monkeypatch.setattr(sb, "TEXT_BYTES", 100)
     rows = [(i, t, "x", 1) for i, t in enumerate([None, *TEXTS])]
     rows += [rows[3], (None, "text without an id", "y", 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string, decoded int")
