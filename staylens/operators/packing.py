@@ -9,144 +9,53 @@ Greedy in-order packing (per listing, budget = limit - prompt tokens):
   the first item that fitted) is cut to 2000 chars + '... [truncated]' and
   emitted alone.
 
-Equivalent closed form used here: with exclusive prefix sums ``P``, a chunk
-starting at item ``i`` (tokens <= budget) ends before the first ``j`` with
-``P[j+1] - P[i] > budget`` (one ``searchsorted``); an over-budget start is a
-chunk by itself.  Chunk starts are the chain 0 -> next(0) -> ..., so the only
-sequential work is one hop per chunk, not per item.
+Closed form: with exclusive prefix sums ``P``, a chunk starting at item ``i``
+(tokens <= budget) ends before the first ``j`` with ``P[j+1] - P[i] > budget``;
+an over-budget start is a chunk by itself.  Chunk starts are the chain
+0 -> next(0) -> ...; :mod:`staylens.operators.packing_dist` walks it over range
+partitions of the numbers, so no task holds a listing and no text leaves the JVM.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions.scalar import NA_STRINGS, TRUNCATE_CHARS, TRUNCATE_MARKER, estimate_tokens
+from staylens.functions.scalar import estimate_tokens, truncate_item
+from staylens.operators.packing_dist import chunk_numbers
+from staylens.plans.common import written
 
 # Reference defaults: token limit per request and minimum reviews per listing.
 CHUNK_TOKEN_LIMIT = 120000
 MIN_REVIEWS = 5
 
 
-def pack_many(keys: np.ndarray, tokens: np.ndarray, budget: np.ndarray):
-    """Vectorised packing of many listings at once.
-
-    Rows are sorted by (key, order); ``budget`` is per row (constant within a
-    listing).  One global prefix sum + one ``searchsorted`` give every row's
-    chunk end; the chunk end is clamped to the listing end, so listings never
-    mix.  Returns chunk_no, item_no (1-based) and the truncation flag.
-    """
-    n = len(tokens)
-    idx = np.arange(n)
-    brk = np.empty(n, dtype=bool)
-    brk[0] = True
-    brk[1:] = keys[1:] != keys[:-1]
-    gstart = np.flatnonzero(brk)
-    gid = np.cumsum(brk) - 1
-    gend = np.r_[gstart[1:], n]
-    row_end = gend[gid]
-    p = np.concatenate([[0], np.cumsum(tokens, dtype="int64")])
-    m = np.searchsorted(p, p[:-1] + budget, side="right")
-    over = tokens > budget
-    nxt = np.where(over, idx + 1, np.minimum(np.maximum(m - 1, idx + 1), row_end))
-    is_start = np.zeros(n, dtype=bool)
-    nx = nxt.tolist()
-    for gs, ge in zip(gstart.tolist(), gend.tolist()):
-        i = gs
-        while i < ge:
-            is_start[i] = True
-            i = nx[i]
-    cg = np.cumsum(is_start) - 1
-    start_pos = np.flatnonzero(is_start)
-    chunk_no = cg - cg[gstart][gid] + 1
-    item_no = idx - start_pos[cg] + 1
-    fit_idx = np.where(~over, idx, n)
-    first_fit = np.minimum.reduceat(fit_idx, gstart)[gid]
-    trunc = over & (idx < first_fit)
-    return chunk_no.astype("int64"), item_no.astype("int64"), trunc
-
-
-def _pack_buckets(key: str, order_cols: list[str], text_col: str, limit: int, prompt):
-    """Grouped-map body: one call holds every row of each listing in its bucket."""
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([key, *order_cols], na_position="first", kind="mergesort").reset_index(drop=True)
-        tok = pdf["_tok"].to_numpy(dtype="int64")  # estimated in the JVM
-        pt = pdf[prompt].to_numpy(dtype="int64") if isinstance(prompt, str) else np.full(len(pdf), int(prompt))
-        chunk, item, trunc = pack_many(pdf[key].to_numpy(), tok, limit - pt)
-        text = pdf[text_col].astype("object")
-        cut = text
-        if trunc.any():
-            sub = text[trunc]
-            cut = text.copy()
-            cut[trunc] = sub.where(sub.isna(), sub.fillna("").astype(str).str.slice(0, TRUNCATE_CHARS)
-                                   + TRUNCATE_MARKER)
-        return pd.DataFrame({key: pdf[key].to_numpy(), "chunk_no": chunk, "item_no": item,
-                             "text": cut.to_numpy(), "tokens": tok, "truncated": trunc})
-    return fn
-
-
-# Listings with more items than this are packed by the distributed path.
-HOT_ITEMS = 2_000_000
-# Rows per grouped-map call aimed at by the bucket count (listings stay whole).
-ROWS_PER_BUCKET = 200_000
-
-
 def chunk_reviews(df: DataFrame, key: str = "listing_id", order_cols: Sequence[str] = ("pos",),
                   text_col: str = "text", prompt_tokens: int | str = 0,
-                  limit: int = CHUNK_TOKEN_LIMIT, hot_items: int | None = HOT_ITEMS,
-                  hot_keys: DataFrame | None = None, total_rows: int | None = None,
-                  n_hot: int | None = None) -> DataFrame:
+                  limit: int = CHUNK_TOKEN_LIMIT, partitions: int | None = None) -> DataFrame:
     """Assign every item to a chunk: ``key, chunk_no, item_no, text, tokens, truncated``.
 
     ``prompt_tokens`` is a number or the name of a per-listing column (the
     filled template differs per listing).  Every item of the input is kept
     (only cut items change text).
 
-    Plan: one small size-check job (``groupBy(key).count()``, partial-
-    aggregated) yields the row total and the number of listings with more
-    than ``hot_items`` items; only these two numbers reach the driver.  Hot
-    listings (a ``left_semi`` join with the hot-key table, which AQE
-    broadcasts when small) go through the exact distributed path
-    (:mod:`staylens.operators.packing_dist`).  Every other listing
-    (``left_anti``) is packed by ``groupBy(bucket).applyInPandas``: the bucket
-    is a hash of the key, so Spark delivers each listing whole to one call (a
-    guarantee, unlike the physical layout after ``repartition``, which the
-    optimizer may elide), and the bucket count (rows / ROWS_PER_BUCKET, at
-    least the shuffle partition count) keeps each call to a bounded number of
-    rows plus at most one listing below ``hot_items``.  Callers that already
-    know the sizes pass ``hot_keys`` (a DataFrame of keys), ``n_hot`` and
-    ``total_rows``; ``hot_items=None`` skips the hot path.
+    Plan, the same at every size: the items are written once with a row id and
+    their token count; the numbers alone are range-partitioned by (key, order)
+    and packed (:func:`staylens.operators.packing_dist.chunk_numbers`); chunk
+    and item numbers come back to the texts by an equi-join on the row id.
     """
-    spark = df.sparkSession
-    if total_rows is None or (hot_items is not None and n_hot is None):
-        counts = df.groupBy(key).count()
-        is_big = (F.col("count") > hot_items) if hot_items is not None else F.lit(False)
-        row = counts.agg(F.sum("count").alias("total"),
-                         F.sum(F.when(is_big, 1).otherwise(0)).alias("n_hot")).first()
-        total_rows = int(row["total"] or 0)
-        if hot_keys is None and hot_items is not None:
-            n_hot = int(row["n_hot"] or 0)
-            hot_keys = counts.where(is_big).select(key)
-    if hot_keys is not None and n_hot:
-        from staylens.operators.packing_dist import chunk_distributed
-        local = chunk_reviews(df.join(hot_keys, key, "left_anti"), key, order_cols, text_col, prompt_tokens,
-                              limit, hot_items=None, total_rows=total_rows)
-        dist = chunk_distributed(df.join(hot_keys, key, "left_semi"), key, order_cols, text_col,
-                                 prompt_tokens, limit)
-        return local.unionByName(dist)
-    kt = df.schema[key].dataType.simpleString()
-    schema = f"{key} {kt}, chunk_no long, item_no long, text string, tokens long, truncated boolean"
-    extra = [prompt_tokens] if isinstance(prompt_tokens, str) else []
-    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(n_part, -(-int(total_rows) // ROWS_PER_BUCKET), 1)
-    staged = df.select(key, *order_cols, text_col, *extra, estimate_tokens(text_col).alias("_tok"),
-                       F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket"))
-    fn = _pack_buckets(key, list(order_cols), text_col, int(limit), prompt_tokens)
-    return staged.groupBy("_bucket").applyInPandas(fn, schema)
+    pt = F.col(prompt_tokens) if isinstance(prompt_tokens, str) else F.lit(int(prompt_tokens))
+    extra = [c for c in dict.fromkeys(order_cols) if c not in (key, text_col)]
+    staged = written(df.select(key, *extra, F.col(text_col).alias("text"), estimate_tokens(text_col).cast("long").alias("tokens"),
+                               (F.lit(int(limit)) - pt).cast("long").alias("budget"),
+                               F.monotonically_increasing_id().alias("_id")), "pack-items")
+    order = ["text" if c == text_col else c for c in order_cols]
+    numbers = written(chunk_numbers(staged, key, order, partitions), "pack-chunks")
+    return staged.select(key, "text", "tokens", "_id").join(numbers, "_id").select(
+        key, "chunk_no", "item_no", F.when(F.col("truncated"), truncate_item("text")).otherwise(F.col("text")).alias("text"),
+        "tokens", "truncated")
 
 
 def needs_chunking(df: DataFrame, key: str = "listing_id", text_col: str = "text", prompt_tokens: int = 0,
@@ -184,31 +93,28 @@ MERGE_TAIL = ("\nPlease provide a single unified analysis that:\n"
               "4. Creates a coherent final summary\n\nUnified Analysis:")
 
 
-def chunk_prompt(chunks: DataFrame, base_prompt, key: str = "listing_id", prompt_tokens: int | str = 0,
+def chunk_prompt(chunks: DataFrame, base_prompt: str | DataFrame, key: str = "listing_id", prompt_tokens: int = 0,
                  limit: int = CHUNK_TOKEN_LIMIT) -> DataFrame:
     """One prompt per (listing, chunk): base + chunk info (only when the
     listing's prompt + reviews exceed the limit) + numbered reviews + footer.
 
-    ``base_prompt`` is a string or a per-listing column of ``chunks``.  The
-    ``collect_list`` is per chunk, so its size is bounded by the token budget
-    (plus at most one oversized item), never by the listing size.
+    ``base_prompt`` is one string, or a table with a row per listing (``key,
+    base_prompt, prompt_tokens``) that joins the finished chunks, not the
+    reviews.  The ``collect_list`` is per chunk, so its size is bounded by the
+    token budget (plus at most one oversized item), never by the listing size.
     """
-    numbered = review_numbering(chunks)
-    base = F.lit(base_prompt) if isinstance(base_prompt, str) else base_prompt
-    pt = F.lit(int(prompt_tokens)) if not isinstance(prompt_tokens, str) else F.first(prompt_tokens)
-    from staylens.plans.common import reuse
-    # read twice below (listing totals and the join back): persisted so the
-    # packing upstream runs once
-    per = reuse(numbered.groupBy(key, "chunk_no").agg(
+    per = review_numbering(chunks).groupBy(key, "chunk_no").agg(
         F.array_sort(F.collect_list(F.struct("item_no", "numbered"))).alias("items"),
-        F.count(F.lit(1)).alias("n_items"),
-        F.sum("tokens").alias("chunk_tokens"),
-        F.first(base).alias("base_prompt"), pt.alias("prompt_tokens")))
-    # listing totals by a partial-aggregated groupBy joined back (no per-listing window task)
-    tot = per.groupBy(key).agg(F.max("chunk_no").alias("n_chunks"), F.sum("chunk_tokens").alias("_tt"))
-    per = per.join(tot, key).withColumn("total_tokens", F.col("_tt") + F.col("prompt_tokens"))
+        F.count(F.lit(1)).alias("n_items"))
+    # listing totals from the numbers alone, joined back (no per-listing window task)
+    tot = chunks.groupBy(key).agg(F.max("chunk_no").alias("n_chunks"), F.sum("tokens").alias("_tt"))
+    if isinstance(base_prompt, str):
+        tot = tot.withColumns({"base_prompt": F.lit(base_prompt), "prompt_tokens": F.lit(int(prompt_tokens))})
+    else:
+        tot = tot.join(base_prompt.select(key, "base_prompt", "prompt_tokens"), key)
+    per = per.join(tot, key)
     body = F.array_join(F.transform("items", lambda x: x["numbered"]), "\n")
-    info = F.when(F.col("total_tokens") > F.lit(int(limit)),
+    info = F.when(F.col("_tt") + F.col("prompt_tokens") > F.lit(int(limit)),
                   F.concat(F.format_string(CHUNK_INFO, F.col("chunk_no").cast("int"), F.col("n_chunks").cast("int"),
                                            F.col("n_items").cast("int")), F.lit("\n\n"))).otherwise(F.lit(""))
     prompt = F.concat(F.col("base_prompt"), F.lit("\n\n"), info, F.lit(REVIEWS_HEADER), body,

@@ -1,173 +1,264 @@
-"""Exact greedy packing for listings too large for one task.
-
-Same result as :func:`staylens.operators.packing.pack_many`, computed with
-joins over the whole cluster; no task ever holds a whole listing:
-
-1. ``global_positions``: range-partition on (key, order), number rows and
-   prefix-sum tokens inside each partition (``mapInPandas``), then add the
-   per-(partition, key) offsets from a tiny aggregate.  Gives every item its
-   0-based position ``gidx`` and token interval ``[pe, pi)`` in its listing.
-2. Chunk end of a would-be start ``i`` = the item whose token interval
-   contains ``pe_i + budget`` (point-in-interval).  Intervals are exploded
-   into fixed-width buckets and matched by an equi-join on (key, bucket);
-   width ~ 4 x mean item tokens, so each probe meets a handful of candidates
-   and the explosion adds O(N) rows.  An over-budget item ends its own chunk.
-3. Chunk starts = items reachable from item 0 along ``next``: pointer
-   doubling builds next^(2^k) tables (log2 N self-joins, each checkpointed),
-   then a descent adds ``J_k(S)`` to the start set for k = K..0.
-4. Items join their chunk ``[start, next(start))`` through the same bucketed
-   interval join; chunk numbers come from ``global_positions`` over starts.
+"""Numbering and greedy packing of ordered groups over the whole cluster.
+
+One path at every size.  Only numbers (row id, key, order, tokens) are range
+partitioned and sorted; texts stay in the written table and meet the result
+through an equi-join on the row id.
+
+Packing walks each listing's items in order, so a listing cut by the range
+partitioner makes one partition's result depend on the one before.  Each
+partition therefore gives an *exit table*: for every place where the first new
+chunk can begin (entry) the state it leaves behind (exit) -- tokens and items in
+the open chunk, chunks begun.  Entries lie within one budget of the partition's
+start, so a table is bounded by the budget, not by the partition.  Exit tables
+compose (``compose``), and a scan over the partitions with ``FAN`` tables per
+step, up and down a tree, gives every partition its entry state.  A second pass
+over the numbers then packs all partitions independently.
 """
 
 from __future__ import annotations
 
-import math
+import pickle
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from staylens.functions.scalar import estimate_tokens, truncate_item
-from staylens.plans.common import materialize, reuse
-
-
-def _local_positions(key: str, weight: str):
-    def fn(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        ck, cn, cs = None, 0, 0  # running key / count / token sum across Arrow batches
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            k = pdf[key].to_numpy()
-            t = pdf[weight].to_numpy(dtype="int64")
-            new = np.empty(n, dtype=bool)
-            new[0] = True
-            new[1:] = k[1:] != k[:-1]
-            starts = np.flatnonzero(new)
-            gid = np.cumsum(new) - 1
-            idx = np.arange(n) - starts[gid]
-            csum = np.cumsum(t)
-            excl = csum - t
-            pre = excl - excl[starts][gid]
-            if ck is not None and k[0] == ck:
-                first = gid == 0
-                idx = idx + np.where(first, cn, 0)
-                pre = pre + np.where(first, cs, 0)
-            last = gid == gid[-1]
-            ck = k[-1]
-            cn = int(idx[last][-1]) + 1
-            cs = int(pre[last][-1] + t[last][-1])
-            out = pdf.copy()
-            out["_pid"] = np.int32(pid)
-            out["_lidx"] = idx.astype("int64")
-            out["_lpre"] = pre.astype("int64")
-            yield out
-    return fn
-
-
-def global_positions(df: DataFrame, key: str, order_cols: Sequence[str], weight: str | None = None,
+from staylens.plans.common import written
+
+FAN = 64            # exit tables composed by one task
+ROW_BITS = 33       # monotonically_increasing_id: partition above, row below
+
+
+def range_rows(df: DataFrame, key: str, order_cols: Sequence, partitions: int | None = None) -> DataFrame:
+    """Rows sorted by (key, order) over range partitions, with ``_at``: the
+    partition number and the row within it.  The range partitioner cuts a hot
+    key by its order values."""
+    n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    return (df.repartitionByRange(n, key, *order_cols).sortWithinPartitions(key, *order_cols)
+            .withColumn("_at", F.monotonically_increasing_id()))
+
+
+def global_positions(df: DataFrame, key: str, order_cols: Sequence, weight: str | None = None,
                      partitions: int | None = None) -> DataFrame:
     """Adds ``gidx`` (0-based position inside the key in ``order_cols`` order)
-    and ``pe`` (sum of ``weight`` over earlier rows) without a per-key task.
-
-    ``order_cols`` may be names or sort expressions (e.g. ``F.col(c).desc()``).
-    The range partitioner splits a hot key across partitions by its order
-    values, so even a key holding a third of the rows is spread out."""
-    spark = df.sparkSession
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
-    w = weight or "_one"
-    src = df if weight else df.withColumn("_one", F.lit(1).cast("long"))
-    ranged = src.repartitionByRange(n, key, *order_cols).sortWithinPartitions(key, *order_cols)
-    if isinstance(key, str) and key not in src.columns:
+    and, with ``weight``, ``pe`` (its sum over earlier rows) without a per-key
+    task and without leaving the JVM.
+
+    ``order_cols`` may be names or sort expressions (``F.col(c).desc()``).
+    The sorted rows are written once; per (partition, key) counts give the
+    offsets (one row per key and partition it spans)."""
+    if key not in df.columns:
         raise ValueError(f"unknown key column {key}")
-    from pyspark.sql import types as T
-    schema = T.StructType(list(ranged.schema.fields) + [
-        T.StructField("_pid", T.IntegerType()), T.StructField("_lidx", T.LongType()),
-        T.StructField("_lpre", T.LongType())])
-    loc = reuse(ranged.mapInPandas(_local_positions(key, w), schema))
-    off = loc.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_c"), F.sum(w).alias("_s"))
-    from pyspark.sql import Window
-    win = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per (range partition, key) present: about keys + partitions rows.
-    # No broadcast hint: AQE broadcasts it when its measured size is small
-    # (few hot keys), else joins by sort-merge.
-    off = off.select("_pid", key, F.coalesce(F.sum("_c").over(win), F.lit(0)).alias("_bi"),
-                     F.coalesce(F.sum("_s").over(win), F.lit(0)).alias("_bs"))
-    out = loc.join(off, ["_pid", key]).withColumns({
-        "gidx": F.col("_bi") + F.col("_lidx"), "pe": F.col("_bs") + F.col("_lpre")})
-    return out.drop("_pid", "_lidx", "_lpre", "_bi", "_bs", *(["_one"] if not weight else []))
-
-
-def _interval_match(probes: DataFrame, intervals: DataFrame, key: str, width: str, point: str,
-                    lo: str, hi: str) -> DataFrame:
-    """probes (key, point, width) x intervals (key, lo, hi, width): lo <= point < hi,
-    as an equi-join on (key, bucket)."""
-    iv = intervals.withColumn("_b", F.explode(F.sequence(F.floor(F.col(lo) / F.col(width)),
-                                                         F.floor((F.col(hi) - 1) / F.col(width)))))
-    pr = probes.withColumn("_b", F.floor(F.col(point) / F.col(width)))
-    j = pr.join(iv.drop(width), [key, "_b"])
-    return j.where((F.col(lo) <= F.col(point)) & (F.col(point) < F.col(hi))).drop("_b")
-
-
-def chunk_distributed(df: DataFrame, key: str, order_cols: Sequence[str], text_col: str,
-                      prompt_tokens, limit: int) -> DataFrame:
-    """Exact chunk assignment for (hot) listings; same output as
-    :func:`staylens.operators.packing.chunk_reviews`."""
-    pt = F.col(prompt_tokens) if isinstance(prompt_tokens, str) else F.lit(int(prompt_tokens))
-    items = df.select(key, *order_cols, text_col, (F.lit(int(limit)) - pt).cast("long").alias("budget"),
-                      estimate_tokens(text_col).alias("tokens"))
-    pos = global_positions(items, key, order_cols, weight="tokens")
-    pos = pos.withColumn("pi", F.col("pe") + F.col("tokens"))
-    tot = pos.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("tt"),
-        F.min(F.when(F.col("tokens") <= F.col("budget"), F.col("gidx"))).alias("first_fit"))
-    tot = tot.withColumn("w", F.greatest(F.lit(1), 4 * F.ceil(F.col("tt") / F.greatest(F.col("n"), F.lit(1))))
-                         .cast("long"))
-    tot = reuse(tot)
-    pos = reuse(pos.join(tot, key))
-
-    # 2. next(i)
-    probes = pos.where(F.col("tokens") <= F.col("budget")).select(
-        key, F.col("gidx").alias("i"), (F.col("pe") + F.col("budget")).alias("q"), "w")
-    cover = pos.where(F.col("tokens") > 0).select(key, F.col("gidx").alias("j"), "pe", "pi", "w")
-    hit = _interval_match(probes, cover, key, "w", "q", "pe", "pi").select(key, "i", "j")
-    nxt = pos.select(key, F.col("gidx").alias("i"), "tokens", "budget", "n").join(hit, [key, "i"], "left")
-    j0 = materialize(nxt.select(key, "i", F.when(F.col("tokens") > F.col("budget"), F.col("i") + 1)
-                                .otherwise(F.coalesce(F.col("j"), F.col("n"))).alias("nx")))
-
-    # 3. pointer doubling + descent
-    n_max = tot.agg(F.max("n")).first()[0] or 0
-    levels = [j0]
-    for _ in range(max(1, math.ceil(math.log2(max(n_max, 2))))):
-        cur = levels[-1]
-        # the right side is renamed to a fresh key column and joined by name
-        b = cur.select(F.col(key).alias("_k2"), F.col("i").alias("nx"), F.col("nx").alias("nx2"))
-        b = b.withColumnRenamed("_k2", key)
-        nxt2 = cur.join(b, [key, "nx"], "left").select(key, "i", F.coalesce(F.col("nx2"), F.col("nx")).alias("nx"))
-        levels.append(materialize(nxt2))
-    starts = tot.select(key, F.lit(0).cast("long").alias("i"))
-    for lvl in reversed(levels):
-        step = starts.join(lvl, [key, "i"]).join(tot.select(key, "n"), key) \
-            .where(F.col("nx") < F.col("n")).select(key, F.col("nx").alias("i"))
-        starts = materialize(starts.unionByName(step).distinct())
-
-    # 4. chunk numbers, chunk extents, item -> chunk
-    chunks = global_positions(starts, key, ["i"]).select(key, F.col("i").alias("s"),
-                                                         (F.col("gidx") + 1).alias("chunk_no"))
-    chunks = chunks.join(j0.select(key, F.col("i").alias("s"), F.col("nx").alias("e")), [key, "s"])
-    nchunks = chunks.groupBy(key).agg(F.count(F.lit(1)).alias("nc"))
-    wid = tot.join(nchunks, key).select(key, F.greatest(F.lit(1), F.ceil(F.col("n") / F.col("nc")))
-                                        .cast("long").alias("w2"))
-    iv = chunks.join(wid, key)
-    pr = pos.join(wid, key)
-    m = _interval_match(pr, iv, key, "w2", "gidx", "s", "e")
-    trunc = (F.col("tokens") > F.col("budget")) & (F.col("gidx") < F.coalesce(F.col("first_fit"), F.col("n")))
-    return m.select(key, F.col("chunk_no").cast("long"), (F.col("gidx") - F.col("s") + 1).alias("item_no"),
-                    F.when(trunc, truncate_item(text_col)).otherwise(F.col(text_col)).alias("text"),
-                    F.col("tokens").cast("long"), trunc.alias("truncated"))
-
-
-__all__ = ["chunk_distributed", "global_positions"]
+    rows = written(range_rows(df, key, order_cols, partitions), "positions").withColumn(
+        "_pid", F.shiftright("_at", ROW_BITS))
+    w = F.sum(weight) if weight else F.lit(0).cast("long")
+    parts = rows.groupBy("_pid", key).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_c"),
+                                          *([w.alias("_s")] if weight else []))
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ["_c"] + (["_s"] if weight else [])
+    offsets = parts.select(F.col("_pid").alias("_opid"), F.col(key).alias("_key"), "_first",
+                           *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in sums])
+    out = rows.join(offsets, (F.col("_pid") == F.col("_opid")) & F.col(key).eqNullSafe(F.col("_key"))).withColumn(
+        "gidx", F.col("_c_before") + F.col("_at") - F.col("_first"))
+    if weight:
+        within = Window.partitionBy("_pid", key).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn("pe", F.col("_s_before") + F.coalesce(F.sum(weight).over(within), F.lit(0)))
+    return out.drop("_pid", "_opid", "_key", "_at", "_first", "_c_before", "_s_before")
+
+
+# ---------------------------------------------------------------- greedy packing
+def pack_many(keys: np.ndarray, tokens: np.ndarray, budget: np.ndarray):
+    """Vectorised packing of many whole listings at once.
+
+    Rows are sorted by (key, order); ``budget`` is per row (constant within a
+    listing).  One global prefix sum + one ``searchsorted`` give every row's
+    chunk end; the chunk end is clamped to the listing end, so listings never
+    mix.  Returns chunk_no, item_no (1-based) and the truncation flag.
+    """
+    n = len(tokens)
+    idx = np.arange(n)
+    brk = np.empty(n, dtype=bool)
+    brk[0] = True
+    brk[1:] = keys[1:] != keys[:-1]
+    gstart = np.flatnonzero(brk)
+    gid = np.cumsum(brk) - 1
+    gend = np.r_[gstart[1:], n]
+    nxt = next_starts(tokens, budget, gend[gid])
+    is_start = np.zeros(n, dtype=bool)
+    nx = nxt.tolist()
+    for gs, ge in zip(gstart.tolist(), gend.tolist()):
+        i = gs
+        while i < ge:
+            is_start[i] = True
+            i = nx[i]
+    cg = np.cumsum(is_start) - 1
+    start_pos = np.flatnonzero(is_start)
+    chunk_no = cg - cg[gstart][gid] + 1
+    item_no = idx - start_pos[cg] + 1
+    over = tokens > budget
+    first_fit = np.minimum.reduceat(np.where(~over, idx, n), gstart)[gid]
+    return chunk_no.astype("int64"), item_no.astype("int64"), over & (idx < first_fit)
+
+
+def next_starts(tokens: np.ndarray, budget, end) -> np.ndarray:
+    """Start of the chunk after the one that starts at each row (``end``: none)."""
+    total = np.concatenate([[0], np.cumsum(tokens)])
+    past = np.searchsorted(total, total[:-1] + budget, side="right") - 1
+    # a listing may start later in the prefix sums; a budget below zero looks back
+    return np.minimum(np.maximum(past, np.arange(len(tokens)) + 1), end)
+
+
+FRESH = None    # state before a listing's first item
+
+
+def exit_table(key, tokens: np.ndarray, budget: int) -> dict:
+    """The exit table of rows of one listing, entered with an open chunk."""
+    n = len(tokens)
+    total = np.concatenate([[0], np.cumsum(tokens)])
+    nxt = next_starts(tokens, budget, n)
+    last, begun = np.where(nxt < n, nxt, np.arange(n)), (nxt < n).astype(np.int64)
+    while True:     # last start of the chain from each row, doubling the hops
+        far = last[last]
+        if np.array_equal(far, last):
+            break
+        begun, last = begun + begun[last], far
+    entry = np.flatnonzero((tokens > 0) & (total[:-1] <= budget))
+    if not len(entry) or entry[0] != 0:
+        entry = np.concatenate([[0], entry])
+    return {"key": key, "budget": budget, "reset": False, "fits": bool((tokens <= budget).any()),
+            "total": int(total[-1]), "rows": n, "bounds": total[entry + 1], "tokens": total[-1] - total[last[entry]],
+            "chunks": begun[entry] + 1, "items": n - last[entry]}
+
+
+def enter(table: dict, state):
+    """State after the rows of ``table``, from the state before them: (key,
+    tokens of the open chunk, chunks begun, items of the open chunk, whether any
+    item of the listing fitted)."""
+    if table["reset"]:
+        return table["state"]
+    if state is FRESH or state[0] != table["key"]:
+        state = (table["key"], table["budget"] + 1, 0, 0, False)
+    _, tokens, chunks, items, fits = state
+    fits = fits or table["fits"]
+    e = 0 if tokens > table["budget"] else int(np.searchsorted(table["bounds"], table["budget"] - tokens, side="right"))
+    if e < len(table["bounds"]):
+        return (table["key"], int(table["tokens"][e]), chunks + int(table["chunks"][e]), int(table["items"][e]), fits)
+    return (table["key"], tokens + table["total"], chunks, items + table["rows"], fits)
+
+
+def compose(a: dict, b: dict) -> dict:
+    """The exit table of the rows of ``a`` followed by those of ``b``."""
+    if b["reset"]:
+        return b
+    if a["reset"] or a["key"] != b["key"]:
+        return {"reset": True, "state": enter(b, a["state"] if a["reset"] else (a["key"], 0, 0, 0, False))}
+    budget = b["budget"]
+    e = np.where(a["tokens"] > budget, 0, np.searchsorted(b["bounds"], budget - a["tokens"], side="right"))
+    new, at = e < len(b["bounds"]), np.minimum(e, len(b["bounds"]) - 1)
+    first = {"bounds": a["bounds"], "tokens": np.where(new, b["tokens"][at], a["tokens"] + b["total"]),
+             "chunks": a["chunks"] + np.where(new, b["chunks"][at], 0),
+             "items": np.where(new, b["items"][at], a["items"] + b["rows"])}
+    # entries of b reached while a's rows all joined the open chunk
+    reach = a["total"] + np.concatenate([[0], b["bounds"][:-1]]) <= budget
+    then = {"bounds": a["total"] + b["bounds"], **{c: b[c] for c in ("tokens", "chunks", "items")}}
+    out = {c: np.concatenate([first[c], then[c][reach]]) for c in first}
+    return {"key": a["key"], "budget": budget, "reset": False, "fits": a["fits"] or b["fits"],
+            "total": a["total"] + b["total"], "rows": a["rows"] + b["rows"], **out}
+
+
+def _sorted(table: pa.Table):
+    """Keys (as text), tokens and budgets of a partition's rows, in order."""
+    table = table.sort_by("_at")
+    key = table.column("_ks").combine_chunks().dictionary_encode()
+    codes = key.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    names = key.dictionary.to_pylist()
+    return (table, codes, [names[c] if c >= 0 else None for c in (codes[0], codes[-1])],
+            table.column("tokens").to_numpy(), table.column("budget").to_numpy())
+
+
+def _summary(table: pa.Table) -> pa.Table:
+    table, codes, (first, last), tokens, budget = _sorted(table)
+    start = int(np.flatnonzero(codes != codes[-1])[-1]) + 1 if (codes != codes[-1]).any() else 0
+    node = exit_table((last,), tokens[start:], int(budget[-1]))
+    if start:
+        node = {"reset": True, "state": enter(node, FRESH)}
+    return pa.table({"_pid": [table.column("_pid")[0].as_py()], "node": [pickle.dumps(node)]},
+                    schema=pa.schema([("_pid", pa.int64()), ("node", pa.binary())]))
+
+
+def _nodes(table: pa.Table) -> list[tuple[int, dict]]:
+    return sorted(((p, pickle.loads(n)) for p, n in zip(table.column("_pid").to_pylist(), table.column("node").to_pylist())),
+                  key=lambda x: x[0])
+
+
+def _parent(table: pa.Table) -> pa.Table:
+    nodes = _nodes(table)
+    out = nodes[0][1]
+    for _, n in nodes[1:]:
+        out = compose(out, n)
+    return pa.table({"_pid": [nodes[0][0] // FAN], "node": [pickle.dumps(out)]},
+                    schema=pa.schema([("_pid", pa.int64()), ("node", pa.binary())]))
+
+
+def _walk(nodes: pa.Table, parents: pa.Table) -> pa.Table:
+    state = pickle.loads(parents.column("state")[0].as_py()) if parents.num_rows else FRESH
+    pids, states = [], []
+    for p, n in _nodes(nodes):
+        pids.append(p)
+        states.append(pickle.dumps(state))
+        state = enter(n, state)
+    return pa.table({"_pid": pids, "state": states}, schema=pa.schema([("_pid", pa.int64()), ("state", pa.binary())]))
+
+
+def entry_states(nodes: DataFrame, partitions: int) -> DataFrame:
+    """_pid, state before the partition's first row; ``FAN`` tables per task
+    on the way up (composed) and down (walked)."""
+    up = nodes.withColumn("_up", F.floor(F.col("_pid") / FAN))
+    groups = up.groupBy("_up")
+    if partitions <= FAN:
+        parents = nodes.sparkSession.createDataFrame([], "_pid long, state binary")
+    else:
+        above = written(groups.applyInArrow(lambda t: _parent(t), "_pid long, node binary"), "exit-tables")
+        parents = entry_states(above, -(-partitions // FAN))
+    return groups.cogroup(parents.groupBy("_pid")).applyInArrow(
+        lambda n, p: _walk(n, p), "_pid long, state binary")
+
+
+def _assign(rows: pa.Table, states: pa.Table) -> pa.Table:
+    if not rows.num_rows:
+        return pa.table({c: [] for c in ASSIGNED.names}, schema=ASSIGNED)
+    rows, codes, (first, _), tokens, budget = _sorted(rows)
+    chunk, item, cut = pack_many(codes, tokens, budget)
+    state = pickle.loads(states.column("state")[0].as_py())
+    if state is not FRESH and state[0] == (first,):     # the first rows go on with an open chunk
+        n = int(np.flatnonzero(codes != codes[0])[0]) if (codes != codes[0]).any() else len(codes)
+        _, open_tokens, chunks, items, fits = state
+        limit, total = int(budget[0]), np.cumsum(tokens[:n])
+        e = 0 if open_tokens > limit else int(np.searchsorted(total, limit - open_tokens, side="right"))
+        chunk[:e], item[:e] = chunks, items + 1 + np.arange(e)
+        if e < n:
+            c, i, _ = pack_many(codes[e:n], tokens[e:n], budget[e:n])
+            chunk[e:n], item[e:n] = chunks + c, i
+        if fits:
+            cut[:n] = False
+    return pa.table({"_id": rows.column("_id"), "chunk_no": chunk, "item_no": item, "truncated": cut}, schema=ASSIGNED)
+
+
+ASSIGNED = pa.schema([("_id", pa.int64()), ("chunk_no", pa.int64()), ("item_no", pa.int64()), ("truncated", pa.bool_())])
+
+
+def chunk_numbers(staged: DataFrame, key: str, order_cols: Sequence, partitions: int | None = None) -> DataFrame:
+    """``_id, chunk_no, item_no, truncated`` of the rows of a written table
+    (``_id``, key, order, ``tokens``, ``budget``); rows of equal order go by ``_id``."""
+    rows = range_rows(staged, key, [*order_cols, "_id"], partitions)
+    rows = written(rows.select("_id", F.col(key).cast("string").alias("_ks"), "tokens", "budget", "_at"), "pack-numbers")
+    rows = rows.withColumn("_pid", F.shiftright("_at", ROW_BITS))
+    n = partitions or max(int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    nodes = written(rows.groupBy("_pid").applyInArrow(lambda t: _summary(t), "_pid long, node binary"), "exit-tables")
+    return rows.groupBy("_pid").cogroup(entry_states(nodes, n).groupBy("_pid")).applyInArrow(
+        lambda r, s: _assign(r, s), "_id long, chunk_no long, item_no long, truncated boolean")
+
+
+__all__ = ["chunk_numbers", "global_positions", "pack_many", "range_rows"]

@@ -24,3 +24,12 @@ def materialize(df: DataFrame) -> DataFrame:
     from staylens.session import checkpoint_root
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: rows keep
+    their generated ids, and a lost executor costs a re-read."""
+    from staylens.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

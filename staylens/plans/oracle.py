@@ -617,6 +617,30 @@ def _():
     return f"WITH {chunk_ctes(100)} SELECT * FROM ch"
 
 
+@q("chunk_reviews_hot")
+def _():
+    """Chunk starts by a fold over each listing's tokens (no recursion over a hot listing's positions)."""
+    budget = 100 - len(BASE_PROMPT) // 4
+    return f"""WITH r AS (
+  SELECT listing_id, review AS text, CAST({_tok('review')} AS BIGINT) AS tokens,
+         ROW_NUMBER() OVER (PARTITION BY listing_id ORDER BY {ORDER_ALL}) AS pos
+  FROM (SELECT * REPLACE (CAST(CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE listing_id END AS BIGINT) AS listing_id) FROM ({B_REVIEWS}))),
+f AS (SELECT listing_id, MIN(CASE WHEN tokens <= {budget} THEN pos END) AS first_fit,
+             list_reduce(list({{'t': tokens, 'p': pos, 'starts': []::BIGINT[]}} ORDER BY pos),
+               lambda a, x: CASE WHEN a.t + x.t > {budget}
+                                 THEN {{'t': x.t, 'p': x.p, 'starts': list_append(a.starts, x.p)}}
+                                 ELSE {{'t': a.t + x.t, 'p': x.p, 'starts': a.starts}} END).starts AS starts
+      FROM r GROUP BY listing_id),
+s AS (SELECT listing_id, first_fit, unnest(list_prepend(1, starts)) AS pos,
+             generate_subscripts(list_prepend(1, starts), 1) AS chunk_no FROM f),
+j AS (SELECT r.listing_id, s.chunk_no, r.pos - s.pos + 1 AS item_no, r.text, r.tokens,
+             r.tokens > {budget} AND r.pos < COALESCE(s.first_fit, r.pos + 1) AS truncated
+      FROM r ASOF JOIN s ON r.listing_id = s.listing_id AND r.pos >= s.pos)
+SELECT listing_id, CAST(chunk_no AS BIGINT) AS chunk_no, CAST(item_no AS BIGINT) AS item_no,
+       CASE WHEN truncated THEN substring(text, 1, 2000) || '... [truncated]' ELSE text END AS text, tokens, truncated
+FROM j"""
+
+
 @q("needs_chunking")
 def _():
     return f"""WITH r AS ({B_REVIEWS})

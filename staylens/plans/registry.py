@@ -447,6 +447,14 @@ def _(spark, sf):
     return pk.chunk_reviews(_review_items(spark, sf), "listing_id", b.LINEITEM_ORDER, "text", pt, TIGHT_LIMIT)
 
 
+@q("chunk_reviews_hot")
+def _(spark, sf):
+    """A third of all reviews on one listing."""
+    items = _review_items(spark, sf).withColumn(
+        "listing_id", F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("listing_id")).cast("long"))
+    return pk.chunk_reviews(items, "listing_id", b.LINEITEM_ORDER, "text", len(BASE_PROMPT) // 4, TIGHT_LIMIT)
+
+
 @q("needs_chunking")
 def _(spark, sf):
     return pk.needs_chunking(_review_items(spark, sf), prompt_tokens=len(BASE_PROMPT) // 4, limit=TIGHT_LIMIT)

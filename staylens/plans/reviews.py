@@ -45,7 +45,7 @@ def review_pack(reviews: DataFrame, order_cols: Sequence[str], area_of: DataFram
     prompt row per chunk (``key, chunk_no, n_chunks, n_items, prompt``).
 
     Plan: one partial-aggregated pass builds the per-listing table (materialised
-    once: it feeds the macro mean, the hot-listing check and the prompts);
+    once: it feeds the macro mean and the prompts);
     one join attaches it to the reviews; packing and prompt assembly follow.
     """
     stats = reuse(listing_stats(reviews, key, rating))
@@ -69,18 +69,12 @@ def review_pack(reviews: DataFrame, order_cols: Sequence[str], area_of: DataFram
         "OVERALL_MEAN": overall_txt})
     heads = keep.select(key, "_floaty", prompt.alias("base_prompt")) \
         .withColumn("prompt_tokens", estimate_tokens("base_prompt"))
-    is_big = F.col("n_reviews") > pk.HOT_ITEMS
-    sizes = keep.agg(F.sum("n_reviews").alias("total"), F.sum(F.when(is_big, 1).otherwise(0)).alias("n_hot")).first()
-    total, n_hot = int(sizes["total"] or 0), int(sizes["n_hot"] or 0)
-    hot = keep.where(is_big).select(key)
     # only the per-listing numbers travel with the reviews; the prompt text is
     # attached per chunk after packing
     items = reviews.join(heads.select(key, "_floaty", "prompt_tokens"), key)
     items = items.withColumn("text", F.concat(rating_text(rating), F.lit(" "), F.col(review)))
-    ch = pk.chunk_reviews(items, key, list(order_cols), "text", "prompt_tokens", limit, hot_keys=hot,
-                          total_rows=total, n_hot=n_hot)
-    ch = ch.join(heads.select(key, "base_prompt", "prompt_tokens"), key)
-    return pk.chunk_prompt(ch, F.col("base_prompt"), key, "prompt_tokens", limit)
+    ch = pk.chunk_reviews(items, key, list(order_cols), "text", "prompt_tokens", limit)
+    return pk.chunk_prompt(ch, heads, key, limit=limit)
 
 
 def area_prompts(summaries: DataFrame, overall_mean: float | None = None, n: int | None = None,
@@ -93,9 +87,9 @@ def area_prompts(summaries: DataFrame, overall_mean: float | None = None, n: int
     mean_txt = F.lit(str(overall_mean if overall_mean is not None else 0.0))
     base = fill_template(F.lit(template), {"ZIP_CODE_HERE": F.col(area).cast("string"),
                                            "ISO_CODE_HERE": F.lit(iso_code), "OVERALL_MEAN": mean_txt})
-    items = pack.withColumn("base_prompt", base).withColumn("prompt_tokens", estimate_tokens("base_prompt"))
+    heads = pack.groupBy(area).agg(F.first("n_properties").alias("n_properties")) \
+        .withColumn("base_prompt", base).withColumn("prompt_tokens", estimate_tokens("base_prompt"))
+    items = pack.withColumn("prompt_tokens", estimate_tokens(base))
     ch = pk.chunk_reviews(items, area, ["pack_pos"], "rendered", "prompt_tokens", limit)
-    heads = items.select(area, "base_prompt", "prompt_tokens", "n_properties").dropDuplicates([area])
-    ch = ch.join(heads, area)
-    out = pk.chunk_prompt(ch, F.col("base_prompt"), area, "prompt_tokens", limit)
+    out = pk.chunk_prompt(ch, heads, area, limit=limit)
     return out.join(heads.select(area, "n_properties"), area)

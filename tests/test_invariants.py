@@ -74,15 +74,12 @@ def test_stream_cost_equals_batch(spark):
     assert got == exp
 
 
-def test_hybrid_packing_route_on_driver_tables(spark):
+def test_packing_does_not_depend_on_the_partitions(spark):
     from staylens.operators import packing as pk
     from staylens.sources import bindings as b
     items = b.b_reviews(spark, SF_SMALL).withColumn("text", F.col("review"))
     cols = ["listing_id", "chunk_no", "item_no", "text", "tokens", "truncated"]
-    local = pk.chunk_reviews(items, "listing_id", b.LINEITEM_ORDER, "text", prompt_tokens=5, limit=30,
-                             hot_items=None)
-    mixed = pk.chunk_reviews(items, "listing_id", b.LINEITEM_ORDER, "text", prompt_tokens=5, limit=30,
-                             hot_items=4)  # listings with more than 4 reviews take the distributed path
-    a = sorted(tuple(r[c] for c in cols) for r in local.collect())
-    m = sorted(tuple(r[c] for c in cols) for r in mixed.collect())
-    assert a == m and len(a) == items.count()
+    few, many = (pk.chunk_reviews(items, "listing_id", b.LINEITEM_ORDER, "text", prompt_tokens=5, limit=30, partitions=n)
+                 for n in (1, 70))   # 70 partitions: more exit tables than one task composes
+    a = sorted(tuple(r[c] for c in cols) for r in few.collect())
+    assert a == sorted(tuple(r[c] for c in cols) for r in many.collect()) and len(a) == items.count()

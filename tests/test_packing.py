@@ -3,6 +3,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from staylens.operators import packing as pk
+from staylens.operators import packing_dist as pd_
 
 
 def check_packing(tokens, budget, chunk, item, trunc):
@@ -33,7 +34,7 @@ def test_packing_properties(pairs, budget):
     pairs = sorted(pairs, key=lambda p: p[0])  # stable: order inside a key kept
     keys = np.asarray([p[0] for p in pairs])
     tok = np.asarray([p[1] for p in pairs], dtype="int64")
-    chunk, item, trunc = pk.pack_many(keys, tok, np.full(len(tok), budget))
+    chunk, item, trunc = pd_.pack_many(keys, tok, np.full(len(tok), budget))
     for k in np.unique(keys):
         sel = keys == k
         check_packing(tok[sel], budget, chunk[sel], item[sel], trunc[sel])
@@ -42,7 +43,7 @@ def test_packing_properties(pairs, budget):
 def test_packing_by_hand():
     def packed(tokens, budget):
         tok = np.asarray(tokens, dtype="int64")
-        chunk, item, trunc = pk.pack_many(np.zeros(len(tok)), tok, np.full(len(tok), budget))
+        chunk, item, trunc = pd_.pack_many(np.zeros(len(tok)), tok, np.full(len(tok), budget))
         return list(chunk), list(item), [bool(t) for t in trunc]
     assert packed([3, 4, 5, 2], 7) == ([1, 1, 2, 2], [1, 2, 1, 2], [False] * 4)
     assert packed([9, 1, 9], 7) == ([1, 2, 3], [1, 1, 1], [True, False, False])
@@ -89,17 +90,81 @@ def test_merge_prompt_single_passes_through(spark):
     assert out["b"]["n_parts"] == 2 and "--- Analysis 2 ---\np2\n" in out["b"]["prompt"]
 
 
-@settings(max_examples=8, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 120)), min_size=1, max_size=50),
-       st.integers(0, 60))
-def test_distributed_path_equals_local_path(spark, pairs, limit):
-    texts = [(k, i, "z" * n if n % 7 else None) for i, (k, n) in enumerate(pairs)]
-    df = spark.createDataFrame(texts, "listing_id string, pos int, text string")
-    local = pk.chunk_reviews(df, "listing_id", ["pos"], "text", prompt_tokens=3, limit=limit, hot_items=None)
-    dist = pk.chunk_reviews(df, "listing_id", ["pos"], "text", prompt_tokens=3, limit=limit, hot_items=0)
-    cols = ["listing_id", "chunk_no", "item_no", "text", "tokens", "truncated"]
-    assert sorted(tuple(r[c] for c in cols) for r in local.collect()) == \
-        sorted(tuple(r[c] for c in cols) for r in dist.collect())
+COLS = ["listing_id", "chunk_no", "item_no", "text", "tokens", "truncated"]
+
+
+def packed_alone(rows, budget_of):
+    """What one pass over each listing gives: rows of (key, pos, text)."""
+    out = []
+    for k in sorted({r[0] for r in rows}, key=str):
+        mine = sorted([r for r in rows if r[0] == k], key=lambda r: r[1])
+        tok = np.asarray([len(r[2]) // 4 if r[2] else 0 for r in mine], dtype="int64")
+        chunk, item, cut = pd_.pack_many(np.zeros(len(tok)), tok, np.full(len(tok), budget_of(k)))
+        for r, t, c, i, x in zip(mine, tok, chunk, item, cut):
+            out.append((k, int(c), int(i), r[2][:2000] + "... [truncated]" if x and r[2] is not None else r[2], int(t), bool(x)))
+    return sorted(out, key=str)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 9), min_size=1, max_size=60), st.integers(-3, 25), st.data())
+def test_exit_tables_compose(tokens, budget, data):
+    """Partitions of one listing: entering table after table, and entering any
+    composition of them, gives the state of one pass over all rows."""
+    tok = np.asarray(tokens, dtype="int64")
+    cuts = sorted(set(data.draw(st.lists(st.integers(1, len(tokens)), max_size=6))) | {len(tokens)})
+    tables = [pd_.exit_table("k", tok[a:b], budget) for a, b in zip([0, *cuts], cuts) if b > a]
+    state = pd_.FRESH
+    for t in tables:
+        state = pd_.enter(t, state)
+    chunk, item, _ = pd_.pack_many(np.zeros(len(tok)), tok, np.full(len(tok), budget))
+    last = [t for t, c in zip(tokens, chunk) if c == chunk[-1]]
+    assert state == ("k", sum(last), int(chunk[-1]), int(item[-1]), bool((tok <= budget).any()))
+    while len(tables) > 1:
+        i = data.draw(st.integers(0, len(tables) - 2))
+        tables[i:i + 2] = [pd_.compose(tables[i], tables[i + 1])]
+    assert pd_.enter(tables[0], pd_.FRESH) == state
+    other = ("before", 5, 3, 2, True)
+    assert pd_.enter(tables[0], other) == state                      # another listing before
+    inside = ("k", data.draw(st.integers(0, 30)), 4, 2, True)        # an open chunk before
+    one = pd_.exit_table("k", tok, budget)
+    assert pd_.enter(tables[0], inside) == pd_.enter(one, inside)
+    table = {"reset": True, "state": other}
+    assert pd_.compose(table, one) == {"reset": True, "state": state} and pd_.compose(one, table) is table
+
+
+def test_exit_table_is_bounded_by_the_budget():
+    tok = np.ones(100_000, dtype="int64")
+    assert len(pd_.exit_table("k", tok, 50)["bounds"]) == 51
+    a = pd_.exit_table("k", tok[:40], 50)
+    assert len(pd_.compose(a, pd_.exit_table("k", tok, 50))["bounds"]) <= 92
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 120)), min_size=1, max_size=60),
+       st.integers(0, 60), st.integers(1, 9))
+def test_partitions_equal_one_pass(spark, pairs, limit, partitions):
+    rows = [(k, i, "z" * n if n % 7 else None) for i, (k, n) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "listing_id string, pos int, text string")
+    out = pk.chunk_reviews(df, "listing_id", ["pos"], "text", prompt_tokens=3, limit=limit, partitions=partitions)
+    got = sorted((tuple(r[c] for c in COLS) for r in out.collect()), key=str)
+    assert got == packed_alone(rows, lambda k: limit - 3)
+
+
+def test_hot_listing_over_many_partitions(spark, monkeypatch):
+    """A third of all rows on one listing, more partitions than one task composes."""
+    monkeypatch.setattr(pd_, "FAN", 3)
+    rows = [("hot" if i % 3 == 0 else f"l{i % 50}", i, "w" * ((i * 37) % 90)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "listing_id string, pos int, text string")
+    out = pk.chunk_reviews(df, "listing_id", ["pos"], "text", prompt_tokens=5, limit=60, partitions=23)
+    assert sorted((tuple(r[c] for c in COLS) for r in out.collect()), key=str) == packed_alone(rows, lambda k: 55)
+
+
+def test_no_text_in_python(spark):
+    """The plan sends numbers through Python only."""
+    df = spark.createDataFrame([("a", 1, "text")], "listing_id string, pos int, text string")
+    out = pk.chunk_reviews(df, "listing_id", ["pos"], "text")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "InArrow" not in plan and "InPandas" not in plan     # the numbers are written before the texts join
 
 
 def test_global_positions_hot_key_spans_partitions(spark):
@@ -131,16 +196,14 @@ def test_merge_prompt_bounded_groups(spark):
     assert len(one) == 1 and one[0]["final"] and one[0]["n_parts"] == 7
 
 
-def test_distributed_path_with_per_listing_prompt_column(spark):
-    rows = [(k, i, "w" * (7 * ((i * 13 + len(k)) % 11)), {"a": 2, "b": 30, "c": 90}[k])
-            for k in "abc" for i in range(25)]
+def test_per_listing_prompt_column(spark):
+    pt = {"a": 2, "b": 30, "c": 90}
+    rows = [(k, i, "w" * (7 * ((i * 13 + len(k)) % 11)), pt[k]) for k in "abc" for i in range(25)]
     df = spark.createDataFrame(rows, "listing_id string, pos int, text string, pt long")
-    cols = ["listing_id", "chunk_no", "item_no", "text", "tokens", "truncated"]
-    local = pk.chunk_reviews(df, "listing_id", ["pos"], "text", prompt_tokens="pt", limit=60, hot_items=None)
-    dist = pk.chunk_reviews(df, "listing_id", ["pos"], "text", prompt_tokens="pt", limit=60, hot_items=0)
-    a = sorted(tuple(r[c] for c in cols) for r in local.collect())
-    assert a == sorted(tuple(r[c] for c in cols) for r in dist.collect())
-    assert any(r[5] for r in a)  # listing "c" (prompt over the limit) truncates everything
+    out = pk.chunk_reviews(df, "listing_id", ["pos"], "text", prompt_tokens="pt", limit=60, partitions=7)
+    got = sorted((tuple(r[c] for c in COLS) for r in out.collect()), key=str)
+    assert got == packed_alone([r[:3] for r in rows], lambda k: 60 - pt[k])
+    assert any(r[5] for r in got)  # listing "c" (prompt over the limit) truncates everything
 
 
 def test_global_positions_descending_expression(spark):
