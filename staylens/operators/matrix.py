@@ -1,10 +1,9 @@
 """Listing x amenity matrix (pipeline A): nested details -> long features ->
 wide matrix -> clean matrix.
 
-The long form ``(listing_id, icon, title, source)`` is the primary
-representation; the wide matrix is one hash aggregate per listing (icon ->
-title map) whose icon list is supplied (or found by one small distinct job),
-so no extra pass over the data is needed to discover the columns.
+A record's icons are resolved inside its row (the last entry of an icon wins)
+and become columns by lookups in a map, so the matrix takes one scan of the
+details; the icon list is supplied, or found by one small distinct job.
 """
 
 from __future__ import annotations
@@ -28,51 +27,67 @@ ENTIRE_HOME = "Entire home/apt"
 NEIGHBORHOOD_TITLE = "Neighborhood highlights"
 # Source order for icon conflicts: amenities, then house rules, then highlights (last wins).
 SRC_AMENITY, SRC_RULE, SRC_HIGHLIGHT = 0, 1, 2
+ICON_ARRAY = "array<struct<title:string,icon:string>>"
 
 
-def amenity_long(details: DataFrame, key: str = "listing_id", categorical: bool = False) -> DataFrame:
-    """Nested amenities / house-rule icons / highlights -> one row per (listing, icon).
+def last_icons(details: DataFrame, categorical: bool = False) -> DataFrame:
+    """``details`` with ``_icons``: array of (icon, title, source), one entry per
+    icon of the record.
 
-    Later sources overwrite earlier ones for the same icon (highlights over
-    rules over amenities, and within a source the later entry), so the result
-    keeps the last entry per (listing, icon).
+    The amenity groups, house rules and highlights of a record are read in that
+    order and a later entry overwrites an earlier one of the same icon.  All
+    inside the row: entries sorted by icon and place, the last of each icon
+    kept; nothing is exploded and nothing shuffles.
     """
-    am = details.select(key, F.posexplode_outer("amenities").alias("cpos", "cat")) \
-        .select(key, "cpos", F.posexplode_outer("cat.values").alias("vpos", "v")) \
-        .select(key, F.lit(SRC_AMENITY).alias("src"), (F.col("cpos") * 100000 + F.col("vpos")).alias("pos"),
-                F.col("v.icon").alias("icon"),
-                (F.lit("True") if categorical else F.col("v.title")).alias("title"))
-    hr = details.select(key, F.posexplode_outer("house_rules.general").alias("cpos", "cat")) \
-        .select(key, "cpos", F.posexplode_outer("cat.values").alias("vpos", "v")) \
-        .select(key, F.lit(SRC_RULE).alias("src"), (F.col("cpos") * 100000 + F.col("vpos")).alias("pos"),
-                F.col("v.icon").alias("icon"), F.col("v.title").alias("title"))
-    hl = details.select(key, F.posexplode_outer("highlights").alias("pos", "v")) \
-        .select(key, F.lit(SRC_HIGHLIGHT).alias("src"), F.col("pos").cast("long"),
-                F.col("v.icon").alias("icon"), F.col("v.title").alias("title"))
-    allf = am.unionByName(hr).unionByName(hl).where(F.col("icon").isNotNull())
-    last = F.max_by(F.struct("title", "src"), F.struct("src", "pos"))
-    return allf.groupBy(key, "icon").agg(last.alias("w")).select(key, "icon", F.col("w.title").alias("title"),
-                                                                 F.col("w.src").alias("source"))
+    def entries(values, src):
+        title = (lambda v: F.lit("True")) if categorical and src == SRC_AMENITY else (lambda v: v["title"])
+        return F.transform(F.coalesce(values, F.array().cast(ICON_ARRAY)),
+                           lambda v: F.struct(v["icon"].alias("icon"), title(v).alias("title"), F.lit(src).alias("source")))
+
+    def grouped(groups):
+        """The entries of all groups; a missing group has none."""
+        none = F.array().cast(ICON_ARRAY)
+        return F.flatten(F.transform(groups, lambda g: F.coalesce(g["values"], none)))
+    every = F.filter(F.concat(entries(grouped(F.col("amenities")), SRC_AMENITY),
+                              entries(grouped(F.col("house_rules.general")), SRC_RULE),
+                              entries(F.col("highlights"), SRC_HIGHLIGHT)), lambda e: e["icon"].isNotNull())
+    placed = F.array_sort(F.transform(every, lambda e, i: F.struct(
+        e["icon"].alias("icon"), i.alias("place"), e["title"].alias("title"), e["source"].alias("source"))))
+    out = details.withColumn("_placed", placed)
+    last = F.filter("_placed", lambda e, i: ~e["icon"].eqNullSafe(F.get("_placed", i + 1)["icon"]))
+    return out.withColumn("_icons", F.transform(last, lambda e: F.struct(
+        e["icon"].alias("icon"), e["title"].alias("title"), e["source"].alias("source")))).drop("_placed")
+
+
+def amenity_long(details: DataFrame, key: str = "listing_id", categorical: bool = False) -> DataFrame:
+    """Nested amenities / house-rule icons / highlights -> one row per (listing,
+    icon) with the entry that wins (highlights over rules over amenities, and
+    within a source the later one): :func:`last_icons` of each record, unnested."""
+    return last_icons(details, categorical).select(key, F.inline("_icons"))
+
+
+def icon_map(df: DataFrame, entries: str = "_icons", value: str = "title") -> DataFrame:
+    """``df`` with ``_m``, icon -> value, in place of the entries."""
+    pairs = F.transform(entries, lambda e: F.struct(e["icon"].alias("icon"), e[value].alias(value)))
+    return df.withColumn("_m", F.map_from_entries(pairs)).drop(entries)
 
 
 def amenity_matrix(long: DataFrame, icons: Sequence[str] | None = None, key: str = "listing_id",
                    value: str = "title") -> DataFrame:
     """Wide matrix: one column per icon holding the title (NULL = missing).
 
-    ``long`` has one row per (listing, icon), as :func:`amenity_long` returns.
+    ``long`` has rows (listing, icon, title); equal rows count once.
     ``icons`` fixes the columns; without it one distinct job lists them (the
     icon vocabulary is small -- a few hundred names at most).
 
-    Plan: one hash aggregate per listing builds an icon -> title map
-    (``collect_list`` runs in ObjectHashAggregate; a listing holds at most the
-    vocabulary), then each column is a map lookup.  A ``pivot`` of string
-    values would instead compile to a sort-based aggregate with one ``first``
-    per icon.
+    Plan: one aggregate per listing, the only shuffle, collects the set of its
+    (icon, title) pairs (a listing holds at most the vocabulary); each column is
+    a lookup in the map made of it.
     """
     if icons is None:
         icons = sorted(r[0] for r in long.select("icon").distinct().collect())
-    m = long.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("icon", value))).alias("_m"))
-    return m.select(key, *[F.col("_m")[i].alias(i) for i in icons])
+    m = long.groupBy(key).agg(F.collect_set(F.struct("icon", value)).alias("_icons"))
+    return icon_map(m, value=value).select(key, *[F.col("_m")[i].alias(i) for i in icons])
 
 
 def amenity_flags(df: DataFrame, prefix: str = "SYSTEM_") -> DataFrame:
@@ -149,20 +164,18 @@ def parse_sub_description(items_col: str = "sub_description.items", legacy: bool
     }
 
 
-def parse_details(details: DataFrame, key: str = "listing_id", legacy: bool = False) -> DataFrame:
-    """Listing-level columns from the nested details record."""
-    sub = parse_sub_description(legacy=legacy)
+def parse_details_columns(legacy: bool = False) -> dict:
+    """Listing-level columns of the nested details record."""
     loc0 = F.get(F.col("location_descriptions"), 0)
-    return details.select(
-        key, "room_type",
-        (F.col("room_type") == ENTIRE_HOME).alias("is_entire_home"),
-        F.col("person_capacity").alias("capacity"),
-        F.col("title"),
-        sub["bedrooms"].alias("bedrooms"), sub["beds"].alias("beds"), sub["bathrooms"].alias("bathrooms"),
-        F.col("house_rules.aditional").alias("house_rules"),
-        F.when(loc0["title"] == NEIGHBORHOOD_TITLE, loc0["content"]).alias("neighborhood_highlight"),
-        F.col("rating").alias("rating"),
-    )
+    return {"room_type": F.col("room_type"), "is_entire_home": F.col("room_type") == ENTIRE_HOME,
+            "capacity": F.col("person_capacity"), "title": F.col("title"), **parse_sub_description(legacy=legacy),
+            "house_rules": F.col("house_rules.aditional"),
+            "neighborhood_highlight": F.when(loc0["title"] == NEIGHBORHOOD_TITLE, loc0["content"]),
+            "rating": F.col("rating")}
+
+
+def parse_details(details: DataFrame, key: str = "listing_id", legacy: bool = False) -> DataFrame:
+    return details.select(key, *[v.alias(c) for c, v in parse_details_columns(legacy).items()])
 
 
 def build_matrix(details: DataFrame, metrics: DataFrame, icons: Sequence[str] | None = None,
@@ -172,21 +185,21 @@ def build_matrix(details: DataFrame, metrics: DataFrame, icons: Sequence[str] |
     amenity columns only for entire homes (non-entire rows survive with
     link + financials, as in the reference).  The ADR-desc order is applied
     by the sink (``write_matrix``), not here, so no global sort runs unless
-    an ordered file is written."""
+    an ordered file is written.  One scan of the details and one join."""
     from staylens.functions.scalar import listing_link
     from staylens.operators.market import occupancy_metrics
-    base = details.select(key, "room_type").withColumn("link", listing_link(key))
-    fin = occupancy_metrics(metrics).select(key, "ADR", "Occ_Rate_Based_on_Avail", "Days_Avail",
-                                            "Abs_Occ_Rate", "Avail_Rate")
-    m = base.join(fin.withColumn("has_airdna_data", F.lit(True)), key, "left") \
-        .withColumn("has_airdna_data", F.coalesce("has_airdna_data", F.lit(False)))
-    ent = details.where(F.col("room_type") == ENTIRE_HOME)
-    basic = parse_details(ent, key)
-    basic = basic.select(*[c for c in basic.columns if c not in ("room_type", "is_entire_home", "house_rules",
-                                                                 "neighborhood_highlight", "rating")],
-                         *[F.col("rating")[k].alias(k) for k in rating_keys])
-    wide = amenity_matrix(amenity_long(ent, key, categorical), icons, key)
-    out = m.join(basic, key, "left").join(wide, key, "left")
-    if strict_entire_home:
-        out = out.where(F.col("room_type") == ENTIRE_HOME)
-    return out.drop("room_type")
+    entire = F.col("room_type") == ENTIRE_HOME
+    parsed = parse_details_columns()
+    basic = {c: parsed[c] for c in ("capacity", "title", "bedrooms", "beds", "bathrooms")}
+    basic.update({k: F.col("rating")[k] for k in rating_keys})
+    if icons is None:
+        icons = sorted(r[0] for r in amenity_long(details.where(entire), key, categorical).select("icon").distinct().collect())
+    rows = icon_map(last_icons(details, categorical).where(entire) if strict_entire_home else last_icons(details, categorical))
+    wide = rows.select(key, listing_link(key).alias("link"),
+                       *[F.when(entire, v).alias(c) for c, v in basic.items()],
+                       *[F.when(entire, F.col("_m")[i]).alias(i) for i in icons])
+    fin = occupancy_metrics(metrics).select(key, "ADR", "Occ_Rate_Based_on_Avail", "Days_Avail", "Abs_Occ_Rate",
+                                            "Avail_Rate", F.lit(True).alias("has_airdna_data"))
+    return wide.join(fin, key, "left").select(
+        key, "link", "ADR", "Occ_Rate_Based_on_Avail", "Days_Avail", "Abs_Occ_Rate", "Avail_Rate",
+        F.coalesce("has_airdna_data", F.lit(False)).alias("has_airdna_data"), *basic, *icons)

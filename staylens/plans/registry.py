@@ -202,7 +202,7 @@ def _(spark, sf):
 
 @q("amenity_matrix")
 def _(spark, sf):
-    return mx.amenity_matrix(b.b_feature_icons(spark, sf), b.BINDING_ICONS)
+    return mx.amenity_matrix(b.b_icon_rows(spark, sf), b.BINDING_ICONS)
 
 
 @q("amenity_flags")
@@ -701,10 +701,7 @@ from staylens.session import scratch_path  # noqa: E402
 
 
 def _details(spark, sf):
-    """Derived details written as JSON lines to the shared scratch folder, read back."""
-    path = scratch_path(spark, "details")
-    b.b_details(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
-    return fl.read_listing_details(spark, path, lines=True)
+    return b.b_details(spark, sf)
 
 
 def _metrics_str(spark, sf):
@@ -713,7 +710,10 @@ def _metrics_str(spark, sf):
 
 @q("read_listing_details")
 def _(spark, sf):
-    d = _details(spark, sf)
+    """Derived details as JSON lines in the shared scratch folder, read back."""
+    path = scratch_path(spark, "details")
+    b.b_details(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
+    d = fl.read_listing_details(spark, path, lines=True)
     return d.select("listing_id", "room_type", "person_capacity", "title",
                     F.size(F.flatten(F.transform("amenities", lambda g: g["values"]))).alias("n_amenity_icons"),
                     fl.normalize_description_value(F.col("description")).alias("description"))

@@ -20,7 +20,7 @@ def binding_matrix(spark, sf: str) -> DataFrame:
     market = mk.occupancy_metrics(b.b_market(spark, sf))
     feats = b.b_part_features(spark, sf).drop("retail_price")
     from staylens.operators.matrix import amenity_matrix
-    wide = amenity_matrix(b.b_feature_icons(spark, sf), b.BINDING_ICONS)
+    wide = amenity_matrix(b.b_icon_rows(spark, sf), b.BINDING_ICONS)
     m = mk.join_market_metrics(feats, market)
     return m.join(wide, "listing_id", "left")
 

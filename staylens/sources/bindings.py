@@ -44,18 +44,25 @@ def b_market(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _icon():
+    """One icon per return flag, line status and discount of a line."""
+    cents = F.lpad(F.round(F.col("l_discount") * 100).cast("int").cast("string"), 2, "0")
+    return F.concat(F.lit("SYSTEM_"), F.col("l_returnflag"), F.lit("_"), F.col("l_linestatus"), F.lit("_"), cents)
+
+
+def b_icon_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """listing_id, icon, title of every line (an icon may repeat)."""
+    return table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("listing_id"), _icon().alias("icon"), F.concat(F.lit("Feature "), _icon()).alias("title"))
+
+
 def b_feature_icons(spark: SparkSession, sf: str) -> DataFrame:
     """Long amenity form: listing_id, icon, title (one row per held icon)."""
-    li = table(spark, sf, "lineitem")
-    icon = F.concat(F.lit("SYSTEM_"), F.col("l_returnflag"), F.lit("_"), F.col("l_linestatus"))
-    return (li.where(F.col("l_discount") >= 0.09)
-              .select(F.col("l_partkey").alias("listing_id"), icon.alias("icon"))
-              .distinct()
-              .withColumn("title", F.concat(F.lit("Feature "), F.col("icon"))))
+    return b_icon_rows(spark, sf).distinct()
 
 
-# The binding's six icons (every returnflag x linestatus combination).
-BINDING_ICONS = [f"SYSTEM_{f}_{s}" for f in ("A", "N", "R") for s in ("F", "O")]
+# The binding's 66 icons: return flag x line status x discount in cents.
+BINDING_ICONS = [f"SYSTEM_{f}_{s}_{d:02d}" for f in ("A", "N", "R") for s in ("F", "O") for d in range(11)]
 
 
 def b_part_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,8 +188,8 @@ def b_details(spark: SparkSession, sf: str) -> DataFrame:
     items, list-or-string description).  The per-listing amenity list is
     bounded by the icon vocabulary."""
     p = table(spark, sf, "part")
-    icons = b_feature_icons(spark, sf).groupBy("listing_id").agg(
-        F.array_sort(F.collect_list(F.struct("title", "icon"))).alias("vals"))
+    icons = b_icon_rows(spark, sf).groupBy("listing_id").agg(
+        F.array_sort(F.collect_set(F.struct("title", "icon"))).alias("vals"))
     size = F.col("p_size")
     desc_json = F.when(size % 4 != 0, F.to_json(F.array("p_name", "p_brand"))) \
         .otherwise(F.to_json(F.array("p_name")).substr(F.lit(2), F.length(F.to_json(F.array("p_name"))) - 2))
@@ -195,7 +202,7 @@ def b_details(spark: SparkSession, sf: str) -> DataFrame:
         F.create_map(F.lit("guest_satisfaction"), (3 + (size % 20) / 10.0)).alias("rating"),
         F.struct(F.concat(F.lit("Quiet hours for "), F.col("p_brand")).alias("aditional"),
                  F.when(size % 3 == 0, F.array(F.struct(F.array(F.struct(
-                     F.lit("No pets").alias("title"), F.lit("SYSTEM_A_F").alias("icon"))).alias("values"))))
+                     F.lit("No pets").alias("title"), F.lit("SYSTEM_A_F_03").alias("icon"))).alias("values"))))
                  .otherwise(empty_groups).alias("general")).alias("house_rules"),
         F.col("p_name").alias("title"),
         F.struct(F.array(F.concat(size.cast("string"), F.lit(" guests")),
@@ -208,6 +215,6 @@ def b_details(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("vals").isNotNull(), F.array(F.struct(F.col("vals").alias("values"))))
          .otherwise(empty_groups).alias("amenities"),
         F.when(size % 4 == 0, F.array(F.struct(F.lit("Guest favourite").alias("title"),
-                                               F.lit("SYSTEM_N_O").alias("icon"))))
+                                               F.lit("SYSTEM_N_O_05").alias("icon"))))
          .otherwise(empty_icons).alias("highlights"))
     return d
