@@ -1,13 +1,11 @@
 """Price-premium model (pipeline D): OLS fit, residuals, score correlation,
 top/bottom premium lists (sections 2.5, 2.6, 2.10).
 
-OLS plan: pass 1 aggregates n and column means (p + 2 numbers); pass 2 runs
-``mapInPandas`` over the partitions, each emitting its partial centred Gram
-matrix ``Xc'Xc`` (plus ``Xc'yc``) as (i, j, v) rows; one ``groupBy(i, j).sum``
-merges them.  Only the (p+1)^2 merged moments reach the driver, where a
-minimum-norm solve (``pinv``) handles rank-deficient designs.  Coefficients go
-back as literals in a column expression -- nothing is broadcast that grows
-with the data.
+OLS plan: pass 1 aggregates n and column means (p + 2 numbers); pass 2 emits
+each partition's centred Gram matrix (features and label) in tiles, summed per
+tile row by one aggregate.  Only the (p+1)^2 merged moments reach the driver,
+where a rank-revealing solve handles dependent columns.  Coefficients go back as
+literals in a column expression -- nothing is broadcast that grows with the data.
 """
 
 from __future__ import annotations
@@ -35,6 +33,7 @@ class OlsModel:
     coefficients: list[float] = field(default_factory=list)
     n: int = 0
     ok: bool = False
+    rank: int = 0
     means: list[float] = field(default_factory=list)
     moments: np.ndarray | None = None
 
@@ -73,39 +72,72 @@ def regression_frame(df: DataFrame, label: str = LABEL, features: Sequence[str]
     return complete_rows_filter(valid, feats), feats
 
 
-def _partial_moments(cols: list[str], means: list[float]):
+TILE = 32  # columns per side of a Gram tile
+
+
+def _partial_tiles(cols: list[str], means: list[float]):
     k = len(cols)
+    side = min(TILE, k)
+    blocks = -(-k // side)
     mu = np.asarray(means, dtype="float64")
 
     def fn(batches):
-        import pandas as pd
-        acc = np.zeros((k, k))
-        for pdf in batches:
-            if len(pdf) == 0:
+        import pyarrow as pa
+        acc = np.zeros((blocks * side, blocks * side))
+        for b in batches:
+            if not b.num_rows:
                 continue
-            x = pdf[cols].to_numpy(dtype="float64") - mu
-            acc += x.T @ x
-        ii, jj = np.triu_indices(k)
-        yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "v": acc[ii, jj]})
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]) - mu
+            acc[:k, :k] += x.T @ x
+        rows = [(i, j, r, acc[i * side + r, j * side:(j + 1) * side]) for i in range(blocks) for j in range(i, blocks)
+                for r in range(side)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x[c] for x in rows], pa.int32()) for c in range(3)]
+            + [pa.array(np.array([x[3][c] for x in rows])) for c in range(side)],
+            names=["ti", "tj", "r", *[f"v{c}" for c in range(side)]])
     return fn
 
 
 def regression_moments(frame: DataFrame, label: str, features: Sequence[str]) -> tuple[int, list[float], np.ndarray]:
-    """n, means and the centred cross-product matrix over [features..., label]."""
+    """n, means and the centred cross-product matrix over [features..., label].
+
+    The matrix is cut into tiles of ``TILE`` columns a side; each task emits the
+    rows of its tiles on and above the diagonal, and one aggregate with
+    ``TILE`` sums adds them per (tile, row).  Only the summed (p+1)^2 numbers
+    reach the driver."""
     cols = list(features) + [label]
     row = frame.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    n = int(row["n"])
+    n, k = int(row["n"]), len(cols)
     if n == 0:
-        return 0, [0.0] * len(cols), np.zeros((len(cols), len(cols)))
-    means = [float(row[f"m{i}"]) for i in range(len(cols))]
-    parts = frame.select(*[F.col(c).cast("double") for c in cols]).mapInPandas(
-        _partial_moments(cols, means), "i int, j int, v double")
-    merged = parts.groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
-    m = np.zeros((len(cols), len(cols)))
-    for r in merged:
-        m[r["i"], r["j"]] = r["v"]
-        m[r["j"], r["i"]] = r["v"]
-    return n, means, m
+        return 0, [0.0] * k, np.zeros((k, k))
+    means = [float(row[f"m{i}"]) for i in range(k)]
+    side = min(TILE, k)
+    names = [f"v{c}" for c in range(side)]
+    parts = frame.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(
+        _partial_tiles(cols, means), "ti int, tj int, r int, " + ", ".join(f"{v} double" for v in names))
+    m = np.zeros((-(-k // side) * side,) * 2)
+    for t in parts.groupBy("ti", "tj", "r").agg(*[F.sum(v).alias(v) for v in names]).collect():
+        i, j = t["ti"] * side + t["r"], t["tj"] * side
+        m[i, j:j + side] = [t[v] for v in names]
+        m[j:j + side, i] = m[i, j:j + side]
+    return n, means, m[:k, :k]
+
+
+RANK_TOLERANCE = 1e-12
+
+
+def solve_moments(g: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, int]:
+    """Least-squares coefficients of centred moments, and the rank of the design.
+
+    Columns are brought to unit length first, so a feature of small variance is
+    not cut off; directions whose eigenvalue is below ``RANK_TOLERANCE`` of the
+    largest are dependent and get no weight (minimum norm among all solutions)."""
+    scale = np.sqrt(np.clip(np.diag(g), 0, None))
+    scale[scale == 0] = 1.0
+    values, vectors = np.linalg.eigh(g / np.outer(scale, scale))
+    live = values > RANK_TOLERANCE * max(values[-1], 0.0)
+    basis = vectors[:, live]
+    return basis @ ((basis.T @ (c / scale)) / values[live]) / scale, int(live.sum())
 
 
 def ols_fit(df: DataFrame, label: str = LABEL, features: Sequence[str] | None = None,
@@ -125,12 +157,7 @@ def ols_fit(df: DataFrame, label: str = LABEL, features: Sequence[str] | None =
     p = len(feats)
     if n < p + 1:
         return model
-    g, c = m[:p, :p], m[:p, p]
-    # minimum-norm solution of the centred normal equations (rank-deficient designs included)
-    # solved on columns of unit scale, so a feature of small variance is not cut off
-    scale = np.sqrt(np.clip(np.diag(g), 0, None))
-    scale[scale == 0] = 1.0
-    beta = np.linalg.pinv(g / np.outer(scale, scale), rcond=1e-12, hermitian=True) @ (c / scale) / scale
+    beta, model.rank = solve_moments(m[:p, :p], m[:p, p])
     model.coefficients = [float(x) for x in beta]
     model.intercept = float(means[p] - np.dot(np.asarray(means[:p]), beta))
     model.ok = True

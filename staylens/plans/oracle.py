@@ -443,7 +443,7 @@ SELECT {R('CASE WHEN var_samp(actual) * (COUNT(*) - 1) > 0 THEN 1.0 - SUM(residu
        2 AS n_features, COUNT(*) AS n_properties, {RESID_STATS} FROM res"""
 
 
-# ---------------------------------------------------------------- description scores
+
 from staylens.functions.scalar import PY_WHITESPACE_CLASS as PY_WS  # noqa: E402
 
 
@@ -451,6 +451,66 @@ def WC(x: str) -> str:
     return f"CAST(len(regexp_extract_all({x}, '[^{PY_WS}]+')) AS BIGINT)"
 
 
+# ---------------------------------------------------------------- pipeline D: every numeric column, by elimination
+WIDE_FEATURES = ["capacity", "bedrooms", "Occupancy", "Revenue", "Days_Available", "Days_Avail", *ICONS]
+
+
+def wide_residuals(clean: str, features: list[str]) -> str:
+    """CTEs ending in wres(listing_id, actual, residual): least squares by
+    orthogonal elimination.  Columns are centred and brought to unit length;
+    each in turn is taken out of the later ones and of the label, unless nothing
+    of it is left (a dependent column)."""
+    n = len(features)
+    ctes = ["w0 AS (SELECT listing_id, ADR AS actual, ADR - AVG(ADR) OVER () AS y, " + ", ".join(
+        f'CAST("{f}" AS DOUBLE) - AVG(CAST("{f}" AS DOUBLE)) OVER () AS x{k}' for k, f in enumerate(features))
+        + f" FROM ({clean}) WHERE ADR > 0)",
+        "w1 AS (SELECT listing_id, actual, y, " + ", ".join(
+            f"COALESCE(x{k} / NULLIF(SQRT(SUM(x{k} * x{k}) OVER ()), 0), 0) AS x{k}" for k in range(n)) + " FROM w0)"]
+    for k in range(n):
+        rest = ["y", *[f"x{j}" for j in range(k + 1, n)]]
+        sums = ", ".join(f"SUM(x{k} * {c}) AS s{i}" for i, c in enumerate(rest))
+        ctes.append(f"c{k} AS (SELECT SUM(x{k} * x{k}) AS ss, {sums} FROM w{k + 1})")
+        ctes.append(f"w{k + 2} AS MATERIALIZED (SELECT listing_id, actual, " + ", ".join(
+            f"CASE WHEN ss > 1e-10 THEN {c} - x{k} * s{i} / ss ELSE {c} END AS {c}" for i, c in enumerate(rest))
+            + f" FROM w{k + 1}, c{k})")
+    ctes.append(f"wres AS (SELECT listing_id, actual, y AS residual FROM w{n + 1})")
+    return ",\n".join(ctes)
+
+
+def premium_ctes() -> str:
+    clean = SQL["clean_matrix"].replace("WHERE COALESCE(", "WHERE has_airdna_data AND COALESCE(")
+    return wide_residuals(clean, WIDE_FEATURES)
+
+
+@q("premium_pipeline_lists")
+def _():
+    return f"""WITH {premium_ctes()},
+t AS (SELECT 'top' AS side, * FROM (SELECT listing_id, residual FROM wres ORDER BY residual DESC, listing_id LIMIT 15)
+      UNION ALL
+      SELECT 'bottom', * FROM (SELECT listing_id, residual FROM wres ORDER BY residual, listing_id DESC LIMIT 15))
+SELECT side, CAST(ROW_NUMBER() OVER (PARTITION BY side ORDER BY residual DESC, listing_id) AS INTEGER) AS rank,
+       listing_id, {R('residual', 4)} AS residual FROM t"""
+
+
+@q("premium_pipeline")
+def _():
+    r2 = "CASE WHEN var_samp(actual) * (COUNT(*) - 1) > 0 THEN 1.0 - SUM(residual * residual) / (var_samp(actual) * (COUNT(*) - 1)) ELSE 0.0 END"
+    return f"""WITH {premium_ctes()},
+sc AS (SELECT l.doc_id AS listing_id, CAST(l.quality AS DOUBLE) AS quality, CAST(l.toxic AS DOUBLE) AS toxic,
+              CAST({WC('d.text')} AS DOUBLE) AS word_count, residual
+       FROM labels l JOIN documents d ON d.doc_id = l.doc_id JOIN wres ON wres.listing_id = l.doc_id),
+cr AS (SELECT 'quality' AS dimension, 0 AS o, corr(quality, residual) AS r, COUNT(quality) AS n FROM sc
+       UNION ALL SELECT 'toxic', 1, corr(toxic, residual), COUNT(toxic) FROM sc
+       UNION ALL SELECT 'word_count', 2, corr(word_count, residual), COUNT(word_count) FROM sc),
+ct AS (SELECT string_agg(dimension || '=' || printf('%.4f', c) || ' n=' || n, ';' ORDER BY abs(c) DESC, o) AS t
+       FROM (SELECT dimension, o, {R('CASE WHEN isnan(r) OR r IS NULL THEN 0.0 ELSE r END', 4)} AS c, n FROM cr WHERE n >= 3))
+SELECT 'all' AS zipcode, 'description_quality' AS analysis_type, {R(r2, 4)} AS regression_r_squared,
+       '{",".join(WIDE_FEATURES)}' AS regression_features_used, COUNT(*) AS num_properties_analyzed,
+       (SELECT COUNT(*) FROM sc) AS num_descriptions_scored, 'quality,toxic,word_count' AS score_dimensions,
+       COALESCE((SELECT t FROM ct), '') AS dimension_correlations, {RESID_STATS} FROM wres"""
+
+
+# ---------------------------------------------------------------- description scores
 SCORE_CTES = f"""
 sc AS (SELECT l.doc_id AS listing_id, CAST(l.quality AS DOUBLE) AS quality, CAST(l.toxic AS DOUBLE) AS toxic,
               CAST({WC('d.text')} AS DOUBLE) AS word_count
@@ -1229,14 +1289,19 @@ FROM ({B_REVIEWS}) r JOIN part p ON p.p_partkey = r.listing_id GROUP BY p.p_type
 
 @q("write_tier_stats")
 def _():
-    sql = SQL["tier_analysis"]
-    return sql.replace("25 AS top_percentile, 25 AS bottom_percentile, comparison_text",
-                       "25 AS top_percentile, 25 AS bottom_percentile")
+    return f"""WITH ta AS ({SQL["tier_analysis"]}),
+x AS (WITH {TIER_CTES}
+      SELECT p.metric, p.t AS amenity_comparison, n.t AS numeric_comparison FROM
+        (SELECT metric, string_agg(amenity || ':' || high_tier_pct || ':' || low_tier_pct || ':' || difference, ';' ORDER BY rank) AS t
+         FROM pvr GROUP BY metric) p JOIN
+        (SELECT metric, string_agg(attribute || ':' || high_tier_avg || ':' || low_tier_avg || ':' || difference, ';' ORDER BY attribute_pos) AS t
+         FROM nm GROUP BY metric) n USING (metric))
+SELECT 'all' AS zipcode, ta.* EXCLUDE (comparison_text), x.amenity_comparison, x.numeric_comparison FROM ta JOIN x USING (metric)"""
 
 
 @q("write_quality_stats")
 def _():
-    return SQL["premium_analysis"]
+    return SQL["premium_pipeline"]
 
 
 @q("render_report")

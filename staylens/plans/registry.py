@@ -320,6 +320,35 @@ def _premium_record(r2, st, p):
 SCORE_DIMS = ["quality", "toxic", "word_count"]
 
 
+def _premium(spark, sf):
+    """Pipeline D over the clean matrix: every numeric column is a feature (two of them are the same)."""
+    from staylens.plans.premium import premium_pipeline
+    matrix = tp.binding_matrix(spark, sf).drop("Abs_Occ_Rate", "Avail_Rate", "Occ_Rate_Based_on_Avail")
+    clean = mx.clean_matrix(mk.has_market_data_filter(matrix), min_days=100)
+    return premium_pipeline(clean, b.b_scores(spark, sf), SCORE_DIMS)
+
+
+def _flat_record(rec):
+    """The nested record as plain columns."""
+    corr = F.transform("dimension_correlations", lambda x: F.concat(
+        x["dimension"], F.lit("="), F.format_string("%.4f", x["correlation"]), F.lit(" n="), x["n"].cast("string")))
+    return rec.select("zipcode", "analysis_type", "regression_r_squared",
+                      F.array_join("regression_features_used", ",").alias("regression_features_used"),
+                      "num_properties_analyzed", "num_descriptions_scored",
+                      F.array_join("score_dimensions", ",").alias("score_dimensions"),
+                      F.array_join(corr, ";").alias("dimension_correlations"), "residual_stats.*")
+
+
+@q("premium_pipeline")
+def _(spark, sf):
+    return _flat_record(_premium(spark, sf)["record"])
+
+
+@q("premium_pipeline_lists")
+def _(spark, sf):
+    return _premium(spark, sf)["top_bottom"].select("side", "rank", "listing_id", fixed_round("residual", 4).alias("residual"))
+
+
 @q("dimension_correlation")
 def _(spark, sf):
     return pm.dimension_correlation(b.b_scores(spark, sf), b.b_residuals(spark, sf), dimensions=SCORE_DIMS) \
@@ -905,18 +934,25 @@ def _(spark, sf):
 @q("write_tier_stats")
 def _(spark, sf):
     path = scratch_path(spark, "tier-stats")
-    rep = tp.tier_report(_tiers(spark, sf), metric_columns=tp.BINDING_METRICS).drop("comparison_text")
-    sk.write_json_record(rep, path)
-    return spark.read.schema(rep.schema).json(path)
+    rec = tp.tier_record(_tiers(spark, sf), metric_columns=tp.BINDING_METRICS)
+    sk.write_json_record(rec, path)
+    back = spark.read.schema(rec.schema).json(path)
+
+    def text(col, name, hi, lo):
+        return F.array_join(F.transform(col, lambda x: F.concat_ws(
+            ":", x[name], x[hi].cast("string"), x[lo].cast("string"), x["difference"].cast("string"))), ";").alias(col)
+    return back.select("zipcode", "metric", "metric_column", "high_tier_threshold", "low_tier_threshold",
+                       "high_tier_count", "low_tier_count", "top_percentile", "bottom_percentile",
+                       text("amenity_comparison", "amenity", "high_tier_pct", "low_tier_pct"),
+                       text("numeric_comparison", "attribute", "high_tier_avg", "low_tier_avg"))
 
 
 @q("write_quality_stats")
 def _(spark, sf):
     path = scratch_path(spark, "quality-stats")
-    frame, model, res = _ols(spark, sf)
-    rec = _premium_record(pm.r_squared(res), pm.residual_stats(res), len(model.features))
+    rec = _premium(spark, sf)["record"]
     sk.write_json_record(rec, path)
-    return spark.read.schema(rec.schema).json(path)
+    return _flat_record(spark.read.schema(rec.schema).json(path))
 
 
 @q("render_report")

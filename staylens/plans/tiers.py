@@ -82,6 +82,23 @@ def tier_report(res: dict[str, DataFrame], top: int = 25, bottom: int = 25, by=N
                       "comparison_text")
 
 
+def tier_record(res: dict[str, DataFrame], area: str = "all", top: int = 25, bottom: int = 25,
+                metric_columns: Mapping[str, str] | None = None) -> DataFrame:
+    """The ``write_tier_stats`` record, one nested row per metric: thresholds,
+    counts, percentiles, and both comparisons in their rank order (at most the
+    number of amenities and numeric columns per row)."""
+    base = tier_report(res, top, bottom, metric_columns=metric_columns).drop("comparison_text")
+
+    def listed(df, order, name, *cols):
+        rows = df.groupBy("metric").agg(F.array_sort(F.collect_list(F.struct(order, *cols))).alias(name))
+        return rows.withColumn(name, F.transform(name, lambda x: F.struct(*[x[c].alias(c) for c in cols])))
+    diffs = "difference"
+    amen = listed(res["prevalence"], "rank", "amenity_comparison", "amenity", "high_tier_pct", "low_tier_pct", diffs)
+    nums = listed(res["numeric"], "attribute_pos", "numeric_comparison", "attribute", "high_tier_avg", "low_tier_avg", diffs)
+    return base.join(amen, "metric", "left").join(nums, "metric", "left").select(
+        F.lit(area).alias("zipcode"), *base.columns, "amenity_comparison", "numeric_comparison")
+
+
 def tier_report_markdown(report: DataFrame, area_label: str, metric_config=None) -> DataFrame:
     """One Markdown report per metric: title, area, both tier thresholds with
     counts, then the comparison block as the body (the model's insight text

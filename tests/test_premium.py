@@ -103,3 +103,37 @@ def test_ols_keeps_a_rare_flag_beside_a_large_scale(spark):
     model = pm.ols_fit(df, "y", ["x", "flag"])
     got = dict(zip(model.features, model.coefficients))
     assert abs(got["flag"] - 300) < 2 and abs(got["x"] - 0.002) < 1e-6
+
+
+def test_premium_pipeline_on_a_wide_matrix_with_dependent_columns(spark):
+    """70 features (three Gram tiles a side), among them a copy, a sum and a
+    constant: fit, correlations, lists and record against numpy."""
+    from staylens.plans.premium import premium_pipeline
+    rng = np.random.default_rng(8)
+    n, p = 300, 70
+    x = rng.normal(size=(n, p)) * 10.0 ** rng.integers(-2, 4, size=p)
+    x[:, 10], x[:, 40], x[:, 65] = x[:, 3], x[:, 5] + x[:, 60], 7.0
+    y = 500 + x[:, :20] @ (rng.normal(size=20) / 10.0 ** np.log10(np.abs(x[:, :20]).max(axis=0))) * 40 + rng.normal(size=n)
+    feats = [f"f{i}" for i in range(p)]
+    rows = [(i, float(y[i]), *map(float, x[i]), "text") for i in range(n)]
+    matrix = spark.createDataFrame(rows, "listing_id long, ADR double, " + ", ".join(f"{f} double" for f in feats) + ", note string")
+    score = [(i, float(rng.integers(1, 6)), None if i % 3 else float(i)) for i in range(0, n + 50, 2)]
+    out = premium_pipeline(matrix, spark.createDataFrame(score, "listing_id long, a double, b double"), ["a", "b"], "97067")
+    design = np.column_stack([np.ones(n), x / np.abs(x).max(axis=0)])
+    want = y - design @ np.linalg.lstsq(design, y, rcond=None)[0]
+    assert out["model"].rank == p - 3 and out["model"].features == feats
+    got = {r["listing_id"]: r["residual"] for r in out["residuals"].collect()}
+    assert np.allclose([got[i] for i in range(n)], want, atol=1e-6)
+    rec = out["record"].collect()[0]
+    assert rec["regression_features_used"] == feats and rec["zipcode"] == "97067"
+    assert rec["num_properties_analyzed"] == n and rec["num_descriptions_scored"] == n // 2
+    assert abs(rec["regression_r_squared"] - (1 - (want ** 2).sum() / ((y - y.mean()) ** 2).sum())) < 1e-4
+    pairs = {d: [(s[k], want[s[0]]) for s in score if s[0] < n and s[k] is not None] for d, k in (("a", 1), ("b", 2))}
+    corr = {c["dimension"]: (c["correlation"], c["n"]) for c in rec["dimension_correlations"]}
+    for d, xy in pairs.items():
+        assert corr[d][1] == len(xy) and abs(corr[d][0] - np.corrcoef(np.array(xy).T)[0, 1]) < 1e-4
+    assert [abs(c["correlation"]) for c in rec["dimension_correlations"]] == sorted((abs(c) for c, _ in corr.values()), reverse=True)
+    top = [r["listing_id"] for r in sorted(out["top_bottom"].collect(), key=lambda r: r["rank"]) if r["side"] == "top"]
+    assert top == np.argsort(-want)[:15].tolist()
+    few = premium_pipeline(matrix.limit(20), spark.createDataFrame(score, "listing_id long, a double, b double"), ["a", "b"])
+    assert not few["model"].ok and few["record"].count() == 0 and few["top_bottom"].count() == 0
