@@ -2,9 +2,8 @@
 
 Plan shape (per call, whatever the data size):
 
-1. ``tier_thresholds``: one aggregate pass computing the exact
-   linear-interpolated quantiles of every metric with ``percentile`` (a
-   value -> count map per group, partial maps merged after the map side).
+1. ``tier_thresholds``: exact linear-interpolated quantiles of every group and
+   metric by repeated histogram refinement; memory is the bin count.
 2. ``tier_assign``: thresholds are attached as literals (global) or through a
    join on the grouping keys (one row per group and metric), then each row is
    exploded into the tiers it belongs to -- inclusive on both sides, so a row
@@ -76,47 +75,71 @@ def tier_thresholds(df: DataFrame, metrics: Mapping[str, str], top: int = 25, bo
     valid rows produce no row.
 
     ``metrics`` maps metric key -> column.  One scan handles every metric: the
-    columns are unpivoted before the aggregate, which merges value -> count
-    maps (one entry per distinct value).
+    columns are unpivoted and the numbers written once (:func:`exact_quantiles`).
     """
     keys = _keys(by)
     long = _metric_long(df, metrics, keys)
-    hi_p, lo_p = 1 - top / 100.0, bottom / 100.0
-    agg = long.groupBy(*keys, "metric").agg(
-        F.percentile("value", F.array(F.lit(hi_p), F.lit(lo_p))).alias("q"),
-        F.count(F.lit(1)).alias("n_valid"))
-    return agg.where(F.col("n_valid") >= MIN_VALID_ROWS).select(
-        *keys, "metric",
-        F.col("q")[0].alias("high_threshold"), F.col("q")[1].alias("low_threshold"), "n_valid")
+    q = exact_quantiles(long, [*keys, "metric"], "value", [1 - top / 100.0, bottom / 100.0])
+    return q.where(F.col("n") >= MIN_VALID_ROWS).select(
+        *keys, "metric", F.col("q0").alias("high_threshold"), F.col("q1").alias("low_threshold"), F.col("n").alias("n_valid"))
 
 
-def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
-    """Linear-interpolated quantiles per group from ranks, with no per-group task.
+BINS = 1024     # counters per range and round
+RANKED = 10_000  # a range of at most so many values is ranked as it is
+
 
-    Rows are numbered inside each group in value order over range partitions
-    (``global_positions``); only the rows at ranks floor / ceil of
-    ``p * (n - 1)`` are kept (two per probability and group) and combined.
-    Returns ``group.., n, q0, q1, ...``.
+def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """Linear-interpolated quantiles per group, exact, without a per-group task.
+
+    Each probability needs the values at two ranks.  A rank's range starts as
+    its group's [min, max]; while a range holds more than ``RANKED`` values, one
+    pass counts the values of every such range of all groups in ``BINS`` bins
+    (count, min and max per bin, combined on the map side) and the bin with the
+    rank becomes its range.  Ranges always shrink, because the largest value has
+    a bin of its own.  What is left is ranked, at most ``RANKED`` values per
+    range.  NULL and NaN values take no part.  Returns ``group.., n, q0, q1, ...``.
     """
-    from staylens.operators.packing_dist import global_positions
-    g = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in group])
-    base = df.select(*group, F.col(value).cast("double").alias("_v")).withColumn("_g", g)
-    pos = global_positions(base, "_g", ["_v"])
-    n = pos.groupBy("_g").agg(F.count(F.lit(1)).alias("n"))
-    j = pos.join(n, "_g")
-    keep = F.lit(False)
-    aggs = []
+    from staylens.plans.common import written
+    g = F.to_json(F.struct(*group)) if group else F.lit("")
+    values = written(df.select(*group, g.alias("_g"), F.col(value).cast("double").alias("_v"))
+                     .where(F.col("_v").isNotNull() & ~F.isnan("_v")), "quantile-values")
+    stats = values.groupBy("_g", *group).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    places = []
+    for k, p in enumerate(probs):
+        r = F.lit(float(p)) * (F.col("n") - 1)
+        places += [F.struct(F.lit(2 * k).alias("k"), F.floor(r).alias("rank")),
+                   F.struct(F.lit(2 * k + 1).alias("k"), F.ceil(r).alias("rank"))]
+    ranks = written(stats.select("_g", *group, "n", "lo", "hi", F.lit(0).cast("long").alias("before"),
+                                 F.col("n").alias("size"), F.inline(F.array(*places))), "quantile-ranks")
+    wide = (F.col("size") > RANKED) & (F.col("lo") < F.col("hi"))
+    values = values.select("_g", "_v")
+    while ranks.where(wide).limit(1).count():
+        inside = values.join(ranks.where(wide).select("_g", "lo", "hi").distinct(), "_g").where(
+            F.col("_v").between(F.col("lo"), F.col("hi")))
+        at = F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * (BINS - 1))
+        at = F.when(F.col("_v") >= F.col("hi"), F.lit(BINS - 1)).otherwise(F.greatest(F.lit(0), F.least(F.lit(BINS - 2), at)))
+        bins = inside.groupBy("_g", "lo", "hi", at.alias("bin")).agg(
+            F.count(F.lit(1)).alias("c"), F.min("_v").alias("a"), F.max("_v").alias("z"))
+        below = Window.partitionBy("_g", "lo", "hi").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        bins = bins.withColumn("under", F.coalesce(F.sum("c").over(below), F.lit(0)))
+        place = F.col("rank") - F.col("before") - F.col("under")
+        found = ranks.where(wide).join(bins, ["_g", "lo", "hi"]).where((place >= 0) & (place < F.col("c")))
+        ranks = written(found.select("_g", *group, "n", F.col("a").alias("lo"), F.col("z").alias("hi"),
+                                     (F.col("before") + F.col("under")).alias("before"), F.col("c").alias("size"), "k", "rank")
+                        .unionByName(ranks.where(~wide)), "quantile-ranks")
+    ranges = ranks.where("lo < hi").select("_g", "lo", "hi", "before").distinct()
+    order = Window.partitionBy("_g", "lo", "hi").orderBy("_v")
+    ranked = values.join(ranges, "_g").where(F.col("_v").between(F.col("lo"), F.col("hi"))).withColumn(
+        "rank", F.col("before") + F.row_number().over(order) - 1).select("_g", "lo", "hi", "rank", "_v")
+    picked = ranks.join(ranked, ["_g", "lo", "hi", "rank"], "left").withColumn("_v", F.coalesce("_v", "lo"))
+    out = picked.groupBy("_g", *group, "n").agg(*[F.max(F.when(F.col("k") == k, F.col("_v"))).alias(f"v{k}")
+                                                  for k in range(2 * len(probs))])
+    qs = []
     for k, p in enumerate(probs):
         r = F.lit(float(p)) * (F.col("n") - 1)
-        lo_i, hi_i = F.floor(r), F.ceil(r)
-        keep = keep | (F.col("gidx") == lo_i) | (F.col("gidx") == hi_i)
-        aggs += [F.max(F.when(F.col("gidx") == lo_i, F.col("_v"))).alias(f"_lo{k}"),
-                 F.max(F.when(F.col("gidx") == hi_i, F.col("_v"))).alias(f"_hi{k}"),
-                 F.first(r - lo_i).alias(f"_f{k}")]
-    sel = j.where(keep).groupBy("_g", *group, "n").agg(*aggs)
-    outs = [(F.col(f"_lo{k}") + (F.col(f"_hi{k}") - F.col(f"_lo{k}")) * F.col(f"_f{k}")).alias(f"q{k}")
-            for k in range(len(probs))]
-    return sel.select(*group, "n", *outs)
+        lo, hi = F.col(f"v{2 * k}"), F.col(f"v{2 * k + 1}")
+        qs.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (r - F.floor(r))).alias(f"q{k}"))
+    return out.select(*group, "n", *qs)
 
 
 def _metric_long(df: DataFrame, metrics: Mapping[str, str], keys: list[str],

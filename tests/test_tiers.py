@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from staylens.operators import tiers as tr
 
 
@@ -65,19 +67,28 @@ def test_numeric_stats_coerce_and_zero_when_all_null(spark):
     assert (out["beds"]["high_tier_avg"], out["beds"]["low_tier_avg"]) == (0.0, 0.0)
 
 
-def test_rank_quantiles_equal_percentile(spark):
-    import random
-    rnd = random.Random(7)
-    rows = [(rnd.choice("xyz"), f"l{i}", round(rnd.uniform(1, 500), 2)) for i in range(400)]
-    rows += [("w", "w1", 5.0), ("w", "w2", 6.0)]  # a group below four rows
-    df = spark.createDataFrame(rows, "area string, listing_id string, v double")
-    a = {r["area"]: r for r in tr.tier_thresholds(df, {"m": "v"}, by="area").collect()}
-    b = {r["area"]: r for r in tr.exact_quantiles(df, ["area"], "v", [0.75, 0.25]).collect()}
-    assert set(a) == {"x", "y", "z"}
-    for k in a:
-        assert abs(a[k]["high_threshold"] - b[k]["q0"]) < 1e-9
-        assert abs(a[k]["low_threshold"] - b[k]["q1"]) < 1e-9
-        assert a[k]["n_valid"] == b[k]["n"]
+def test_quantiles_by_refinement(spark, monkeypatch):
+    """Several rounds of few bins against numpy: skewed, tied, huge and far
+    smaller values, a null group, a hot group with a third of the rows."""
+    import numpy as np
+    rng = np.random.default_rng(7)
+    data = {"hot": rng.lognormal(0, 3, 900), "ties": rng.integers(1, 4, 400).astype(float), "one": np.full(300, 2.5),
+            "wide": np.concatenate([[1e-300, 1e300, np.inf], rng.uniform(0, 1, 200)]), None: rng.normal(0, 1, 300), "few": np.array([5.0, 6.0])}
+    rows = [(k, float(v)) for k, vs in data.items() for v in vs] + [("few", None), ("few", float("nan"))]
+    df = spark.createDataFrame(rows, "area string, v double")
+    for bins, ranked in ((4, 3), (1024, 100), (1024, 10_000)):
+        monkeypatch.setattr(tr, "BINS", bins)
+        monkeypatch.setattr(tr, "RANKED", ranked)
+        got = {r["area"]: r for r in tr.exact_quantiles(df, ["area"], "v", [0.75, 0.25, 1.0]).collect()}
+        assert set(got) == set(data)
+        for k, vs in data.items():
+            assert got[k]["n"] == len(vs)
+            want = [np.quantile(vs, p) for p in (0.75, 0.25)] + [vs.max()]
+            assert np.allclose([got[k][f"q{i}"] for i in range(3)], want, rtol=1e-12)
+        assert tr.exact_quantiles(df.where("false"), ["area"], "v", [0.5]).count() == 0
+    assert tr.exact_quantiles(df.where("area = 'hot'"), [], "v", [0.5]).collect()[0]["q0"] == np.quantile(data["hot"], 0.5)
+    th = {r["area"] for r in tr.tier_thresholds(df.withColumn("listing_id", F.lit(1)), {"m": "v"}, by="area").collect()}
+    assert th == {"hot", "ties", "one", "wide", None}   # fewer than four valid rows: no thresholds
 
 
 from hypothesis import given, settings  # noqa: E402
@@ -89,7 +100,7 @@ from hypothesis import strategies as st  # noqa: E402
 def test_rank_quantiles_with_ties_match_numpy(spark, vals):
     import numpy as np
     df = spark.createDataFrame([(f"l{i}", float(v)) for i, v in enumerate(vals)], "listing_id string, v double")
-    q = tr.exact_quantiles(df.withColumn("g", tr.F.lit("a")), ["g"], "v", [0.75, 0.25]).collect()[0]
+    q = tr.exact_quantiles(df.withColumn("g", F.lit("a")), ["g"], "v", [0.75, 0.25]).collect()[0]
     assert abs(q["q0"] - np.quantile(vals, 0.75)) < 1e-9 and abs(q["q1"] - np.quantile(vals, 0.25)) < 1e-9
 
 
