@@ -76,13 +76,27 @@ def with_combined_review(reviews: DataFrame, rating: str = "rating", review: str
     return reviews.withColumn(out, combined_review(rating, review))
 
 
-def normalize_reviews(raw: DataFrame, key: str = "listing_id") -> DataFrame:
+def record_field(record, name: str, cast: str, default) -> F.Column:
+    """Field of a VARIANT record: ``default`` where the record lacks the key,
+    NULL where the key holds an explicit null."""
+    v = F.try_variant_get(record, f"$.{name}", "variant")
+    return F.when(v.isNull(), F.lit(default).cast(cast)).when(~F.is_variant_null(v), F.try_variant_get(record, f"$.{name}", cast))
+
+
+def normalize_reviews(raw: DataFrame, key: str = "listing_id", record: str = "record") -> DataFrame:
     """Raw review records -> ``key, review, rating``.
 
-    ``comments`` becomes ``review``; an absent text defaults to '' and an
-    absent rating to 0, while an explicit JSON null stays NULL.  Listings with
-    no reviews produce no rows (the exploded array is empty).
+    With a VARIANT column ``record`` each record is judged by its own keys:
+    ``comments`` becomes ``review``; an absent text gives '' and an absent rating
+    0, while an explicit null stays NULL.  Other columns are kept.  A frame that
+    has the fields as columns cannot tell the two apart: a column it lacks gives
+    the default, NULL in one it has stays NULL.  Listings with no reviews
+    produce no rows (the exploded array is empty).
     """
+    if record in raw.columns:
+        rest = [c for c in raw.columns if c not in (key, record, "review", "rating")]
+        return raw.select(key, *rest, record_field(F.col(record), "comments", "string", "").alias("review"),
+                          record_field(F.col(record), "rating", "double", 0).alias("rating"))
     cols = set(raw.columns)
     review = F.col("comments") if "comments" in cols else F.col("review") if "review" in cols else F.lit("")
     rating = F.col("rating") if "rating" in cols else F.lit(0)

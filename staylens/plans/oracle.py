@@ -1330,7 +1330,25 @@ WHERE recency <= 100"""
 
 @q("normalize_reviews")
 def _():
-    return f"SELECT listing_id, COUNT(*) AS n, CAST(SUM(length(review)) AS BIGINT) AS review_chars FROM ({B_REVIEWS}) GROUP BY listing_id"
+    k = "(l_orderkey + l_linenumber)"
+    return f"""SELECT listing_id, l_orderkey, l_linenumber,
+       CASE WHEN {k} % 5 = 0 THEN '' WHEN {k} % 7 = 0 THEN NULL ELSE review END AS review,
+       CASE WHEN {k} % 3 = 0 THEN 0.0 ELSE CAST(rating AS DOUBLE) END AS rating FROM ({B_REVIEWS})"""
+
+
+@q("read_reviews")
+def _():
+    return f"""WITH r AS (SELECT *, strftime(CAST(l_shipdate AS DATE), '%Y-%m') AS file FROM ({B_REVIEWS})),
+w AS (SELECT *, MAX(file) OVER (PARTITION BY listing_id) AS last FROM r)
+SELECT CAST(listing_id AS VARCHAR) AS listing_id,
+       CAST(ROW_NUMBER() OVER (PARTITION BY listing_id ORDER BY {ORDER_ALL}) - 1 AS INTEGER) AS pos,
+       review, CAST(rating AS DOUBLE) AS rating FROM w WHERE file = last"""
+
+
+@q("missing_file")
+def _():
+    names = ["search_results", "listing_details", "market_metrics", "reviews", "summaries", "descriptions", "matrix"]
+    return " UNION ALL ".join(f"SELECT '{n}' AS source, true AS has_key, CAST(0 AS BIGINT) AS rows" for n in names)
 
 
 @q("select_numeric_features")

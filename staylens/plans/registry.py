@@ -974,10 +974,33 @@ def _(spark, sf):
 
 @q("normalize_reviews")
 def _(spark, sf):
-    raw = b.b_reviews(spark, sf).select("listing_id", F.col("review").alias("comments"), "rating", "l_orderkey",
-                                        "l_linenumber")
-    return rv.normalize_reviews(raw).groupBy("listing_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("review")).alias("review_chars"))
+    return rv.normalize_reviews(b.b_review_records(spark, sf)).select(
+        "listing_id", "l_orderkey", "l_linenumber", "review", "rating")
+
+
+@q("read_reviews")
+def _(spark, sf):
+    path = scratch_path(spark, "review-documents")
+    b.b_review_documents(spark, sf).write.partitionBy("file").text(path)
+    return fl.read_reviews(spark, path, glob=None, wholetext=False).select("listing_id", "pos", "review", "rating")
+
+
+@q("missing_file")
+def _(spark, sf):
+    """Every reader over a path that does not exist: empty, with its columns."""
+    path = scratch_path(spark, "nothing")
+    readers = {"search_results": fl.read_search_results, "listing_details": fl.read_listing_details,
+               "market_metrics": fl.read_market_metrics, "reviews": fl.read_reviews, "summaries": fl.read_summaries,
+               "descriptions": fl.read_descriptions, "matrix": fl.read_matrix}
+    regions = table(spark, sf, "region")
+    out = None
+    for name, read in readers.items():
+        got = read(spark, path)
+        n = regions.select(F.lit(name).alias("source"), F.lit("listing_id" in got.columns).alias("has_key")) \
+            .join(got.select(F.lit(name).alias("source"), F.lit(1).alias("row")), "source", "left") \
+            .groupBy("source", "has_key").agg(F.count("row").alias("rows"))
+        out = n if out is None else out.unionByName(n)
+    return out
 
 
 @q("select_numeric_features")

@@ -32,6 +32,30 @@ def b_reviews(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def b_review_records(spark: SparkSession, sf: str) -> DataFrame:
+    """listing_id, record (VARIANT) of every line: some records lack ``comments``
+    or ``rating``, some hold an explicit null."""
+    r = b_reviews(spark, sf)
+    k = F.col("l_orderkey") + F.col("l_linenumber")
+    comments = F.when(k % 5 == 0, F.lit(None)).when(k % 7 == 0, F.lit('"comments":null')) \
+        .otherwise(F.concat(F.lit('"comments":"'), F.col("review"), F.lit('"')))
+    rating = F.when(k % 3 == 0, F.lit(None)).otherwise(
+        F.concat(F.lit('"rating":'), F.coalesce(F.col("rating").cast("string"), F.lit("null"))))
+    doc = F.concat(F.lit("{"), F.concat_ws(",", comments, rating), F.lit("}"))
+    return r.select("listing_id", *LINEITEM_ORDER, F.parse_json(doc).alias("record"))
+
+
+def b_review_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """file, value: one JSON document ``{listing: [reviews]}`` per listing and
+    month of the ship date, the month naming the file."""
+    r = b_reviews(spark, sf).withColumn("file", F.date_format("l_shipdate", "yyyy-MM"))
+    per = r.groupBy("file", "listing_id").agg(F.array_sort(F.collect_list(
+        F.struct(*LINEITEM_ORDER, "review", F.col("rating").cast("double").alias("rating")))).alias("rows"))
+    items = F.transform("rows", lambda x: F.struct(x["review"].alias("review"), x["rating"].alias("rating")))
+    doc = F.to_json(F.create_map(F.col("listing_id").cast("string"), items), {"ignoreNullFields": "false"})
+    return per.select("file", doc.alias("value"))
+
+
 def b_market(spark: SparkSession, sf: str) -> DataFrame:
     """Per-listing market metrics (ADR, Occupancy, Revenue, Days_Available)."""
     li = table(spark, sf, "lineitem")

@@ -133,17 +133,24 @@ def read_reviews(spark: SparkSession, path: str, glob: str | None = "reviews_*.j
                  wholetext: bool = True) -> DataFrame:
     """``{id: [{review|comments, rating}]}`` documents -> one row per review:
     ``file, listing_id, pos, review, rating``.  A listing appearing in several
-    files keeps the last file's list (dict update order = file name order)."""
-    from staylens.operators.market import latest_wins
+    files keeps the last file's list (dict update order = file path order).
+
+    Documents are unnested as VARIANT, so records of any shape are read; which
+    file wins is decided on (listing, path) alone, and the reviews of the other
+    files are dropped by a semi join before they are unnested."""
     if not _exists(path):
         return _empty(spark, "file string, listing_id string, pos int, review string, rating double")
     docs = _json_docs(spark, path, glob, wholetext)
-    per = docs.select("file", F.explode(F.from_json("doc", f"map<string,{REVIEW_ARRAY}>")).alias("listing_id", "rv"))
-    per = latest_wins(per, "listing_id", ["file"])
-    rows = per.select("file", "listing_id", F.posexplode("rv").alias("pos", "r"))
+    per = docs.select("file", "path", F.explode(F.from_json("doc", "map<string,variant>")).alias("listing_id", "rv"))
+    last = per.groupBy("listing_id").agg(F.max("path").alias("path"))
+    records = F.coalesce(F.try_variant_get("rv", "$", "array<variant>"), F.array().cast("array<variant>"))
+    rows = per.join(last, ["listing_id", "path"], "left_semi").select("file", "listing_id", F.posexplode(records).alias("pos", "r"))
+
+    def field(name, cast):
+        return F.try_variant_get("r", f"$.{name}", cast)
     return rows.select("file", "listing_id", F.col("pos").cast("int"),
-                       F.coalesce(F.col("r.review"), F.col("r.comments")).alias("review"),
-                       F.col("r.rating").alias("rating"))
+                       F.coalesce(field("review", "string"), field("comments", "string")).alias("review"),
+                       field("rating", "double").alias("rating"))
 
 
 def read_summaries(spark: SparkSession, path: str, area: str | None = None, glob: str | None = None,

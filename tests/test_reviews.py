@@ -52,6 +52,15 @@ def test_normalize_reviews_defaults(spark):
     assert out[0]["review"] == "nice" and out[1]["review"] is None and out[1]["rating"] is None
 
 
+def test_normalize_reviews_by_each_records_keys(spark):
+    docs = ['{"comments":"nice","rating":5}', '{}', '{"comments":null,"rating":null}', '{"rating":4.5}', '{"comments":""}',
+            '{"comments":7,"rating":"x"}', 'null']
+    raw = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "listing_id int, doc string").select(
+        "listing_id", F.parse_json("doc").alias("record"))
+    out = [(r["review"], r["rating"]) for r in rv.normalize_reviews(raw).orderBy("listing_id").collect()]
+    assert out == [("nice", 5.0), ("", 0.0), (None, None), ("", 4.5), ("", 0.0), ("7", None), ("", 0.0)]
+
+
 def test_review_pack_overall_mean_global_or_by_area(spark):
     from staylens.plans import reviews as rp
     data = [("a", i, 5.0, "great") for i in range(5)] + [("b", i, 3.0, "ok") for i in range(5)]
