@@ -738,11 +738,10 @@ FROM per2"""
 from staylens.operators.packing import MERGE_HEAD, MERGE_TAIL  # noqa: E402
 
 
-@q("merge_prompt")
-def _():
-    return f"""WITH p AS (SELECT conv_id AS listing_id, turn AS chunk_no, text AS summary,
-                  CAST(FLOOR((turn - 1) / 50) AS BIGINT) AS merge_group FROM conversations
-           WHERE role = 'assistant' AND text IS NOT NULL AND length(text) > 0),
+def merge_sql(group: str) -> str:
+    return f"""WITH p AS (SELECT conv_id || '/' || role AS listing_id, turn AS chunk_no, text AS summary,
+                  CAST({group} AS BIGINT) AS merge_group FROM conversations
+           WHERE text IS NOT NULL AND length(text) > 0),
 g AS (SELECT listing_id, merge_group, COUNT(*) AS n_parts, MIN(summary) AS only_one,
              string_agg(printf(chr(10) || '--- Analysis %d ---' || chr(10) || '%s' || chr(10), rn, summary), ''
                         ORDER BY chunk_no) AS body
@@ -756,6 +755,16 @@ SELECT listing_id, merge_group, n_groups, n_parts, n_groups = 1 AS final,
 FROM g JOIN ng USING (listing_id)"""
 
 
+@q("merge_prompt")
+def _():
+    return merge_sql("0")
+
+
+@q("merge_prompt_groups")
+def _():
+    return merge_sql("FLOOR((turn - 1) / 3)")
+
+
 # ---------------------------------------------------------------- costs
 B_REQUESTS = """
   SELECT conv_id % 10 AS session, conv_id AS listing_id, turn, prompt, text AS response,
@@ -857,25 +866,84 @@ def _():
 def _():
     return f"""SELECT stage, COUNT(*) AS expected, CAST(SUM(CASE WHEN f.listing_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS fresh_outputs,
        COUNT(*) > 0 AND bool_and(f.listing_id IS NOT NULL) AS stage_fresh
-FROM ({EXPECTED}) e LEFT JOIN ({FRESH_MANIFEST}) f USING (stage, listing_id) GROUP BY stage"""
+FROM ({EXPECTED}) e LEFT JOIN ({FRESH_MANIFEST}) f USING (stage, listing_id) GROUP BY stage
+UNION ALL SELECT 'report', 0, 0, false"""
+
+
+RULE_AREAS = "SELECT CAST(n_nationkey AS VARCHAR) AS area FROM nation UNION ALL SELECT 'empty'"
+RULE_LISTINGS = "SELECT CAST(c_nationkey AS VARCHAR) AS area, c_custkey AS k FROM customer"
+AREA_OUTPUTS = [
+    ("search_results", ["'search_results_' || area || '.json'"]),
+    ("details_results", ["'property_amenities_matrix_' || area || '.csv'", "'property_amenities_matrix_cleaned_' || area || '.csv'",
+                         "'house_rules_details_' || area || '.json'", "'property_descriptions_' || area || '.json'",
+                         "'neighborhood_highlights_' || area || '.json'"]),
+    ("area_summary", ["'area_summary_' || area || '.md'"]),
+    ("correlation_results", [f"'correlation_{k}_{m}_' || area || '.{e}'" for m in ("adr", "occupancy")
+                             for k, e in (("stats", "json"), ("insights", "md"))]),
+    ("description_analysis", ["'description_quality_stats_' || area || '.json'", "'description_quality_' || area || '.md'"]),
+]
+LISTING_OUTPUTS = [("comp_sets", "'listing_' || k || '.json'"), ("reviews_scrape", "'reviews_' || area || '_' || k || '.json'"),
+                   ("details_scrape", "'property_details_' || k || '.json'")]
+SUMMARY_OUTPUT = "'listing_summary_' || area || '_' || k || '.json'"
+RULE_EXPECTED = " UNION ALL ".join(
+    [f"SELECT '{s}' AS stage, area, CAST(NULL AS VARCHAR) AS listing_id, {o} AS output FROM ({RULE_AREAS})"
+     for s, outs in AREA_OUTPUTS for o in outs]
+    + [f"SELECT DISTINCT 'comp_sets', area, CAST(NULL AS VARCHAR), 'comp_set_' || area || '.json' FROM ({RULE_LISTINGS})"]
+    + [f"SELECT '{s}', area, CAST(k AS VARCHAR), {o} FROM ({RULE_LISTINGS})" for s, o in LISTING_OUTPUTS]
+    + [f"SELECT 'listing_summaries', area, CAST(k AS VARCHAR), {SUMMARY_OUTPUT} FROM ({RULE_LISTINGS}) "
+       "WHERE k IN (SELECT user_id FROM events)"])
+_SEEN = f"(SELECT m.stage AS kind, m.mtime, l.area, l.k FROM ({B_MANIFEST}) m JOIN ({RULE_LISTINGS}) l ON l.k = m.listing_id)"
+RULE_MANIFEST = " UNION ALL ".join(
+    [f"SELECT '{s}' AS stage, {o} AS output, mtime FROM {_SEEN} WHERE kind = '{e}'" for s, o, e in [
+        ("comp_sets", LISTING_OUTPUTS[0][1], "signup"), ("reviews_scrape", LISTING_OUTPUTS[1][1], "view"),
+        ("details_scrape", LISTING_OUTPUTS[2][1], "click"), ("listing_summaries", SUMMARY_OUTPUT, "purchase")]]
+    + [f"SELECT '{s}', {o}, MAX(mtime) FROM {_SEEN} WHERE kind = '{e}' GROUP BY area" for s, o, e in [
+        ("search_results", "'search_results_' || area || '.json'", "view"), ("comp_sets", "'comp_set_' || area || '.json'", "signup"),
+        ("area_summary", "'area_summary_' || area || '.md'", "error")]])
+RULE_FRESH = f"(SELECT DISTINCT stage, output FROM ({RULE_MANIFEST}) WHERE {FRESH})"
+
+
+@q("expected_outputs_by_rule")
+def _():
+    return RULE_EXPECTED
+
+
+@q("missing_outputs_by_rule")
+def _():
+    return f"SELECT e.* FROM ({RULE_EXPECTED}) e ANTI JOIN {RULE_FRESH} f USING (stage, output)"
+
+
+@q("stage_freshness_by_area")
+def _():
+    stages = ", ".join(f"'{s}'" for s in ["comp_sets", "reviews_scrape", "details_scrape", "listing_summaries"]
+                       + [s for s, _ in AREA_OUTPUTS])
+    return f"""WITH g AS (SELECT a.area, s.stage FROM ({RULE_AREAS}) a, (SELECT unnest([{stages}]) AS stage) s),
+e AS (SELECT e.stage, e.area, COUNT(*) AS n, COUNT(f.output) AS fr
+      FROM ({RULE_EXPECTED}) e LEFT JOIN {RULE_FRESH} f ON f.stage = e.stage AND f.output = e.output GROUP BY e.stage, e.area)
+SELECT g.stage, g.area, COALESCE(n, 0) AS expected, COALESCE(fr, 0) AS fresh_outputs,
+       COALESCE(n > 0 AND fr = n, false) AS stage_fresh
+FROM g LEFT JOIN e ON e.stage = g.stage AND e.area = g.area"""
+
+
+_STAGE_LIST = "(SELECT unnest([" + ", ".join(f"'{s}'" for s in STAGES) + "]) AS stage) s"
 
 
 @q("unprocessed_or_stale")
 def _():
-    return f"""SELECT event_id, user_id AS listing_id FROM events
-WHERE user_id NOT IN (SELECT listing_id FROM ({FRESH_MANIFEST}) WHERE stage = 'purchase')"""
+    return f"""SELECT s.stage, event_id, user_id AS listing_id FROM events, {_STAGE_LIST}
+WHERE NOT EXISTS (SELECT 1 FROM ({FRESH_MANIFEST}) f WHERE f.stage = s.stage AND f.listing_id = user_id)"""
 
 
 @q("resolved_prescan")
 def _():
-    return f"""SELECT c_custkey AS listing_id FROM customer
-WHERE c_custkey IN (SELECT listing_id FROM ({B_MANIFEST}) WHERE stage = 'view')"""
+    return f"""SELECT s.stage, c_custkey AS listing_id FROM customer, {_STAGE_LIST}
+WHERE EXISTS (SELECT 1 FROM ({B_MANIFEST}) m WHERE m.stage = s.stage AND m.listing_id = c_custkey)"""
 
 
 @q("id_difference")
 def _():
-    return f"""SELECT c_custkey AS listing_id FROM customer
-WHERE c_custkey NOT IN (SELECT listing_id FROM ({B_MANIFEST}) WHERE stage = 'view')"""
+    return f"""SELECT s.stage, c_custkey AS listing_id FROM customer, {_STAGE_LIST}
+WHERE NOT EXISTS (SELECT 1 FROM ({B_MANIFEST}) m WHERE m.stage = s.stage AND m.listing_id = c_custkey)"""
 
 
 @q("coverage_gate")

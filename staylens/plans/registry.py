@@ -503,12 +503,22 @@ def _(spark, sf):
     return pk.chunk_prompt(ch, BASE_PROMPT, prompt_tokens=pt, limit=TIGHT_LIMIT)
 
 
+def _partials(spark, sf):
+    """All turns; each conversation's turns of a role are the partial analyses of one listing."""
+    return table(spark, sf, "conversations").select(
+        F.concat_ws("/", F.col("conv_id").cast("string"), "role").alias("listing_id"), F.col("turn").alias("chunk_no"),
+        F.col("text").alias("summary"))
+
+
 @q("merge_prompt")
 def _(spark, sf):
-    c = table(spark, sf, "conversations").where(F.col("role") == "assistant")
-    parts = c.select(F.col("conv_id").alias("listing_id"), F.col("turn").alias("chunk_no"),
-                     F.col("text").alias("summary"))
-    return pk.merge_prompt(parts, BASE_PROMPT)
+    return pk.merge_prompt(_partials(spark, sf), BASE_PROMPT)
+
+
+@q("merge_prompt_groups")
+def _(spark, sf):
+    """At most three consecutive chunks per request."""
+    return pk.merge_prompt(_partials(spark, sf), BASE_PROMPT, max_parts=3)
 
 
 # ---------------------------------------------------------------- costs
@@ -586,32 +596,59 @@ def _(spark, sf):
 
 @q("stage_freshness")
 def _(spark, sf):
+    """Also asks for a stage that has no expected output: it is not fresh."""
     exp = fr.expected_outputs(_users(spark, sf), STAGES)
-    return fr.stage_freshness(exp, b.b_manifest(spark, sf), AS_OF, TTL_HOURS)
+    groups = table(spark, sf, "region").select(F.explode(F.array(*[F.lit(s) for s in [*STAGES, "report"]])).alias("stage"))
+    return fr.stage_freshness(exp, b.b_manifest(spark, sf), AS_OF, TTL_HOURS, groups=groups)
+
+
+def _by_rule(spark, sf):
+    return fr.expected_by_rule(b.b_stage_areas(spark, sf), b.b_stage_sources(spark, sf))
+
+
+@q("expected_outputs_by_rule")
+def _(spark, sf):
+    return _by_rule(spark, sf)
+
+
+@q("missing_outputs_by_rule")
+def _(spark, sf):
+    return fr.missing_outputs(_by_rule(spark, sf), b.b_stage_manifest(spark, sf), AS_OF, TTL_HOURS, key="output") \
+        .select("stage", "area", "listing_id", "output")
+
+
+@q("stage_freshness_by_area")
+def _(spark, sf):
+    """Every stage of every area, also of the one where no listing was found."""
+    groups = b.b_stage_areas(spark, sf).select("area", F.explode(F.array(*[F.lit(s) for s in fr.STAGES])).alias("stage"))
+    return fr.stage_freshness(_by_rule(spark, sf), b.b_stage_manifest(spark, sf), AS_OF, TTL_HOURS, key="output", groups=groups) \
+        .select("stage", "area", "expected", "fresh_outputs", "stage_fresh")
+
+
+def _per_stage(df, *cols):
+    return df.select(F.explode(F.array(*[F.lit(s) for s in STAGES])).alias("stage"), *cols)
 
 
 @q("unprocessed_or_stale")
 def _(spark, sf):
     ev = table(spark, sf, "events").select("event_id", F.col("user_id").alias("listing_id"))
-    out = b.b_manifest(spark, sf).where(F.col("stage") == "purchase")
-    return fr.unprocessed_or_stale(ev, out, AS_OF, TTL_HOURS)
+    return fr.unprocessed_or_stale(_per_stage(ev, "event_id", "listing_id"), b.b_manifest(spark, sf), AS_OF, TTL_HOURS,
+                                   key=["stage", "listing_id"]).select("stage", "event_id", "listing_id")
 
 
 def _listing_universe(spark, sf):
-    """Every listing id the area has (customers), of which event users have outputs."""
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("listing_id"))
+    """Every listing id the area has (customers), once per stage; event users have outputs."""
+    return _per_stage(table(spark, sf, "customer"), F.col("c_custkey").alias("listing_id"))
 
 
 @q("resolved_prescan")
 def _(spark, sf):
-    done = b.b_manifest(spark, sf).where(F.col("stage") == "view")
-    return fr.resolved_prescan(_listing_universe(spark, sf), done)
+    return fr.resolved_prescan(_listing_universe(spark, sf), b.b_manifest(spark, sf), ["stage", "listing_id"])
 
 
 @q("id_difference")
 def _(spark, sf):
-    done = b.b_manifest(spark, sf).where(F.col("stage") == "view")
-    return fr.id_difference(_listing_universe(spark, sf), done)
+    return fr.id_difference(_listing_universe(spark, sf), b.b_manifest(spark, sf), ["stage", "listing_id"])
 
 
 @q("coverage_gate")

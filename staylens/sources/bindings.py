@@ -159,6 +159,44 @@ def b_manifest(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.max("ts").alias("mtime"))
 
 
+def b_stage_areas(spark: SparkSession, sf: str) -> DataFrame:
+    """Areas: nations, and one whose search found nothing."""
+    n = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("area"))
+    return n.unionByName(table(spark, sf, "region").agg(F.lit("empty").alias("area")))
+
+
+def b_stage_sources(spark: SparkSession, sf: str) -> dict:
+    """Id sources of the stage rules: listings (customers) and those with
+    reviews (customers who are users of events), by nation."""
+    c = table(spark, sf, "customer").select(F.col("c_nationkey").cast("string").alias("area"), F.col("c_custkey").alias("listing_id"))
+    users = table(spark, sf, "events").select(F.col("user_id").alias("listing_id")).distinct()
+    return {"listing": c, "reviews": c.join(users, "listing_id", "left_semi")}
+
+
+# Event type that stands for the outputs of a stage.
+STAGE_EVENTS = {"search_results": "view", "comp_sets": "signup", "reviews_scrape": "view", "details_scrape": "click",
+                "listing_summaries": "purchase", "area_summary": "error"}
+
+
+def b_stage_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """stage, output, mtime: a listing's outputs are as new as its user's last
+    event of the stage's type, an area's as new as its last event of that type."""
+    from staylens.operators import freshness as fr
+    c = table(spark, sf, "customer").select(F.col("c_nationkey").cast("string").alias("area"), F.col("c_custkey").alias("listing_id"))
+    seen = b_manifest(spark, sf).withColumnRenamed("stage", "event_type").join(c, "listing_id")
+    out = None
+    for stage, per, _needs, patterns in fr.STAGE_RULES:
+        if stage not in STAGE_EVENTS:
+            continue
+        rows = seen.where(F.col("event_type") == STAGE_EVENTS[stage])
+        if per == "area":
+            rows = rows.groupBy("area").agg(F.max("mtime").alias("mtime")).withColumn("listing_id", F.lit(None).cast("string"))
+        for p in patterns:
+            made = rows.select(F.lit(stage).alias("stage"), fr.output_name(p).alias("output"), "mtime")
+            out = made if out is None else out.unionByName(made)
+    return out
+
+
 def b_grid(spark: SparkSession, sf: str) -> DataFrame:
     """Listing coordinates in integer milli-degrees around per-area centroids."""
     c = table(spark, sf, "customer")

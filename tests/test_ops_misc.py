@@ -78,3 +78,29 @@ def test_merge_requests_listing_count(spark):
     c = cs.request_costs(reqs)
     assert cs.request_cost_session(c).collect()[0]["unique_listings"] == 2
     assert cs.request_cost_session(c, strip_merge_suffix=True).collect()[0]["unique_listings"] == 1
+
+
+def test_expected_outputs_by_rule(spark):
+    """Summaries expect listings with reviews only, reports one row per area, and
+    an area whose search found nothing expects no listing and no merged set."""
+    areas = spark.createDataFrame([("A",), ("B",)], "area string")
+    found = spark.createDataFrame([("A", 1), ("A", 2), ("A", 2)], "area string, listing_id long")
+    reviews = spark.createDataFrame([("A", 2)], "area string, listing_id long")
+    exp = fr.expected_by_rule(areas, {"listing": found, "reviews": reviews})
+    rows = {(r["stage"], r["area"], r["listing_id"], r["output"]) for r in exp.collect()}
+    assert len(rows) == exp.count()
+    assert {r[3] for r in rows if r[0] == "listing_summaries"} == {"listing_summary_A_2.json"}
+    assert {r[3] for r in rows if r[0] == "comp_sets"} == {"listing_1.json", "listing_2.json", "comp_set_A.json"}
+    assert {r[3] for r in rows if r[0] == "reviews_scrape"} == {"reviews_A_1.json", "reviews_A_2.json"}
+    assert {r[3] for r in rows if r[:2] == ("correlation_results", "B")} == {
+        "correlation_stats_adr_B.json", "correlation_insights_adr_B.md", "correlation_stats_occupancy_B.json",
+        "correlation_insights_occupancy_B.md"}
+    assert all(r[2] is None for r in rows if r[1] == "B") and len([r for r in rows if r[0] == "details_results"]) == 10
+    groups = areas.selectExpr("area", "explode(array('comp_sets', 'area_summary')) AS stage")
+    manifest = spark.createDataFrame([("area_summary", "area_summary_B.md", "2024-01-30 12:00:00")],
+                                     "stage string, output string, mtime string").selectExpr(
+        "stage", "output", "CAST(mtime AS TIMESTAMP) AS mtime")
+    got = {(r["stage"], r["area"]): (r["expected"], r["fresh_outputs"], r["stage_fresh"]) for r in fr.stage_freshness(
+        exp, manifest, "2024-01-31 00:00:00", 72, key="output", groups=groups).collect()}
+    assert got == {("comp_sets", "A"): (3, 0, False), ("comp_sets", "B"): (0, 0, False),
+                   ("area_summary", "A"): (1, 0, False), ("area_summary", "B"): (1, 1, True)}
