@@ -1300,20 +1300,37 @@ SELECT metric,
 FROM th"""
 
 
+LAST_FILE = f"""SELECT listing_id, {R('SUM(COALESCE(CAST(rating AS DOUBLE), 0.0)) / COUNT(*)', 4)} AS mean_rating, COUNT(*) AS n_reviews
+FROM (SELECT *, strftime(CAST(l_shipdate AS DATE), '%Y-%m') AS file,
+             MAX(strftime(CAST(l_shipdate AS DATE), '%Y-%m')) OVER (PARTITION BY listing_id) AS last FROM ({B_REVIEWS}))
+WHERE file = last GROUP BY listing_id"""
+
+
 @q("stream_review_ratings")
 def _():
-    return SQL["listing_mean_rating"]
+    return LAST_FILE
+
+
+@q("stream_overall_mean")
+def _():
+    return f"SELECT {R('AVG(mean_rating)', 4)} AS overall_mean FROM ({LAST_FILE})"
 
 
 @q("stream_request_cost")
 def _():
-    return f"""WITH c AS (SELECT *, to_timestamp(1704067200 + listing_id * 600 + turn * 30) AS ts FROM ({COSTED}))
-SELECT session, CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, COUNT(*) AS total_requests,
+    """Windows closed by the watermark (latest time seen less 20 minutes), without rows that arrived after that."""
+    return f"""WITH c AS (SELECT *, 1704067200 + listing_id * 600 + turn * 30 AS s FROM ({COSTED})),
+a AS (SELECT *, s // 3600 * 3600 + 3600 AS w_end, LEAST(3, CAST(FLOOR((s - MIN(s) OVER ()) * 4 / (MAX(s) OVER () - MIN(s) OVER () + 1)) AS INTEGER)
+             + CASE WHEN listing_id % 7 = 0 THEN 1 ELSE 0 END) AS arrival FROM c),
+m AS (SELECT arrival, MAX(s) AS seen FROM a GROUP BY arrival),
+wm AS (SELECT x.arrival, MAX(y.seen) - 1200 AS mark FROM (SELECT DISTINCT arrival FROM a) x LEFT JOIN m y ON y.arrival < x.arrival GROUP BY x.arrival),
+k AS (SELECT a.* FROM a JOIN wm USING (arrival) WHERE mark IS NULL OR w_end > mark)
+SELECT session, to_timestamp(w_end - 3600) AT TIME ZONE 'UTC' AS window_start, COUNT(*) AS total_requests,
        CAST(SUM(CASE WHEN cached THEN 1 ELSE 0 END) AS BIGINT) AS cache_hits,
        CAST(SUM(CASE WHEN NOT cached THEN input_tokens ELSE 0 END) AS BIGINT) AS total_input_tokens,
        CAST(SUM(CASE WHEN NOT cached THEN output_tokens ELSE 0 END) AS BIGINT) AS total_output_tokens,
        {R('SUM(CASE WHEN NOT cached THEN cost ELSE 0.0 END)', 4)} AS total_cost
-FROM c GROUP BY session, date_trunc('day', ts)"""
+FROM k WHERE w_end <= (SELECT MAX(s) - 1200 FROM a) GROUP BY session, w_end"""
 
 
 # ---------------------------------------------------------------- source / sink round trips

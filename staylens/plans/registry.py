@@ -891,14 +891,36 @@ def _(spark, sf):
     return th.select("metric", unit.alias("high_label"), lunit.alias("low_label"))
 
 
+def _review_feed(spark, sf):
+    """Reviews in one file per month of the ship date; months arrive in three
+    steps that do not follow their order, so files overwrite or come too late."""
+    r = b.b_reviews(spark, sf).withColumn("file", F.date_format("l_shipdate", "yyyy-MM"))
+    month = F.year("l_shipdate") * 12 + F.month("l_shipdate")
+    return r.withColumn("arrival", (month * 5 % 3).cast("int"))
+
+
 @q("stream_review_ratings")
 def _(spark, sf):
-    return st.stream_review_ratings(spark, b.b_reviews(spark, sf))
+    return st.stream_review_ratings(spark, _review_feed(spark, sf))[1]
+
+
+@q("stream_overall_mean")
+def _(spark, sf):
+    """The mean over all listings from the stream's updates and retractions."""
+    return st.running_overall_mean(st.stream_review_ratings(spark, _review_feed(spark, sf))[0])
+
+
+def _request_feed(spark, sf):
+    """Requests in four arrivals by time; every seventh conversation's come one arrival late."""
+    c = _costed(spark, sf)
+    lo, hi = c.agg(F.min(F.unix_timestamp("ts")), F.max(F.unix_timestamp("ts"))).first()
+    step = F.floor((F.unix_timestamp("ts") - F.lit(lo)) * 4 / F.lit(hi - lo + 1 if hi else 1))
+    return c.withColumn("arrival", F.least(F.lit(3), step + F.when(F.col("listing_id") % 7 == 0, 1).otherwise(0)).cast("int"))
 
 
 @q("stream_request_cost")
 def _(spark, sf):
-    return st.stream_request_cost(spark, _costed(spark, sf))
+    return st.stream_request_cost(spark, _request_feed(spark, sf), "20 minutes", "1 hour", "arrival", 4, "append")
 
 
 # ---------------------------------------------------------------- sources / sinks round trips

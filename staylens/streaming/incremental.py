@@ -1,15 +1,18 @@
 """Structured Streaming versions of the two incremental behaviours (2.11).
 
-* ``stream_review_ratings``: new review files arrive in a folder; the file
-  source's checkpoint remembers which files were seen (the reference's
-  "already processed" check); a running per-listing aggregate is kept in
-  state and every micro-batch's updated rows are appended to a result table.
+* ``stream_review_ratings``: review files arrive in a folder and a later file of
+  a listing overwrites its earlier ones.  Keyed state holds each listing's last
+  file and its sum and count; an overwrite emits the new contribution together
+  with the one it retracts, so a running overall mean needs no second look at
+  the reviews.  Rows are summed per (listing, file) inside their task before
+  they are shuffled, so a hot listing sends one row per batch of a task.
 * ``stream_request_cost``: request events with an event time, aggregated per
-  session and event-time window, with a watermark bounding the state.
+  session and event-time window in append mode: a window is written once, when
+  the watermark passes its end, and rows that come later are left out.
 
-Both sinks are ``foreachBatch`` appends of (batch_id, updated rows) to a
-parquet folder under the shared checkpoint root; readers keep the latest
-batch per key.  That is an idempotent upsert without a table format, and a
+The file source's checkpoint remembers which files were seen (the reference's
+"already processed" check).  Both sinks are ``foreachBatch`` writes of one folder
+per batch under the shared checkpoint root, which a replayed batch overwrites; a
 restarted query resumes from its checkpoint.
 """
 
@@ -57,18 +60,86 @@ def review_ratings_stream(spark: SparkSession, source: str, schema: str, key: st
                                 F.count(F.lit(1)).alias("n_reviews"))
 
 
+def land(rows: DataFrame, arrival: str, count: int, source: str):
+    """Lands ``rows`` in the folder ``source`` arrival by arrival (column
+    ``arrival``, 0 to ``count`` - 1); yields after each.  The rows are written
+    once, split by arrival, and each arrival reads its own part."""
+    spark = rows.sparkSession
+    parts = scratch_path(spark, "stream-arrivals")
+    rows.write.partitionBy(arrival).parquet(parts)
+    schema = rows.drop(arrival).schema
+    for k in range(count):
+        part = spark.read.schema(rows.schema).parquet(parts).where(F.col(arrival) == k).select(*schema.names)
+        part.write.mode("append").parquet(source)
+        yield k
+
+
+STATE = "file string, rating_sum double, n_reviews long"
+UPDATE = "file string, rating_sum double, n_reviews long, old_sum double, old_n long"
+
+
+def partial_ratings(src: DataFrame, key: str, rating: str = "rating") -> DataFrame:
+    """key, file, rating_sum, n_reviews of each Arrow batch (NULL ratings count as 0)."""
+    rows = src.select(key, "file", F.coalesce(F.col(rating).cast("double"), F.lit(0.0)).alias("r"))
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            t = pa.Table.from_batches([b]).group_by([key, "file"]).aggregate([("r", "sum"), ("r", "count")])
+            yield from t.select([key, "file", "r_sum", "r_count"]).rename_columns(
+                [key, "file", "rating_sum", "n_reviews"]).to_batches()
+
+    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, file string, rating_sum double, n_reviews long")
+
+
+def _last_file(key_name: str):
+    def update(key, frames, state):
+        import pandas as pd
+        old = state.get if state.exists else ("", 0.0, 0)
+        file, total, n = old
+        for pdf in frames:
+            for f, s, c in zip(pdf["file"], pdf["rating_sum"], pdf["n_reviews"]):
+                if f > file:                # a later file takes the place of the listing's reviews
+                    file, total, n = f, 0.0, 0
+                if f == file:               # more of the same file
+                    total, n = total + float(s), n + int(c)
+        if (file, total, n) != tuple(old):
+            state.update((file, total, n))
+            yield pd.DataFrame({key_name: [key[0]], "file": [file], "rating_sum": [total], "n_reviews": [n],
+                                "old_sum": [old[1]], "old_n": [old[2]]})
+    return update
+
+
+def last_file_ratings(src: DataFrame, key: str = "listing_id", rating: str = "rating") -> DataFrame:
+    """Stream of updates per listing: its last file's sum and count, and the
+    ones they replace (count 0: the listing is new).  ``src`` has ``file``, whose
+    order says which file is later; files may arrive in any order."""
+    parts = partial_ratings(src, key, rating)
+    kt = parts.schema[key].dataType.simpleString()
+    return parts.groupBy(key).applyInPandasWithState(_last_file(key), f"{key} {kt}, {UPDATE}", STATE, "update", "NoTimeout")
+
+
+def running_overall_mean(updates: DataFrame) -> DataFrame:
+    """Mean over listings of their rounded means, from the updates alone: each
+    adds its new mean and takes back the one it retracts."""
+    new = fixed_round(F.col("rating_sum") / F.col("n_reviews"), 4)
+    old = F.when(F.col("old_n") > 0, fixed_round(F.try_divide("old_sum", "old_n"), 4)).otherwise(F.lit(0.0))
+    return updates.agg(fixed_round(F.try_divide(F.sum(new - old), F.sum(F.when(F.col("old_n") == 0, 1).otherwise(0))), 4)
+                       .alias("overall_mean"))
+
+
 def stream_review_ratings(spark: SparkSession, reviews: DataFrame, key: str = "listing_id",
-                          rating: str = "rating", files: int = 4) -> DataFrame:
-    """Land ``reviews`` as several files, stream them, return the per-listing
-    mean (4 dp) -- equal to the batch ``listing_mean_rating``."""
-    src = scratch_path(spark, "stream-reviews-src")
-    reviews.select(key, rating).repartition(files).write.mode("overwrite").parquet(src)
-    schema = reviews.select(key, rating).schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    out, ck = scratch_path(spark, "stream-reviews-out"), scratch_path(spark, "stream-reviews-ck")
-    run_available(review_ratings_stream(spark, src, schema, key, rating), out, ck, "update")
-    res = _latest(spark, out, [key])
-    return res.select(key, fixed_round(F.col("rating_sum") / F.col("n_reviews"), 4).alias("mean_rating"),
-                      "n_reviews")
+                          rating: str = "rating", file: str = "file", arrival: str = "arrival", arrivals: int = 3):
+    """Lands ``reviews`` in ``arrivals`` steps and streams them; returns the
+    updates (every micro-batch) and the ratings of each listing's last file."""
+    src, out, ck = (scratch_path(spark, f"stream-reviews-{x}") for x in ("src", "out", "ck"))
+    rows = reviews.select(key, rating, F.col(file).alias("file"), F.col(arrival).alias("arrival"))
+    schema = rows.drop("arrival").schema
+    for _ in land(rows, "arrival", arrivals, src):
+        run_available(last_file_ratings(spark.readStream.schema(schema).parquet(src), key, rating), out, ck, "update")
+    updates = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*")
+    last = latest_wins(updates, [key], ["batch_id"])
+    return updates, last.select(key, fixed_round(F.col("rating_sum") / F.col("n_reviews"), 4).alias("mean_rating"), "n_reviews")
 
 
 def request_cost_stream(src: DataFrame, watermark: str, window: str, session: str = "session") -> DataFrame:
@@ -84,24 +155,28 @@ def request_cost_stream(src: DataFrame, watermark: str, window: str, session: st
 
 
 def stream_request_cost(spark: SparkSession, costed: DataFrame, watermark: str = "30 days",
-                        window: str = "1 day", files: int = 4, max_files: int | None = None) -> DataFrame:
-    """Land costed requests as files, stream them through a watermarked
-    windowed aggregate, return the final value per (session, window)."""
+                        window: str = "1 day", arrival: str | None = None, arrivals: int = 1,
+                        mode: str = "update") -> DataFrame:
+    """Lands costed requests in ``arrivals`` steps (column ``arrival``) and
+    streams them through the watermarked windowed aggregate.  Rows that come
+    after the watermark closed their window are left out.  ``append`` gives the
+    windows it closed, each written once; ``update`` the last state of every
+    window, open ones included."""
     cols = ["session", "listing_id", "ts", "cached", "input_tokens", "output_tokens", "cost"]
-    src = scratch_path(spark, "stream-cost-src")
-    costed.select(*cols).repartitionByRange(files, "ts").write.mode("overwrite").parquet(src)
-    schema = costed.select(*cols).schema
-    out, ck = scratch_path(spark, "stream-cost-out"), scratch_path(spark, "stream-cost-ck")
-    r = spark.readStream.schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    stream = request_cost_stream(r.parquet(src), watermark, window)
-    stream = stream.select("session", F.col("w.start").alias("window_start"), "total_requests", "cache_hits",
-                           "total_input_tokens", "total_output_tokens", "total_cost")
-    run_available(stream, out, ck, "update")
-    res = _latest(spark, out, ["session", "window_start"])
+    src, out, ck = (scratch_path(spark, f"stream-cost-{x}") for x in ("src", "out", "ck"))
+    rows = costed.select(*cols, (F.col(arrival) if arrival else F.lit(0)).cast("int").alias("arrival"))
+    schema = rows.drop("arrival").schema
+    for _ in land(rows, "arrival", arrivals, src):
+        stream = request_cost_stream(spark.readStream.schema(schema).parquet(src), watermark, window).select(
+            "session", F.col("w.start").alias("window_start"), "total_requests", "cache_hits",
+            "total_input_tokens", "total_output_tokens", "total_cost")
+        run_available(stream, out, ck, mode)
+    if mode == "append":
+        res = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*").drop("batch_id")
+    else:
+        res = _latest(spark, out, ["session", "window_start"])
     return res.withColumn("total_cost", fixed_round("total_cost", 4))
 
 
-__all__ = ["stream_review_ratings", "stream_request_cost", "review_ratings_stream", "request_cost_stream",
-           "request_cost"]
+__all__ = ["last_file_ratings", "review_ratings_stream", "request_cost", "request_cost_stream",
+           "running_overall_mean", "stream_request_cost", "stream_review_ratings"]

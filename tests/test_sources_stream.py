@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 from staylens.sources import files as fl
 from staylens.sources import sinks as sk
@@ -71,13 +72,55 @@ def test_sinks_roundtrip(spark, tmpdir_path):
 def test_stream_equals_batch(spark):
     from staylens.operators.reviews import listing_mean_rating
     from staylens.streaming.incremental import stream_review_ratings
-    data = [(f"l{i % 7}", float(i % 5) if i % 9 else None) for i in range(200)]
-    df = spark.createDataFrame(data, "listing_id string, rating double")
-    s = sorted(tuple(r) for r in stream_review_ratings(spark, df).collect())
+    data = [(f"l{i % 7}", float(i % 5) if i % 9 else None, "one file", 0) for i in range(200)]
+    df = spark.createDataFrame(data, "listing_id string, rating double, file string, arrival int")
+    s = sorted(tuple(r) for r in stream_review_ratings(spark, df, arrivals=1)[1].collect())
     b = sorted(tuple(r) for r in listing_mean_rating(df).select("listing_id", "mean_rating", "n_reviews").collect())
     assert s == b
 
 
+def test_review_stream_retracts_overwritten_files(spark):
+    """Files of a listing arrive in any order over four micro-batches, some in
+    two parts; a third of all rows is one listing's."""
+    from staylens.streaming.incremental import running_overall_mean, stream_review_ratings
+    rng = random.Random(4)
+    order = [1, 0, 1, 3, 0, 2]      # arrival of each file; the second part of the last one comes later
+    step = {(f, part): order[f] + (f == 5 and part) for f in range(6) for part in range(2)}
+    rows = [(f"l{rng.randrange(7)}" if i % 3 else "hot", float(i % 5) if i % 9 else None, f"f{f}", step[f, part])
+            for i, f, part in ((i, min(rng.randrange(9), 5), rng.randrange(2)) for i in range(400))]
+    df = spark.createDataFrame(rows, "listing_id string, rating double, file string, arrival int")
+    updates, last = stream_review_ratings(spark, df, arrivals=4)
+    want = {}
+    for key in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == key]
+        final = [r[1] or 0.0 for r in mine if r[2] == max(m[2] for m in mine)]
+        want[key] = (round(sum(final) / len(final) + 1e-12, 4), len(final))
+    assert {r["listing_id"]: (r["mean_rating"], r["n_reviews"]) for r in last.collect()} == want
+    got = updates.collect()
+    assert len({r["batch_id"] for r in got}) >= 3
+    assert any(r["old_n"] > 0 and r["n_reviews"] < r["old_n"] for r in got)     # a smaller file took a larger one's place
+    for r in got:   # what an update retracts is what the listing's update before it gave
+        before = [x for x in got if x["listing_id"] == r["listing_id"] and x["batch_id"] < r["batch_id"]]
+        b = max(before, key=lambda x: x["batch_id"], default=None)
+        assert (r["old_sum"], r["old_n"]) == ((b["rating_sum"], b["n_reviews"]) if b else (0.0, 0))
+    mean = running_overall_mean(updates).collect()[0]["overall_mean"]
+    assert abs(mean - sum(m for m, _ in want.values()) / len(want)) < 1e-4
+
+
+def test_cost_stream_closes_windows_and_drops_late_rows(spark):
+    from datetime import datetime, timedelta
+    from staylens.streaming.incremental import stream_request_cost
+    t0 = datetime(2024, 1, 1)
+    # (minutes, arrival): arrival 1 opens 03:00, so 00:00 and 01:00 are closed before arrival 2
+    events = [(5, 0), (50, 0), (70, 0), (190, 1), (200, 1), (20, 2), (100, 2), (170, 2), (400, 2), (410, 3), (130, 3)]
+    rows = [("s", i, t0 + timedelta(minutes=m), i % 2 == 0, 10, 1, 0.5, a) for i, (m, a) in enumerate(events)]
+    df = spark.createDataFrame(rows, "session string, listing_id long, ts timestamp, cached boolean, input_tokens long, "
+                                     "output_tokens long, cost double, arrival int")
+    out = stream_request_cost(spark, df, "30 minutes", "1 hour", "arrival", 4, "append").collect()
+    got = {r["window_start"].hour: r["total_requests"] for r in out}
+    assert got == {0: 2, 1: 1, 2: 1, 3: 2} and len(out) == 4   # 20, 100 and 130 came late; 06:00 is still open
+
+
 def test_stream_one_file_per_batch_equals_batch(spark):
     from staylens.operators.reviews import listing_mean_rating
     from staylens.session import scratch_path
