@@ -959,18 +959,33 @@ BBOX = f"""SELECT n_nationkey AS area,
        {R('CAST(n_nationkey * 1000 AS DOUBLE) + 140.0', 7)} AS ne_lat, {R('CAST(n_nationkey * 1000 AS DOUBLE) - 140.0', 7)} AS sw_lat,
        {R('CAST(-n_nationkey * 1000 AS DOUBLE) + 140.0', 7)} AS ne_lon, {R('CAST(-n_nationkey * 1000 AS DOUBLE) - 140.0', 7)} AS sw_lon
 FROM nation"""
-CELLS = f"""SELECT area, CAST(i AS INTEGER) AS cell_row, CAST(j AS INTEGER) AS cell_col, CAST(i * 2 + j AS INTEGER) AS cell_no,
-       sw_lat + i * ((ne_lat - sw_lat) / 2) AS box_sw_lat, sw_lon + j * ((ne_lon - sw_lon) / 2) AS box_sw_lon,
-       sw_lat + i * ((ne_lat - sw_lat) / 2) + (ne_lat - sw_lat) / 2 AS box_ne_lat,
-       sw_lon + j * ((ne_lon - sw_lon) / 2) + (ne_lon - sw_lon) / 2 AS box_ne_lon
-FROM ({BBOX}) b, range(2) r1(i), range(2) r2(j)"""
+def cells_sql(d: int) -> str:
+    return f"""SELECT area, CAST(i AS INTEGER) AS cell_row, CAST(j AS INTEGER) AS cell_col, CAST(i * {d} + j AS INTEGER) AS cell_no,
+       sw_lat + i * ((ne_lat - sw_lat) / {d}) AS box_sw_lat, sw_lon + j * ((ne_lon - sw_lon) / {d}) AS box_sw_lon,
+       sw_lat + i * ((ne_lat - sw_lat) / {d}) + (ne_lat - sw_lat) / {d} AS box_ne_lat,
+       sw_lon + j * ((ne_lon - sw_lon) / {d}) + (ne_lon - sw_lon) / {d} AS box_ne_lon
+FROM ({BBOX}) b, range({d}) r1(i), range({d}) r2(j)"""
+
+
+CELLS = cells_sql(2)
 PTS = """SELECT c_custkey AS listing_id, c_nationkey AS area,
-       CAST(c_nationkey * 1000 + (c_custkey * 37) % 280 - 139.5 AS DOUBLE) AS lat,
-       CAST(-c_nationkey * 1000 + (c_custkey * 53) % 280 - 139.5 AS DOUBLE) AS lon FROM customer"""
-HITS = f"""SELECT p.listing_id, p.area, c.cell_no FROM ({PTS}) p JOIN ({CELLS}) c ON c.area = p.area
+       CAST(c_nationkey * 1000 + (c_custkey * 37) % 281 - 140 AS DOUBLE) AS lat,
+       CAST(-c_nationkey * 1000 + (c_custkey * 53) % 281 - 140 AS DOUBLE) AS lon FROM customer"""
+
+
+def hits_sql(d: int) -> str:
+    return f"""SELECT p.listing_id, p.area, c.cell_no FROM ({PTS}) p JOIN ({cells_sql(d)}) c ON c.area = p.area
 WHERE p.lat >= c.box_sw_lat AND p.lat < c.box_ne_lat AND p.lon >= c.box_sw_lon AND p.lon < c.box_ne_lon"""
 
 
+HITS = hits_sql(2)
+
+
+@q("grid_range_join_fine")
+def _():
+    return hits_sql(16)
+
+
 @q("area_bbox")
 def _():
     return BBOX

@@ -688,6 +688,13 @@ def _(spark, sf):
     return _hits(spark, sf).select("listing_id", "area", "cell_no")
 
 
+@q("grid_range_join_fine")
+def _(spark, sf):
+    """A grid of 16 x 16 cells per area."""
+    cells = gd.bbox_grid(gd.area_bbox(b.b_centroids(spark, sf), half_width=GRID_HALF), 16)
+    return gd.grid_range_join(b.b_grid(spark, sf), cells, 16).select("listing_id", "area", "cell_no")
+
+
 @q("grid_saturation")
 def _(spark, sf):
     return gd.grid_saturation(_hits(spark, sf), threshold=15)

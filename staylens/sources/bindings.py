@@ -198,14 +198,15 @@ def b_stage_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def b_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """Listing coordinates in integer milli-degrees around per-area centroids."""
+    """Listing coordinates in whole milli-degrees around per-area centroids, some on
+    the edges of cells and of the box."""
     c = table(spark, sf, "customer")
     n = F.col("c_nationkey")
     k = F.col("c_custkey")
     return c.select(
         k.alias("listing_id"), n.alias("area"),
-        (n * 1000 + (k * 37) % 280 - 139.5).alias("lat"),
-        (-n * 1000 + (k * 53) % 280 - 139.5).alias("lon"))
+        (n * 1000 + (k * 37) % 281 - 140).cast("double").alias("lat"),
+        (-n * 1000 + (k * 53) % 281 - 140).cast("double").alias("lon"))
 
 
 def b_centroids(spark: SparkSession, sf: str) -> DataFrame:

@@ -104,3 +104,22 @@ def test_expected_outputs_by_rule(spark):
         exp, manifest, "2024-01-31 00:00:00", 72, key="output", groups=groups).collect()}
     assert got == {("comp_sets", "A"): (3, 0, False), ("comp_sets", "B"): (0, 0, False),
                    ("area_summary", "A"): (1, 0, False), ("area_summary", "B"): (1, 1, True)}
+
+
+def test_grid_edges_equal_a_test_of_every_cell(spark):
+    """Steps that are no binary fractions, points on and beside every edge."""
+    import math
+    for d, sw, half in ((2, 45.3755, 0.14), (7, -122.8189, 0.14), (100, 0.1, 0.05), (3, -0.3, 0.3)):
+        c = spark.createDataFrame([("a", sw + half, sw + half), ("b", 5.0, 5.0)], "area string, lat double, lon double")
+        cells = gd.bbox_grid(gd.area_bbox(c, half_width=half), d)
+        rows = [r for r in cells.collect() if r["area"] == "a"]
+        edges = sorted({r[k] for r in rows for k in ("box_sw_lat", "box_ne_lat")})
+        near = [x for e in edges for x in (e, math.nextafter(e, -1e9), math.nextafter(e, 1e9))]
+        near = near if d < 50 else near[::7]
+        pts = [(i, "a", x, edges[0] + (edges[-1] - edges[0]) * 0.37) for i, x in enumerate(near)]
+        pts += [(1000 + i, "a", edges[0] + (edges[-1] - edges[0]) * 0.62, x) for i, x in enumerate(near)] + [(-1, "c", 0.0, 0.0)]
+        df = spark.createDataFrame(pts, "listing_id long, area string, lat double, lon double")
+        got = sorted((r["listing_id"], r["cell_no"]) for r in gd.grid_range_join(df, cells, d).collect())
+        want = sorted((p[0], r["cell_no"]) for p in pts if p[1] == "a" for r in rows
+                      if r["box_sw_lat"] <= p[2] < r["box_ne_lat"] and r["box_sw_lon"] <= p[3] < r["box_ne_lon"])
+        assert got == want and len(want) > d // 2
