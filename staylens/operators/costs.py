@@ -84,9 +84,14 @@ def historical_cost(sessions: DataFrame, as_of, days: int = 30, start: str = "se
 
 
 def last_n_sessions(sessions: DataFrame, order_col: str, n: int = LAST_N_SESSIONS,
-                    tie: str = "session_id") -> DataFrame:
+                    tie: str | None = None) -> DataFrame:
     """Keep the ``n`` most recent sessions (a global top-k: each task forwards
-    only its own ``n`` rows)."""
-    order = [F.col(order_col).desc()] + ([F.col(tie).desc()] if tie in sessions.columns else [])
+    only its own ``n`` rows).  Sessions of the same start go by ``tie``, latest
+    value first; without it by all their other columns, so a rerun keeps the
+    same rows."""
+    if tie is not None and tie not in sessions.columns:
+        raise ValueError(f"unknown tie-break column {tie}")
+    ties = [tie] if tie else [c for c in sorted(sessions.columns) if c != order_col]
+    order = [F.col(c).desc() for c in [order_col, *ties]]
     w = Window.orderBy(*order)
     return sessions.orderBy(*order).limit(n).withColumn("recency", F.row_number().over(w))

@@ -73,27 +73,39 @@ def join_topk_scores(top_bottom: DataFrame, scores: DataFrame, descriptions: Dat
     return top_bottom.join(scores, key, "left").join(descriptions.select(key, desc_col), key)
 
 
+# ---------------------------------------------------------------------------
+# fixed values (must equal the reference for identical results)
+# ---------------------------------------------------------------------------
+CORRELATION_HEAD = "| Dimension | Correlation | n |\n|-----------|-------------|---|"
+PROPERTY_HEAD = "**Property %s** ([Airbnb listing](%s)) (ADR premium: $%+.0f/night)"
+PROPERTY_SCORES = "\n  Scores: "
+
+
 def _fmt_scores(dims: Sequence[str]) -> Column:
-    parts = [F.when(F.col(d).isNotNull(), F.concat(F.lit(f"{d}="), F.col(d).cast("string"))) for d in dims]
-    return F.concat_ws(", ", *parts)
+    """'  Scores: dim: value, ...' under the head, where the listing has scores."""
+    parts = [F.when(F.col(d).isNotNull(), F.concat(F.lit(f"{d}: "), F.col(d).cast("string"))) for d in dims]
+    text = F.concat_ws(", ", *parts)
+    return F.when(F.length(text) > 0, F.concat(F.lit(PROPERTY_SCORES), text)).otherwise(F.lit(""))
 
 
 def synthesis_prompt(r2: DataFrame, correlations: DataFrame, topk: DataFrame, template: str,
-                     dims: Sequence[str], desc_col: str = "description", key: str = "listing_id") -> DataFrame:
-    """Final synthesis request: r-squared, the correlation table and the top /
-    bottom descriptions with their scores.  Every input is already bounded
-    (one r2 row, one row per dimension, 2k listings), so the single output row
-    is bounded too."""
-    from staylens.functions.scalar import fixed_round
+                     dims: Sequence[str], area: str = "all", desc_col: str = "description",
+                     key: str = "listing_id") -> DataFrame:
+    """Final synthesis request: area, r-squared, number of properties, the
+    correlation table (title-cased dimensions) and the top / bottom
+    descriptions, each with its link, premium and scores.  ``r2`` has ``n`` and
+    ``r_squared``.  Every input is already bounded (one r2 row, one row per
+    dimension, 2k listings), so the single output row is bounded too."""
+    from staylens.functions.scalar import display_name, fixed_round, listing_link
     # numbers are rounded before formatting so no half-way digit is left to the formatter
-    corr_line = F.format_string("| %s | %+.3f | %d |", F.col("dimension"), fixed_round("correlation", 3),
+    corr_line = F.format_string("| %s | %+.3f | %d |", display_name("dimension"), fixed_round("correlation", 3),
                                 F.col("n"))
-    desc_line = F.concat(F.lit("#"), F.col("rank").cast("string"), F.lit(" (residual "),
-                         F.format_string("%+.0f", fixed_round("residual", 0)), F.lit(") "), F.col(key).cast("string"),
-                         F.lit(" ["), _fmt_scores(dims), F.lit("]: "), F.col(desc_col))
+    desc_line = F.concat(F.format_string(PROPERTY_HEAD, F.col(key).cast("string"), listing_link(key), fixed_round("residual", 0)),
+                         _fmt_scores(dims), F.lit("\n"), F.col(desc_col), F.lit("\n"))
     # one tagged union + one global aggregate assembles the single row (no joins)
     tagged = (r2.select(F.lit("r2").alias("part"), F.lit(0).alias("o"),
                         F.format_string("%.3f", fixed_round("r_squared", 3)).alias("t"))
+              .unionByName(r2.select(F.lit("n").alias("part"), F.lit(0).alias("o"), F.col("n").cast("string").alias("t")))
               .unionByName(correlations.select(F.lit("corr").alias("part"), F.col("rank").cast("int").alias("o"),
                                                corr_line.alias("t")))
               .unionByName(topk.select(F.col("side").alias("part"), F.col("rank").cast("int").alias("o"),
@@ -102,11 +114,14 @@ def synthesis_prompt(r2: DataFrame, correlations: DataFrame, topk: DataFrame, te
     def block(part, sep):
         items = F.array_sort(F.collect_list(F.when(F.col("part") == part, F.struct("o", "t"))))
         return F.array_join(F.transform(items, lambda x: x["t"]), sep)
-    one = tagged.groupBy().agg(block("r2", "").alias("r2"), block("corr", "\n").alias("corr_table"),
-                               block("top", "\n\n").alias("top_text"), block("bottom", "\n\n").alias("bottom_text"))
-    prompt = fill_template(F.lit(template), {"R_SQUARED": F.col("r2"), "CORRELATION_TABLE": F.col("corr_table"),
-                                             "TOP_DESCRIPTIONS": F.col("top_text"),
-                                             "BOTTOM_DESCRIPTIONS": F.col("bottom_text")})
+    one = tagged.groupBy().agg(block("r2", "").alias("r2"), block("n", "").alias("n"),
+                               F.concat(F.lit(CORRELATION_HEAD + "\n"), block("corr", "\n")).alias("corr_table"),
+                               block("top", "\n").alias("top_text"), block("bottom", "\n").alias("bottom_text"))
+    prompt = fill_template(F.lit(template), {"ZIPCODE": F.lit(area), "R_SQUARED": F.col("r2"),
+                                             "CORRELATION_TABLE": F.col("corr_table"),
+                                             "HIGH_PREMIUM_DESCRIPTIONS": F.col("top_text"),
+                                             "LOW_PREMIUM_DESCRIPTIONS": F.col("bottom_text"),
+                                             "NUM_PROPERTIES": F.col("n")})
     return one.select(prompt.alias("prompt"))
 
 

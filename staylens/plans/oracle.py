@@ -7,7 +7,54 @@ aliases.  ``R(x, n)`` is the shared half-up decimal rounding.
 
 from __future__ import annotations
 
-from staylens.functions.scalar import LISTING_URL_PREFIX
+# ---------------------------------------------------------------- texts and patterns the queries are checked against
+LISTING_URL_PREFIX = "https://www.airbnb.com/rooms/"
+SCORE_TEMPLATE = ("Score the description of property {PROPERTY_ID}.\n"
+                  "\n"
+                  "Description:\n"
+                  "{DESCRIPTION}\n"
+                  "\n"
+                  "Return JSON.")
+BASE_PROMPT = "Summarize what guests say about this listing in five sections."
+INSIGHT_TEMPLATE = ("Area {ZIPCODE}: listings at or above {HIGH_THRESHOLD} (top {TOP_PERCENTILE}%) versus at or below "
+                    "{LOW_THRESHOLD} (bottom {BOTTOM_PERCENTILE}%).\n"
+                    "\n"
+                    "{FEATURE_COMPARISON}\n"
+                    "\n"
+                    "High tier examples:\n"
+                    "{HIGH_TIER_DESCRIPTIONS}\n"
+                    "\n"
+                    "Low tier examples:\n"
+                    "{LOW_TIER_DESCRIPTIONS}")
+NO_DESCRIPTIONS = "No descriptions available."
+MERGE_HEAD = ("\n"
+              "You have received multiple partial analyses of Airbnb reviews for the same listing. Please combine "
+              "them into a single comprehensive summary following the original format requirements.\n"
+              "\n"
+              "Original format requirements:\n")
+MERGE_TAIL = ("\n"
+              "Please provide a single unified analysis that:\n"
+              "1. Maintains the exact 5-section format from the original requirements\n"
+              "2. Combines and reconciles the data from all partial analyses\n"
+              "3. Provides accurate overall percentages and mention counts\n"
+              "4. Creates a coherent final summary\n"
+              "\n"
+              "Unified Analysis:")
+AREA_TEMPLATE = ("Summarize the listings of area {ZIP_CODE_HERE} ({ISO_CODE_HERE}); the overall mean rating is "
+                 "{OVERALL_MEAN}.")
+LISTING_TEMPLATE = ("Summarize the guest reviews of a listing in {ZIP_CODE_HERE} ({ISO_CODE_HERE}). The listing's mean "
+                    "rating is {RATING_AVERAGE_HERE}; the area mean is {OVERALL_MEAN}.")
+HDR_BATH = "(?i)(?:bath|bathroom)s?\\s*[:.]?\\s*(\\d+\\.?\\d*)"
+HDR_BED = "(?i)(?:bed|bedroom)s?\\s*[:.]?\\s*(\\d+)"
+HDR_GUEST = "(?i)(?:guest|max.?guest)s?\\s*[:.]?\\s*(\\d+)"
+HDR_RATING = "★?\\s*([\\d.]+)\\s*\\((\\d+)\\)"
+KPI_ADR = "([\\$\\d,.]+)\\s*\\n?\\s*Average Daily Rate"
+KPI_DAYS = "(\\d+)\\s*\\n?\\s*Days Available"
+KPI_OCCUPANCY = "(\\d+%?)\\s*\\n?\\s*Occupancy"
+KPI_REVENUE = "([\\$\\d,.]+[KkMm]?)\\s*\\n?\\s*Annual Revenue"
+# Python's white space, as a character class
+PY_WS = '\\t\\n\\x0b\\x0c\\r\\x1c\\x1d\\x1e\\x1f \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}'
+
 
 
 def R(x: str, n: int) -> str:
@@ -444,7 +491,6 @@ SELECT {R('CASE WHEN var_samp(actual) * (COUNT(*) - 1) > 0 THEN 1.0 - SUM(residu
 
 
 
-from staylens.functions.scalar import PY_WHITESPACE_CLASS as PY_WS  # noqa: E402
 
 
 def WC(x: str) -> str:
@@ -585,7 +631,6 @@ SELECT metric, tier, sample_rank, listing_id,
 FROM s JOIN documents d ON d.doc_id = s.listing_id"""
 
 
-from staylens.plans.templates import SCORE_TEMPLATE  # noqa: E402
 
 
 def _sql_str(s: str) -> str:
@@ -632,7 +677,6 @@ FROM t, json_each(t.body) AS j WHERE j.type IN ('UBIGINT', 'BIGINT', 'DOUBLE')""
 
 
 # ---------------------------------------------------------------- review packing
-from staylens.plans.templates import BASE_PROMPT  # noqa: E402
 NA_LIST = "('nan', 'na', 'none', '<na>')"
 
 
@@ -735,7 +779,6 @@ SELECT listing_id, chunk_no, n_chunks, n_items,
 FROM per2"""
 
 
-from staylens.operators.packing import MERGE_HEAD, MERGE_TAIL  # noqa: E402
 
 
 def merge_sql(group: str) -> str:
@@ -833,8 +876,9 @@ FROM a"""
 
 @q("last_n_sessions")
 def _():
-    return f"""WITH s AS (SELECT listing_id AS session, COUNT(*) AS n_requests FROM ({B_REQUESTS}) GROUP BY listing_id)
-SELECT * FROM (SELECT session, n_requests, CAST(ROW_NUMBER() OVER (ORDER BY session DESC) AS INTEGER) AS recency FROM s)
+    return f"""WITH s AS (SELECT listing_id AS session, COUNT(*) AS n_requests, CAST(FLOOR(listing_id / 100) AS BIGINT) AS start
+           FROM ({B_REQUESTS}) GROUP BY listing_id)
+SELECT * FROM (SELECT session, n_requests, start, CAST(ROW_NUMBER() OVER (ORDER BY start DESC, session DESC) AS INTEGER) AS recency FROM s)
 WHERE recency <= 100"""
 
 
@@ -1022,8 +1066,6 @@ PAGE = f"""SELECT m.listing_id,
   || '$' || printf('%.2f', m.ADR) || chr(10) || 'Average Daily Rate' || chr(10) || CAST(m.Occupancy AS VARCHAR) || '%'
   || chr(10) || 'Occupancy' || chr(10) || CAST(m.Days_Available AS VARCHAR) || chr(10) || 'Days Available' AS page_text
 FROM ({B_MARKET}) m JOIN part p ON p.p_partkey = m.listing_id"""
-from staylens.operators.market import (HDR_BATH, HDR_BED, HDR_GUEST, HDR_RATING, KPI_ADR,  # noqa: E402
-                                       KPI_DAYS, KPI_OCCUPANCY, KPI_REVENUE)
 
 
 def _x(text: str, pat: str, i: int = 1) -> str:
@@ -1252,7 +1294,6 @@ pr AS (SELECT {key}, chunk_no, n_chunks, n_items,
 FROM per2)"""
 
 
-from staylens.plans.reviews import AREA_TEMPLATE, LISTING_TEMPLATE  # noqa: E402
 MEAN4 = R('SUM(COALESCE(CAST(rating AS DOUBLE), 0.0)) / COUNT(*)', 4)
 
 
@@ -1372,7 +1413,25 @@ def _():
 
 @q("write_side_tables")
 def _():
-    return SQL["house_rules_text"]
+    return f"""SELECT listing_id, text, "table" FROM (
+  SELECT listing_id, description AS text, 'descriptions' AS "table" FROM ({DET})
+  UNION ALL SELECT listing_id, 'Quiet hours for ' || p_brand, 'house_rules' FROM ({DET})
+  UNION ALL SELECT listing_id, p_type, 'neighborhood_highlights' FROM ({DET}) WHERE p_size % 2 = 0) WHERE text IS NOT NULL"""
+
+
+@q("write_summaries")
+def _():
+    t = "CASE WHEN doc_id % 11 = 0 THEN '' ELSE text END"
+    return f"""SELECT source AS area, CAST(doc_id AS VARCHAR) AS listing_id, CAST(length({t}) AS INTEGER) AS summary_chars,
+       md5({t}) AS summary_md5 FROM documents"""
+
+
+@q("render_area_report")
+def _():
+    return """WITH f AS (SELECT source AS area, doc_id, text FROM documents WHERE doc_id % 11 <> 0 AND length(text) > 0)
+SELECT area, '# Area Summary: ' || area || chr(10) || chr(10) || '**ISO Code:** us' || chr(10) || chr(10)
+       || '**Properties Analyzed:** ' || COUNT(*) || chr(10) || chr(10) || '---' || chr(10) || chr(10) || arg_min(text, doc_id) AS report
+FROM f WHERE area IS NOT NULL GROUP BY area"""
 
 
 @q("write_market_master")
@@ -1424,7 +1483,8 @@ FROM th JOIN cnt USING (metric) JOIN ct USING (metric)"""
 @q("write_request_log")
 def _():
     return """SELECT session, recency FROM (
-  SELECT user_id AS session, CAST(ROW_NUMBER() OVER (ORDER BY MIN(ts) DESC) AS INTEGER) AS recency FROM events GROUP BY user_id)
+  SELECT user_id AS session, CAST(ROW_NUMBER() OVER (ORDER BY date_trunc('day', MIN(ts)) DESC, user_id DESC) AS INTEGER) AS recency
+  FROM events GROUP BY user_id)
 WHERE recency <= 100"""
 
 
@@ -1458,24 +1518,30 @@ def _():
 
 @q("synthesis_prompt")
 def _():
-    tmpl = ("Model fit R2={R_SQUARED}\n\n| Dimension | r | n |\n{CORRELATION_TABLE}\n\n"
-            "Top:\n{TOP_DESCRIPTIONS}\n\nBottom:\n{BOTTOM_DESCRIPTIONS}")
-    line = (f"'#' || CAST(rank AS VARCHAR) || ' (residual ' || printf('%+.0f', {R('residual', 0)}) || ') ' "
-            "|| CAST(listing_id AS VARCHAR) || ' [' || concat_ws(', ', CASE WHEN quality IS NOT NULL THEN 'quality=' "
-            "|| CAST(quality AS VARCHAR) END, CASE WHEN toxic IS NOT NULL THEN 'toxic=' || CAST(toxic AS VARCHAR) END, "
-            "CASE WHEN word_count IS NOT NULL THEN 'word_count=' || CAST(word_count AS VARCHAR) END) || ']: ' || description")
+    tmpl = ("Area {ZIPCODE}: R2={R_SQUARED} over {NUM_PROPERTIES} properties\n\n{CORRELATION_TABLE}\n\n"
+            "Top:\n{HIGH_PREMIUM_DESCRIPTIONS}\n\nBottom:\n{LOW_PREMIUM_DESCRIPTIONS}")
+    scores = "concat_ws(', ', " + ", ".join(f"CASE WHEN {d} IS NOT NULL THEN '{d}: ' || CAST({d} AS VARCHAR) END"
+                                            for d in ("quality", "toxic", "word_count")) + ")"
+    line = (f"printf('**Property %s** ([Airbnb listing](%s)) (ADR premium: $%+.0f/night)', CAST(listing_id AS VARCHAR), "
+            f"'{LISTING_URL_PREFIX}' || CAST(listing_id AS VARCHAR), {R('residual', 0)}) || "
+            f"CASE WHEN {scores} <> '' THEN chr(10) || '  Scores: ' || {scores} ELSE '' END || chr(10) || description || chr(10)")
+    head = "| Dimension | Correlation | n |\n|-----------|-------------|---|\n"
+    fills = [("ZIPCODE", "'all'"), ("R_SQUARED", "r2"), ("CORRELATION_TABLE", "ct"), ("HIGH_PREMIUM_DESCRIPTIONS", "tt"),
+             ("LOW_PREMIUM_DESCRIPTIONS", "bt"), ("NUM_PROPERTIES", "np")]
+    text = _sql_str(tmpl)
+    for name, col in fills:
+        text = f"replace({text}, '{{{name}}}', {col})"
     return f"""WITH {SCORE_CTES},
 r2 AS (SELECT CASE WHEN var_samp(d.n_chars) * (COUNT(*) - 1) > 0
-                   THEN 1.0 - SUM(rs.residual * rs.residual) / (var_samp(d.n_chars) * (COUNT(*) - 1)) ELSE 0.0 END AS v
+                   THEN 1.0 - SUM(rs.residual * rs.residual) / (var_samp(d.n_chars) * (COUNT(*) - 1)) ELSE 0.0 END AS v, COUNT(*) AS n
        FROM rs JOIN documents d ON d.doc_id = rs.listing_id),
 tk AS (SELECT rtb.*, sc.quality, sc.toxic, sc.word_count, d.text AS description
        FROM rtb LEFT JOIN sc USING (listing_id) JOIN documents d ON d.doc_id = rtb.listing_id),
-parts AS (SELECT (SELECT printf('%.3f', {R('v', 3)}) FROM r2) AS r2,
-                 (SELECT string_agg(printf('| %s | %+.3f | %d |', dimension, {R('correlation', 3)}, n), chr(10) ORDER BY rank) FROM dc) AS ct,
-                 (SELECT string_agg({line}, chr(10) || chr(10) ORDER BY rank) FROM tk WHERE side = 'top') AS tt,
-                 (SELECT string_agg({line}, chr(10) || chr(10) ORDER BY rank) FROM tk WHERE side = 'bottom') AS bt)
-SELECT replace(replace(replace(replace({_sql_str(tmpl)}, '{{R_SQUARED}}', r2), '{{CORRELATION_TABLE}}', ct),
-               '{{TOP_DESCRIPTIONS}}', tt), '{{BOTTOM_DESCRIPTIONS}}', bt) AS prompt FROM parts"""
+parts AS (SELECT (SELECT printf('%.3f', {R('v', 3)}) FROM r2) AS r2, (SELECT CAST(n AS VARCHAR) FROM r2) AS np,
+                 {_sql_str(head)} || (SELECT string_agg(printf('| %s | %+.3f | %d |', {_initcap("replace(dimension, '_', ' ')")}, {R('correlation', 3)}, n), chr(10) ORDER BY rank) FROM dc) AS ct,
+                 (SELECT string_agg({line}, chr(10) ORDER BY rank) FROM tk WHERE side = 'top') AS tt,
+                 (SELECT string_agg({line}, chr(10) ORDER BY rank) FROM tk WHERE side = 'bottom') AS bt)
+SELECT {text} AS prompt FROM parts"""
 
 
 @q("tier_thresholds_by_area")
@@ -1515,7 +1581,6 @@ FROM pg"""
 
 @q("tier_insight_prompts")
 def _():
-    from staylens.plans.templates import INSIGHT_TEMPLATE, NO_DESCRIPTIONS
     hi = f"CASE WHEN th.metric = 'adr' THEN printf('$%.2f', {R('hi', 2)}) ELSE printf('%.1f%%', {R('hi', 1)}) END"
     lo = f"CASE WHEN th.metric = 'adr' THEN printf('$%.2f', {R('lo', 2)}) ELSE printf('%.1f%%', {R('lo', 1)}) END"
     fills = [("ZIPCODE", "'all'"), ("HIGH_THRESHOLD", hi), ("LOW_THRESHOLD", lo), ("TOP_PERCENTILE", "'25'"),

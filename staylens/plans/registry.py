@@ -449,8 +449,8 @@ def _(spark, sf):
     r2 = pm.r_squared(docs.join(res, "listing_id"))
     tb = pm.top_bottom_premium(res)
     topk = pr.join_topk_scores(tb, scores, b.b_descriptions(spark, sf))
-    tmpl = ("Model fit R2={R_SQUARED}\n\n| Dimension | r | n |\n{CORRELATION_TABLE}\n\n"
-            "Top:\n{TOP_DESCRIPTIONS}\n\nBottom:\n{BOTTOM_DESCRIPTIONS}")
+    tmpl = ("Area {ZIPCODE}: R2={R_SQUARED} over {NUM_PROPERTIES} properties\n\n{CORRELATION_TABLE}\n\n"
+            "Top:\n{HIGH_PREMIUM_DESCRIPTIONS}\n\nBottom:\n{LOW_PREMIUM_DESCRIPTIONS}")
     return pr.synthesis_prompt(r2, corr, topk, tmpl, SCORE_DIMS)
 
 
@@ -565,9 +565,10 @@ def _(spark, sf):
 
 @q("last_n_sessions")
 def _(spark, sf):
+    """Sessions by the hundreds of their id: many share a place, the id decides."""
     s = b.b_requests(spark, sf).groupBy(F.col("listing_id").alias("session")).agg(
-        F.count(F.lit(1)).alias("n_requests"))
-    return cs.last_n_sessions(s, "session", 100)
+        F.count(F.lit(1)).alias("n_requests")).withColumn("start", F.floor(F.col("session") / 100))
+    return cs.last_n_sessions(s, "start", 100, tie="session")
 
 
 # ---------------------------------------------------------------- freshness
@@ -974,7 +975,28 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "side")
     sk.write_side_tables(_details(spark, sf), path)
-    return spark.read.schema("listing_id string, house_rules string").json(f"{path}/house_rules")
+    return sk.read_side_tables(spark, path)
+
+
+@q("write_summaries")
+def _(spark, sf):
+    path = scratch_path(spark, "summaries-out")
+    sk.write_summaries(b.b_summaries(spark, sf), path)
+    back = fl.read_summaries(spark, path, glob="*", wholetext=False)
+    return back.select("area", "listing_id", F.length("summary").alias("summary_chars"), F.md5("summary").alias("summary_md5"))
+
+
+@q("render_area_report")
+def _(spark, sf):
+    """Each area's response stands in by its first non-empty summary."""
+    path = scratch_path(spark, "area-reports")
+    s = b.b_summaries(spark, sf)
+    filled = rv.empty_summary_filter(s)
+    counts = filled.groupBy("area").agg(F.count(F.lit(1)).alias("n_properties"))
+    responses = filled.groupBy("area").agg(F.min_by("summary", "listing_id").alias("response"))
+    sk.render_report(rp.area_report_markdown(responses, counts), path, ("area",), "report")
+    back = spark.read.text(path, wholetext=True)
+    return back.select("area", F.regexp_replace("value", "\n$", "").alias("report"))
 
 
 @q("write_market_master")
@@ -1033,9 +1055,9 @@ def _(spark, sf):
 @q("write_request_log")
 def _(spark, sf):
     path = scratch_path(spark, "request-log")
-    sessions = _event_sessions(spark, sf)
+    sessions = _event_sessions(spark, sf).withColumn("session_start", F.date_trunc("day", "session_start"))
     sk.write_request_log(sessions, path)
-    return sk.read_request_log(spark, path, "session_start", 100).select("session", "recency")
+    return sk.read_request_log(spark, path, "session_start", 100, tie="session").select("session", "recency")
 
 
 @q("normalize_reviews")

@@ -93,3 +93,19 @@ def area_prompts(summaries: DataFrame, overall_mean: float | None = None, n: int
     ch = pk.chunk_reviews(items, area, ["pack_pos"], "rendered", "prompt_tokens", limit)
     out = pk.chunk_prompt(ch, heads, area, limit=limit)
     return out.join(heads.select(area, "n_properties"), area)
+
+
+# ---------------------------------------------------------------------------
+# fixed values (must equal the reference for identical results)
+# ---------------------------------------------------------------------------
+AREA_REPORT = "# Area Summary: %s\n\n**ISO Code:** %s\n\n**Properties Analyzed:** %d\n\n---\n\n"
+
+
+def area_report_markdown(responses: DataFrame, counts: DataFrame, iso_code: str = "us", area: str = "area",
+                         text: str = "response") -> DataFrame:
+    """One Markdown report per area: area, ISO code, the number of properties
+    summarised (``counts``: area, n_properties) and the model's text.  Areas
+    without a response, or without a property, have no report."""
+    j = responses.where(F.col(text).isNotNull()).join(counts, area)
+    return j.select(area, F.concat(F.format_string(AREA_REPORT, F.col(area).cast("string"), F.lit(iso_code), "n_properties"),
+                                   F.col(text)).alias("report"))

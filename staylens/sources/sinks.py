@@ -21,14 +21,36 @@ def write_matrix(raw: DataFrame, clean: DataFrame, path: str, fmt: str = "parque
         c.parquet(f"{path}/clean")
 
 
+SIDE_TABLES = ("descriptions", "house_rules", "neighborhood_highlights")
+
+
 def write_side_tables(details: DataFrame, path: str, key: str = "listing_id") -> None:
-    """House rules, descriptions and neighbourhood highlights as JSON lines."""
-    from staylens.operators.matrix import parse_details
-    parsed = parse_details(details, key)
-    details.select(key, "description").write.mode("overwrite").json(f"{path}/descriptions")
-    parsed.select(key, "house_rules").write.mode("overwrite").json(f"{path}/house_rules")
-    parsed.select(key, "neighborhood_highlight").where(F.col("neighborhood_highlight").isNotNull()) \
-        .write.mode("overwrite").json(f"{path}/neighborhood_highlights")
+    """Descriptions, house rules and neighbourhood highlights as JSON lines
+    (``key, text``), one folder ``table=<name>`` each, from one pass over the
+    details; a listing without the text has no line."""
+    from staylens.operators.matrix import parse_details_columns
+    from staylens.sources.files import normalize_description_value
+    parsed = parse_details_columns()
+    description = F.col("description")
+    if details.schema["description"].dataType.typeName() == "variant":
+        description = F.to_json(description)
+    texts = dict(zip(SIDE_TABLES, (normalize_description_value(description), parsed["house_rules"],
+                                   parsed["neighborhood_highlight"])))
+    rows = details.select(key, F.inline(F.array(*[F.struct(F.lit(n).alias("table"), t.alias("text")) for n, t in texts.items()])))
+    rows.where(F.col("text").isNotNull()).write.mode("overwrite").partitionBy("table").json(path)
+
+
+def read_side_tables(spark, path: str, key: str = "listing_id") -> DataFrame:
+    """table, key, text of all side tables."""
+    return spark.read.schema(f"{key} string, text string, table string").json(path)
+
+
+def write_summaries(summaries: DataFrame, path: str, area: str = "area", key: str = "listing_id",
+                    summary: str = "summary") -> None:
+    """One ``{listing: summary}`` document per line, one folder per area (a NULL
+    summary is written as null)."""
+    doc = F.to_json(F.create_map(F.col(key).cast("string"), F.col(summary)), {"ignoreNullFields": "false"})
+    summaries.select(area, doc.alias("value")).write.mode("overwrite").partitionBy(area).text(path)
 
 
 def write_market_master(metrics: DataFrame, path: str, area: str | None = "area") -> None:
@@ -60,6 +82,6 @@ def write_request_log(sessions: DataFrame, path: str) -> None:
     sessions.write.mode("append").parquet(path)
 
 
-def read_request_log(spark, path: str, order_col: str = "session_start", n: int = 100) -> DataFrame:
+def read_request_log(spark, path: str, order_col: str = "session_start", n: int = 100, tie: str | None = None) -> DataFrame:
     from staylens.operators.costs import last_n_sessions
-    return last_n_sessions(spark.read.parquet(path), order_col, n)
+    return last_n_sessions(spark.read.parquet(path), order_col, n, tie)

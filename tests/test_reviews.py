@@ -72,3 +72,24 @@ def test_review_pack_overall_mean_global_or_by_area(spark):
     a = {r["listing_id"]: r["prompt"] for r in
          rp.review_pack(reviews, ["pos"], areas, template=tmpl, mean_by_area=True).collect()}
     assert a["a"].startswith("north 5.0 5.0") and a["b"].startswith("south 3.0 3.0")
+
+
+def test_area_report_and_synthesis_prompt(spark):
+    from staylens.operators import prompts as pr
+    from staylens.plans import reviews as rp
+    responses = spark.createDataFrame([("97067", "Nice area."), ("97068", None), ("1", "x")], "area string, response string")
+    counts = spark.createDataFrame([("97067", 507), ("97068", 3)], "area string, n_properties long")
+    rep = {r["area"]: r["report"] for r in rp.area_report_markdown(responses, counts).collect()}
+    assert rep == {"97067": "# Area Summary: 97067\n\n**ISO Code:** us\n\n**Properties Analyzed:** 507\n\n---\n\nNice area."}
+    r2 = spark.createDataFrame([(346, 0.8729)], "n long, r_squared double")
+    corr = spark.createDataFrame([(1, "sense_of_place", 0.1089, 345), (2, "length", -0.0351, 344)],
+                                 "rank int, dimension string, correlation double, n long")
+    top = spark.createDataFrame([("top", 1, "7", 230.4, 5.0, None, "By the river"), ("bottom", 1, "9", -152.0, None, None, "Room")],
+                                "side string, rank int, listing_id string, residual double, a double, b double, description string")
+    tmpl = "{ZIPCODE}|{R_SQUARED}|{NUM_PROPERTIES}|{CORRELATION_TABLE}|{HIGH_PREMIUM_DESCRIPTIONS}|{LOW_PREMIUM_DESCRIPTIONS}"
+    got = pr.synthesis_prompt(r2, corr, top, tmpl, ["a", "b"], "97067").collect()[0]["prompt"]
+    url = "https://www.airbnb.com/rooms/"
+    assert got == ("97067|0.873|346|| Dimension | Correlation | n |\n|-----------|-------------|---|\n"
+                   "| Sense Of Place | +0.109 | 345 |\n| Length | -0.035 | 344 |"
+                   f"|**Property 7** ([Airbnb listing]({url}7)) (ADR premium: $+230/night)\n  Scores: a: 5.0\nBy the river\n"
+                   f"|**Property 9** ([Airbnb listing]({url}9)) (ADR premium: $-152/night)\nRoom\n")

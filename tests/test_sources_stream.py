@@ -69,6 +69,37 @@ def test_sinks_roundtrip(spark, tmpdir_path):
     assert sk.read_request_log(spark, os.path.join(tmpdir_path, "log")).count() == 1
 
 
+def test_request_log_ties_are_settled_by_name(spark, tmpdir_path):
+    import pytest
+    from staylens.operators.costs import last_n_sessions
+    rows = [(i, "2024-01-01", i % 3) for i in range(30)]
+    df = spark.createDataFrame(rows, "session int, session_start string, cost int").repartition(5)
+    got = last_n_sessions(df, "session_start", 4, tie="session").collect()
+    assert [(r["session"], r["recency"]) for r in got] == [(29, 1), (28, 2), (27, 3), (26, 4)]
+    assert [r["session"] for r in last_n_sessions(df, "session_start", 4).collect()] == [29, 26, 23, 20]  # cost, then session
+    with pytest.raises(ValueError):
+        last_n_sessions(df, "session_start", 4, tie="session_id")
+
+
+def test_side_tables_and_summaries_read_back_in_full(spark, tmpdir_path):
+    _write(tmpdir_path, "property_details_1.json", {
+        "description": ["a", "b"], "house_rules": {"aditional": "no smoking"},
+        "location_descriptions": [{"title": "Neighborhood highlights", "content": "quiet"}]})
+    _write(tmpdir_path, "property_details_2.json", {"description": "plain", "location_descriptions": [
+        {"title": "Getting around", "content": "bus"}]})
+    out = os.path.join(tmpdir_path, "side")
+    sk.write_side_tables(fl.read_listing_details(spark, tmpdir_path), out)
+    assert sorted((r["table"], r["listing_id"], r["text"]) for r in sk.read_side_tables(spark, out).collect()) == [
+        ("descriptions", "1", "a b"), ("descriptions", "2", "plain"), ("house_rules", "1", "no smoking"),
+        ("neighborhood_highlights", "1", "quiet")]
+    s = spark.createDataFrame([("97067", "1", "Great"), ("97067", "2", None), ("97068", "3", "")],
+                              "area string, listing_id string, summary string")
+    path = os.path.join(tmpdir_path, "summaries")
+    sk.write_summaries(s, path)
+    back = fl.read_summaries(spark, path, glob="*", wholetext=False)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, s.collect()), key=str)
+
+
 def test_stream_equals_batch(spark):
     from staylens.operators.reviews import listing_mean_rating
     from staylens.streaming.incremental import stream_review_ratings
