@@ -32,8 +32,8 @@ MARKET_FIELDS = ["ADR", "Occupancy", "Revenue", "Bedrooms", "Bathrooms", "Max_Gu
 
 def _group(text: Column, pattern: str, idx: int = 1) -> Column:
     """Captured group or NULL when the pattern does not match."""
-    s = F.regexp_extract(text, pattern, idx)
-    return F.when(text.rlike(pattern), s)
+    # the groups of all patterns take at least one character, so '' means no match
+    return F.nullif(F.regexp_extract(text, pattern, idx), F.lit(""))
 
 
 def extract_kpis(pages: DataFrame, text_col: str = "page_text") -> DataFrame:

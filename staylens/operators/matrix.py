@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from staylens.functions.scalar import presence_flag
+from staylens.functions.scalar import presence_sql
 
 # ---------------------------------------------------------------------------
 # fixed values (must equal the reference for identical results)
@@ -66,6 +66,11 @@ def amenity_long(details: DataFrame, key: str = "listing_id", categorical: bool
     return last_icons(details, categorical).select(key, F.inline("_icons"))
 
 
+def icon_sql(icon: str) -> str:
+    """The map lookup of an icon as SQL text."""
+    return "_m['" + icon.replace("\\", "\\\\").replace("'", "\\'") + "']"
+
+
 def icon_map(df: DataFrame, entries: str = "_icons", value: str = "title") -> DataFrame:
     """``df`` with ``_m``, icon -> value, in place of the entries."""
     pairs = F.transform(entries, lambda e: F.struct(e["icon"].alias("icon"), e[value].alias(value)))
@@ -87,12 +92,12 @@ def amenity_matrix(long: DataFrame, icons: Sequence[str] | None = None, key: str
     if icons is None:
         icons = sorted(r[0] for r in long.select("icon").distinct().collect())
     m = long.groupBy(key).agg(F.collect_set(F.struct("icon", value)).alias("_icons"))
-    return icon_map(m, value=value).select(key, *[F.col("_m")[i].alias(i) for i in icons])
+    return icon_map(m, value=value).selectExpr(f"`{key}`", *[f"{icon_sql(i)} AS `{i}`" for i in icons])
 
 
 def amenity_flags(df: DataFrame, prefix: str = "SYSTEM_") -> DataFrame:
     """``SYSTEM_*`` columns -> 0/1 (present = non-NULL and not False/'False')."""
-    return df.withColumns({c: presence_flag(c) for c in df.columns if c.startswith(prefix)})
+    return df.selectExpr(*[f"{presence_sql(c)} AS `{c}`" if c.startswith(prefix) else f"`{c}`" for c in df.columns])
 
 
 def drop_columns(df: DataFrame, cols: Sequence[str] = DROP_COLUMNS) -> DataFrame:
@@ -197,9 +202,10 @@ def build_matrix(details: DataFrame, metrics: DataFrame, icons: Sequence[str] |
     rows = icon_map(last_icons(details, categorical).where(entire) if strict_entire_home else last_icons(details, categorical))
     wide = rows.select(key, listing_link(key).alias("link"),
                        *[F.when(entire, v).alias(c) for c, v in basic.items()],
-                       *[F.when(entire, F.col("_m")[i]).alias(i) for i in icons])
+                       F.when(entire, F.col("_m")).alias("_m"))
     fin = occupancy_metrics(metrics).select(key, "ADR", "Occ_Rate_Based_on_Avail", "Days_Avail", "Abs_Occ_Rate",
                                             "Avail_Rate", F.lit(True).alias("has_airdna_data"))
-    return wide.join(fin, key, "left").select(
-        key, "link", "ADR", "Occ_Rate_Based_on_Avail", "Days_Avail", "Abs_Occ_Rate", "Avail_Rate",
-        F.coalesce("has_airdna_data", F.lit(False)).alias("has_airdna_data"), *basic, *icons)
+    return wide.join(fin, key, "left").selectExpr(
+        f"`{key}`", "link", "ADR", "Occ_Rate_Based_on_Avail", "Days_Avail", "Abs_Occ_Rate", "Avail_Rate",
+        "coalesce(has_airdna_data, false) AS has_airdna_data", *[f"`{c}`" for c in basic],
+        *[f"{icon_sql(i)} AS `{i}`" for i in icons])

@@ -256,7 +256,9 @@ def chunk_numbers(staged: DataFrame, key: str, order_cols: Sequence, partitions:
     rows = written(rows.select("_id", F.col(key).cast("string").alias("_ks"), "tokens", "budget", "_at"), "pack-numbers")
     rows = rows.withColumn("_pid", F.shiftright("_at", ROW_BITS))
     n = partitions or max(int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    nodes = written(rows.groupBy("_pid").applyInArrow(lambda t: _summary(t), "_pid long, node binary"), "exit-tables")
+    nodes = rows.groupBy("_pid").applyInArrow(lambda t: _summary(t), "_pid long, node binary")
+    if n > FAN:     # read on the way up and on the way down
+        nodes = written(nodes, "exit-tables")
     return rows.groupBy("_pid").cogroup(entry_states(nodes, n).groupBy("_pid")).applyInArrow(
         lambda r, s: _assign(r, s), "_id long, chunk_no long, item_no long, truncated boolean")
 

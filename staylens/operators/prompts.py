@@ -125,22 +125,27 @@ def synthesis_prompt(r2: DataFrame, correlations: DataFrame, topk: DataFrame, te
     return one.select(prompt.alias("prompt"))
 
 
+def area_summaries(summaries: DataFrame, n: int | None = None, area: str = "area", key: str = "listing_id",
+                   summary: str = "summary") -> DataFrame:
+    """The non-empty ones of the first ``n`` (default: all) summaries per area in
+    key order, with ``rendered``: 'Listing <id>:\\n<summary>'."""
+    from staylens.operators.packing_dist import global_positions
+    if n is not None:  # the first n are taken before empty ones drop out
+        summaries = global_positions(summaries, area, [key]).where(F.col("gidx") < n).drop("gidx")
+    ne = summaries.where(F.col(summary).isNotNull() & (F.length(summary) > 0))
+    return ne.withColumn("rendered", F.concat(F.lit("Listing "), F.col(key).cast("string"), F.lit(":\n"), F.col(summary)))
+
+
 def area_summary_pack(summaries: DataFrame, n: int | None = None, area: str = "area", key: str = "listing_id",
                       summary: str = "summary") -> DataFrame:
-    """The non-empty ones of the first ``n`` (default: all) summaries per area in key order, rendered as
-    'Listing <id>:\n<summary>', with the area's property count.
-
-    One row per summary (``area, pack_pos, key, n_properties, rendered``): the
-    area request is then packed by :func:`staylens.operators.packing.chunk_reviews`
-    keyed on the area, so no row or task holds an area's whole text.  The
-    position inside the area comes from a range-partitioned numbering
-    (``global_positions``), so a hot area is spread over many tasks.
+    """:func:`area_summaries` numbered inside their area, with the area's property count.
+
+    One row per summary (``area, pack_pos, key, n_properties, rendered``).  The
+    position comes from a range-partitioned numbering (``global_positions``), so
+    a hot area is spread over many tasks.
     """
     from staylens.operators.packing_dist import global_positions
-    if n is not None:  # the first n are taken before empty ones drop out
-        summaries = global_positions(summaries, area, [key]).where(F.col("gidx") < n).drop("gidx", "pe")
-    ne = summaries.where(F.col(summary).isNotNull() & (F.length(summary) > 0))
-    ranked = global_positions(ne, area, [key]).withColumn("pack_pos", F.col("gidx") + 1).drop("gidx", "pe")
+    ranked = global_positions(area_summaries(summaries, n, area, key, summary), area, [key]) \
+        .withColumn("pack_pos", F.col("gidx") + 1)
     counts = ranked.groupBy(area).agg(F.count(F.lit(1)).alias("n_properties"))
-    rendered = F.concat(F.lit("Listing "), F.col(key).cast("string"), F.lit(":\n"), F.col(summary))
-    return ranked.join(counts, area).select(area, "pack_pos", key, "n_properties", rendered.alias("rendered"))
+    return ranked.join(counts, area).select(area, "pack_pos", key, "n_properties", "rendered")

@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from staylens.functions.scalar import display_name, fixed_round, presence_flag, signed
+from staylens.functions.scalar import display_name, fixed_round, presence_sql, signed
 
 # ---------------------------------------------------------------------------
 # fixed values (must equal the reference for identical results)
@@ -204,7 +204,7 @@ def tier_feature_stats(tiered: DataFrame, amenities: Sequence[str], numeric: Seq
     cols = set(tiered.columns)
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, a in enumerate(a for a in amenities if a in cols):
-        aggs.append(F.sum(presence_flag(a)).alias(f"a{i}"))
+        aggs.append(F.expr(f"sum({presence_sql(a)})").alias(f"a{i}"))
     for i, c in enumerate(c for c in numeric if c in cols):
         v = F.col(c).cast("string").try_cast("double")
         aggs.append(F.avg(v).alias(f"m{i}"))
@@ -213,10 +213,7 @@ def tier_feature_stats(tiered: DataFrame, amenities: Sequence[str], numeric: Seq
 
 def _pivot_tiers(stats: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     """(keys, metric, tier, fields..) -> (keys, metric, hi_*, lo_*) via conditional max."""
-    out = []
-    for f in fields:
-        out.append(F.max(F.when(F.col("tier") == "high", F.col(f))).alias(f"hi_{f}"))
-        out.append(F.max(F.when(F.col("tier") == "low", F.col(f))).alias(f"lo_{f}"))
+    out = [F.expr(f"max({f}) FILTER (WHERE tier = '{t}') AS {p}_{f}") for f in fields for t, p in (("high", "hi"), ("low", "lo"))]
     return stats.groupBy(*keys, "metric").agg(*out)
 
 
@@ -235,17 +232,13 @@ def amenity_prevalence(tiered: DataFrame, amenities: Sequence[str] = AMENITY_COL
         stats = tier_feature_stats(tiered, present, [], by)
     fields = ["n"] + [f"a{i}" for i in range(len(present))]
     w = _pivot_tiers(stats, keys, fields).where(F.col("hi_n").isNotNull() & F.col("lo_n").isNotNull())
-    entries = []
-    for i, a in enumerate(present):
-        hi = F.col(f"hi_a{i}") / F.col("hi_n") * 100.0
-        lo = F.col(f"lo_a{i}") / F.col("lo_n") * 100.0
-        entries.append(F.struct(F.lit(a).alias("amenity"), F.lit(i).alias("amenity_pos"),
-                                fixed_round(hi, 1).alias("high_tier_pct"),
-                                fixed_round(lo, 1).alias("low_tier_pct"),
-                                fixed_round(hi - lo, 1).alias("difference")))
-    if not entries:
+    if not present:
         return w.select(*keys, "metric").where(F.lit(False))
-    long = w.select(*keys, "metric", F.inline(F.array(*entries)))
+    entries = ", ".join(f"named_struct('amenity', '{a}', 'amenity_pos', {i}, 'hi', hi_a{i}, 'lo', lo_a{i})" for i, a in enumerate(present))
+    long = w.select(*keys, "metric", "hi_n", "lo_n", F.expr(f"inline(array({entries}))"))
+    hi, lo = F.col("hi") / F.col("hi_n") * 100.0, F.col("lo") / F.col("lo_n") * 100.0
+    long = long.select(*keys, "metric", "amenity", "amenity_pos", fixed_round(hi, 1).alias("high_tier_pct"),
+                       fixed_round(lo, 1).alias("low_tier_pct"), fixed_round(hi - lo, 1).alias("difference"))
     return rank_by_abs(long, keys + ["metric"], "difference", "amenity_pos")
 
 

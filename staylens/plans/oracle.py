@@ -161,7 +161,7 @@ B_MARKET = f"""
          CAST(LEAST(365, 10 * COUNT(DISTINCT CAST(l_shipdate AS DATE))) AS INTEGER) AS Days_Available
   FROM lineitem GROUP BY l_partkey"""
 
-ICONS = [f"SYSTEM_{f}_{s}_{d:02d}" for f in "ANR" for s in "FO" for d in range(11)]
+ICONS = [f"SYSTEM_{f}_{d:02d}" for f in "ANR" for d in range(11)]
 
 
 def _occ(alias: str = "") -> str:
@@ -173,7 +173,7 @@ def _occ(alias: str = "") -> str:
 
 
 B_ICONS = """
-  SELECT DISTINCT l_partkey AS listing_id, 'SYSTEM_' || l_returnflag || '_' || l_linestatus || '_'
+  SELECT DISTINCT l_partkey AS listing_id, 'SYSTEM_' || l_returnflag || '_'
          || lpad(CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR), 2, '0') AS icon
   FROM lineitem"""
 
@@ -1153,8 +1153,8 @@ DET = """SELECT CAST(p_partkey AS VARCHAR) AS listing_id, p_partkey, p_size, p_n
 FROM part"""
 LONG = f"""SELECT listing_id, icon, arg_max(title, src) AS title, MAX(src) AS source FROM (
   SELECT CAST(listing_id AS VARCHAR) AS listing_id, icon, 'Feature ' || icon AS title, 0 AS src FROM ({B_ICONS})
-  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'SYSTEM_A_F_03', 'No pets', 1 FROM part WHERE p_size % 3 = 0
-  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'SYSTEM_N_O_05', 'Guest favourite', 2 FROM part WHERE p_size % 4 = 0
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'SYSTEM_A_03', 'No pets', 1 FROM part WHERE p_size % 3 = 0
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'SYSTEM_N_05', 'Guest favourite', 2 FROM part WHERE p_size % 4 = 0
 ) GROUP BY listing_id, icon"""
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staylens.functions.scalar import estimate_tokens, fill_template, fixed_round
 from staylens.operators import packing as pk
-from staylens.operators.prompts import area_summary_pack
+from staylens.operators.prompts import area_summaries
 from staylens.plans.common import reuse
 
 # Placeholders filled in the listing and area prompt templates.
@@ -83,14 +83,14 @@ def area_prompts(summaries: DataFrame, overall_mean: float | None = None, n: int
                  limit: int = pk.CHUNK_TOKEN_LIMIT) -> DataFrame:
     """Area requests: the first ``n`` non-empty summaries per area, packed under
     the token limit like reviews (``area, chunk_no, n_chunks, n_items, prompt``)."""
-    pack = reuse(area_summary_pack(summaries, n, area, key, summary))  # read by items, heads and counts
+    pack = area_summaries(summaries, n, area, key, summary).where(F.col(area).isNotNull())
     mean_txt = F.lit(str(overall_mean if overall_mean is not None else 0.0))
     base = fill_template(F.lit(template), {"ZIP_CODE_HERE": F.col(area).cast("string"),
                                            "ISO_CODE_HERE": F.lit(iso_code), "OVERALL_MEAN": mean_txt})
-    heads = pack.groupBy(area).agg(F.first("n_properties").alias("n_properties")) \
+    heads = pack.groupBy(area).agg(F.count(F.lit(1)).alias("n_properties")) \
         .withColumn("base_prompt", base).withColumn("prompt_tokens", estimate_tokens("base_prompt"))
     items = pack.withColumn("prompt_tokens", estimate_tokens(base))
-    ch = pk.chunk_reviews(items, area, ["pack_pos"], "rendered", "prompt_tokens", limit)
+    ch = pk.chunk_reviews(items, area, [key], "rendered", "prompt_tokens", limit)
     out = pk.chunk_prompt(ch, heads, area, limit=limit)
     return out.join(heads.select(area, "n_properties"), area)
 

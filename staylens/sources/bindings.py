@@ -69,9 +69,9 @@ def b_market(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _icon():
-    """One icon per return flag, line status and discount of a line."""
+    """One icon per return flag and discount of a line."""
     cents = F.lpad(F.round(F.col("l_discount") * 100).cast("int").cast("string"), 2, "0")
-    return F.concat(F.lit("SYSTEM_"), F.col("l_returnflag"), F.lit("_"), F.col("l_linestatus"), F.lit("_"), cents)
+    return F.concat(F.lit("SYSTEM_"), F.col("l_returnflag"), F.lit("_"), cents)
 
 
 def b_icon_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,8 +85,8 @@ def b_feature_icons(spark: SparkSession, sf: str) -> DataFrame:
     return b_icon_rows(spark, sf).distinct()
 
 
-# The binding's 66 icons: return flag x line status x discount in cents.
-BINDING_ICONS = [f"SYSTEM_{f}_{s}_{d:02d}" for f in ("A", "N", "R") for s in ("F", "O") for d in range(11)]
+# The binding's 33 icons: return flag x discount in cents.
+BINDING_ICONS = [f"SYSTEM_{f}_{d:02d}" for f in ("A", "N", "R") for d in range(11)]
 
 
 def b_part_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -265,7 +265,7 @@ def b_details(spark: SparkSession, sf: str) -> DataFrame:
         F.create_map(F.lit("guest_satisfaction"), (3 + (size % 20) / 10.0)).alias("rating"),
         F.struct(F.concat(F.lit("Quiet hours for "), F.col("p_brand")).alias("aditional"),
                  F.when(size % 3 == 0, F.array(F.struct(F.array(F.struct(
-                     F.lit("No pets").alias("title"), F.lit("SYSTEM_A_F_03").alias("icon"))).alias("values"))))
+                     F.lit("No pets").alias("title"), F.lit("SYSTEM_A_03").alias("icon"))).alias("values"))))
                  .otherwise(empty_groups).alias("general")).alias("house_rules"),
         F.col("p_name").alias("title"),
         F.struct(F.array(F.concat(size.cast("string"), F.lit(" guests")),
@@ -278,6 +278,6 @@ def b_details(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("vals").isNotNull(), F.array(F.struct(F.col("vals").alias("values"))))
          .otherwise(empty_groups).alias("amenities"),
         F.when(size % 4 == 0, F.array(F.struct(F.lit("Guest favourite").alias("title"),
-                                               F.lit("SYSTEM_N_O_05").alias("icon"))))
+                                               F.lit("SYSTEM_N_05").alias("icon"))))
          .otherwise(empty_icons).alias("highlights"))
     return d

@@ -74,49 +74,61 @@ def land(rows: DataFrame, arrival: str, count: int, source: str):
         yield k
 
 
-STATE = "file string, rating_sum double, n_reviews long"
-UPDATE = "file string, rating_sum double, n_reviews long, old_sum double, old_n long"
+BUCKETS = 512   # state rows; one holds the listings of a bucket, so choose listings / a few thousand at most
+STATE = "keys array<string>, files array<string>, sums array<double>, counts array<long>"
+UPDATE = "key string, file string, rating_sum double, n_reviews long, old_sum double, old_n long"
 
 
 def partial_ratings(src: DataFrame, key: str, rating: str = "rating") -> DataFrame:
-    """key, file, rating_sum, n_reviews of each Arrow batch (NULL ratings count as 0)."""
+    """key, file, rating_sum, n_reviews of the last file of each key in each Arrow
+    batch (NULL ratings count as 0): rows of a file that the same batch
+    overwrites need not travel."""
     rows = src.select(key, "file", F.coalesce(F.col(rating).cast("double"), F.lit(0.0)).alias("r"))
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         for b in batches:
             t = pa.Table.from_batches([b]).group_by([key, "file"]).aggregate([("r", "sum"), ("r", "count")])
-            yield from t.select([key, "file", "r_sum", "r_count"]).rename_columns(
+            t = t.sort_by([(key, "ascending"), ("file", "descending")])
+            k = t.column(key).combine_chunks()
+            first = pa.array([True] * min(1, len(k)) + pc.fill_null(pc.not_equal(k[1:], k[:-1]), True).to_pylist())
+            yield from t.filter(first).select([key, "file", "r_sum", "r_count"]).rename_columns(
                 [key, "file", "rating_sum", "n_reviews"]).to_batches()
 
     return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, file string, rating_sum double, n_reviews long")
 
 
-def _last_file(key_name: str):
-    def update(key, frames, state):
-        import pandas as pd
-        old = state.get if state.exists else ("", 0.0, 0)
-        file, total, n = old
-        for pdf in frames:
-            for f, s, c in zip(pdf["file"], pdf["rating_sum"], pdf["n_reviews"]):
-                if f > file:                # a later file takes the place of the listing's reviews
-                    file, total, n = f, 0.0, 0
-                if f == file:               # more of the same file
-                    total, n = total + float(s), n + int(c)
-        if (file, total, n) != tuple(old):
-            state.update((file, total, n))
-            yield pd.DataFrame({key_name: [key[0]], "file": [file], "rating_sum": [total], "n_reviews": [n],
-                                "old_sum": [old[1]], "old_n": [old[2]]})
-    return update
-
-
-def last_file_ratings(src: DataFrame, key: str = "listing_id", rating: str = "rating") -> DataFrame:
+def _last_files(bucket, frames, state):
+    """State of a bucket: each listing's last file with its sum and count."""
+    import pandas as pd
+    held = {k: (f, t, n) for k, f, t, n in zip(*state.get)} if state.exists else {}
+    before = {}
+    for pdf in frames:
+        for k, f, t, n in zip(*(pdf[c].tolist() for c in ("key", "file", "rating_sum", "n_reviews"))):
+            old = held.get(k, ("", 0.0, 0))
+            before.setdefault(k, old)
+            if f > old[0]:          # a later file takes the place of the listing's reviews
+                held[k] = (f, t, n)
+            elif f == old[0]:       # more of the same file
+                held[k] = (f, old[1] + t, old[2] + n)
+    changed = [(k, *held[k], old[1], old[2]) for k, old in before.items() if held.get(k, old) != old]
+    if changed:
+        state.update((list(held), *(list(c) for c in zip(*held.values()))))
+    yield pd.DataFrame(changed, columns=["key", "file", "rating_sum", "n_reviews", "old_sum", "old_n"])
+
+
+def last_file_ratings(src: DataFrame, key: str = "listing_id", rating: str = "rating", buckets: int = BUCKETS) -> DataFrame:
     """Stream of updates per listing: its last file's sum and count, and the
     ones they replace (count 0: the listing is new).  ``src`` has ``file``, whose
-    order says which file is later; files may arrive in any order."""
-    parts = partial_ratings(src, key, rating)
-    kt = parts.schema[key].dataType.simpleString()
-    return parts.groupBy(key).applyInPandasWithState(_last_file(key), f"{key} {kt}, {UPDATE}", STATE, "update", "NoTimeout")
+    order says which file is later; files may arrive in any order.  State is kept
+    per bucket of listings (``buckets`` stays the same for the life of a
+    checkpoint), which spares a Python call per listing."""
+    kt = src.schema[key].dataType.simpleString()
+    parts = partial_ratings(src.withColumn(key, F.col(key).cast("string")), key, rating).withColumnRenamed(key, "key")
+    rows = parts.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    out = rows.groupBy("bucket").applyInPandasWithState(_last_files, UPDATE, STATE, "update", "NoTimeout")
+    return out.withColumn("key", F.col("key").cast(kt)).withColumnRenamed("key", key)
 
 
 def running_overall_mean(updates: DataFrame) -> DataFrame:
