@@ -155,6 +155,14 @@ class TokenOrder:
         self.token, self.n = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.shared = np.zeros((buckets, self.bits // 8), np.uint8)
 
+    @classmethod
+    def of(cls, parts: dict) -> TokenOrder:
+        """From ``vars`` of another: a broadcast holds arrays only, as workers
+        need not have the package."""
+        out = cls.__new__(cls)
+        out.__dict__.update(parts)
+        return out
+
     def rank(self, tokens: np.ndarray) -> np.ndarray:
         """0: in one document; 1: in several; the frequency for frequent tokens."""
         short = short_hash(tokens, self.buckets)
@@ -219,11 +227,11 @@ def short_hash(tokens: np.ndarray, buckets: int) -> np.ndarray:
 def prefixes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, set_a, set_b (128-bit digest of the set), prefix
     (its tokens that other documents may hold, sorted)."""
-    shared = docs.sparkSession.sparkContext.broadcast(token_order(docs, k))
+    shared = docs.sparkSession.sparkContext.broadcast(vars(token_order(docs, k)))
 
     def run(batches):
         import xxhash
-        shingle, order = Shingler(k), shared.value
+        shingle, order = Shingler(k), TokenOrder.of(shared.value)
         for b in batches:
             size, a, z, prefix = [], [], [], []
             for t in b.column("text"):
@@ -504,10 +512,16 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
 
 def one_per_class(docs: DataFrame, **options) -> DataFrame:
     """Documents that are the smallest of their component (same columns);
-    equal rows of that document stay once."""
+    equal rows of that document stay once (columns that Spark cannot compare,
+    such as maps, by their JSON text)."""
     classes = jaccard_components(docs.select("doc_id", "text"), **options)
-    drop = classes.where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(docs.columns).dropDuplicates()
+    drop = classes.where("doc_id != component_id").select(F.col("doc_id").alias("_drop")).distinct()
+    kept = docs.join(drop, F.col("doc_id") == F.col("_drop"), "left_anti")
+    odd = [f.name for f in docs.schema if any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    if not odd:
+        return kept.dropDuplicates()
+    keys = {f"_key{i}": F.to_json(F.struct(c)) for i, c in enumerate(odd)}
+    return kept.withColumns(keys).dropDuplicates([*keys, *[c for c in docs.columns if c not in odd]]).select(docs.columns)
 
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
