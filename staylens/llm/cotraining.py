@@ -2,19 +2,27 @@
 
 Two views of a document -- the words of its text, and metadata (language,
 source, lengths, character and repetition shares) -- each learn both labels,
-``quality`` and ``toxic``.  Over several rounds a view passes the pseudo-labels
-it is confident of (and right about on held-out labels) to the other view's
-training set.  The views are then calibrated and combined on held-out labels,
-and every document is scored.
-
-The classifiers are fitted on a bounded sample: at most ``LABELLED`` labelled
-and ``POOL`` unlabelled documents, chosen by a hash of their id.  All documents
-are scored.
+``quality`` and ``toxic``, from labelled documents.  Over several rounds a view
+passes the pseudo-labels it is confident of (and right about on held-out labels)
+to the other view's training set.  The views are then calibrated and combined on
+held-out labels, and every document is scored.
+
+Only the labelled sample is bounded (``LABELLED`` documents, chosen by a hash of
+their id).  All unlabelled documents take part in every exchange: each task
+labels its own with the confident views and sums, per feature of the other view,
+how many documents hold it, how many of those are positive, and the gradient and
+curvature of the loss; Spark adds these sums (``FEATURES`` numbers a view at
+most reach the driver), and the view is fitted to its labelled rows plus this
+quadratic bound of the loss of the pseudo-labelled ones.
+
+Of the labelled documents a quarter calibrates and combines the views, one in 32
+only measures their accuracy, the rest is fitted.
 
 Defined cases: null and blank texts score 0 and are rejected; null metadata is
 a category of its own; repeated labels of a document count as one (lowest
 quality, highest toxic); a label that has one class only, or none, does not
-reject anything; repeated rows score alike; an empty table gives no rows.
+reject anything; repeated rows score alike; an empty table gives no rows; a
+column named like a score is replaced by it.
 """
 
 from __future__ import annotations
@@ -30,8 +38,9 @@ from pyspark.sql import functions as F
 from staylens.llm.common import load
 
 LABELLED = 12_000
-POOL = 4_000
 HASH_BITS = 18
+FEATURES = 1 << HASH_BITS
+BLOCK = 256     # features of one partial sum
 ROUNDS = 3
 EPOCHS = 30
 CONFIDENT = 0.98
@@ -40,6 +49,8 @@ CHI2 = 25.0     # evidence a feature needs (one in 3 million by chance)
 SYMBOLS = b"#*$%&|<>!@{}[]()=/\\_~^+-.,;:?\"'"
 MEMO = 1 << 19
 NAMES = 64      # hashed cells for language and source each
+LABELS = ("quality", "toxic")
+SCORES = ("quality_score", "toxic_score", "score", "kept")
 
 
 class Features:
@@ -80,20 +91,22 @@ class Features:
                 *[raw.count(SYMBOLS[i:i + 1]) / k for i in range(len(SYMBOLS))]]
 
 
-class Metadata:
-    """One-hot cells: names as they are, numbers by quantile bins."""
+def metadata_cuts(rows: np.ndarray) -> list[np.ndarray]:
+    """Bin edges of the metadata numbers (columns 2 and up) by quantiles."""
+    return [np.unique(np.quantile(rows[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(2, rows.shape[1])]
+
 
-    def __init__(self, rows: np.ndarray):
-        self.cuts = [np.unique(np.quantile(rows[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) if len(rows) else np.zeros(0)
-                     for j in range(2, rows.shape[1])]
-        self.size = 2 * NAMES + BINS * len(self.cuts)
+def metadata_size(cuts: list[np.ndarray]) -> int:
+    return 2 * NAMES + BINS * len(cuts)
 
-    def cells(self, rows: np.ndarray) -> np.ndarray:
-        out = [rows[:, 0].astype(np.int64), NAMES + rows[:, 1].astype(np.int64)]
-        for j, c in enumerate(self.cuts):
-            # the lowest value (often 0) is a bin of its own: right side of the cut
-            out.append(2 * NAMES + BINS * j + np.searchsorted(c, rows[:, j + 2], "left"))
-        return np.stack(out, axis=1)
+
+def metadata_cells(cuts: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """One-hot cells: names as they are, numbers by their bins."""
+    out = [rows[:, 0].astype(np.int64), NAMES + rows[:, 1].astype(np.int64)]
+    for j, c in enumerate(cuts):
+        # the lowest value (often 0) is a bin of its own: right side of the cut
+        out.append(2 * NAMES + BINS * j + np.searchsorted(c, rows[:, j + 2], "left"))
+    return np.stack(out, axis=1)
 
 
 class Rows:
@@ -108,18 +121,38 @@ class Rows:
         return np.bincount(self.row, weights=w[self.index], minlength=len(self.n))
 
 
-def evident(x: Rows, y: np.ndarray, size: int, least: float = CHI2) -> Rows:
-    """The rows with only those features whose 2x2 table with the label has a
-    chi-square of at least ``least``; thousands of neutral words would
-    otherwise outweigh a few telling ones in long texts."""
+class Sums:
+    """What a set of pseudo-labelled documents adds to the fit of one view, per
+    feature (the last entry: all documents): documents, positive ones, gradient
+    and curvature bound of the weighted loss at the weights they were taken at."""
+
+    def __init__(self, size: int):
+        self.held, self.w = np.zeros((4, size + 1)), np.zeros(size + 1)
+
+    def add(self, x: Rows, y: np.ndarray, logit: np.ndarray, weight: np.ndarray) -> None:
+        p = 1 / (1 + np.exp(-logit))
+        r, h = (p - y) * weight, p * (1 - p) * weight * (x.n + 1)
+        for row, v in zip(self.held, (np.ones(len(y)), y, r, h)):
+            row[:-1] += np.bincount(x.index, weights=v[x.row], minlength=len(row) - 1)
+            row[-1] += v.sum()
+
+
+def evidence(x: Rows, y: np.ndarray, size: int, more: Sums | None) -> np.ndarray:
+    """Features whose 2x2 table with the label has a chi-square of at least
+    ``CHI2``; thousands of neutral words would otherwise outweigh a few telling
+    ones in long texts."""
     n, pos = float(len(y)), float(y.sum())
     c = np.bincount(x.index, minlength=size).astype(float)
     a = np.bincount(x.index, weights=y[x.row], minlength=size)
-    chi2 = n * (a * (n - pos) - (c - a) * pos) ** 2 / np.maximum(pos * (n - pos) * c * (n - c), 1e-9)
-    keep = (chi2 >= least)[x.index]
-    out = Rows([])
-    out.index, out.row, out.n = x.index[keep], x.row[keep], x.n
-    return out
+    if more is not None:
+        c, a, n, pos = c + more.held[0, :-1], a + more.held[1, :-1], n + more.held[0, -1], pos + more.held[1, -1]
+    return n * (a * (n - pos) - (c - a) * pos) ** 2 / np.maximum(pos * (n - pos) * c * (n - c), 1e-9) >= CHI2
+
+
+def class_weights(y: np.ndarray) -> tuple[float, float]:
+    """Weight of a negative and of a positive document: classes balanced."""
+    pos = y.mean()
+    return 0.5 / max(1 - pos, 1e-9) / len(y), 0.5 / max(pos, 1e-9) / len(y)
 
 
 class Logistic:
@@ -128,21 +161,27 @@ class Logistic:
     def __init__(self, size: int, l1: float = 2e-5, rate: float = 0.5):
         self.w, self.b, self.l1, self.rate = np.zeros(size), 0.0, l1, rate
 
-    def fit(self, x: Rows, y: np.ndarray, epochs: int = EPOCHS):
-        x = evident(x, y, len(self.w))
-        w, b = np.zeros_like(self.w), 0.0
-        g2, b2 = np.full_like(w, 1e-8), 1e-8
-        pos = y.mean()
-        weight = np.where(y > 0.5, 0.5 / max(pos, 1e-9), 0.5 / max(1 - pos, 1e-9)) / len(y)  # classes balanced
+    def fit(self, x: Rows, y: np.ndarray, more: Sums | None = None, epochs: int = EPOCHS):
+        size = len(self.w)
+        live = evidence(x, y, size, more)
+        keep = live[x.index]
+        index, row = x.index[keep], x.row[keep]
+        w, b = np.zeros(size), 0.0
+        g2, b2 = np.full(size, 1e-8), 1e-8
+        weight = np.take(class_weights(y), (y > 0.5).astype(int))
         for _ in range(epochs):
-            r = (1 / (1 + np.exp(-np.clip(x.dot(w) + b, -30, 30))) - y) * weight
-            g = np.bincount(x.index, weights=r[x.row], minlength=len(w))
+            z = np.bincount(row, weights=w[index], minlength=len(y)) + b
+            r = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
+            g, gb = np.bincount(index, weights=r[row], minlength=size), r.sum()
+            if more is not None:    # the pseudo-labelled documents by their quadratic bound
+                g = g + live * (more.held[2, :-1] + more.held[3, :-1] * (w - more.w[:-1]))
+                gb += more.held[2, -1] + more.held[3, -1] * (b - more.w[-1])
             g2 += g * g
             step = self.rate / np.sqrt(g2)
-            w -= step * g
+            w = w - step * g
             w = np.sign(w) * np.maximum(np.abs(w) - step * self.l1, 0)
-            b2 += r.sum() ** 2
-            b -= self.rate / math.sqrt(b2) * r.sum()
+            b2 += gb ** 2
+            b -= self.rate / math.sqrt(b2) * gb
         self.w, self.b = w, b
         return self
 
@@ -165,36 +204,92 @@ def probability(logit):
     return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def co_train(text: Rows, meta: Rows, y: np.ndarray, fold: np.ndarray, sizes: tuple[int, int], rounds: int = ROUNDS) -> dict | None:
-    """Fit both views for one label.  ``y``: 0, 1 or nan (unlabelled); ``fold``
-    true: held out.  Returns weights, combination and held-out accuracy."""
-    views = (text, meta)
-    known = ~np.isnan(y)
-    train, held = known & ~fold, known & fold
-    if len(np.unique(y[train])) < 2 or len(np.unique(y[held])) < 2:
-        return None
-    pool = ~known
-    given = [np.where(train, y, np.nan) for _ in views]  # each view's own labels
-    for r in range(rounds):
-        models, scales = [], []
-        for x, size, label in zip(views, sizes, given):
-            use = ~np.isnan(label)
-            models.append(Logistic(size).fit(subset(x, use), label[use]))
-            scales.append(newton(models[-1].logit(subset(x, held))[:, None], y[held]))
-        if r == rounds - 1 or not pool.any():
-            break
-        for i, (x, m, s) in enumerate(zip(views, models, scales)):
-            p = probability(m.logit(x) * s[0] + s[1])
-            for side, value in ((p >= CONFIDENT, 1.0), (p <= 1 - CONFIDENT, 0.0)):
-                test = side & held
-                if test.sum() >= 20 and (y[test] == value).mean() >= CONFIDENT:
-                    new = side & pool & np.isnan(given[1 - i])
-                    given[1 - i] = np.where(new, value, given[1 - i])
-    logits = np.column_stack([m.logit(x) * s[0] + s[1] for x, m, s in zip(views, models, scales)])
+def views_of(batch, cuts: list[np.ndarray], f: Features) -> tuple[Rows, Rows]:
+    """Text and metadata rows of a batch with text, lang and source."""
+    raws = [(t.as_py() or "").encode("utf-8") for t in batch.column("text")]
+    meta = [f.metadata(r, x, s) for r, x, s in zip(raws, batch.column("lang").to_pylist(), batch.column("source").to_pylist())]
+    return Rows([f.words(r) for r in raws]), Rows(list(metadata_cells(cuts, np.array(meta).reshape(len(raws), -1))))
+
+
+def fit_views(views: tuple, y: np.ndarray, use: np.ndarray, held: np.ndarray, sizes: tuple, more: list) -> dict:
+    """Both views fitted to the rows ``use`` and the sums ``more``, calibrated on
+    ``held``; ``sides``: whether a view may pass on its negatives, positives."""
+    models, scales, sides = [], [], []
+    for x, size, m in zip(views, sizes, more):
+        models.append(Logistic(size).fit(subset(x, use), y[use], m))
+        s = newton(models[-1].logit(subset(x, held))[:, None], y[held])
+        scales.append(s)
+        p = probability(models[-1].logit(subset(x, held)) * s[0] + s[1])
+        sure = [(p <= 1 - CONFIDENT, 0.0), (p >= CONFIDENT, 1.0)]
+        sides.append([bool(t.sum() >= 20 and (y[held][t] == v).mean() >= CONFIDENT) for t, v in sure])
+    return {"w": [m.w for m in models], "b": [m.b for m in models], "scale": scales, "sides": sides,
+            "weights": class_weights(y[use]), "rows": int(use.sum())}
+
+
+def exchange(unlabelled: DataFrame, cuts: list[np.ndarray], fitted: dict) -> dict:
+    """label -> the :class:`Sums` of each view, from the pseudo-labels that the
+    other view passes on over all unlabelled documents."""
+    sizes = (FEATURES, metadata_size(cuts))
+    shared = unlabelled.sparkSession.sparkContext.broadcast((cuts, {
+        k: {**m, "w": [w.astype(np.float32) for w in m["w"]]} for k, m in fitted.items()}))
+
+    def run(batches):
+        cuts, models = shared.value
+        f = Features()
+        sums = {(k, j): Sums(sizes[j]) for k in models for j in (0, 1)}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            views = views_of(b, cuts, f)
+            for k, m in models.items():
+                logits = [np.clip(x.dot(w) + c, -30, 30) for x, w, c in zip(views, m["w"], m["b"])]
+                for j in (0, 1):
+                    p = probability(logits[1 - j] * m["scale"][1 - j][0] + m["scale"][1 - j][1])
+                    no, yes = m["sides"][1 - j]
+                    on = ((p >= CONFIDENT) & yes) | ((p <= 1 - CONFIDENT) & no)
+                    if on.any():
+                        y = (p[on] > 0.5).astype(float)
+                        sums[k, j].add(subset(views[j], on), y, logits[j][on], np.take(m["weights"], y.astype(int)))
+        out = {"label": [], "view": [], "block": [], "sums": []}
+        for (k, j), s in sums.items():
+            for at in range(0, s.held.shape[1], BLOCK):
+                part = s.held[:, at:at + BLOCK]
+                if part.any():
+                    out["label"].append(k)
+                    out["view"].append(j)
+                    out["block"].append(at)
+                    out["sums"].append(part.astype("<f4").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(out["label"], pa.string()), pa.array(out["view"], pa.int32()),
+                                          pa.array(out["block"], pa.int32()), pa.array(out["sums"], pa.binary())], names=list(out))
+
+    def merge(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py(), "<f4").astype(float) for x in table.column("sums"))
+        return table.slice(0, 1).set_column(3, "sums", pa.array([total.tobytes()], pa.binary()))
+
+    schema = "label string, view int, block int, sums binary"
+    got = unlabelled.mapInArrow(run, schema).groupBy("label", "view", "block").applyInArrow(lambda t: merge(t), schema).toArrow()
+    out = {k: [Sums(n) for n in sizes] for k in fitted}
+    for k, m in fitted.items():
+        for s, w, c in zip(out[k], m["w"], m["b"]):
+            s.w = np.append(w.astype(np.float32), c)
+    for r in got.to_pylist():
+        part = np.frombuffer(r["sums"]).reshape(4, -1)
+        out[r["label"]][r["view"]].held[:, r["block"]:r["block"] + part.shape[1]] = part
+    for k, m in fitted.items():     # together they weigh as much as the labelled rows at most, at every size
+        for s in out[k]:
+            s.held *= min(1.0, m["rows"] / max(s.held[0, -1], 1.0))
+    return out
+
+
+def combine(views: tuple, y: np.ndarray, held: np.ndarray, test: np.ndarray, m: dict) -> dict:
+    """Weights, the combination of the calibrated views, and its accuracy on
+    labels that nothing else has used."""
+    logits = np.column_stack([np.clip(x.dot(w) + c, -30, 30) * s[0] + s[1]
+                              for x, w, c, s in zip(views, m["w"], m["b"], m["scale"])])
     mix = newton(logits[held], y[held])
-    right = (probability(logits[held] @ mix[:2] + mix[2]) > 0.5) == (y[held] > 0.5)
-    return {"w": [m.w.astype(np.float32) for m in models], "b": [m.b for m in models], "scale": scales, "mix": mix,
-            "accuracy": float(right.mean())}
+    right = (logits[test] @ mix[:2] + mix[2] > 0) == (y[test] > 0.5)
+    return {"w": [w.astype(np.float32) for w in m["w"]], "b": m["b"], "scale": m["scale"], "mix": mix,
+            "accuracy": float(right.mean()) if len(right) else float("nan")}
 
 
 def subset(x: Rows, mask: np.ndarray) -> Rows:
@@ -205,16 +300,12 @@ def subset(x: Rows, mask: np.ndarray) -> Rows:
     return out
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> pa.Table:
-    """Features of the bounded training sample."""
-    lab = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+def labelled_rows(docs: DataFrame, lab: DataFrame, labelled: int = LABELLED) -> pa.Table:
+    """Features of the bounded labelled sample."""
     ids = docs.select("doc_id").where("doc_id is not null").distinct()
-    h = F.xxhash64(F.lit(5), "doc_id")
-    some = lab.join(ids, "doc_id", "left_semi").orderBy(h, "doc_id").limit(labelled)
-    rest = (ids.join(lab, "doc_id", "left_anti").orderBy(h, "doc_id").limit(pool)
-            .select("doc_id", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic")))
-    sample = some.select("doc_id", F.col("quality").cast("int"), F.col("toxic").cast("int")).unionByName(rest)
-    rows = docs.select("doc_id", "text", "lang", "source").join(F.broadcast(sample), "doc_id")  # labelled + pool rows
+    some = lab.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(labelled)
+    some = some.select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_quality"), F.col("toxic").cast("int").alias("_toxic"))
+    rows = docs.select("doc_id", "text", "lang", "source").join(F.broadcast(some), F.col("doc_id") == F.col("_id"))  # bounded sample
 
     def run(batches):
         f = Features()
@@ -223,37 +314,51 @@ def training_rows(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED,
             ws = [f.words(r) for r in raws]
             meta = [f.metadata(r, x, s) for r, x, s in zip(raws, b.column("lang").to_pylist(), b.column("source").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("quality"), b.column("toxic"), pa.array(ws, pa.list_(pa.int32())),
+                [b.column("doc_id"), b.column("_quality"), b.column("_toxic"), pa.array(ws, pa.list_(pa.int32())),
                  pa.array(meta, pa.list_(pa.float64()))], names=["doc_id", "quality", "toxic", "words", "meta"])
 
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", "quality", "toxic").mapInArrow(
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", "_quality", "_toxic").mapInArrow(
         run, "doc_id long, quality int, toxic int, words array<int>, meta array<double>").toArrow()
 
 
 def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> dict:
+    """The model as plain data: metadata cuts and, per label, weights (None where
+    the labels have one class only)."""
     import xxhash
-    t = training_rows(docs, labels)
-    ids = t.column("doc_id").to_pylist()
-    order = np.argsort(ids, kind="stable")
-    t = t.take(pa.array(order, pa.int64()))
+    lab = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    t = labelled_rows(docs, lab)
+    out = {"cuts": None, **{k: None for k in LABELS}}
+    if not t.num_rows:
+        return out
+    t = t.take(pa.array(np.argsort(t.column("doc_id").to_numpy(), kind="stable"), pa.int64()))
     ids = t.column("doc_id").to_pylist()
-    meta_rows = np.array(t.column("meta").to_pylist(), float).reshape(len(ids), -1)
-    if not len(ids):
-        return {"meta": None, "quality": None, "toxic": None}
-    meta = Metadata(meta_rows)
-    text_x = Rows([x.values.to_numpy() for x in t.column("words")])
-    meta_x = Rows(list(meta.cells(meta_rows)))
-    fold = np.array([xxhash.xxh32_intdigest(str(i)) % 4 == 0 for i in ids])
-    out = {"meta": meta}
-    for name in ("quality", "toxic"):
-        y = np.array([np.nan if v is None else float(v > 0) for v in t.column(name).to_pylist()])
-        out[name] = co_train(text_x, meta_x, y, fold, (1 << HASH_BITS, meta.size), rounds)
+    meta = np.array(t.column("meta").to_pylist(), float).reshape(len(ids), -1)
+    out["cuts"] = metadata_cuts(meta)
+    views = (Rows([x.values.to_numpy() for x in t.column("words")]), Rows(list(metadata_cells(out["cuts"], meta))))
+    sizes = (FEATURES, metadata_size(out["cuts"]))
+    part = np.array([xxhash.xxh32_intdigest(str(i)) % 32 for i in ids])
+    ys, masks = {}, {}
+    for k in LABELS:
+        y = np.array([np.nan if v is None else float(v > 0) for v in t.column(k).to_pylist()])
+        known = ~np.isnan(y)
+        use, held, test = known & (part > 8), known & (part < 8), known & (part == 8)
+        if len(np.unique(y[use])) == 2 and len(np.unique(y[held])) == 2:
+            ys[k], masks[k] = y, (use, held, test)
+    unlabelled = docs.select("doc_id", "text", "lang", "source").join(
+        lab.select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_anti").drop("doc_id")
+    more = {k: [None, None] for k in ys}
+    for r in range(rounds):
+        fitted = {k: fit_views(views, ys[k], *masks[k][:2], sizes, more[k]) for k in ys}
+        if r < rounds - 1 and any(any(map(any, m["sides"])) for m in fitted.values()):
+            more = exchange(unlabelled, out["cuts"], fitted)
+    out.update({k: combine(views, ys[k], *masks[k][1:], fitted[k]) for k in ys})
     return out
 
 
 def score(docs: DataFrame, model: dict, keep_at: float = 0.5, columns: tuple = ("doc_id",)) -> DataFrame:
     """``columns`` plus quality_score, toxic_score, score, kept for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 labels x 2**18 weights
+    columns = [c for c in columns if c not in SCORES]
     fields = [docs.schema[c] for c in columns]
 
     def run(batches):
@@ -263,10 +368,8 @@ def score(docs: DataFrame, model: dict, keep_at: float = 0.5, columns: tuple = (
             raws = [(t.as_py() or "").encode("utf-8") for t in b.column("text")]
             full = np.array([bool(r.strip()) for r in raws])
             p = {"quality": np.ones(len(raws)), "toxic": np.zeros(len(raws))}
-            if m["meta"] is not None and len(raws):
-                text = Rows([f.words(r) for r in raws])
-                meta = Rows(list(m["meta"].cells(np.array(
-                    [f.metadata(r, g, s) for r, g, s in zip(raws, b.column("lang").to_pylist(), b.column("source").to_pylist())]))))
+            if m["cuts"] is not None and len(raws):
+                text, meta = views_of(b, m["cuts"], f)
                 for name in p:
                     if m[name] is not None:
                         h = m[name]
@@ -277,11 +380,11 @@ def score(docs: DataFrame, model: dict, keep_at: float = 0.5, columns: tuple = (
             kept = full & (p["quality"] >= keep_at) & (p["toxic"] < keep_at)
             yield pa.RecordBatch.from_arrays(
                 [b.column(c) for c in columns] + [pa.array(p["quality"]), pa.array(p["toxic"]), pa.array(good), pa.array(kept)],
-                names=list(columns) + ["quality_score", "toxic_score", "score", "kept"])
+                names=[*columns, *SCORES])
 
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in fields)
+    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in fields) + ", " if fields else ""
     return docs.select(*columns, *[c for c in ("text", "lang", "source") if c not in columns]).mapInArrow(
-        run, schema + ", quality_score double, toxic_score double, score double, kept boolean")
+        run, schema + "quality_score double, toxic_score double, score double, kept boolean")
 
 
 def op9_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:

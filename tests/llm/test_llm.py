@@ -161,6 +161,13 @@ def brute_components(rows):
     return {i: (len(sets[i]), label[i]) for i in sets}
 
 
+def test_one_per_class_with_columns_that_do_not_compare(spark):
+    rows = [(1, BASE, {"a": 1}), (1, BASE, {"a": 1}), (2, BASE, {"a": 2}), (3, "other words", None), (1, BASE, {"a": 3})]
+    df = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>")
+    got = sorted((r.doc_id, (r.m or {}).get("a")) for r in jaccard.one_per_class(df).collect())
+    assert got == [(1, 1), (1, 3), (3, None)]
+
+
 def test_jaccard(spark, docs, empty):
     rows = [(i, t) for i, t in enumerate(TEXTS)]
     w = BASE.split()
@@ -357,13 +364,54 @@ def test_cotraining_held_out(spark):
     sf = "/root/testdata/sf0.01"
     docs_, labels = load(spark, sf, "documents"), load(spark, sf, "labels")
     model = cotraining.fit(docs_, labels)
-    assert model["quality"]["accuracy"] >= 0.9
+    assert model["quality"]["accuracy"] >= 0.9 and model["toxic"]["accuracy"] >= 0.9
     odd = spark.createDataFrame([(1, None, None, None), (2, " ", "en", "s")], "doc_id long, text string, lang string, source string")
     assert [(r.score, r.kept) for r in cotraining.score(odd, model).collect()] == [(0.0, False)] * 2
     none = cotraining.fit(docs_, labels.where("false"))
     assert cotraining.score(docs_, none).where("not kept").count() == docs_.where("trim(text) = ''").count()
 
 
+def test_cotraining_sums_equal_the_documents(spark):
+    """The exchanged sums against a plain loop over the pseudo-labelled documents."""
+    sf = "/root/testdata/sf0.001"
+    rows = cotraining.load(spark, sf, "documents").select("text", "lang", "source").repartition(3)
+    f = cotraining.Features()
+    table = rows.toArrow().combine_chunks().to_batches()[0]
+    raw = [(t or "").encode() for t in table.column("text").to_pylist()]
+    cuts = cotraining.metadata_cuts(np.array([f.metadata(r, "en", "s") for r in raw]))
+    text, meta = cotraining.views_of(table, cuts, f)
+    rng = np.random.default_rng(3)
+    w = [rng.normal(size=cotraining.FEATURES).astype(np.float32), 4 * rng.normal(size=cotraining.metadata_size(cuts)).astype(np.float32)]
+    m = {"w": w, "b": [0.1, -0.2], "scale": [np.array([1.0, 0.0])] * 2, "sides": [[True, False], [True, True]],
+         "weights": (0.5, 2.0), "rows": 10 ** 9}
+    got = cotraining.exchange(rows, cuts, {"quality": m})["quality"]
+    logit = [np.clip(x.dot(v.astype(float)) + c, -30, 30) for x, v, c in zip((text, meta), w, m["b"])]
+    for j, x in enumerate((text, meta)):
+        want = np.zeros((4, len(w[j]) + 1))
+        at = np.concatenate([[0], np.cumsum(x.n)])
+        for d in range(len(raw)):
+            p = 1 / (1 + math.exp(-logit[1 - j][d]))
+            no, yes = m["sides"][1 - j]
+            if not (p >= cotraining.CONFIDENT and yes or p <= 1 - cotraining.CONFIDENT and no):
+                continue
+            y, q = float(p > 0.5), 1 / (1 + math.exp(-logit[j][d]))
+            weight = m["weights"][int(y)]
+            for i in [*x.index[at[d]:at[d + 1]].tolist(), len(w[j])]:
+                want[:, i] += (1, y, (q - y) * weight, q * (1 - q) * weight * (x.n[d] + 1))
+        assert want[0, -1] > 0
+        np.testing.assert_allclose(got[j].held, want, rtol=1e-4, atol=1e-4)
+
+
+def test_cotraining_defined_cases(spark, docs, empty):
+    labels = spark.createDataFrame([(5, 1, 0), (5, 0, 1), (6, 1, 0), (99, 1, 1)], "doc_id long, quality int, toxic int")
+    for some, lab in ((empty, labels), (docs, labels.where("false")), (empty, labels.where("false"))):
+        model = cotraining.fit(some, lab)
+        assert cotraining.score(some, model).count() == some.count()
+    model = cotraining.fit(docs, labels)     # too few labels of either class: nothing but blank texts is rejected
+    got = cotraining.score(docs.withColumn("score", F.lit("x")), model, columns=("doc_id", "text", "score")).collect()
+    assert all(r.kept == bool((r.text or "").strip()) and isinstance(r.score, float) for r in got) and len(got) == docs.count()
+
+
 def test_pipeline(spark):
     import corpus_pipeline as P
     from staylens.llm.common import load
