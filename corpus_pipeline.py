@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from staylens.llm.common import cut, load
-from staylens.llm.cotraining import fit, score
+from staylens.llm.cotraining import SCORES, fit, score
 from staylens.llm.decontamination import decontaminate
 from staylens.llm.jaccard import one_per_class
 from staylens.llm.mixing import mixed_rows
@@ -15,9 +15,11 @@ from staylens.llm.sharding import shard_documents
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the co-trained classifier accepts."""
-    cols = docs.columns
     model = fit(docs, load(spark, sf_dir, "labels"))
-    return score(docs, model, columns=tuple(cols)).where("kept").select(cols)
+    named = {c: f"_in_{c}" for c in docs.columns if c in SCORES}   # columns that would clash with the scores
+    rows = docs.withColumnsRenamed(named)
+    kept = score(rows, model, columns=tuple(rows.columns)).where("kept")
+    return kept.select(*[kept[named.get(c, c)].alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
