@@ -17,10 +17,13 @@ The tree holds every element that a page shows, menus and adverts included.
 Element names and class, id and role words that name page furniture (fixed
 lists below) are a prior beside it: on given sites a menu, advert or footer is
 drawn anew for each page, so its importance is as high as an article's.  A named
-branch goes unless it is an important one (or one on too few pages to tell) that
-holds ``MOSTLY`` or more of the text of its pages, such as a wrapper called
-"has-sidebar"; names further down still count.  Where article or main elements
-hold ``MOSTLY`` or more of what is left of a page, its text is taken from there.
+branch goes, however long its text, unless it is around the page's main content,
+such as a wrapper called "has-sidebar": around the first article or main element
+with text, or, on a page without one, around the first h1 and some paragraph
+(without one either, around ``MOSTLY`` or more of the page's text).  Names further down
+still count.  The page alone decides this, not how many pages its host has.
+Where article or main elements hold ``MOSTLY`` or more of what is left of a page,
+its text is taken from there.
 
 Text: character references decoded, white space inside a block one space, blocks
 in page order joined by one space.
@@ -203,9 +206,30 @@ def path_hash(path: str) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def prior_choice(pieces: list[tuple[Node, str]], chains: list[list[Node]], size: dict, total: int) -> list[str]:
-    """The texts that names and main elements alone would take from a page."""
-    free = [(n, t) for (n, t), c in zip(pieces, chains) if not any(x.named and size[x.path] < MOSTLY * total for x in c)]
+def around_main(pieces: list[tuple[Node, str]], chains: list[list[Node]], size: dict, total: int) -> set[str]:
+    """Paths of the named branches around a page's main content."""
+    def holders(tags):
+        """The ancestors of the first text of an element of these tags, that element included."""
+        for chain in chains:
+            at = [k for k, n in enumerate(chain) if n.tag in tags or tags is MAIN and n.main and not n.parent.main]
+            if at and not any(n.named and n.tag not in tags for n in chain[:at[-1]]):
+                return chain[at[-1]:]
+        return None
+
+    main = holders(MAIN)
+    if main is not None:
+        return {n.path for n in main if n.named}
+    first = holders({"h1"})
+    prose = {n.path for (leaf, _), c in zip(pieces, chains) if leaf.tag == "p" for n in c}
+    if first is not None:   # a wrapper holds paragraphs beside the heading, a page head does not
+        return {n.path for n in first if n.named and (n.tag not in NAMED_TAGS and n.path in prose or size[n.path] >= MOSTLY * total)}
+    return {n.path for c in chains for n in c if n.named and size[n.path] >= MOSTLY * total}
+
+
+def prior_choice(pieces: list[tuple[Node, str]], named: list[set[str]]) -> list[str]:
+    """The texts that names and main elements alone would take from a page;
+    ``named``: the furniture above each."""
+    free = [(n, t) for (n, t), above in zip(pieces, named) if not above]
     main = [(n, t) for n, t in free if n.main]
     if sum(len(t) for _, t in main) >= MOSTLY * sum(len(t) for _, t in free):
         free = main
@@ -214,26 +238,24 @@ def prior_choice(pieces: list[tuple[Node, str]], chains: list[list[Node]], size:
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, host, page (hash of the texts that names alone would take), texts,
-    above (content hashes of the nodes over each text), named (path hashes of the
-    named ones among them), main, nodes: path, style and content hashes of the
-    page's elements with text, their share of its text, and whether they are
-    named.  A content hash is one of path and text."""
+    above (content hashes of the nodes over each text), furniture (whether a
+    named branch that is not around the main content is among them), main, nodes:
+    path, style and content hashes of the page's elements with text, and their
+    share of its text.  A content hash is one of path and text."""
 
     def run(batches):
         signed = lambda b: path_hash(b)
         for b in batches:
-            cols = {k: [] for k in ("host", "page", "texts", "above", "named", "main", "path", "style", "content", "share", "furniture")}
+            cols = {k: [] for k in ("host", "page", "texts", "above", "furniture", "main", "path", "style", "content", "share")}
             for u, h in zip(b.column("url").to_pylist(), b.column("html")):
                 nodes, pieces = parse(h.as_py() or "")
-                texts, chains, below, named = [t for _, t in pieces], [], {}, set()
+                texts, chains, below = [t for _, t in pieces], [], {}
                 for n, t in pieces:
                     chain, up = [], n
                     while up.parent is not None:
                         if not chain or up.path != chain[-1].path:
                             below.setdefault(up.path, []).append(t)
                         chain.append(up)
-                        if up.named:
-                            named.add(up.path)
                         up = up.parent
                     chains.append(chain)
                 style = {}
@@ -245,49 +267,50 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
                 content = {k: signed("\n".join([k, *below[k]])) for k in keys}
                 size = {k: sum(map(len, below[k])) for k in keys}
                 total = max(1, sum(map(len, texts)))
+                around = around_main(pieces, chains, size, total)
+                named = [{n.path for n in c if n.named} - around for c in chains]
                 cols["host"].append(host_of(u))
-                cols["page"].append(signed("\n".join(prior_choice(pieces, chains, size, total))))
+                cols["page"].append(signed("\n".join(prior_choice(pieces, named))))
                 cols["texts"].append(texts)
                 cols["above"].append([list(dict.fromkeys(content[n.path] for n in c)) for c in chains])
-                cols["named"].append([list(dict.fromkeys(hashes[n.path] for n in c if n.named)) for c in chains])
+                cols["furniture"].append([bool(x) for x in named])
                 cols["main"].append([n.main for n, _ in pieces])
                 cols["path"].append([hashes[k] for k in keys])
                 cols["style"].append([signed("|".join(style[k])) for k in keys])
                 cols["content"].append([content[k] for k in keys])
                 cols["share"].append([size[k] / total for k in keys])
-                cols["furniture"].append([k in named for k in keys])
             longs = pa.list_(pa.int64())
-            types = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(longs), pa.list_(longs), pa.list_(pa.bool_()),
-                     longs, longs, longs, pa.list_(pa.float64()), pa.list_(pa.bool_())]
+            types = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(longs), pa.list_(pa.bool_()), pa.list_(pa.bool_()),
+                     longs, longs, longs, pa.list_(pa.float64())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url")] + [pa.array(v, t) for v, t in zip(cols.values(), types)],
                 names=["page_id", "url"] + list(cols))
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(
         run, "page_id long, url string, host string, page long, texts array<string>, above array<array<bigint>>, "
-             "named array<array<bigint>>, main array<boolean>, path array<bigint>, style array<bigint>, content array<bigint>, "
-             "share array<double>, furniture array<boolean>")
+             "furniture array<boolean>, main array<boolean>, path array<bigint>, style array<bigint>, content array<bigint>, "
+             "share array<double>")
 
 
 def tree_nodes(parsed: DataFrame) -> DataFrame:
-    """host, path, style, content, share, furniture: the nodes of the different pages."""
-    node = ["path", "style", "content", "share", "furniture"]
+    """host, path, style, content, share: the nodes of the different pages."""
+    node = ["path", "style", "content", "share"]
     once = parsed.groupBy("host", "page").agg(F.min(F.struct(*node)).alias("p"))  # the same one on every run
     return once.select("host", F.explode(F.arrays_zip(*[F.col(f"p.{c}") for c in node])).alias("n")).select("host", *[f"n.{c}" for c in node])
 
 
 def importance(parsed: DataFrame) -> DataFrame:
-    """host, path, pages, share, furniture, presentation, content, importance of
-    every node of the site style trees.  Entropies are in units of log(pages), so 1 means
+    """host, path, pages, share, presentation, content, importance of every node
+    of the site style trees.  Entropies are in units of log(pages), so 1 means
     that every page differs and 0 that all are the same."""
-    kinds = tree_nodes(parsed).select("host", "path", "share", "furniture", F.explode(F.array(
+    kinds = tree_nodes(parsed).select("host", "path", "share", F.explode(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("style").alias("variant")),
         F.struct(F.lit(1).alias("kind"), F.col("content").alias("variant")))).alias("v"))
     counts = kinds.groupBy("host", "path", "v.kind", "v.variant").agg(
-        F.count("*").alias("c"), F.sum("share").alias("share"), F.max("furniture").alias("furniture"))
+        F.count("*").alias("c"), F.sum("share").alias("share"))
     sums = counts.groupBy("host", "path").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("pages"),
-        F.sum(F.when(F.col("kind") == 0, F.col("share"))).alias("share"), F.max("furniture").alias("furniture"),
+        F.sum(F.when(F.col("kind") == 0, F.col("share"))).alias("share"),
         F.sum(F.when(F.col("kind") == 0, F.col("c") * F.log("c"))).alias("s"),
         F.sum(F.when(F.col("kind") == 1, F.col("c") * F.log("c"))).alias("t"))
     m = F.col("pages")
@@ -308,18 +331,13 @@ def main_text(pages: DataFrame, least: float = IMPORTANCE, min_pages: int = MIN_
     """page_id, url, host, text, removed (texts left out)."""
     parsed = cut(parsed_pages(pages), "pages-parsed")
     tree = importance(parsed)
-    is_low = (F.col("importance") < least) & (F.col("pages") >= min_pages)
-    most = F.col("furniture") & (F.col("share") >= MOSTLY) & ~is_low
-    tree = cut(tree.where(is_low | most).select("host", "path", is_low.alias("is_low")), "pages-nodes")
-    per_host = cut(repeated_contents(parsed, tree.where("is_low")).select("host", "content", F.lit(None).cast("long").alias("path"))
-                   .unionByName(tree.where("not is_low").select("host", F.lit(None).cast("long").alias("content"), "path"))
-                   .groupBy(F.col("host").alias("h")).agg(F.collect_list("content").alias("low"), F.collect_list("path").alias("most")),
+    low = cut(tree.where((F.col("importance") < least) & (F.col("pages") >= min_pages)).select("host", "path"), "pages-nodes")
+    per_host = cut(repeated_contents(parsed, low).groupBy(F.col("host").alias("h")).agg(F.collect_list("content").alias("low")),
                    "pages-low")
     joined = parsed.join(per_host, F.col("host") == F.col("h"), "left")
-    none = F.array().cast("array<bigint>")
-    low_, most_ = F.coalesce("low", none), F.coalesce("most", none)
-    zipped = F.arrays_zip("texts", "above", "named", "main")
-    kept = F.filter(zipped, lambda z: ~F.arrays_overlap(z["above"], low_) & (F.size(F.array_except(z["named"], most_)) == 0))
+    low_ = F.coalesce("low", F.array().cast("array<bigint>"))
+    zipped = F.arrays_zip("texts", "above", "furniture", "main")
+    kept = F.filter(zipped, lambda z: ~F.arrays_overlap(z["above"], low_) & ~z["furniture"])
     joined = joined.select("page_id", "url", "host", F.size("texts").alias("n"), kept.alias("kept"))
     chars = lambda a: F.aggregate(a, F.lit(0), lambda x, z: x + F.length(z["texts"]))
     main = F.filter("kept", lambda z: z["main"])

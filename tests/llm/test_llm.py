@@ -244,6 +244,35 @@ def test_style_tree_names_are_a_prior(spark):
     assert all(text(20 + i) in got[20 + i] and "menu" not in got[20 + i] for i in range(12))
 
 
+def test_style_tree_furniture_longer_than_the_article(spark):
+    """Comments, adverts and menus with more text than the article, on hosts of
+    twelve pages and of one; the same page gives the same text on both."""
+    words = lambda k, i, n: " ".join(f"{k}{i}x{j}" for j in range(n))
+
+    def pages(kind, i):
+        art = f"<h1>T{i}</h1><p>{words('a', i, 30)}</p>"
+        long = "".join(f"<p>{words(kind, f'{i}y{k}', 40)}</p>" for k in range(2))
+        return {"comments": f"<body><article>{art}</article><section class='comments'>{long}</section></body>",
+                "commented": f"<body><main><article>{art}</article></main><div id='comments'><article class='comment'>{long}</article></div></body>",
+                "plain": f"<body><div class='page has-sidebar'><div class='text'>{art}</div></div><div class='comment-list'>{long}</div></body>",
+                "advert": f"<body><div class='advert'>{long}</div><article>{art}</article></body>",
+                "nav": f"<body><nav>{words('n', i, 80)}</nav><article>{art}</article></body>",
+                "inside": f"<body><article>{art}<div class='comments'>{long}</div></article></body>"}[kind]
+
+    rows, want = [], {}
+    for k, kind in enumerate(("comments", "commented", "plain", "advert", "nav", "inside")):
+        for i in range(13):
+            page = 100 * k + i
+            rows.append((page, f"http://{kind}{'-one' if i == 12 else ''}.example/{i}", pages(kind, i)))
+            want[page] = f"T{i} {words('a', i, 30)}"
+    rows += [(900, "http://again.example/", pages("comments", 3)), (901, "http://comments.example/3", pages("comments", 3))]
+    want[900] = want[901] = want[3]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in style_tree.main_text(df).collect()}
+    assert {p: got[p] for p in want if got[p] != want[p]} == {}
+    assert style_tree.main_text(df.where("false")).count() == 0
+
+
 def test_decontamination(spark, docs, empty):
     item = " ".join(f"Item{i}," for i in range(30))
     bench = spark.createDataFrame([(1, item), (2, "too short"), (3, None), (4, item)], "item_id long, text string")
