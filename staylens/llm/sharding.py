@@ -95,16 +95,16 @@ def document_curve(docs: DataFrame) -> DataFrame:
 def shard(df: DataFrame, order: list[str], shards: int = SHARDS) -> DataFrame:
     """Cut the global ``order`` into ``shards`` runs whose row counts differ by
     at most one; ``shard`` and ``slot`` (row number in the shard)."""
-    out, total = ranked(df, order, "shards")
+    out, total = ranked(df, order, "shards", "_rank")
     base, extra = divmod(total, shards)
     wide = extra * (base + 1)  # rows of the shards that hold one more
-    r = F.col("rank")
+    r = F.col("_rank")
     if base:
         s = F.when(r < wide, F.floor(r / (base + 1))).otherwise(extra + F.floor((r - wide) / base))
         slot = F.when(r < wide, r % (base + 1)).otherwise((r - wide) % base)
     else:
         s, slot = r, F.lit(0)
-    return out.withColumn("shard", s.cast("int")).withColumn("slot", slot.cast("long")).drop("rank")
+    return out.withColumn("shard", s.cast("int")).withColumn("slot", slot.cast("long")).drop("_rank")
 
 
 ORDER = ["hilbert", "doc_id", "text_crc32"]

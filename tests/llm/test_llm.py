@@ -139,6 +139,12 @@ def test_sharding(docs, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_sharding_keeps_columns_with_clashing_names(docs):
+    clash = docs.withColumns({"rank": F.lit(7), "shard": F.lit("x"), "p": F.lit(1)})
+    out = sharding.shard_documents(clash)
+    assert out.where("rank = 7 AND p = 1").count() == docs.count() and dict(out.dtypes)["shard"] == "int"
+
+
 def test_hilbert_neighbours():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     index = sharding.hilbert_index(grid, 3)
