@@ -8,12 +8,13 @@ to the other view's training set.  The views are then calibrated and combined on
 held-out labels, and every document is scored.
 
 Only the labelled sample is bounded (``LABELLED`` documents, chosen by a hash of
-their id).  All unlabelled documents take part in every exchange: each task
-labels its own with the confident views and sums, per feature of the other view,
-how many documents hold it, how many of those are positive, and the gradient and
-curvature of the loss; Spark adds these sums (``FEATURES`` numbers a view at
-most reach the driver), and the view is fitted to its labelled rows plus this
-quadratic bound of the loss of the pseudo-labelled ones.
+their id).  All documents take part in every exchange (their own labels do not:
+leaving out the labelled ones would cost a shuffle of the texts): each task
+labels its documents with the confident views and sums, per feature of the other
+view, how many documents hold it, how many of those are positive, and the
+gradient and curvature of the loss; Spark adds these sums (``FEATURES`` numbers
+a view at most reach the driver), and the view is fitted to its labelled rows
+plus this quadratic bound of the loss of the pseudo-labelled ones.
 
 Of the labelled documents a quarter calibrates and combines the views, one in 32
 only measures their accuracy, the rest is fitted.
@@ -226,11 +227,11 @@ def fit_views(views: tuple, y: np.ndarray, use: np.ndarray, held: np.ndarray, si
             "weights": class_weights(y[use]), "rows": int(use.sum())}
 
 
-def exchange(unlabelled: DataFrame, cuts: list[np.ndarray], fitted: dict) -> dict:
+def exchange(pool: DataFrame, cuts: list[np.ndarray], fitted: dict) -> dict:
     """label -> the :class:`Sums` of each view, from the pseudo-labels that the
-    other view passes on over all unlabelled documents."""
+    other view passes on over all documents of the pool."""
     sizes = (FEATURES, metadata_size(cuts))
-    shared = unlabelled.sparkSession.sparkContext.broadcast((cuts, {
+    shared = pool.sparkSession.sparkContext.broadcast((cuts, {
         k: {**m, "w": [w.astype(np.float32) for w in m["w"]]} for k, m in fitted.items()}))
 
     def run(batches):
@@ -267,7 +268,7 @@ def exchange(unlabelled: DataFrame, cuts: list[np.ndarray], fitted: dict) -> dic
         return table.slice(0, 1).set_column(3, "sums", pa.array([total.tobytes()], pa.binary()))
 
     schema = "label string, view int, block int, sums binary"
-    got = unlabelled.mapInArrow(run, schema).groupBy("label", "view", "block").applyInArrow(lambda t: merge(t), schema).toArrow()
+    got = pool.mapInArrow(run, schema).groupBy("label", "view", "block").applyInArrow(lambda t: merge(t), schema).toArrow()
     out = {k: [Sums(n) for n in sizes] for k in fitted}
     for k, m in fitted.items():
         for s, w, c in zip(out[k], m["w"], m["b"]):
@@ -344,13 +345,12 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> dict:
         use, held, test = known & (part > 8), known & (part < 8), known & (part == 8)
         if len(np.unique(y[use])) == 2 and len(np.unique(y[held])) == 2:
             ys[k], masks[k] = y, (use, held, test)
-    unlabelled = docs.select("doc_id", "text", "lang", "source").join(
-        lab.select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_anti").drop("doc_id")
+    pool = docs.select("text", "lang", "source")
     more = {k: [None, None] for k in ys}
     for r in range(rounds):
         fitted = {k: fit_views(views, ys[k], *masks[k][:2], sizes, more[k]) for k in ys}
         if r < rounds - 1 and any(any(map(any, m["sides"])) for m in fitted.values()):
-            more = exchange(unlabelled, out["cuts"], fitted)
+            more = exchange(pool, out["cuts"], fitted)
     out.update({k: combine(views, ys[k], *masks[k][1:], fitted[k]) for k in ys})
     return out
 
