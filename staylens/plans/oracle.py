@@ -147,8 +147,8 @@ FROM documents WHERE doc_id % 11 <> 0 AND length(text) > 0"""
 @q("incomplete_summary_filter")
 def _():
     return """
-SELECT source AS area, doc_id AS listing_id, CAST(length(text) AS INTEGER) AS summary_chars
-FROM documents WHERE doc_id % 11 <> 0 AND contains(text, '?')"""
+SELECT source AS area, doc_id AS listing_id, CAST(length(text) + 2 AS INTEGER) AS summary_chars
+FROM documents WHERE doc_id % 11 <> 0 AND doc_id % 5 = 0 AND text IS NOT NULL"""
 
 
 # ---------------------------------------------------------------- market / matrix / tiers
@@ -1297,11 +1297,10 @@ FROM per2)"""
 MEAN4 = R('SUM(COALESCE(CAST(rating AS DOUBLE), 0.0)) / COUNT(*)', 4)
 
 
-@q("review_pack")
-def _():
+def review_pack_sql(limit: int) -> str:
     items = f"""SELECT rv.listing_id, {ORDER_ALL.replace('l_', 'rv.l_')},
          CASE WHEN f.floaty THEN CAST(CAST(rv.rating AS DOUBLE) AS VARCHAR) ELSE CAST(CAST(rv.rating AS BIGINT) AS VARCHAR) END
-           || ' ' || rv.review AS text, h.base_prompt, h.prompt_tokens, 120000 - h.prompt_tokens AS budget
+           || ' ' || rv.review AS text, h.base_prompt, h.prompt_tokens, {limit} - h.prompt_tokens AS budget
   FROM ({B_REVIEWS}) rv
   JOIN (SELECT listing_id, bool_or(rating IS NULL OR CAST(rating AS DOUBLE) <> floor(CAST(rating AS DOUBLE))) AS floaty
         FROM ({B_REVIEWS}) GROUP BY listing_id) f USING (listing_id)
@@ -1316,10 +1315,20 @@ heads0 AS (SELECT per0.listing_id,
            FROM per0 CROSS JOIN o LEFT JOIN part p ON p.p_partkey = per0.listing_id WHERE per0.n >= 5),
 heads AS (SELECT *, CAST({_tok('base_prompt')} AS BIGINT) AS prompt_tokens FROM heads0),
 {chunk_generic(items, 'listing_id', ORDER_ALL, 'budget')},
-{prompt_from_chunks('listing_id', 120000)}
+{prompt_from_chunks('listing_id', limit)}
 SELECT * FROM pr"""
 
 
+@q("review_pack")
+def _():
+    return review_pack_sql(120000)
+
+
+@q("review_pack_tight")
+def _():
+    return review_pack_sql(80)
+
+
 SUMMARIES = "SELECT source AS area, doc_id AS listing_id, CASE WHEN doc_id % 11 = 0 THEN '' ELSE text END AS summary FROM documents"
 PACK = f"""SELECT area, pack_pos, listing_id, COUNT(*) OVER (PARTITION BY area) AS n_properties,
        'Listing ' || CAST(listing_id AS VARCHAR) || ':' || chr(10) || summary AS rendered
@@ -1332,10 +1341,9 @@ def _():
     return PACK
 
 
-@q("area_prompts")
-def _():
+def area_prompts_sql(limit: int) -> str:
     items = f"""SELECT p.*, p.rendered AS text, CAST({_tok('p.rendered')} AS BIGINT) AS tokens, h.base_prompt, h.prompt_tokens,
-         120000 - h.prompt_tokens AS budget
+         {limit} - h.prompt_tokens AS budget
   FROM ({PACK}) p JOIN heads h USING (area)"""
     return f"""WITH RECURSIVE o AS (SELECT {R('AVG(m)', 4)} AS overall FROM (SELECT {MEAN4} AS m FROM ({B_REVIEWS}) GROUP BY listing_id)),
 heads0 AS (SELECT DISTINCT area, replace(replace(replace({_sql_str(AREA_TEMPLATE)}, '{{ZIP_CODE_HERE}}', area),
@@ -1343,10 +1351,21 @@ heads0 AS (SELECT DISTINCT area, replace(replace(replace({_sql_str(AREA_TEMPLATE
            FROM ({PACK}) CROSS JOIN o),
 heads AS (SELECT *, CAST({_tok('base_prompt')} AS BIGINT) AS prompt_tokens FROM heads0),
 {chunk_generic(items, 'area', 'pack_pos', 'budget')},
-{prompt_from_chunks('area', 120000)}
+{prompt_from_chunks('area', limit)}
 SELECT pr.*, c.n_properties FROM pr JOIN (SELECT DISTINCT area, n_properties FROM ({PACK})) c USING (area)"""
 
 
+@q("area_prompts")
+def _():
+    return area_prompts_sql(120000)
+
+
+@q("area_prompts_tight")
+def _():
+    return area_prompts_sql(1000)
+
+
+
 @q("threshold_label")
 def _():
     return f"""WITH {TIER_CTES}

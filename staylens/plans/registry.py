@@ -78,8 +78,10 @@ def _(spark, sf):
 
 @q("incomplete_summary_filter")
 def _(spark, sf):
-    return rv.incomplete_summary_filter(b.b_summaries(spark, sf)).select(
-        "area", "listing_id", F.length("summary").alias("summary_chars"))
+    """One summary in five carries the mark of an incomplete one."""
+    marked = F.when((F.col("listing_id") % 5 == 0) & (F.length("summary") > 0), F.concat("summary", F.lit(" ?")))
+    s = b.b_summaries(spark, sf).withColumn("summary", F.coalesce(marked, F.regexp_replace("summary", "[?]", ".")))
+    return rv.incomplete_summary_filter(s).select("area", "listing_id", F.length("summary").alias("summary_chars"))
 
 
 # ---------------------------------------------------------------- tiers (pipeline C)
@@ -876,6 +878,20 @@ def _(spark, sf):
     return rp.review_pack(b.b_reviews(spark, sf), b.LINEITEM_ORDER, areas)
 
 
+@q("review_pack_tight")
+def _(spark, sf):
+    """A limit that cuts listings into several requests."""
+    areas = table(spark, sf, "part").select(F.col("p_partkey").alias("listing_id"), F.col("p_type").alias("area"))
+    return rp.review_pack(b.b_reviews(spark, sf), b.LINEITEM_ORDER, areas, limit=80)
+
+
+@q("area_prompts_tight")
+def _(spark, sf):
+    """A limit that cuts areas into several requests, and summaries longer than it."""
+    overall = rv.overall_mean_rating(b.b_reviews(spark, sf)).first()["overall_mean"]
+    return rp.area_prompts(b.b_summaries(spark, sf), overall, limit=1000)
+
+
 @q("area_summary_pack")
 def _(spark, sf):
     return pr.area_summary_pack(b.b_summaries(spark, sf)).select(
@@ -958,8 +974,7 @@ def _(spark, sf):
 @q("write_matrix")
 def _(spark, sf):
     path = scratch_path(spark, "matrix")
-    raw = _built(spark, sf)
-    sk.write_matrix(raw, mx.clean_matrix(raw, 100), path)
+    sk.write_matrices(_built(spark, sf), path)
     return fl.read_matrix(spark, f"{path}/clean")
 
 

@@ -21,6 +21,16 @@ def write_matrix(raw: DataFrame, clean: DataFrame, path: str, fmt: str = "parque
         c.parquet(f"{path}/clean")
 
 
+def write_matrices(raw: DataFrame, path: str, min_days: int = 100, key: str = "listing_id") -> None:
+    """Raw matrix, and the clean matrix made from the written raw one, so the
+    plan behind ``raw`` runs once (Parquet)."""
+    from staylens.operators.market import matrix_sort
+    from staylens.operators.matrix import clean_matrix
+    matrix_sort(raw, key).write.mode("overwrite").parquet(f"{path}/raw")
+    back = raw.sparkSession.read.schema(raw.schema).parquet(f"{path}/raw")
+    clean_matrix(back, min_days, key).write.mode("overwrite").parquet(f"{path}/clean")
+
+
 SIDE_TABLES = ("descriptions", "house_rules", "neighborhood_highlights")
 
 
@@ -55,15 +65,17 @@ def write_summaries(summaries: DataFrame, path: str, area: str = "area", key: st
 
 def write_market_master(metrics: DataFrame, path: str, area: str | None = "area") -> None:
     """Merged metrics, partitioned by area when the column exists."""
-    w = metrics.write.mode("overwrite")
     if area and area in metrics.columns:
-        w = w.partitionBy(area)
-    w.parquet(path)
+        write_by_area(metrics, path, area)
+    else:
+        metrics.write.mode("overwrite").parquet(path)
 
 
 def write_by_area(df: DataFrame, path: str, area: str = "area", fmt: str = "parquet") -> None:
-    """Reviews / summaries: one directory per area instead of one file per listing."""
-    df.write.mode("overwrite").partitionBy(area).format(fmt).save(path)
+    """Reviews / summaries: one directory per area instead of one file per listing.
+    Rows are rebalanced by area first -- few files per area, and AQE splits an
+    area too big for one."""
+    df.hint("rebalance", area).write.mode("overwrite").partitionBy(area).format(fmt).save(path)
 
 
 def write_json_record(df: DataFrame, path: str) -> None:
