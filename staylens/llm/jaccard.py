@@ -31,7 +31,9 @@ id give one row each with the same component; an empty table gives no rows.
 
 from __future__ import annotations
 
+import bisect
 import heapq
+import math
 from collections import Counter
 
 import numpy as np
@@ -44,6 +46,7 @@ from staylens.llm.common import cut, load, shuffle_parts
 WORDS = 3
 PERCENT = 90
 FREQUENT = 1 << 20     # tokens in the table of frequent ones (12 MB), whatever the corpus
+PROBE_COST = 0.01      # of a binary search step, against a merge step
 SHARED_BITS = 1 << 27  # of the bitmap of tokens in two documents or more (16 MB), whatever the corpus
 MIN_FREQUENT = 4       # a token in fewer documents is never frequent
 FLUSH = 1 << 21        # tokens a task gathers before it writes its counted blobs
@@ -257,27 +260,26 @@ def prefixes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFra
 
 def divide_skip(lists: list[np.ndarray], least: int, long_lists: int) -> dict:
     """Ids that occur in at least ``least`` of the inverted lists of a query's
-    tokens, with their counts.  The ``long_lists`` longest lists are set aside;
-    the others are merged by a heap, and every id they hold often enough is
-    looked up in the long ones by binary search."""
+    tokens, with their counts.  The ``long_lists`` longest lists are set aside.
+    The others are merged by a heap that skips: an id at the top that too few of
+    them hold can be no answer, so as many lists are popped as an answer needs
+    less one, and all of them jump, by binary search, to the id then at the top.
+    An id that enough short lists hold is looked up in the long ones by binary
+    search."""
     lists = sorted(lists, key=len, reverse=True)
-    long_lists = min(long_lists, least - 1, len(lists))
+    long_lists = max(0, min(long_lists, least - 1, len(lists)))
     long_, short = lists[:long_lists], [x.tolist() for x in lists[long_lists:]]
+    enough = max(1, least - long_lists)     # short lists that hold every answer
     found = {}
-    heap = [(x[0], i, 0) for i, x in enumerate(short)]
+    heap = [(x[0], i, 0) for i, x in enumerate(short) if x]
     heapq.heapify(heap)
-    while heap:
-        top, count = heap[0][0], 0
+    while len(heap) >= enough:
+        top, popped = heap[0][0], []
         while heap and heap[0][0] == top:
-            _, i, at = heap[0]
-            count += 1
-            at = at + 1
-            if at < len(short[i]):
-                heapq.heapreplace(heap, (short[i][at], i, at))
-            else:
-                heapq.heappop(heap)
-        need = least - count
-        if need <= len(long_):
+            popped.append(heapq.heappop(heap))
+        if len(popped) >= enough:
+            count = len(popped)
+            need = least - count
             for j, x in enumerate(long_):
                 if need > len(long_) - j and need > 0:
                     break  # too few lists left
@@ -287,6 +289,17 @@ def divide_skip(lists: list[np.ndarray], least: int, long_lists: int) -> dict:
                     need -= 1
             if count >= least:
                 found[int(top)] = count
+            ahead = top + 1
+        else:
+            while len(popped) < enough - 1 and heap:
+                popped.append(heapq.heappop(heap))
+            if not heap:
+                break  # fewer lists than an answer needs
+            ahead = heap[0][0]
+        for _, i, at in popped:
+            at = bisect.bisect_left(short[i], ahead, at)
+            if at < len(short[i]):
+                heapq.heappush(heap, (short[i][at], i, at))
     return found
 
 
@@ -308,6 +321,12 @@ def inverted_lists(sets: list[np.ndarray]) -> tuple[dict, list[np.ndarray]]:
     return (t, o, first, t[first], np.append(first, len(t))), own
 
 
+def set_aside(least: int, longest: int) -> int:
+    """How many of the longest lists to probe instead of merge: nearly as many as
+    an answer needs less one, fewer the longer they are."""
+    return min(least - 1, int(least / (PROBE_COST * math.log2(longest + 1) + 1)))
+
+
 def candidates_within(prefix: list[np.ndarray], sizes: list[int], labels: list, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Pairs (i, j), i < j, of differently labelled sets whose prefixes share
     as many tokens as a link needs, from one T-occurrence search per set outside
@@ -325,7 +344,7 @@ def candidates_within(prefix: list[np.ndarray], sizes: list[int], labels: list,
             continue
         _, ids, _, names, edges = index
         lists = [ids[edges[x]:edges[x + 1]] for x in np.searchsorted(names, own[i]).tolist()]
-        for j, count in divide_skip(lists, least, least - 1).items():
+        for j, count in divide_skip(lists, least, set_aside(least, max(map(len, lists)))).items():
             if labels[i] != labels[j] and (j > i or labels[j] == main) and lo <= sizes[j] <= hi \
                     and count >= prefix_overlap(n, sizes[j], percent):
                 out.append((min(i, j), max(i, j)))
