@@ -123,13 +123,17 @@ def line_rules(docs: DataFrame, host_col: str = "source", min_docs: int = MIN_DO
 
 def remove_lines(docs: DataFrame, hot: DataFrame, host_col: str = "source") -> DataFrame:
     """The documents with their frequent lines taken out of ``text``.  ``hot``:
-    host, line as from :func:`frequent_lines`; a host's lines travel as one
-    array, so this form is for limits that leave few lines per host."""
-    per_host = hot.groupBy(F.col("host").alias("_h")).agg(F.collect_set("line").alias("_hot"))
+    host, line as from :func:`frequent_lines`.  A document meets only the
+    frequent lines it holds itself; texts without one stay as they are."""
+    host = F.col(host_col)
+    mine = (document_lines(docs, host).join(hot.select(F.col("host").alias("h"), F.col("line").alias("l")),
+                                            (F.col("line") == F.col("l")) & F.col("host").eqNullSafe(F.col("h")), "left_semi")
+            .groupBy(F.col("key").alias("_of")).agg(F.collect_set("line").alias("_hot")))
+    key = F.xxhash64("doc_id", host, F.coalesce(F.col("text"), F.lit("")))
     kept = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_hot", F.xxhash64(normalised(x))))
-    return (docs.join(per_host, F.col(host_col).eqNullSafe(F.col("_h")), "left")
+    return (docs.withColumn("_key", key).join(mine, F.col("_key") == F.col("_of"), "left")
             .withColumn("text", F.when(F.col("_hot").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-            .drop("_h", "_hot"))
+            .drop("_key", "_of", "_hot"))
 
 
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

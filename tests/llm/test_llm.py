@@ -112,6 +112,29 @@ def test_line_rules(spark, docs, empty):
     assert all(got[i] == (i >= 30) for i in got)
 
 
+def test_remove_lines(spark):
+    """Frequent lines leave the texts that hold them, brute force per host."""
+    name = lambda i: chr(97 + i // 10) + chr(107 + i % 10)  # noqa: E731 -- digits are normalised
+    rows = []
+    for h in ("a", None):
+        rows += [(len(rows) + i, f"Same  Line 7\n\nown {name(i)}\nsame line 12\n tail", h, "x") for i in range(25)]
+        rows += [(len(rows) + i, f"same line 3\nother {name(i)}", "b" if h else "c", "x") for i in range(4)]
+    rows += [(900, None, "a", "x"), (901, "", "a", "x"), rows[3], rows[3]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, line string")
+    hot = lines.frequent_lines(lines.document_lines(df, F.col("source")))
+    got = sorted(((r.doc_id, r.text, r.source, r.line) for r in lines.remove_lines(df, hot).collect()), key=str)
+    norm = lambda x: re.sub(r"[\x20\x09-\x0D]+", " ", re.sub("[0-9]+", "0", x.lower())).strip(" ")
+    held = {}
+    for _, t, h, _ in set(rows):
+        for x in {norm(x) for x in (t or "").split("\n") if x.strip()}:
+            held.setdefault((h, x), set()).add(t)
+    often = {k for k, v in held.items() if len(v) > lines.MIN_DOCS}
+    assert {x for _, x in often} == {"same line 0", "tail"}
+    want = [(d, "\n".join(x for x in t.split("\n") if (h, norm(x)) not in often) if t else t, h, o) for d, t, h, o in rows]
+    assert got == sorted(want, key=str)
+    assert lines.remove_lines(df.where("false"), hot).count() == 0
+
+
 def test_line_limit_does_not_grow_with_the_host(spark):
     name = lambda i: "".join(chr(97 + int(c)) for c in f"{i:05d}")  # noqa: E731 -- digits are normalised
     own = lambda i: " ".join(f"o{name(i)}{name(j)}" for j in range(24))
