@@ -20,6 +20,7 @@ encoded each; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import string
 import struct
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.llm.common import cut, load, read_binary, shuffle_parts, write_binary
+from staylens.llm.segment_bpe import WORD_RULES
 from staylens.session import scratch_path
 
 END_ID = 1
@@ -139,7 +141,8 @@ class WordEncoder:
     tokenizer never merges across white space or pieces, so the ids of a text
     are those of its pieces in order, and frequent words and pieces are encoded
     once.  Words that hold special-token strings, or letters whose lower case
-    depends on the context, go through the whole tokenizer.
+    depends on the context, go through the whole tokenizer, and so do all texts
+    where the file names other rules.
 
     Both caches have two generations: when the young one is full it becomes the
     old one, and words still in use move up again."""
@@ -152,6 +155,8 @@ class WordEncoder:
         import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
+        rules = json.loads(spec)
+        self.by_word = all(rules.get(k) == v for k, v in WORD_RULES.items())
         self.model = self.tokenizer.model
         self.pieces = regex.compile(self.PIECES).findall
         self.cached = cached
@@ -202,6 +207,8 @@ class WordEncoder:
         return b"".join(map(self._part, self.pieces(text)))
 
     def __call__(self, text: str | None) -> np.ndarray:
+        if not self.by_word:
+            return np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4")
         return self.lowered((text or "").encode("utf-8").split())  # the six ASCII white-space bytes
 
     def lowered(self, ws: list[bytes]) -> np.ndarray:
