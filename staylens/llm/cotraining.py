@@ -111,15 +111,38 @@ def metadata_cells(cuts: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
 
 
 class Rows:
-    """Sparse 0/1 rows."""
+    """Sparse 0/1 rows.  Sums go over them some rows at a time, so they need
+    little memory beside the indices."""
 
-    def __init__(self, arrays):
-        self.index = np.concatenate(arrays) if len(arrays) else np.zeros(0, np.int64)
-        self.n = np.array([len(a) for a in arrays], np.int64)
-        self.row = np.repeat(np.arange(len(arrays)), self.n)
+    TOGETHER = 1024
+
+    def __init__(self, arrays, index=None, n=None):
+        self.index = (np.concatenate(arrays) if len(arrays) else np.zeros(0)).astype(np.int32) if index is None else index
+        self.n = np.array([len(a) for a in arrays], np.int64) if n is None else n
+
+    def parts(self):
+        """Slices of rows, their indices and which row of the slice each is of."""
+        ends = np.concatenate([[0], np.cumsum(self.n)])
+        for s in range(0, len(self.n), self.TOGETHER):
+            e = min(s + self.TOGETHER, len(self.n))
+            yield slice(s, e), self.index[ends[s]:ends[e]], np.repeat(np.arange(e - s), self.n[s:e])
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights=w[self.index], minlength=len(self.n))
+        return np.concatenate([np.zeros(0), *[np.bincount(row, weights=w[index], minlength=at.stop - at.start)
+                                              for at, index, row in self.parts()]])
+
+    def sums(self, values: np.ndarray, size: int) -> np.ndarray:
+        """Per feature, the values of the rows that hold it."""
+        out = np.zeros(size)
+        for at, index, row in self.parts():
+            out += np.bincount(index, weights=values[at][row], minlength=size)
+        return out
+
+    def only(self, live: np.ndarray) -> Rows:
+        """The rows with only those features."""
+        kept = [(index[live[index]], np.bincount(row[live[index]], minlength=at.stop - at.start)) for at, index, row in self.parts()]
+        return Rows([], np.concatenate([np.zeros(0, np.int32), *[k[0] for k in kept]]),
+                    np.concatenate([np.zeros(0, np.int64), *[k[1] for k in kept]]))
 
 
 class Sums:
@@ -133,9 +156,9 @@ class Sums:
     def add(self, x: Rows, y: np.ndarray, logit: np.ndarray, weight: np.ndarray) -> None:
         p = 1 / (1 + np.exp(-logit))
         r, h = (p - y) * weight, p * (1 - p) * weight * (x.n + 1)
-        for row, v in zip(self.held, (np.ones(len(y)), y, r, h)):
-            row[:-1] += np.bincount(x.index, weights=v[x.row], minlength=len(row) - 1)
-            row[-1] += v.sum()
+        for total, v in zip(self.held, (np.ones(len(y)), y, r, h)):
+            total[:-1] += x.sums(v, len(total) - 1)
+            total[-1] += v.sum()
 
 
 def evidence(x: Rows, y: np.ndarray, size: int, more: Sums | None) -> np.ndarray:
@@ -143,8 +166,7 @@ def evidence(x: Rows, y: np.ndarray, size: int, more: Sums | None) -> np.ndarray
     ``CHI2``; thousands of neutral words would otherwise outweigh a few telling
     ones in long texts."""
     n, pos = float(len(y)), float(y.sum())
-    c = np.bincount(x.index, minlength=size).astype(float)
-    a = np.bincount(x.index, weights=y[x.row], minlength=size)
+    c, a = x.sums(np.ones(len(y)), size), x.sums(y, size)
     if more is not None:
         c, a, n, pos = c + more.held[0, :-1], a + more.held[1, :-1], n + more.held[0, -1], pos + more.held[1, -1]
     return n * (a * (n - pos) - (c - a) * pos) ** 2 / np.maximum(pos * (n - pos) * c * (n - c), 1e-9) >= CHI2
@@ -165,15 +187,13 @@ class Logistic:
     def fit(self, x: Rows, y: np.ndarray, more: Sums | None = None, epochs: int = EPOCHS):
         size = len(self.w)
         live = evidence(x, y, size, more)
-        keep = live[x.index]
-        index, row = x.index[keep], x.row[keep]
+        x = x.only(live)
         w, b = np.zeros(size), 0.0
         g2, b2 = np.full(size, 1e-8), 1e-8
         weight = np.take(class_weights(y), (y > 0.5).astype(int))
         for _ in range(epochs):
-            z = np.bincount(row, weights=w[index], minlength=len(y)) + b
-            r = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
-            g, gb = np.bincount(index, weights=r[row], minlength=size), r.sum()
+            r = (1 / (1 + np.exp(-np.clip(x.dot(w) + b, -30, 30))) - y) * weight
+            g, gb = x.sums(r, size), r.sum()
             if more is not None:    # the pseudo-labelled documents by their quadratic bound
                 g = g + live * (more.held[2, :-1] + more.held[3, :-1] * (w - more.w[:-1]))
                 gb += more.held[2, -1] + more.held[3, -1] * (b - more.w[-1])
@@ -265,7 +285,7 @@ def exchange(pool: DataFrame, cuts: list[np.ndarray], fitted: dict) -> dict:
 
     def merge(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x.as_py(), "<f4").astype(float) for x in table.column("sums"))
-        return table.slice(0, 1).set_column(3, "sums", pa.array([total.tobytes()], pa.binary()))
+        return table.slice(0, 1).set_column(3, "sums", pa.array([total.astype("<f4").tobytes()], pa.binary()))
 
     schema = "label string, view int, block int, sums binary"
     got = pool.mapInArrow(run, schema).groupBy("label", "view", "block").applyInArrow(lambda t: merge(t), schema).toArrow()
@@ -273,9 +293,10 @@ def exchange(pool: DataFrame, cuts: list[np.ndarray], fitted: dict) -> dict:
     for k, m in fitted.items():
         for s, w, c in zip(out[k], m["w"], m["b"]):
             s.w = np.append(w.astype(np.float32), c)
-    for r in got.to_pylist():
-        part = np.frombuffer(r["sums"]).reshape(4, -1)
-        out[r["label"]][r["view"]].held[:, r["block"]:r["block"] + part.shape[1]] = part
+    keys = [got.column(c).to_pylist() for c in ("label", "view", "block")]
+    for k, j, at, part in zip(*keys, got.column("sums")):
+        part = np.frombuffer(part.as_buffer(), "<f4").reshape(4, -1)
+        out[k][j].held[:, at:at + part.shape[1]] = part
     for k, m in fitted.items():     # together they weigh as much as the labelled rows at most, at every size
         for s in out[k]:
             s.held *= min(1.0, m["rows"] / max(s.held[0, -1], 1.0))
@@ -294,11 +315,7 @@ def combine(views: tuple, y: np.ndarray, held: np.ndarray, test: np.ndarray, m:
 
 
 def subset(x: Rows, mask: np.ndarray) -> Rows:
-    at = mask[x.row]
-    out = Rows([])
-    out.index, out.n = x.index[at], x.n[mask]
-    out.row = np.repeat(np.arange(len(out.n)), out.n)
-    return out
+    return Rows([], x.index[np.repeat(mask, x.n)], x.n[mask])
 
 
 def labelled_rows(docs: DataFrame, lab: DataFrame, labelled: int = LABELLED) -> pa.Table:
@@ -352,6 +369,8 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> dict:
         if r < rounds - 1 and any(any(map(any, m["sides"])) for m in fitted.values()):
             more = exchange(pool, out["cuts"], fitted)
     out.update({k: combine(views, ys[k], *masks[k][1:], fitted[k]) for k in ys})
+    del t, views, more
+    pa.default_memory_pool().release_unused()   # the driver gives back what the sample took
     return out
 
 
