@@ -55,12 +55,12 @@ def _try_double(c: Column) -> Column:
 # market page parsers
 # ---------------------------------------------------------------------------
 def parse_currency(v) -> Column:
-    """'$1,234.56' -> 1234.56; unparsable -> NULL."""
+    """'$2,075.10' -> 2075.1; unparsable -> NULL."""
     return _try_double(F.trim(F.regexp_replace(_c(v), r"[$,]", "")))
 
 
 def parse_percentage(v) -> Column:
-    """'88%' -> 88 (float then truncated to int, like int(float(x)))."""
+    """'61%' -> 61 (float then truncated to int, like int(float(x)))."""
     return _try_double(F.trim(F.regexp_replace(_c(v), "%", ""))).cast("int")
 
 
@@ -71,7 +71,7 @@ def parse_days(v) -> Column:
 
 
 def parse_revenue(v) -> Column:
-    """'$47.8K' -> 47800.0, '$1.2M' -> 1200000.0, '$174900' -> 174900.0."""
+    """'$9.5K' -> 9500.0, '$3.4M' -> 3400000.0, '$20150' -> 20150.0."""
     cleaned = F.trim(F.regexp_replace(_c(v), r"[$,]", ""))
     up = F.upper(cleaned)
     mult = (F.when(up.endswith("K"), F.lit(1000.0))

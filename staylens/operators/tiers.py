@@ -40,6 +40,13 @@ METRIC_CONFIG = {
     "adr": {"column": "ADR", "display_name": "Average Daily Rate", "unit": "$"},
     "occupancy": {"column": "Occ_Rate_Based_on_Avail", "display_name": "Occupancy Rate", "unit": "%"},
 }
+# Heads of the two comparison tables.
+AMENITY_HEAD = ("### Amenity Prevalence (% of properties with feature)\n\n"
+                "| Amenity | High Tier | Low Tier | Difference |\n"
+                "|---------|-----------|----------|------------|")
+NUMERIC_HEAD = ("### Numeric Averages\n\n"
+                "| Attribute | High Tier Avg | Low Tier Avg | Difference |\n"
+                "|-----------|---------------|--------------|------------|")
 TOP_FEATURES = 15
 MIN_VALID_ROWS = 4
 
@@ -312,12 +319,7 @@ def comparison_table_text(prevalence: DataFrame, numeric: DataFrame, k: int = TO
          .agg(F.array_sort(F.collect_list(F.struct(F.col("attribute_pos").alias("o"), n_line.alias("t"))))
               .alias("nl")))
     j = a.join(n, keys + ["metric"], "full_outer")
-    head_a = F.lit("### Amenity Prevalence (% of properties with feature)\n\n"
-                   "| Amenity | High Tier | Low Tier | Difference |\n"
-                   "|---------|-----------|----------|------------|")
-    head_n = F.lit("### Numeric Averages\n\n"
-                   "| Attribute | High Tier Avg | Low Tier Avg | Difference |\n"
-                   "|-----------|---------------|--------------|------------|")
+    head_a, head_n = F.lit(AMENITY_HEAD), F.lit(NUMERIC_HEAD)
     lines_a = F.transform(F.coalesce(F.col("al"), F.array().cast("array<struct<o:int,t:string>>")),
                           lambda x: x["t"])
     lines_n = F.transform(F.coalesce(F.col("nl"), F.array().cast("array<struct<o:int,t:string>>")),

@@ -69,6 +69,22 @@ def test_sinks_roundtrip(spark, tmpdir_path):
     assert sk.read_request_log(spark, os.path.join(tmpdir_path, "log")).count() == 1
 
 
+def test_matrices_from_one_run_and_few_files_per_area(spark, tmpdir_path):
+    from staylens.operators.matrix import clean_matrix
+    raw = spark.createDataFrame([("a", 1.0, 200, "True", "x", None), ("b", None, 50, None, "y", "2"), ("c", 3.0, 100, "False", "z", "1.5")],
+                                "listing_id string, ADR double, Days_Avail int, SYSTEM_POOL string, title string, beds string")
+    path = os.path.join(tmpdir_path, "both")
+    sk.write_matrices(raw, path)
+    assert [r["listing_id"] for r in fl.read_matrix(spark, f"{path}/raw").collect()] == ["c", "a", "b"]
+    got, want = (sorted(map(tuple, d.collect())) for d in (fl.read_matrix(spark, f"{path}/clean"), clean_matrix(raw)))
+    assert got == want and len(got) == 2
+    rows = spark.range(600).selectExpr("id", "IF(id % 3 = 0, 'hot', concat('a', id % 4)) AS area").repartition(12)
+    out = os.path.join(tmpdir_path, "areas")
+    sk.write_by_area(rows, out)
+    files = [f for _, _, names in os.walk(out) for f in names if f.endswith(".parquet")]
+    assert spark.read.parquet(out).count() == 600 and len(files) <= 10     # not 12 tasks x 5 areas
+
+
 def test_request_log_ties_are_settled_by_name(spark, tmpdir_path):
     import pytest
     from staylens.operators.costs import last_n_sessions
