@@ -358,15 +358,6 @@ def test_word_encoder_equals_tokenizer(tokenizer):
         assert list(enc(t)) == tok.encode(t, add_special_tokens=False).ids
 
 
-def test_word_encoder_leaves_other_rules_to_the_tokenizer(tokenizer):
-    import public_tokenizers as P
-    from tokenizers import Tokenizer
-    spec = open(P.path("byte_bpe_50k.json"), encoding="utf-8").read()
-    enc, tok = bitpack.WordEncoder(spec), Tokenizer.from_str(spec)
-    for t in ["", "Upper  case\n and spaces ", "it's 12,3", BASE]:
-        assert list(enc(t)) == tok.encode(t, add_special_tokens=False).ids
-
-
 def test_attention_gradient():
     rng = np.random.default_rng(0)
     flat = attention_lm.initial(np.full(attention_lm.CLASSES + 1, 1 / (attention_lm.CLASSES + 1), np.float32)).astype(np.float64)
