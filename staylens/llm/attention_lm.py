@@ -2,21 +2,23 @@
 
 Learning (documents whose crc32 of the id, modulo 5, is not 1):
 
-* Words, with their subword ids, are counted over all training documents.
-* A word's class comes from its subword ids: the text cluster its ids point to
-  (naive Bayes over ids; clusters by k-means rounds and id counts over all
-  training documents) and the number of its ids.  A one-layer causal attention model
-  predicts the class of the next word, or the end, from the classes before;
-  within its class a word has its smoothed frequency over the whole training
-  corpus, so the product is a distribution over words.
-* The attention model is trained on the windows of all training documents: each
-  task trains a copy on its share and Spark averages the copies, for ``ROUNDS``
-  rounds; the driver holds a few thousand numbers.
+* Words are counted over all training documents, and from the counts the subword
+  ids.  A text is the sequence of the ids of its words, then the end; a word of
+  which the tokenizer keeps nothing is one more symbol.
+* A one-layer causal attention model reads the ids before and predicts the next
+  id, or the end, in two steps: the id's class, then the id by the turns of a
+  Huffman tree over the class (hierarchical softmax, every turn from the attention
+  output).  Classes cut the ids, ordered by text cluster and frequency, into parts
+  of near equal mass (clusters: k-means rounds and id counts over all training
+  documents).  It starts as the ids' smoothed frequencies.
+* The model is trained on the windows of all training documents: each task trains
+  a copy on its share and Spark averages the rows that the copies changed, for
+  ``ROUNDS`` rounds; the driver holds tables of the vocabulary's size.
 
 Scoring (all documents, whole texts): windows of ``2 * STEP`` positions overlap
-by half; each scores its last ``STEP`` tokens, so every token is scored once,
-with ``STEP`` to ``2 * STEP - 1`` tokens of context, in batches with a causal
-and padding mask.
+by half; each scores its last ``STEP`` ids, so every id is scored once, with
+``STEP`` to ``2 * STEP - 1`` ids of context, in batches with a causal and padding
+mask.
 
 The unigram base score looks words up in a table of the ``HEAD`` most frequent
 words inside the task; the rarer words go through a join.
@@ -29,6 +31,7 @@ V = 0 and the model is uniform; an empty table gives no rows.
 
 from __future__ import annotations
 
+import heapq
 import math
 import zlib
 
@@ -37,13 +40,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm.bitpack import WordEncoder
+from staylens.llm.bitpack import WordEncoder, _Memo
 from staylens.llm.common import cut, load, shuffle_parts
 
 FOLDS, HELD = 5, 1
 CLUSTERS = 8
-LENGTHS = 4            # words of 1, 2, 3, and more ids
-CLASSES = CLUSTERS * LENGTHS
+CLASSES = 32
 CELLS = 512             # hashed ids of a document, for k-means
 KMEANS_ROUNDS = 6
 DIM = 16
@@ -54,6 +56,7 @@ HEAD = 1 << 19
 COUNTED = 1 << 20      # distinct words a task counts before it writes them out
 TOGETHER = 1 << 17     # words of the documents that a task looks up and scores at once
 PASSES = 2             # over a task's share of windows, per round
+TABLE_RATE = 0.1       # step of the id tables (Adagrad) in the first round
 
 
 def is_held(doc_id) -> bool:
@@ -99,20 +102,30 @@ def initial(class_share: np.ndarray, seed: int = 7) -> np.ndarray:
     return flat
 
 
-def forward(p: dict, x: np.ndarray):
-    """x: (windows, 2 * STEP) input classes; log probabilities of the class at
-    each of the last STEP positions, and what the backward step needs."""
-    e = p["E"][x]
-    q, k, v = e[:, STEP:] @ p["Wq"], e @ p["Wk"], e @ p["Wv"]
+def times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``x @ w`` as one product over all rows of ``x``."""
+    return (x.reshape(-1, DIM) @ w).reshape(*x.shape[:-1], -1)
+
+
+def forward(p: dict, x: np.ndarray, own: np.ndarray | None = None):
+    """x: (windows, 2 * STEP) input classes, ``own``: what the inputs' ids add to
+    them; log probabilities of the class at each of the last STEP positions, and
+    what the backward step needs."""
+    e = p["E"].take(x, axis=0)
+    if own is not None:
+        e += own
+    q, k, v = times(e[:, STEP:], p["Wq"]), times(e, p["Wk"]), times(e, p["Wv"])
     s = q @ k.transpose(0, 2, 1)
     s *= np.float32(1 / math.sqrt(DIM))
     s += np.where(_CAUSAL, p["R"][np.maximum(_AHEAD, 0)], np.float32(-1e9))
-    s += np.where(x == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
+    padded = x == PAD
+    some = np.flatnonzero(padded.any(axis=1))
+    s[some] += np.where(padded[some], np.float32(-1e9), np.float32(0))[:, None, :]
     s -= s.max(axis=2, keepdims=True)
-    a = np.exp(s)
+    a = np.exp(s, out=s)
     a /= a.sum(axis=2, keepdims=True)
     c = a @ v
-    h = e[:, STEP:] + c @ p["Wc"]
+    h = e[:, STEP:] + times(c, p["Wc"])
     logits = h.reshape(-1, DIM) @ p["Wo"] + p["bo"]
     logits -= logits.max(axis=1, keepdims=True)
     logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
@@ -121,18 +134,30 @@ def forward(p: dict, x: np.ndarray):
 
 def gradient(p: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Gradient of the mean cross entropy; y: (windows, STEP) target classes, -1 none."""
-    logp, (e, q, k, v, a, c, h) = forward(p, x)
+    out, de = backward(p, y, max(1, (y >= 0).sum()), *forward(p, x))
+    hot = np.zeros((x.size, CLASSES + 2), np.float32)
+    hot[np.arange(x.size), x.ravel()] = 1
+    split(out)["E"][:] = hot.T @ de.reshape(-1, DIM)
+    return out
+
+
+def backward(p: dict, y: np.ndarray, n: int, logp: np.ndarray, kept: tuple, more: np.ndarray | None = None):
+    """Gradient of the cross entropy over ``n``, without that of E, and the
+    gradient of the inputs; ``more``: gradient of the outputs from elsewhere."""
+    e, q, k, v, a, c, h = kept
     t = y.reshape(-1)
     use = t >= 0
     d = np.exp(logp)
     d[np.flatnonzero(use), t[use]] -= 1
-    d *= (use / max(1, use.sum()))[:, None].astype(np.float32)
+    d *= (use / n)[:, None].astype(np.float32)
     g = split(out := np.zeros(size(), np.float32))
     g["Wo"][:] = h.reshape(-1, DIM).T @ d
     g["bo"][:] = d.sum(axis=0)
     dh = (d @ p["Wo"].T).reshape(h.shape)
+    if more is not None:
+        dh += more.reshape(h.shape)
     g["Wc"][:] = c.reshape(-1, DIM).T @ dh.reshape(-1, DIM)
-    dc = dh @ p["Wc"].T
+    dc = times(dh, p["Wc"].T)
     da, dv = dc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dc
     ds = a * (da - (da * a).sum(axis=2, keepdims=True))
     g["R"][:] = np.bincount(np.maximum(_AHEAD, 0).ravel(), weights=(ds.sum(axis=0) * _CAUSAL).ravel(), minlength=2 * STEP)
@@ -142,23 +167,20 @@ def gradient(p: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     g["Wq"][:] = e[:, STEP:].reshape(-1, DIM).T @ dq.reshape(-1, DIM)
     g["Wk"][:] = flat_e.T @ dk.reshape(-1, DIM)
     g["Wv"][:] = flat_e.T @ dv.reshape(-1, DIM)
-    de = dk @ p["Wk"].T + dv @ p["Wv"].T
-    de[:, STEP:] += dh + dq @ p["Wq"].T
-    hot = np.zeros((x.size, CLASSES + 2), np.float32)
-    hot[np.arange(x.size), x.ravel()] = 1
-    g["E"][:] = hot.T @ de.reshape(-1, DIM)
-    return out
+    de = times(dk, p["Wk"].T) + times(dv, p["Wv"].T)
+    de[:, STEP:] += dh + times(dq, p["Wq"].T)
+    return out, de
 
 
-def windows(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Overlapping windows over class sequences (each ends with END): input
-    classes, target classes (-1 beyond the end), number of windows of each."""
+def windows(sequences: list[np.ndarray], start: int = START, pad: int = PAD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping windows over sequences (each ends with the end): inputs,
+    targets (-1 beyond the end), number of windows of each."""
     counts = np.array([-(-len(s) // STEP) for s in sequences], np.int64)
-    x = np.full(int((counts + 1).sum()) * STEP, PAD, np.int64)
+    x = np.full(int((counts + 1).sum()) * STEP, pad, np.int64)
     y = np.full(int(counts.sum()) * STEP, -1, np.int64)
     at = to = 0
     for s, c in zip(sequences, counts.tolist()):
-        x[at + STEP] = START
+        x[at + STEP] = start
         x[at + STEP + 1:at + STEP + len(s)] = s[:-1]
         y[to:to + len(s)] = s
         at, to = at + (c + 1) * STEP, to + c * STEP
@@ -175,26 +197,106 @@ def batch_gradient(p: dict, x: np.ndarray, y: np.ndarray, piece: int = 64) -> np
     return g
 
 
-class Trainer:
-    """Adam over one task's share of windows, which arrive in pieces."""
+def turns(lang: Language, t: np.ndarray, h: np.ndarray):
+    """Turns on the tree paths of the symbols ``t`` given the outputs ``h``: which
+    of ``t`` have a path, their turns' first places, and of every turn the node, the
+    side (1, -1), the logit, the node's weights and the output."""
+    some = np.flatnonzero(lang.first[t + 1] > lang.first[t])
+    at, n = lang.first[t[some]], lang.first[t[some] + 1] - lang.first[t[some]]
+    begin = np.cumsum(n) - n
+    place = np.repeat(some, n)
+    path = np.arange(len(place)) + np.repeat(at - begin, n)
+    node = lang.node[path]
+    w, out = lang.turn.take(node, axis=0), h.take(place, axis=0)
+    return some, begin, node, lang.side[path], np.einsum("ij,ij->i", w, out) + lang.bias[node], w, out
+
+
+def row_sums(rows: np.ndarray, values: np.ndarray):
+    """Distinct rows and the sums of their values."""
+    rows = rows.astype(np.uint16 if len(rows) and rows.max() < 1 << 16 else np.uint32)   # 16 bits: radix sort
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    begin = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else np.zeros(0, np.int64)
+    if not len(rows):
+        return begin, values[:0], begin
+    return rows[begin].astype(np.int64), np.add.reduceat(values.take(order, axis=0), begin, axis=0), np.diff(np.append(begin, len(rows)))
+
 
-    def __init__(self, flat: np.ndarray, rate: float, seed: int):
-        self.flat, self.rate, self.n, self.seen = flat.copy(), rate, 0, 0
-        self.m, self.v = np.zeros_like(flat), np.zeros_like(flat)
+class Trainer:
+    """One task's copy of the model: Adam for the attention's weights, Adagrad for
+    the rows of the id tables, over a share of windows that arrive in pieces."""
+
+    def __init__(self, lang: Language, rate: float, seed: int):
+        self.start, self.rate, self.n, self.seen = lang, rate, 0, 0
+        self.lang = lang.copy()
+        self.m, self.v = np.zeros_like(lang.flat), np.zeros_like(lang.flat)
+        self.steps = {name: np.full(len(getattr(lang, name)), 1e-12, np.float32) for name in ("own", "turn", "bias")}
+        self.touched = {name: np.zeros(len(getattr(lang, name)), np.int64) for name in ("own", "turn")}
         self.order = np.random.default_rng(seed)
 
+    def gradient(self, x: np.ndarray, y: np.ndarray, piece: int = 64):
+        """Gradients of a batch of symbol windows: the attention's, and those of
+        input rows, tree nodes and their biases (row, sum, number)."""
+        lang, p = self.lang, split(self.lang.flat)
+        g, n = np.zeros(size(), np.float32), max(1, int((y >= 0).sum()))
+        ins, nodes = [], []
+        for i in range(0, len(x), piece):
+            xi, t = x[i:i + piece], y[i:i + piece].ravel()
+            use = np.flatnonzero(t >= 0)
+            logp, kept = forward(p, lang.cls[xi], lang.own.take(xi, axis=0))
+            some, begin, node, side, z, w, h = turns(lang, t[use], kept[-1].reshape(-1, DIM).take(use, axis=0))
+            dz = (-side / (1 + np.exp(np.minimum(side * z, 60))) / np.float32(n)).astype(np.float32)
+            more = np.zeros((len(t), DIM), np.float32)
+            if len(begin):
+                w *= dz[:, None]
+                more[use[some]] = np.add.reduceat(w, begin, axis=0)
+            h *= dz[:, None]
+            nodes.append((node, np.concatenate([h, dz[:, None]], axis=1)))
+            out, de = backward(p, np.where(t >= 0, lang.cls[t], -1), n, logp, kept, more)
+            g += out
+            full = np.flatnonzero(xi.ravel() != lang.pad)
+            ins.append((xi.ravel()[full], de.reshape(-1, DIM).take(full, axis=0)))
+        own = row_sums(*map(np.concatenate, zip(*ins)))
+        hot = np.zeros((len(own[0]), CLASSES + 2), np.float32)
+        hot[np.arange(len(hot)), lang.cls[own[0]]] = 1
+        split(g)["E"][:] = hot.T @ own[1]
+        return g, own, row_sums(*map(np.concatenate, zip(*nodes)))
+
+    def _rows(self, name: str, rows: np.ndarray, g: np.ndarray, rate: float) -> None:
+        """Adagrad with one step size per row."""
+        table, steps = getattr(self.lang, name), self.steps[name]
+        steps[rows] += np.square(g).mean(axis=1) if g.ndim > 1 else np.square(g)
+        by = np.float32(rate) / np.sqrt(steps[rows])
+        table[rows] -= g * (by[:, None] if g.ndim > 1 else by)
+
     def train(self, x: np.ndarray, y: np.ndarray) -> None:
+        rate = TABLE_RATE * self.rate / 0.02
         for _ in range(PASSES):
             turn = self.order.permutation(len(x))
             for i in range(0, len(x), BATCH):
                 pick = turn[i:i + BATCH]
-                g = batch_gradient(split(self.flat), x[pick], y[pick])
+                g, (ins, d_in, n_in), (nodes, d_node, n_node) = self.gradient(x[pick], y[pick])
                 self.n += 1
                 self.m += 0.1 * (g - self.m)
                 self.v += 0.01 * (g * g - self.v)
-                self.flat -= self.rate * (self.m / (1 - 0.9 ** self.n)) / (np.sqrt(self.v / (1 - 0.99 ** self.n)) + 1e-7)
+                self.lang.flat -= self.rate * (self.m / (1 - 0.9 ** self.n)) / (np.sqrt(self.v / (1 - 0.99 ** self.n)) + 1e-7)
+                self._rows("own", ins, d_in, rate)
+                self._rows("turn", nodes, d_node[:, :DIM], rate)
+                self._rows("bias", nodes, d_node[:, DIM], rate)
+                self.touched["own"][ins] += n_in
+                self.touched["turn"][nodes] += n_node
         self.seen += len(x)
 
+    def changes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row numbers (of :meth:`Language.rows`), how often each was trained, and
+        its change."""
+        if not self.seen:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, DIM + 1))
+        core = np.full(len(self.lang.core()), self.seen)
+        n = np.concatenate([core, self.touched["own"], self.touched["turn"]])
+        at = np.flatnonzero(n)
+        return at, n[at], (self.lang.rows()[at] - self.start.rows()[at]).astype(float)
+
 
 # ---- counts over the training documents --------------------------------------------------
 
@@ -334,13 +436,64 @@ def cluster_ids(sets: DataFrame, vocabulary: int) -> np.ndarray:
     return np.log((out + 0.1) / (total + 0.1 * vocabulary)).astype(np.float32)
 
 
+def huffman(weight: np.ndarray, cls: np.ndarray):
+    """Huffman trees over the symbols of each class: where a symbol's path begins
+    (and the last ends), the paths' nodes and sides (1, -1), and every node's log
+    odds of side 1."""
+    n = len(weight)
+    up, side, odds = np.full(2 * n, -1, np.int64), np.zeros(2 * n, np.float32), []
+    members = np.split(np.argsort(cls, kind="stable"), np.cumsum(np.bincount(cls, minlength=CLASSES))[:-1])
+    for some in members:
+        heap = [(float(weight[i]), int(i)) for i in some]
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            inner = n + len(odds)
+            up[i] = up[j] = inner
+            side[i], side[j] = -1, 1
+            odds.append(math.log(b / a))
+            heapq.heappush(heap, (a + b, inner))
+    leaf = at = np.arange(n)
+    parts = []
+    while len(at := at[(on := up[at] >= 0)]):
+        leaf = leaf[on]
+        parts.append((leaf, up[at] - n, side[at]))
+        at = up[at]
+    leaf, node, sides = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
+    order = np.argsort(leaf, kind="stable")
+    first = np.concatenate([[0], np.cumsum(np.bincount(leaf, minlength=n))])
+    return first, node[order].astype(np.int32), sides[order].astype(np.float32), np.array(odds, np.float32)
+
+
 class Language:
-    """What the tasks need to score: tables of fixed size."""
+    """What the tasks need to score: tables of the vocabulary's size.  Symbols:
+    the ids, ``none`` (a word without ids), ``end`` (also the start), ``pad``."""
 
     def __init__(self, id_cluster: np.ndarray):
         self.id_cluster = id_cluster
-        self.mass = np.full(CLASSES, 0.5)
-        self.flat = initial(np.full(CLASSES + 1, 1 / (CLASSES + 1), np.float32))
+        self.none = len(id_cluster)
+        self.end, self.pad = self.none + 1, self.none + 2
+        self.own = np.zeros((self.none + 3, DIM), np.float32)
+        self.count(np.zeros(self.none + 1), 0)
+
+    def count(self, counts: np.ndarray, n_docs: int) -> None:
+        """Classes, trees and first weights from the counts of ids (and ``none``)."""
+        weight = counts + 0.5
+        cluster = np.append(np.argmax(self.id_cluster, axis=1), 0)
+        order = np.lexsort((-weight, cluster))
+        total = np.cumsum(weight[order])
+        cut_at = np.searchsorted(total, total[-1] * np.arange(1, CLASSES) / CLASSES)
+        k = np.arange(1, CLASSES)       # no class without an id
+        cut_at = np.minimum(np.maximum.accumulate(np.maximum(cut_at, 1) - k) + k, np.maximum(0, len(order) - CLASSES + k))
+        cls = np.zeros(len(order), np.int64)
+        cls[order] = np.searchsorted(cut_at, np.arange(len(order)), side="right")
+        self.cls = np.concatenate([cls, [END, PAD]])
+        self.mass = np.maximum(np.bincount(cls, weight, CLASSES), 1e-9)
+        first, self.node, self.side, self.bias = huffman(weight, cls)
+        self.first = np.concatenate([first, first[-1:], first[-1:]])    # the end and the padding: no path
+        self.turn = np.zeros((len(self.bias), DIM), np.float32)
+        share = np.append(self.mass, n_docs + 0.5)
+        self.flat = initial((share / share.sum()).astype(np.float32))
 
     @classmethod
     def of(cls, parts: dict) -> Language:
@@ -350,49 +503,72 @@ class Language:
         out.__dict__.update(parts)
         return out
 
-    def classes(self, lens: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Classes of words with ``lens`` ids each, all ids in ``ids``; 0 for
-        words of which the tokenizer keeps nothing."""
-        out = np.zeros(len(lens), np.int64)
-        full = np.flatnonzero(lens)
-        if len(full):
-            n = lens[full]
-            k = np.argmax(np.add.reduceat(self.id_cluster[ids].astype(float), np.cumsum(n) - n, axis=0), axis=1)
-            out[full] = k * LENGTHS + np.minimum(n, LENGTHS) - 1
-        return out
-
-    def word_classes(self, ids: list[bytes]) -> np.ndarray:
-        lens = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
-        return self.classes(lens, np.frombuffer(b"".join(ids), "<u4"))
+    @classmethod
+    def symbols(cls, vocabulary: int) -> Language:
+        """The symbols alone."""
+        return cls.of({"none": vocabulary, "end": vocabulary + 1, "pad": vocabulary + 2})
+
+    def copy(self) -> Language:
+        return Language.of({k: v.copy() if k in ("flat", "own", "turn", "bias") else v for k, v in vars(self).items()})
+
+    def core(self) -> np.ndarray:
+        """The attention's weights in rows, filled up with zeros."""
+        return np.append(self.flat, np.zeros(-size() % (DIM + 1), np.float32)).reshape(-1, DIM + 1)
+
+    def rows(self) -> np.ndarray:
+        """All that is trained, as rows of ``DIM + 1`` numbers."""
+        own = np.concatenate([self.own, np.zeros((len(self.own), 1), np.float32)], axis=1)
+        return np.concatenate([self.core(), own, np.concatenate([self.turn, self.bias[:, None]], axis=1)])
+
+    def take(self, rows: np.ndarray) -> None:
+        """The reverse of :meth:`rows`."""
+        a, b = len(self.core()), len(self.core()) + len(self.own)
+        self.flat = rows[:a].ravel()[:size()].astype(np.float32)
+        self.own = np.ascontiguousarray(rows[a:b, :DIM], np.float32)
+        self.turn, self.bias = np.ascontiguousarray(rows[b:, :DIM], np.float32), rows[b:, DIM].astype(np.float32)
+
+    def ids_type(self) -> str:
+        return "<u2" if self.pad < 1 << 16 else "<u4"
+
+    def spell(self, enc: WordEncoder) -> _Memo:
+        """word -> its symbols as bytes, kept beside the worker's encoder; call
+        :func:`younger` on it between batches."""
+        def make(w):
+            ids = np.frombuffer(enc._word(w), "<u4")
+            return (ids if len(ids) else np.array([none])).astype(kind).tobytes()
+
+        none, kind = self.none, self.ids_type()
+        return enc.__dict__.setdefault("_symbols", _Memo(make, {}))
+
+    def younger(self, enc: WordEncoder) -> _Memo:
+        known = self.spell(enc)
+        if len(known) >= enc.cached:
+            known.old = {}
+            known = enc._symbols = _Memo(known.make, known)
+        return known
 
 
 def class_sequences(docs: DataFrame, spec: str, lang: Language) -> DataFrame:
-    """data: the classes of the words of a training document and the end, one
-    byte each; one row for every training document."""
+    """data: the subword ids of the words of a training document and the end, two
+    bytes each (four with a large vocabulary); one row for every training document."""
     spark = docs.sparkSession
-    shared, spec_b = spark.sparkContext.broadcast(vars(lang)), spark.sparkContext.broadcast(spec)
+    shared, spec_b = spark.sparkContext.broadcast(lang.id_cluster), spark.sparkContext.broadcast(spec)
 
     def run(batches):
-        lang, enc, known = Language.of(shared.value), WordEncoder.shared(spec_b.value), {}
+        lang, enc = Language.symbols(len(shared.value)), WordEncoder.shared(spec_b.value)
+        end = np.array([lang.end], lang.ids_type()).tobytes()
         for b in batches:
-            out = []
+            out, known = [], lang.younger(enc)
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                if is_held(d):
-                    continue
-                ws = lower_words(t.as_py())
-                if len(known) > COUNTED // 2:
-                    known.clear()
-                fresh = list(set(ws).difference(known))
-                if fresh:
-                    known.update(zip(fresh, lang.word_classes([enc._word(w) for w in fresh]).tolist()))
-                out.append(bytes(map(known.__getitem__, ws)) + bytes([END]))
+                if not is_held(d):
+                    out.append(b"".join(map(known.__getitem__, lower_words(t.as_py()))) + end)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["data"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "data binary")
 
 
 def learn(docs: DataFrame, spec: str, vocabulary: int) -> tuple[Language, DataFrame, dict]:
-    """The model, the word counts (hash, c, cls) and the totals N, V, documents."""
+    """The model, the word counts (hash, c) and the totals N, V, documents."""
     spark = docs.sparkSession
     stats = cut(statistics(docs, spec), "lm-statistics")
     words = cut(stats.where("kind = 0").groupBy(F.col("key").alias("hash"))
@@ -401,67 +577,68 @@ def learn(docs: DataFrame, spec: str, vocabulary: int) -> tuple[Language, DataFr
     tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     totals = {"N": tokens + n_docs, "V": distinct + (n_docs > 0), "docs": n_docs}
     lang = Language(cluster_ids(stats.where("kind = 3").select("data"), vocabulary))
-    shared = spark.sparkContext.broadcast(vars(lang))
     spec_b = spark.sparkContext.broadcast(spec)
 
-    def classes(batches):
-        enc, lang = WordEncoder.shared(spec_b.value), Language.of(shared.value)
-        for b in batches:
-            cls = lang.word_classes([enc._word(w) for w in b.column("word").to_pylist()])
-            yield pa.RecordBatch.from_arrays([b.column("hash"), b.column("c"), pa.array(cls)], names=["hash", "c", "cls"])
-
-    words = cut(words.mapInArrow(classes, "hash long, c long, cls long"), "lm-classes")
-    for k, c, n in words.groupBy("cls").agg(F.sum("c"), F.count("*")).collect():  # CLASSES rows
-        lang.mass[k] = c + 0.5 * (n + 1)
-    share = np.append(lang.mass, n_docs + 0.5)
-    lang.flat = initial((share / share.sum()).astype(np.float32))
+    def spelled(total, c, word):
+        enc = WordEncoder.shared(spec_b.value)
+        ids = [enc._word(w) for w in word.to_pylist()]
+        n = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+        c = c.to_numpy()
+        total[:-1] += np.bincount(np.frombuffer(b"".join(ids), "<u4"), np.repeat(c, n), len(total) - 1)
+        total[-1] += c[n == 0].sum()
+
+    lang.count(summed(words, ["c", "word"], vocabulary + 1, spelled), n_docs)
     sequences = cut(class_sequences(docs, spec, lang), "lm-sequences")
+    columns = [f"c{i}" for i in range(DIM + 1)]
     for r in range(ROUNDS):
-        start = spark.sparkContext.broadcast(lang.flat)
+        start = spark.sparkContext.broadcast(vars(lang))
 
         def run(batches, r=r, start=start):
-            trainer, some, n = Trainer(start.value, 0.02 / (r + 1), r), [], 0
+            lang = Language.of(start.value)
+            trainer, some, n = Trainer(lang, 0.02 / (r + 1), r), [], 0
             for b in batches:
                 for d in b.column("data"):
-                    some.append(np.frombuffer(d.as_py(), np.uint8).astype(np.int64))
+                    some.append(np.frombuffer(d.as_py(), lang.ids_type()).astype(np.int64))
                     n += len(some[-1])
                     if n >= TOGETHER:
-                        trainer.train(*windows(some)[:2])
+                        trainer.train(*windows(some, lang.end, lang.pad)[:2])
                         some, n = [], 0
             if some:
-                trainer.train(*windows(some)[:2])
-            flat, total = trainer.flat, float(trainer.seen)
-            if total:
+                trainer.train(*windows(some, lang.end, lang.pad)[:2])
+            at, n, change = trainer.changes()
+            for i in range(0, len(at), 8192):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(flat))), pa.array(flat.astype(float) * total), pa.array(np.full(len(flat), total))],
-                    names=["i", "v", "n"])
+                    [pa.array(at[i:i + 8192]), pa.array(n[i:i + 8192].astype(float)),
+                     *[pa.array(np.ascontiguousarray(c[i:i + 8192])) for c in (change * n[:, None]).T]], names=["i", "n", *columns])
 
-        mean = sequences.mapInArrow(run, "i long, v double, n double").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).toArrow()
-        if mean.num_rows:
-            flat = np.zeros(size(), np.float32)
-            flat[mean.column("i").to_numpy()] = mean.column("v").to_numpy()
-            lang.flat = flat
-    return lang, words, totals
+        mean = sequences.mapInArrow(run, "i long, n double, " + ", ".join(f"{c} double" for c in columns)).groupBy("i").agg(
+            *[(F.sum(c) / F.sum("n")).alias(c) for c in columns]).toArrow()  # a row per id, node and DIM + 1 weights
+        rows = lang.rows()
+        rows[mean.column("i").to_numpy()] += np.stack([mean.column(c).to_numpy() for c in columns], axis=1).astype(np.float32)
+        lang.take(rows)
+    return lang, words.select("hash", "c"), totals
 
 
 # ---- scoring -----------------------------------------------------------------------------
 
-def class_scores(lang: Language, classes: list[np.ndarray], batch: int = 64) -> np.ndarray:
-    """log10 of the product of class probabilities over the class mass, for each
-    class sequence; ``classes`` end with END."""
-    if not classes:
+def class_scores(lang: Language, sequences: list[np.ndarray], batch: int = 64) -> np.ndarray:
+    """log10 probability of each sequence of symbols; all end with the end."""
+    if not sequences:
         return np.zeros(0)
     p = split(lang.flat)
-    mass = np.append(lang.mass, 1.0)
-    x, y, counts = windows(classes)
+    x, y, counts = windows(sequences, lang.end, lang.pad)
     per = np.zeros(len(x))
     for i in range(0, len(x), batch):
-        logp, _ = forward(p, x[i:i + batch])
+        logp, kept = forward(p, lang.cls[x[i:i + batch]], lang.own.take(x[i:i + batch], axis=0))
         t = y[i:i + batch].ravel()
-        at = np.maximum(t, 0)
-        own = logp[np.arange(len(t)), at] / math.log(10) - np.log10(mass)[at]
-        per[i:i + batch] = np.where(t >= 0, own, 0).reshape(-1, STEP).sum(axis=1)
-    return np.add.reduceat(per, np.concatenate([[0], np.cumsum(counts)[:-1]]))
+        use = np.flatnonzero(t >= 0)
+        own = np.zeros(len(t))
+        own[use] = logp[use, lang.cls[t[use]]]
+        some, begin, _, side, z, _, _ = turns(lang, t[use], kept[-1].reshape(-1, DIM)[use])
+        if len(begin):
+            own[use[some]] -= np.add.reduceat(np.logaddexp(np.float32(0), -side * z), begin)
+        per[i:i + batch] = own.reshape(-1, STEP).sum(axis=1)
+    return np.add.reduceat(per, np.concatenate([[0], np.cumsum(counts)[:-1]])) / math.log(10)
 
 
 def scored(docs: DataFrame, spec: str, vocabulary: int) -> DataFrame:
@@ -469,7 +646,7 @@ def scored(docs: DataFrame, spec: str, vocabulary: int) -> DataFrame:
     lang, words, totals = learn(docs, spec, vocabulary)
     top = words.orderBy(F.desc("c"), "hash").limit(HEAD).toArrow()  # HEAD rows
     h = top.column("hash").to_numpy()
-    value = top.column("c").to_numpy() * 64 + top.column("cls").to_numpy()  # count and class in one number
+    value = top.column("c").to_numpy()
     order = np.argsort(h)
     shared = spark.sparkContext.broadcast((vars(lang), h[order], value[order], spec))
 
@@ -478,7 +655,7 @@ def scored(docs: DataFrame, spec: str, vocabulary: int) -> DataFrame:
         lang, enc, known = Language.of(parts), WordEncoder.shared(spec), {}
 
         def look_up(texts: list[list[bytes]]) -> None:
-            """Values of all words of the texts; a count of -1: not in the head table."""
+            """Counts of all words of the texts; -1: not in the head table."""
             if len(known) > COUNTED // 2:
                 known.clear()
             fresh = list({w for ws in texts for w in ws}.difference(known))
@@ -487,26 +664,24 @@ def scored(docs: DataFrame, spec: str, vocabulary: int) -> DataFrame:
             hashes = np.fromiter(map(word_hash, fresh), np.int64, len(fresh))
             at = np.minimum(np.searchsorted(h, hashes), max(0, len(h) - 1))
             head = h[at] == hashes if len(h) else np.zeros(len(fresh), bool)
-            found = np.zeros(len(fresh), np.int64)
+            found = np.full(len(fresh), -1, np.int64)
             found[head] = value[at[head]]
-            rare = np.flatnonzero(~head)
-            found[rare] = lang.word_classes([enc._word(fresh[i]) for i in rare.tolist()]) - 64
             known.update(zip(fresh, found.tolist()))
 
-        def score(ids: list, texts: list[list[bytes]]) -> pa.RecordBatch:
+        def score(doc_ids: list, texts: list[list[bytes]]) -> pa.RecordBatch:
             look_up(texts)
-            classes, rows = [], []
-            for d, ws in zip(ids, texts):
-                both = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
-                n = both >> 6
+            spelled, kind, sequences, rows = lang.younger(enc), lang.ids_type(), [], []
+            for d, ws in zip(doc_ids, texts):
+                n = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
                 head = n >= 0
                 rare = [word_hash(ws[i]) for i in np.flatnonzero(~head).tolist()]
-                classes.append(np.append(both & 63, END))
+                ids = np.frombuffer(b"".join(map(spelled.__getitem__, ws)), kind)
+                sequences.append(np.append(ids.astype(np.int64), lang.end))
                 rows.append((is_held(d), len(ws) + 1, int(head.sum()), float(np.log10(n[head] + 0.5).sum()), rare))
-            s = class_scores(lang, classes)
+            s = class_scores(lang, sequences)
             cols = list(zip(*rows)) or [()] * 5
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(cols[0], pa.bool_()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
+                [pa.array(doc_ids, pa.int64()), pa.array(cols[0], pa.bool_()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
                  pa.array(cols[3], pa.float64()), pa.array(cols[4], pa.list_(pa.int64())), pa.array(s, pa.float64())],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "rare", "cls"])
 
@@ -535,7 +710,7 @@ def scored(docs: DataFrame, spec: str, vocabulary: int) -> DataFrame:
         (F.col("n_known") + F.coalesce("k", F.lit(0)) + F.lit(int(totals["docs"] > 0))).alias("n_known"),
         F.lit(totals["N"]).cast("long").alias("train_tokens"),
         (logs + F.lit(math.log10(totals["docs"] + 0.5)) - F.col("n_tokens") * F.lit(base)).alias("base_score"),
-        (logs + F.col("cls")).alias("score"))
+        F.col("cls").alias("score"))
 
 
 def op8_attention_lm(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:

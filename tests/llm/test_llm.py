@@ -417,6 +417,83 @@ def test_attention_batch_gradient():
     assert np.abs(attention_lm.batch_gradient(p, x, y, 16) - attention_lm.gradient(p, x, y)).max() < 1e-5
 
 
+def small_language(seed=3, vocabulary=90):
+    rng = np.random.default_rng(seed)
+    lang = attention_lm.Language(rng.standard_normal((vocabulary, attention_lm.CLUSTERS)).astype(np.float32))
+    lang.count(rng.integers(0, 50, vocabulary + 1).astype(float), 5)
+    for name in ("own", "turn"):
+        setattr(lang, name, (rng.standard_normal(getattr(lang, name).shape) * .3).astype(np.float32))
+    return lang
+
+
+def test_attention_reads_and_predicts_subword_ids(spark, tokenizer):
+    spec, tok = tokenizer
+    texts = ["It's the unquestionable \u00e9lan", "green hills green hills", None, "a \x01 b"]
+    ids = [i for i in range(40) if not attention_lm.is_held(i)][:len(texts)]
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    lang, _, _ = attention_lm.learn(df, spec, 49408)
+    got = {r.data for r in attention_lm.class_sequences(df, spec, lang).collect()}
+    want = set()
+    for t in texts:
+        ws = [tok.encode(w, add_special_tokens=False).ids or [lang.none] for w in (t or "").lower().split(" ") if w]
+        want.add(np.array(sum(ws, []) + [lang.end], lang.ids_type()).tobytes())
+    assert got == want
+    a, b = (tok.encode(w, add_special_tokens=False).ids[0] for w in ("green", "hills"))
+    assert np.abs(lang.own[[a, b]]).min() > 0       # both ids have learned their own rows
+
+
+def test_attention_probabilities_of_ids():
+    lang = small_language()
+    rng = np.random.default_rng(1)
+    before = rng.integers(0, lang.none, 20)
+
+    # the next symbol after a context: ids, none and the end sum to one
+    x, y, _ = attention_lm.windows([np.append(before, [i, lang.end]) for i in range(lang.none + 1)], lang.end, lang.pad)
+    logp, kept = attention_lm.forward(attention_lm.split(lang.flat), lang.cls[x], lang.own[x])
+    h, place = kept[-1].reshape(-1, attention_lm.DIM), np.arange(lang.none + 1) * 2 * attention_lm.STEP + len(before)
+    t = np.arange(lang.none + 1)
+    p = np.exp(logp[place, lang.cls[t]])
+    some, begin, _, side, z, _, _ = attention_lm.turns(lang, t, h[place])
+    p[some] *= np.exp(-np.add.reduceat(np.logaddexp(0, -side * z), begin))
+    assert abs(p.sum() + np.exp(logp[place[0], attention_lm.END]) - 1) < 1e-4
+    assert np.abs(h[place] - h[place[0]]).max() < 1e-5     # the symbol itself is not seen
+
+    # at first the model is the smoothed frequencies of the ids
+    plain = attention_lm.Language(lang.id_cluster)
+    counts = np.arange(lang.none + 1.0)
+    plain.count(counts, 7)
+    split = attention_lm.split(plain.flat)
+    split["Wo"][:] = 0
+    total = counts.sum() + (len(counts) + 1) * 0.5 + 7
+    want = np.log10((counts[before] + 0.5) / total).sum() + math.log10(7.5 / total)
+    assert abs(attention_lm.class_scores(plain, [np.append(before, plain.end)])[0] - want) < 1e-3
+
+
+def test_attention_gradient_of_id_tables():
+    lang = small_language()
+    rng = np.random.default_rng(2)
+    for name in ("flat", "own", "turn", "bias"):
+        setattr(lang, name, getattr(lang, name).astype(np.float64))
+    x, y, _ = attention_lm.windows([np.append(rng.integers(0, lang.none + 1, n), lang.end) for n in (5, 40, 17)], lang.end, lang.pad)
+    seqs = np.split(y[y >= 0], np.flatnonzero(y[y >= 0] == lang.end)[:-1] + 1)
+
+    def loss():
+        return -attention_lm.class_scores(lang, seqs).sum() * math.log(10) / (y >= 0).sum()
+
+    g, (ins, d_in, _), (nodes, d_node, _) = attention_lm.Trainer(lang, 0.02, 0).gradient(x, y, 2)
+    checks = [("flat", (i,), g[i]) for i in rng.choice(len(g), 20, replace=False)]
+    checks += [("own", (ins[k], 3), d_in[k, 3]) for k in rng.choice(len(ins), 8, replace=False)]
+    checks += [("turn", (nodes[k], 5), d_node[k, 5]) for k in rng.choice(len(nodes), 8, replace=False)]
+    checks += [("bias", (nodes[k],), d_node[k, -1]) for k in rng.choice(len(nodes), 4, replace=False)]
+    for name, at, want in checks:
+        table, old = getattr(lang, name), getattr(lang, name)[at]
+        table[at] = old + 1e-4
+        up = loss()
+        table[at] = old - 1e-4
+        assert abs((up - loss()) / 2e-4 - want) < 1e-5, (name, at)
+        table[at] = old
+
+
 def test_cotraining_held_out(spark):
     from staylens.llm.common import load
     sf = "/root/testdata/sf0.01"
