@@ -18,6 +18,8 @@ LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_qua
                   "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
                   "l_shipdate"]
 
+DOCUMENT_LINES = 1 << 17    # lines of a task that makes review documents
+
 
 def b_reviews(spark: SparkSession, sf: str) -> DataFrame:
     """listing_id, rating (NULL for N/F lines), review text, order columns."""
@@ -49,6 +51,8 @@ def b_review_documents(spark: SparkSession, sf: str) -> DataFrame:
     """file, value: one JSON document ``{listing: [reviews]}`` per listing and
     month of the ship date, the month naming the file."""
     r = b_reviews(spark, sf).withColumn("file", F.date_format("l_shipdate", "yyyy-MM"))
+    # ranges of documents: a task's share stays the same as the table grows, and it writes few months
+    r = r.repartitionByRange(table(spark, sf, "lineitem").count() // DOCUMENT_LINES + 1, "file", "listing_id")
     per = r.groupBy("file", "listing_id").agg(F.array_sort(F.collect_list(
         F.struct(*LINEITEM_ORDER, "review", F.col("rating").cast("double").alias("rating")))).alias("rows"))
     items = F.transform("rows", lambda x: F.struct(x["review"].alias("review"), x["rating"].alias("rating")))

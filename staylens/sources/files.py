@@ -38,6 +38,8 @@ DETAILS_SCHEMA = T.StructType([
     T.StructField("highlights", T.ArrayType(ICON)),
 ])
 
+TASK_BYTES = 16 << 20   # of documents whose reviews one task joins
+
 METRICS_STRUCT = ("struct<ADR:double,Occupancy:int,Revenue:double,Bedrooms:int,Bathrooms:double,"
                   "Max_Guests:int,Days_Available:int,LY_Revenue:double,Rating:double,Review_Count:int>")
 REVIEW_ARRAY = "array<struct<review:string,comments:string,rating:double>>"
@@ -59,6 +61,17 @@ def _exists(path: str) -> bool:
     return st is not None and len(st) > 0
 
 
+def _bytes(path: str) -> int:
+    """Bytes of the files under a path (or glob)."""
+    spark = SparkSession.getActiveSession()
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    except Exception:  # no JVM handle (Spark Connect): the session's settings decide
+        return 0
+    return sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(p) or [])
+
+
 def _empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -142,7 +155,12 @@ def read_reviews(spark: SparkSession, path: str, glob: str | None = "reviews_*.j
         return _empty(spark, "file string, listing_id string, pos int, review string, rating double")
     docs = _json_docs(spark, path, glob, wholetext)
     per = docs.select("file", "path", F.explode(F.from_json("doc", "map<string,variant>")).alias("listing_id", "rv"))
-    last = per.groupBy("listing_id").agg(F.max("path").alias("path"))
+    parts, names = _bytes(path) // TASK_BYTES + 1, per.select("listing_id", "path")
+    if parts > 1:   # a task's share of the aggregate and of the join stays the same as the files grow
+        per, names = per.repartition(parts, "listing_id", "path"), names.repartition(parts, "listing_id")
+    last = names.groupBy("listing_id").agg(F.max("path").alias("path"))
+    if parts > 1:
+        last = last.repartition(parts, "listing_id", "path")
     records = F.coalesce(F.try_variant_get("rv", "$", "array<variant>"), F.array().cast("array<variant>"))
     rows = per.join(last, ["listing_id", "path"], "left_semi").select("file", "listing_id", F.posexplode(records).alias("pos", "r"))
 

@@ -2,6 +2,9 @@ import json
 import os
 import random
 
+import pytest
+from conftest import SF_SMALL, has_data
+
 from staylens.sources import files as fl
 from staylens.sources import sinks as sk
 
@@ -184,3 +187,31 @@ def test_stream_one_file_per_batch_equals_batch(spark):
     got = sorted((r["listing_id"], r["n_reviews"]) for r in res.collect())
     exp = sorted((r["listing_id"], r["n_reviews"]) for r in listing_mean_rating(df).collect())
     assert got == exp
+
+
+def test_review_documents_are_dealt_by_size(spark, tmpdir_path, monkeypatch):
+    import json
+    for name, docs in (("a", {"1": [{"review": "old", "rating": 1.0}], "2": [{"comments": "two"}]}),
+                       ("b", {"1": [{"review": "new", "rating": 2.0}, {"review": None}], "3": []})):
+        with open(f"{tmpdir_path}/reviews_{name}.json", "w") as f:
+            f.write(json.dumps(docs))
+
+    def rows(df):
+        return sorted((r["listing_id"], r["pos"], str(r["review"]), r["rating"]) for r in df.collect())
+
+    plain = rows(fl.read_reviews(spark, tmpdir_path))
+    monkeypatch.setattr(fl, "TASK_BYTES", 10)
+    parts = fl._bytes(tmpdir_path) // 10 + 1
+    many = fl.read_reviews(spark, tmpdir_path)
+    assert rows(many) == plain and [r[:3] for r in plain] == [("1", 0, "new"), ("1", 1, "None"), ("2", 0, "two")]
+    assert "hashpartitioning(listing_id#" in (plan := many._jdf.queryExecution().toString()) and f", {parts})" in plan
+
+
+@pytest.mark.skipif(not has_data(), reason="no test data")
+def test_review_documents_of_many_lines(spark, monkeypatch):
+    from staylens.sources import bindings as b
+    want = sorted(b.b_review_documents(spark, SF_SMALL).collect())
+    monkeypatch.setattr(b, "DOCUMENT_LINES", 100)
+    got = b.b_review_documents(spark, SF_SMALL)
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count() // 100 + 1
+    assert sorted(got.collect()) == want and "rangepartitioning(file" in (plan := got._jdf.queryExecution().toString()) and f", {n})" in plan
