@@ -103,11 +103,12 @@ def chunk_prompt(chunks: DataFrame, base_prompt: str | DataFrame, key: str = "li
     reviews.  The ``collect_list`` is per chunk, so its size is bounded by the
     token budget (plus at most one oversized item), never by the listing size.
     """
-    per = review_numbering(chunks).groupBy(key, "chunk_no").agg(
+    per = written(review_numbering(chunks).groupBy(key, "chunk_no").agg(
         F.array_sort(F.collect_list(F.struct("item_no", "numbered"))).alias("items"),
-        F.count(F.lit(1)).alias("n_items"))
-    # listing totals from the numbers alone, joined back (no per-listing window task)
-    tot = chunks.groupBy(key).agg(F.max("chunk_no").alias("n_chunks"), F.sum("tokens").alias("_tt"))
+        F.count(F.lit(1)).alias("n_items"), F.sum("tokens").alias("_tokens")), "pack-prompts")
+    # listing totals from the written chunks' numbers, joined back (no per-listing window task,
+    # and the items meet their chunk numbers once)
+    tot = per.groupBy(key).agg(F.max("chunk_no").alias("n_chunks"), F.sum("_tokens").alias("_tt"))
     if isinstance(base_prompt, str):
         tot = tot.withColumns({"base_prompt": F.lit(base_prompt), "prompt_tokens": F.lit(int(prompt_tokens))})
     else:

@@ -9,7 +9,7 @@ partitioner makes one partition's result depend on the one before.  Each
 partition therefore gives an *exit table*: for every place where the first new
 chunk can begin (entry) the state it leaves behind (exit) -- tokens and items in
 the open chunk, chunks begun.  Entries lie within one budget of the partition's
-start, so a table is bounded by the budget, not by the partition.  Exit tables
+start (the table is written beside the numbers, by the task that sorts them), so a table is bounded by the budget, not by the partition.  Exit tables
 compose (``compose``), and a scan over the partitions with ``FAN`` tables per
 step, up and down a tree, gives every partition its entry state.  A second pass
 over the numbers then packs all partitions independently.
@@ -184,8 +184,22 @@ def _summary(table: pa.Table) -> pa.Table:
     node = exit_table((last,), tokens[start:], int(budget[-1]))
     if start:
         node = {"reset": True, "state": enter(node, FRESH)}
-    return pa.table({"_pid": [table.column("_pid")[0].as_py()], "node": [pickle.dumps(node)]},
-                    schema=pa.schema([("_pid", pa.int64()), ("node", pa.binary())]))
+    return pa.table({"_at": table.column("_at")[:1], "node": [pickle.dumps(node)]},
+                    schema=pa.schema([("_at", pa.int64()), ("node", pa.binary())]))
+
+
+def _noted(batches):
+    """The rows of a partition, and one more that holds its exit table."""
+    kept = []
+    for b in batches:
+        if b.num_rows:
+            kept.append(b)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(b.num_rows, pa.binary())], schema=NOTED)
+    if kept:
+        node = _summary(pa.Table.from_batches(kept))
+        yield pa.RecordBatch.from_arrays(
+            [node.column(c).combine_chunks() if c in node.column_names else pa.nulls(1, t) for c, t in zip(NOTED.names, NOTED.types)],
+            schema=NOTED)
 
 
 def _nodes(table: pa.Table) -> list[tuple[int, dict]]:
@@ -246,6 +260,8 @@ def _assign(rows: pa.Table, states: pa.Table) -> pa.Table:
     return pa.table({"_id": rows.column("_id"), "chunk_no": chunk, "item_no": item, "truncated": cut}, schema=ASSIGNED)
 
 
+NOTED = pa.schema([("_id", pa.int64()), ("_ks", pa.string()), ("tokens", pa.int64()), ("budget", pa.int64()),
+                   ("_at", pa.int64()), ("node", pa.binary())])
 ASSIGNED = pa.schema([("_id", pa.int64()), ("chunk_no", pa.int64()), ("item_no", pa.int64()), ("truncated", pa.bool_())])
 
 
@@ -253,12 +269,11 @@ def chunk_numbers(staged: DataFrame, key: str, order_cols: Sequence, partitions:
     """``_id, chunk_no, item_no, truncated`` of the rows of a written table
     (``_id``, key, order, ``tokens``, ``budget``); rows of equal order go by ``_id``."""
     rows = range_rows(staged, key, [*order_cols, "_id"], partitions)
-    rows = written(rows.select("_id", F.col(key).cast("string").alias("_ks"), "tokens", "budget", "_at"), "pack-numbers")
+    rows = written(rows.select("_id", F.col(key).cast("string").alias("_ks"), "tokens", "budget", "_at").mapInArrow(
+        lambda batches: _noted(batches), "_id long, _ks string, tokens long, budget long, _at long, node binary"), "pack-numbers")
     rows = rows.withColumn("_pid", F.shiftright("_at", ROW_BITS))
     n = partitions or max(int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    nodes = rows.groupBy("_pid").applyInArrow(lambda t: _summary(t), "_pid long, node binary")
-    if n > FAN:     # read on the way up and on the way down
-        nodes = written(nodes, "exit-tables")
+    nodes, rows = rows.where("node IS NOT NULL").select("_pid", "node"), rows.where("node IS NULL").drop("node")
     return rows.groupBy("_pid").cogroup(entry_states(nodes, n).groupBy("_pid")).applyInArrow(
         lambda r, s: _assign(r, s), "_id long, chunk_no long, item_no long, truncated boolean")
 

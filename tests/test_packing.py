@@ -1,9 +1,11 @@
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from staylens.operators import packing as pk
 from staylens.operators import packing_dist as pd_
+from staylens.plans.common import written
 
 
 def check_packing(tokens, budget, chunk, item, trunc):
@@ -215,3 +217,18 @@ def test_global_positions_descending_expression(spark):
     got = [r["id"] for r in sorted(out, key=lambda r: r["gidx"])]
     exp = [r[2] for r in sorted(rows, key=lambda r: (-r[1], r[2]))]
     assert got == exp and sorted(r["gidx"] for r in out) == list(range(300))
+
+
+def test_items_meet_their_numbers_once(spark):
+    df = spark.createDataFrame([(k, i, "x" * (4 * (i % 5 + 1))) for k in ("a", "b") for i in range(30)], "listing_id string, pos int, text string")
+    ch = pk.chunk_reviews(df, limit=9, partitions=4)
+    out = pk.chunk_prompt(ch, "base", limit=9)
+    assert out.agg(F.sum("n_items")).first()[0] == 60
+    # the prompts and the listings' totals read the written chunks, not the join of items and numbers again
+    assert "_id#" not in out._jdf.queryExecution().toString().replace("listing_id", "")
+    staged = written(df.select("listing_id", "pos", (F.length("text") / 4).cast("long").alias("tokens"), F.lit(9).cast("long").alias("budget"),
+                               F.monotonically_increasing_id().alias("_id")), "t-items")
+    numbers = pd_.chunk_numbers(staged, "listing_id", ["pos"], 4)
+    # the exit tables come with the written numbers: those are dealt by partition once
+    assert "FlatMapGroupsInArrow" not in numbers._jdf.queryExecution().toString()
+    assert {(r.chunk_no, r.item_no) for r in numbers.collect()} == {(r.chunk_no, r.item_no) for r in ch.collect()}
