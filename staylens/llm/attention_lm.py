@@ -2,9 +2,10 @@
 
 Learning (documents whose crc32 of the id, modulo 5, is not 1):
 
-* Words are counted over all training documents, and from the counts the subword
-  ids.  A text is the sequence of the ids of its words, then the end; a word of
-  which the tokenizer keeps nothing is one more symbol.
+* One pass over all training documents counts their words (from the counts follow
+  those of the subword ids) and writes their ids.  A text is the sequence of the
+  ids of its words, then the end; a word of which the tokenizer keeps nothing is
+  one more symbol.
 * A one-layer causal attention model reads the ids before and predicts the next
   id, or the end, in two steps: the id's class, then the id by the turns of a
   Huffman tree over the class (hierarchical softmax, every turn from the attention
@@ -80,18 +81,19 @@ SHAPES = {"E": (CLASSES + 2, DIM), "Wq": (DIM, DIM), "Wk": (DIM, DIM), "Wv": (DI
 END, START, PAD = CLASSES, CLASSES, CLASSES + 1     # target class; input classes
 _AHEAD = (np.arange(STEP)[:, None] + STEP) - np.arange(2 * STEP)[None, :]   # distance query - key
 _CAUSAL = _AHEAD >= 0
+_AHEAD_AT = np.maximum(_AHEAD, 0)
 
 
 def split(flat: np.ndarray) -> dict:
     out, at = {}, 0
     for name, shape in SHAPES.items():
-        n = int(np.prod(shape))
+        n = math.prod(shape)
         out[name], at = flat[at:at + n].reshape(shape), at + n
     return out
 
 
 def size() -> int:
-    return sum(int(np.prod(s)) for s in SHAPES.values())
+    return sum(math.prod(s) for s in SHAPES.values())
 
 
 def initial(class_share: np.ndarray, seed: int = 7) -> np.ndarray:
@@ -102,73 +104,106 @@ def initial(class_share: np.ndarray, seed: int = 7) -> np.ndarray:
     return flat
 
 
-def times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """``x @ w`` as one product over all rows of ``x``."""
-    return (x.reshape(-1, DIM) @ w).reshape(*x.shape[:-1], -1)
+def merged(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The products of weights that the attention needs: of scaled queries and keys
+    ``Wq Wk^T``, and of values and their output ``Wv Wc``."""
+    return p["Wq"] @ p["Wk"].T * np.float32(1 / math.sqrt(DIM)), p["Wv"] @ p["Wc"]
 
 
-def forward(p: dict, x: np.ndarray, own: np.ndarray | None = None):
-    """x: (windows, 2 * STEP) input classes, ``own``: what the inputs' ids add to
-    them; log probabilities of the class at each of the last STEP positions, and
-    what the backward step needs."""
+def attend(p: dict, e: np.ndarray, padded: np.ndarray):
+    """Outputs at the last STEP positions of windows of inputs ``e``, and what the
+    backward step needs: queries, keys' weights before they are divided by their
+    sums, those sums, means of the inputs, and the query positions' inputs."""
+    m, o = merged(p)
+    last = e[:, STEP:].reshape(-1, DIM)
+    q = (last @ m).reshape(-1, STEP, DIM)
+    a = q @ e.transpose(0, 2, 1)
+    a += np.where(_CAUSAL, p["R"][_AHEAD_AT], np.float32(-1e9))
+    some = np.flatnonzero(padded.any(axis=1))
+    a[some] += np.where(padded[some], np.float32(-1e9), np.float32(0))[:, None, :]
+    a -= a.max(initial=-1e9)        # one shift for all rows
+    low = a
+    a = np.exp(low)
+    ones = np.ones(2 * STEP, a.dtype)
+    total = a.reshape(-1, 2 * STEP) @ ones
+    if total.size and total.min() < 1e-12:     # too far below the greatest: a shift for each row
+        low -= low.max(axis=2, keepdims=True)
+        a = np.exp(low)
+        total = a.reshape(-1, 2 * STEP) @ ones
+    c = (a @ e).reshape(-1, DIM)
+    c /= total[:, None]
+    return last + c @ o, (e, q, a, total, c, last)
+
+
+def class_logits(p: dict, h: np.ndarray) -> np.ndarray:
+    """(classes and end, positions), less the greatest at each position."""
+    logits = np.dot(p["Wo"].T, h.T)
+    logits += p["bo"][:, None]
+    logits -= logits.max(axis=0)
+    return logits
+
+
+def inputs(p: dict, x: np.ndarray, own: np.ndarray | None) -> np.ndarray:
     e = p["E"].take(x, axis=0)
     if own is not None:
         e += own
-    q, k, v = times(e[:, STEP:], p["Wq"]), times(e, p["Wk"]), times(e, p["Wv"])
-    s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(1 / math.sqrt(DIM))
-    s += np.where(_CAUSAL, p["R"][np.maximum(_AHEAD, 0)], np.float32(-1e9))
-    padded = x == PAD
-    some = np.flatnonzero(padded.any(axis=1))
-    s[some] += np.where(padded[some], np.float32(-1e9), np.float32(0))[:, None, :]
-    s -= s.max(axis=2, keepdims=True)
-    a = np.exp(s, out=s)
-    a /= a.sum(axis=2, keepdims=True)
-    c = a @ v
-    h = e[:, STEP:] + times(c, p["Wc"])
-    logits = h.reshape(-1, DIM) @ p["Wo"] + p["bo"]
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits, (e, q, k, v, a, c, h)
+    return e
+
+
+def forward(p: dict, x: np.ndarray, own: np.ndarray | None = None):
+    """x: (windows, 2 * STEP) input classes, ``own``: what the inputs' ids add to
+    them; log probabilities of the class at each of the last STEP positions, and
+    what the backward step needs, the outputs last."""
+    h, kept = attend(p, inputs(p, x, own), x == PAD)
+    logits = class_logits(p, h)
+    logits -= np.log(np.exp(logits).sum(axis=0))
+    return logits.T, (*kept, h)
 
 
 def gradient(p: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Gradient of the mean cross entropy; y: (windows, STEP) target classes, -1 none."""
-    out, de = backward(p, y, max(1, (y >= 0).sum()), *forward(p, x))
+    logp, kept = forward(p, x)
+    out, de = backward(p, y.ravel(), max(1, (y >= 0).sum()), np.exp(logp.T), kept)
     hot = np.zeros((x.size, CLASSES + 2), np.float32)
     hot[np.arange(x.size), x.ravel()] = 1
     split(out)["E"][:] = hot.T @ de.reshape(-1, DIM)
     return out
 
 
-def backward(p: dict, y: np.ndarray, n: int, logp: np.ndarray, kept: tuple, more: np.ndarray | None = None):
+def backward(p: dict, t: np.ndarray, n: int, prob: np.ndarray, kept: tuple, more: np.ndarray | None = None):
     """Gradient of the cross entropy over ``n``, without that of E, and the
-    gradient of the inputs; ``more``: gradient of the outputs from elsewhere."""
-    e, q, k, v, a, c, h = kept
-    t = y.reshape(-1)
-    use = t >= 0
-    d = np.exp(logp)
-    d[np.flatnonzero(use), t[use]] -= 1
-    d *= (use / n)[:, None].astype(np.float32)
-    g = split(out := np.zeros(size(), np.float32))
-    g["Wo"][:] = h.reshape(-1, DIM).T @ d
-    g["bo"][:] = d.sum(axis=0)
-    dh = (d @ p["Wo"].T).reshape(h.shape)
+    gradient of the inputs.  t: target class of each position, -1 none; prob:
+    (classes and end, positions), overwritten; ``more``: gradient of the outputs
+    from elsewhere."""
+    e, q, a, total, c, last, h = kept
+    use = np.flatnonzero(t >= 0)
+    prob[t[use], use] -= 1
+    prob *= ((t >= 0) / n).astype(prob.dtype)
+    g = split(out := np.zeros(size(), prob.dtype))
+    g["Wo"][:] = np.dot(prob, h).T
+    g["bo"][:] = prob.sum(axis=1)
+    dh = np.dot(prob.T, p["Wo"].T)
     if more is not None:
-        dh += more.reshape(h.shape)
-    g["Wc"][:] = c.reshape(-1, DIM).T @ dh.reshape(-1, DIM)
-    dc = times(dh, p["Wc"].T)
-    da, dv = dc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dc
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    g["R"][:] = np.bincount(np.maximum(_AHEAD, 0).ravel(), weights=(ds.sum(axis=0) * _CAUSAL).ravel(), minlength=2 * STEP)
-    ds *= np.float32(1 / math.sqrt(DIM))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    flat_e = e.reshape(-1, DIM)
-    g["Wq"][:] = e[:, STEP:].reshape(-1, DIM).T @ dq.reshape(-1, DIM)
-    g["Wk"][:] = flat_e.T @ dk.reshape(-1, DIM)
-    g["Wv"][:] = flat_e.T @ dv.reshape(-1, DIM)
-    de = times(dk, p["Wk"].T) + times(dv, p["Wv"].T)
-    de[:, STEP:] += dh + times(dq, p["Wq"].T)
+        dh += more
+    m, o = merged(p)
+    d_o = c.T @ dh
+    g["Wv"][:], g["Wc"][:] = d_o @ p["Wc"].T, p["Wv"].T @ d_o
+    dc = dh @ o.T
+    dc /= total[:, None]
+    # of a softmax: weight * (gradient - mean gradient); both over ``total``, as ``a`` is not divided
+    pair = np.empty((len(e), 2 * STEP, 2 * STEP), prob.dtype)      # rows: scores, weights
+    ds = pair[:, :STEP]
+    np.matmul(dc.reshape(-1, STEP, DIM), e.transpose(0, 2, 1), out=ds)
+    ds -= np.einsum("ij,ij->i", dc, c).reshape(-1, STEP, 1)
+    ds *= a
+    pair[:, STEP:] = a
+    g["R"][:] = np.bincount(_AHEAD_AT.ravel(), weights=(ds.sum(axis=0) * _CAUSAL).ravel(), minlength=2 * STEP)
+    u = (ds @ e).reshape(-1, DIM)
+    d_m = last.T @ u * np.float32(1 / math.sqrt(DIM))
+    g["Wq"][:], g["Wk"][:] = d_m @ p["Wk"], d_m.T @ p["Wq"]
+    de = pair.transpose(0, 2, 1) @ np.concatenate([q, dc.reshape(-1, STEP, DIM)], axis=1)
+    dh += u @ m.T
+    de[:, STEP:] += dh.reshape(-1, STEP, DIM)
     return out, de
 
 
@@ -211,15 +246,48 @@ def turns(lang: Language, t: np.ndarray, h: np.ndarray):
     return some, begin, node, lang.side[path], np.einsum("ij,ij->i", w, out) + lang.bias[node], w, out
 
 
-def row_sums(rows: np.ndarray, values: np.ndarray):
-    """Distinct rows and the sums of their values."""
-    rows = rows.astype(np.uint16 if len(rows) and rows.max() < 1 << 16 else np.uint32)   # 16 bits: radix sort
+def levels(lang: Language, t: np.ndarray):
+    """The turns of the symbols ``t``, one level of the trees at a time: an order of
+    ``t`` by falling length of path, and for each level the node and the side of
+    the turn there of the first of that order, as many as have one."""
+    n = lang.first[t + 1] - lang.first[t]
+    order = np.argsort((n.max(initial=0) - n).astype(np.uint16), kind="stable")    # 16 bits: radix sort
+    begin = lang.first[t[order]]
+    left = len(t) - np.cumsum(np.bincount(n, minlength=1))
+    path = [begin[:k] + i for i, k in enumerate(left[:-1].tolist())]
+    return order, [(lang.node.take(at), lang.side.take(at)) for at in path]
+
+
+def row_sums(rows: np.ndarray, at: np.ndarray, values: np.ndarray, weight: np.ndarray | None = None, by: int = 8):
+    """Distinct ``rows``, the sums of what they get, ``values[at]`` (times ``weight``),
+    and how often they get some.  The last of ``values`` is zero: it fills blocks of
+    ``by``, which are added in halves; that costs less than one by one."""
+    if not len(rows):
+        return np.zeros(0, np.int64), values[:0], np.zeros(0, np.int64)
+    rows = rows.astype(np.uint16 if rows.max() < 1 << 16 else np.uint32)   # 16 bits: radix sort
     order = np.argsort(rows, kind="stable")
     rows = rows[order]
-    begin = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else np.zeros(0, np.int64)
-    if not len(rows):
-        return begin, values[:0], begin
-    return rows[begin].astype(np.int64), np.add.reduceat(values.take(order, axis=0), begin, axis=0), np.diff(np.append(begin, len(rows)))
+    begin = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    length = np.diff(begin, append=len(rows))
+    blocks = -(-length // by)
+    first = np.cumsum(blocks) - blocks
+    to = np.arange(len(rows)) + np.repeat(first * by - begin, length)
+    places = np.full(int(blocks.sum()) * by, len(values) - 1)
+    places[to] = at[order]
+    block = values.take(places, axis=0)
+    if weight is not None:
+        weights = np.zeros(len(places), values.dtype)
+        weights[to] = weight[order]
+        block *= weights[:, None]
+    while by > 1:
+        by //= 2
+        block = block.reshape(-1, 2, by * values.shape[1])
+        block = block[:, 0] + block[:, 1]
+    sums, many = block.take(first, axis=0), blocks > 1
+    if many.any():
+        some = blocks[many]
+        sums[many] = np.add.reduceat(block[np.repeat(many, blocks)], np.cumsum(some) - some, axis=0)
+    return rows[begin].astype(np.int64), sums, length
 
 
 class Trainer:
@@ -234,40 +302,61 @@ class Trainer:
         self.touched = {name: np.zeros(len(getattr(lang, name)), np.int64) for name in ("own", "turn")}
         self.order = np.random.default_rng(seed)
 
-    def gradient(self, x: np.ndarray, y: np.ndarray, piece: int = 64):
+    def gradient(self, x: np.ndarray, y: np.ndarray, piece: int = 128):
         """Gradients of a batch of symbol windows: the attention's, and those of
         input rows, tree nodes and their biases (row, sum, number)."""
         lang, p = self.lang, split(self.lang.flat)
-        g, n = np.zeros(size(), np.float32), max(1, int((y >= 0).sum()))
-        ins, nodes = [], []
-        for i in range(0, len(x), piece):
-            xi, t = x[i:i + piece], y[i:i + piece].ravel()
-            use = np.flatnonzero(t >= 0)
-            logp, kept = forward(p, lang.cls[xi], lang.own.take(xi, axis=0))
-            some, begin, node, side, z, w, h = turns(lang, t[use], kept[-1].reshape(-1, DIM).take(use, axis=0))
-            dz = (-side / (1 + np.exp(np.minimum(side * z, 60))) / np.float32(n)).astype(np.float32)
-            more = np.zeros((len(t), DIM), np.float32)
-            if len(begin):
-                w *= dz[:, None]
-                more[use[some]] = np.add.reduceat(w, begin, axis=0)
-            h *= dz[:, None]
-            nodes.append((node, np.concatenate([h, dz[:, None]], axis=1)))
-            out, de = backward(p, np.where(t >= 0, lang.cls[t], -1), n, logp, kept, more)
-            g += out
-            full = np.flatnonzero(xi.ravel() != lang.pad)
-            ins.append((xi.ravel()[full], de.reshape(-1, DIM).take(full, axis=0)))
-        own = row_sums(*map(np.concatenate, zip(*ins)))
+        n, t = max(1, int((y >= 0).sum())), y.ravel()
+        kept = [attend(p, inputs(p, lang.cls.take(x[i:i + piece]), lang.own.take(x[i:i + piece], axis=0)), x[i:i + piece] == lang.pad)
+                for i in range(0, len(x), piece)]
+        h = np.concatenate([out for out, _ in kept])
+
+        # the trees: the gradient of the outputs, and of every turn that of its node
+        use = np.flatnonzero(t >= 0)
+        order, path = levels(lang, t[use])
+        use = use[order]
+        mine = np.append(h.take(use, axis=0), np.zeros_like(h, shape=(1, DIM)), axis=0)
+        more, slopes = np.zeros_like(h, shape=(len(use), DIM)), [np.zeros_like(h, shape=0)]
+        for node, side in path:
+            w = lang.turn.take(node, axis=0)
+            z = np.einsum("ij,ij->i", w, mine[:len(node)])
+            z += lang.bias.take(node)
+            z *= side
+            dz = -side / (1 + np.exp(np.minimum(z, 60))) / np.float32(n)
+            w *= dz[:, None]
+            more[:len(node)] += w
+            slopes.append(dz)
+        d_out = np.zeros_like(h)
+        d_out[use] = more
+        nodes = np.concatenate([np.zeros(0, np.int64), *[node for node, _ in path]])
+        places = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(node)) for node, _ in path]])
+        mine = np.append(mine, np.ones_like(h, shape=(len(mine), 1)), axis=1)      # 1: of the bias
+        turned = row_sums(nodes, places, mine, np.concatenate(slopes))
+
+        g, d_in = np.zeros_like(h, shape=size()), np.zeros_like(h, shape=(x.size + 1, DIM))
+        target = np.where(t >= 0, lang.cls.take(t, mode="clip"), -1)
+        for i, (out, before) in zip(range(0, len(x), piece), kept):
+            prob = class_logits(p, out)
+            np.exp(prob, out=prob)
+            prob /= prob.sum(axis=0)
+            here = slice(i * STEP, (i + piece) * STEP)
+            one, de = backward(p, target[here], n, prob, (*before, out), d_out[here])
+            g += one
+            d_in[2 * i * STEP:2 * i * STEP + len(de) * 2 * STEP] = de.reshape(-1, DIM)
+        full = np.flatnonzero(x.ravel() != lang.pad)
+        own = row_sums(x.ravel()[full], full, d_in)
         hot = np.zeros((len(own[0]), CLASSES + 2), np.float32)
         hot[np.arange(len(hot)), lang.cls[own[0]]] = 1
         split(g)["E"][:] = hot.T @ own[1]
-        return g, own, row_sums(*map(np.concatenate, zip(*nodes)))
+        return g, own, turned
 
     def _rows(self, name: str, rows: np.ndarray, g: np.ndarray, rate: float) -> None:
         """Adagrad with one step size per row."""
         table, steps = getattr(self.lang, name), self.steps[name]
-        steps[rows] += np.square(g).mean(axis=1) if g.ndim > 1 else np.square(g)
-        by = np.float32(rate) / np.sqrt(steps[rows])
-        table[rows] -= g * (by[:, None] if g.ndim > 1 else by)
+        now = steps.take(rows) + (np.einsum("ij,ij->i", g, g) / DIM if g.ndim > 1 else np.square(g))
+        steps[rows] = now
+        by = np.float32(rate) / np.sqrt(now)
+        table[rows] = table.take(rows, axis=0) - g * (by[:, None] if g.ndim > 1 else by)
 
     def train(self, x: np.ndarray, y: np.ndarray) -> None:
         rate = TABLE_RATE * self.rate / 0.02
@@ -300,20 +389,24 @@ class Trainer:
 
 # ---- counts over the training documents --------------------------------------------------
 
-def statistics(docs: DataFrame, spec: str) -> DataFrame:
+def statistics(docs: DataFrame, spec: str, vocabulary: int) -> DataFrame:
     """kind 0: word hash, count, the word; kind 2: number of documents;
-    kind 3: a document: its distinct ids.  Counts are summed per task before
-    they are written."""
+    kind 3, one row for every training document: its distinct ids (null: none), and
+    the subword ids of its words and the end, two bytes each (four with a large
+    vocabulary).  Counts are summed per task before they are written."""
     spec_b = docs.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches):
         from collections import Counter
-        enc, words, n_docs = WordEncoder.shared(spec_b.value), Counter(), 0
+        lang, enc, words, n_docs = Language.symbols(vocabulary), WordEncoder.shared(spec_b.value), Counter(), 0
+        symbol = np.dtype(lang.ids_type())
+        end = np.array([lang.end], symbol).tobytes()
 
-        def out(kind, key, n, data):
+        def out(kind, key, n, word=None, ids=None, sequence=None):
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(key), kind), pa.int32()), pa.array(key, pa.int64()), pa.array(n, pa.int64()),
-                 pa.array(data, pa.binary())], names=["kind", "key", "n", "data"])
+                 *[pa.array([None] * len(key) if x is None else x, pa.binary()) for x in (word, ids, sequence)]],
+                names=["kind", "key", "n", "word", "ids", "sequence"])
 
         def flush():
             batch = out(0, list(map(word_hash, words)), list(words.values()), list(words))
@@ -321,25 +414,26 @@ def statistics(docs: DataFrame, spec: str) -> DataFrame:
             return batch
 
         for b in batches:
-            kept = []
+            sets, sequences, known = [], [], lang.younger(enc)
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text")):
                 if is_held(d):
                     continue
                 ws = lower_words(t.as_py())
                 words.update(ws)
-                n_docs += 1
-                ids = np.frombuffer(b"".join([enc._word(w) for w in set(ws)]), "<u4")
-                if len(ids):
-                    kept.append(np.unique(ids).tobytes())
-            if kept:
-                yield out(3, [0] * len(kept), [0] * len(kept), kept)
+                sequences.append(b"".join(map(known.__getitem__, ws)) + end)
+                ids = np.unique(np.frombuffer(sequences[-1], symbol))
+                ids = ids[ids < lang.none]
+                sets.append(ids.astype("<u4").tobytes() if len(ids) else None)
+            if sequences:
+                n_docs += len(sequences)
+                yield out(3, [0] * len(sequences), [0] * len(sequences), None, sets, sequences)
             if len(words) >= COUNTED:
                 yield flush()
         yield flush()
-        yield out(2, [0], [n_docs], [None])
+        yield out(2, [0], [n_docs])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "kind int, key long, n long, data binary")
+        run, "kind int, key long, n long, word binary, ids binary, sequence binary")
 
 
 def summed(df: DataFrame, columns: list[str], size: int, add) -> np.ndarray:
@@ -548,35 +642,26 @@ class Language:
         return known
 
 
-def class_sequences(docs: DataFrame, spec: str, lang: Language) -> DataFrame:
-    """data: the subword ids of the words of a training document and the end, two
-    bytes each (four with a large vocabulary); one row for every training document."""
-    spark = docs.sparkSession
-    shared, spec_b = spark.sparkContext.broadcast(lang.id_cluster), spark.sparkContext.broadcast(spec)
+def sequences_of(stats: DataFrame) -> DataFrame:
+    return stats.where("kind = 3").select(F.col("sequence").alias("data"))
 
-    def run(batches):
-        lang, enc = Language.symbols(len(shared.value)), WordEncoder.shared(spec_b.value)
-        end = np.array([lang.end], lang.ids_type()).tobytes()
-        for b in batches:
-            out, known = [], lang.younger(enc)
-            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                if not is_held(d):
-                    out.append(b"".join(map(known.__getitem__, lower_words(t.as_py()))) + end)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["data"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "data binary")
+def class_sequences(docs: DataFrame, spec: str, lang: Language) -> DataFrame:
+    """data: the subword ids of the words of a training document and the end, as
+    :func:`statistics` writes them; one row for every training document."""
+    return sequences_of(statistics(docs, spec, lang.none))
 
 
 def learn(docs: DataFrame, spec: str, vocabulary: int) -> tuple[Language, DataFrame, dict]:
     """The model, the word counts (hash, c) and the totals N, V, documents."""
     spark = docs.sparkSession
-    stats = cut(statistics(docs, spec), "lm-statistics")
+    stats = cut(statistics(docs, spec, vocabulary), "lm-statistics")
     words = cut(stats.where("kind = 0").groupBy(F.col("key").alias("hash"))
-                .agg(F.sum("n").alias("c"), F.first("data").alias("word")), "lm-words")
+                .agg(F.sum("n").alias("c"), F.first("word").alias("word")), "lm-words")
     n_docs = stats.where("kind = 2").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     totals = {"N": tokens + n_docs, "V": distinct + (n_docs > 0), "docs": n_docs}
-    lang = Language(cluster_ids(stats.where("kind = 3").select("data"), vocabulary))
+    lang = Language(cluster_ids(stats.where("kind = 3 and ids is not null").select(F.col("ids").alias("data")), vocabulary))
     spec_b = spark.sparkContext.broadcast(spec)
 
     def spelled(total, c, word):
@@ -588,7 +673,7 @@ def learn(docs: DataFrame, spec: str, vocabulary: int) -> tuple[Language, DataFr
         total[-1] += c[n == 0].sum()
 
     lang.count(summed(words, ["c", "word"], vocabulary + 1, spelled), n_docs)
-    sequences = cut(class_sequences(docs, spec, lang), "lm-sequences")
+    sequences = sequences_of(stats)
     columns = [f"c{i}" for i in range(DIM + 1)]
     for r in range(ROUNDS):
         start = spark.sparkContext.broadcast(vars(lang))
@@ -621,22 +706,33 @@ def learn(docs: DataFrame, spec: str, vocabulary: int) -> tuple[Language, DataFr
 
 # ---- scoring -----------------------------------------------------------------------------
 
-def class_scores(lang: Language, sequences: list[np.ndarray], batch: int = 64) -> np.ndarray:
+def class_scores(lang: Language, sequences: list[np.ndarray], batch: int = 256) -> np.ndarray:
     """log10 probability of each sequence of symbols; all end with the end."""
     if not sequences:
         return np.zeros(0)
     p = split(lang.flat)
     x, y, counts = windows(sequences, lang.end, lang.pad)
+    entry = inputs(p, lang.cls, lang.own)      # of all symbols
     per = np.zeros(len(x))
     for i in range(0, len(x), batch):
-        logp, kept = forward(p, lang.cls[x[i:i + batch]], lang.own.take(x[i:i + batch], axis=0))
+        symbols = x[i:i + batch]
+        h, _ = attend(p, entry.take(symbols, axis=0), symbols == lang.pad)
+        logits = class_logits(p, h)
         t = y[i:i + batch].ravel()
         use = np.flatnonzero(t >= 0)
         own = np.zeros(len(t))
-        own[use] = logp[use, lang.cls[t[use]]]
-        some, begin, _, side, z, _, _ = turns(lang, t[use], kept[-1].reshape(-1, DIM)[use])
-        if len(begin):
-            own[use[some]] -= np.add.reduceat(np.logaddexp(np.float32(0), -side * z), begin)
+        own[use] = logits[lang.cls.take(t[use]), use]
+        np.exp(logits, out=logits)
+        own[use] -= np.log(logits.sum(axis=0))[use]
+        order, path = levels(lang, t[use])
+        use = use[order]
+        mine, lost = h.take(use, axis=0), np.zeros(len(use))
+        for node, side in path:
+            z = np.einsum("ij,ij->i", lang.turn.take(node, axis=0), mine[:len(node)])
+            z += lang.bias.take(node)
+            z *= -side
+            lost[:len(node)] += np.maximum(z, 0) + np.log(1 + np.exp(-np.abs(z)))
+        own[use] -= lost
         per[i:i + batch] = own.reshape(-1, STEP).sum(axis=1)
     return np.add.reduceat(per, np.concatenate([[0], np.cumsum(counts)[:-1]])) / math.log(10)
 

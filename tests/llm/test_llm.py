@@ -494,6 +494,57 @@ def test_attention_gradient_of_id_tables():
         table[at] = old
 
 
+def test_attention_learns_from_one_reading(spark, tokenizer):
+    texts = ["green hills run down", None, "the  river \x01", "a b c " * 40]
+    ids = [i for i in range(60) if not attention_lm.is_held(i)][:len(texts)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").mapInArrow(counted, "doc_id long, text string")
+    lang, words, totals = attention_lm.learn(df, tokenizer[0], 49408)
+    assert read.value == len(texts)      # words, ids and sequences come from one pass
+    assert totals["docs"] == len(texts) and {r.c for r in words.collect()} == {1, 40}
+
+
+def test_attention_row_sums():
+    rng = np.random.default_rng(6)
+    for n, most in ((0, 1), (1, 5), (400, 3), (3000, 200), (500, 90000)):
+        rows, at = rng.integers(0, most, n), rng.integers(0, 70, n)
+        values, weight = np.append(rng.standard_normal((70, 5)), np.zeros((1, 5)), axis=0), rng.standard_normal(n)
+        for w in (None, weight):
+            want = np.zeros((most, 5))
+            np.add.at(want, rows, values[at] * (1 if w is None else w[:, None]))
+            got, sums, times = attention_lm.row_sums(rows, at, values, w)
+            assert (got == np.unique(rows)).all() and (times == np.bincount(rows, minlength=most)[got]).all()
+            assert np.abs(sums - want[got]).max(initial=0) < 1e-9
+
+
+def test_attention_equals_plain_softmax():
+    rng = np.random.default_rng(8)
+    x, _, _ = attention_lm.windows([np.append(rng.integers(0, attention_lm.CLASSES, n), attention_lm.END) for n in (3, 70, 16)])
+    for scale in (1, 30):       # 30: rows' greatest scores lie far apart
+        share = np.full(attention_lm.CLASSES + 1, 1 / (attention_lm.CLASSES + 1))
+        p = {k: v.astype(float) for k, v in attention_lm.split(attention_lm.initial(share)).items()}
+        p["E"] *= scale
+        p["R"] += rng.standard_normal(len(p["R"]))
+        _, kept = attention_lm.forward(p, x)
+        h = kept[-1].reshape(len(x), attention_lm.STEP, -1)
+        for w, row in enumerate(x):
+            for i in range(attention_lm.STEP, len(row)):
+                seen = [j for j in range(i + 1) if row[j] != attention_lm.PAD]
+                if row[i] == attention_lm.PAD:
+                    continue
+                e = p["E"][row[seen]]
+                s = (e @ p["Wk"]) @ (p["E"][row[i]] @ p["Wq"]) / math.sqrt(attention_lm.DIM) + p["R"][i - np.array(seen)]
+                a = np.exp(s - s.max())
+                want = p["E"][row[i]] + a @ e @ p["Wv"] @ p["Wc"] / a.sum()
+                assert np.abs(h[w, i - attention_lm.STEP] - want).max() < 1e-5 * scale
+
+
 def test_cotraining_held_out(spark):
     from staylens.llm.common import load
     sf = "/root/testdata/sf0.01"
