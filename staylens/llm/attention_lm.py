@@ -24,6 +24,11 @@ mask.
 The unigram base score looks words up in a table of the ``HEAD`` most frequent
 words inside the task; the rarer words go through a join.
 
+The loops over words, windows and targets run on the executors' JVM (``jvm.py``,
+``Attention.java``), which leaves to Python the words whose letters need tables of
+characters.  The Python code of the same loops is the plain form that the tests
+compare with, and runs where the JVM's vectors are missing.
+
 Defined cases: null and blank texts consist of the end token alone; a null
 doc_id belongs to the training part; repeated rows are scored (and learned)
 each; without training documents the counts are empty, the base score uses
@@ -33,6 +38,7 @@ V = 0 and the model is uniform; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+import json
 import math
 import zlib
 
@@ -41,6 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylens.llm import jvm
 from staylens.llm.bitpack import WordEncoder, _Memo
 from staylens.llm.common import cut, load, shuffle_parts
 
@@ -290,6 +297,17 @@ def row_sums(rows: np.ndarray, at: np.ndarray, values: np.ndarray, weight: np.nd
     return rows[begin].astype(np.int64), sums, length
 
 
+def table_rate(rate: float) -> float:
+    """Step of the id tables when that of the attention's weights is ``rate``."""
+    return TABLE_RATE * rate / 0.02
+
+
+def order_state(seed: int) -> np.ndarray:
+    """Where numpy's generator of that seed begins: state and increment, in halves."""
+    state = np.random.default_rng(seed).bit_generator.state["state"]
+    return np.array([x >> shift & (1 << 64) - 1 for x in (state["state"], state["inc"]) for shift in (64, 0)], "<u8")
+
+
 class Trainer:
     """One task's copy of the model: Adam for the attention's weights, Adagrad for
     the rows of the id tables, over a share of windows that arrive in pieces."""
@@ -359,7 +377,7 @@ class Trainer:
         table[rows] = table.take(rows, axis=0) - g * (by[:, None] if g.ndim > 1 else by)
 
     def train(self, x: np.ndarray, y: np.ndarray) -> None:
-        rate = TABLE_RATE * self.rate / 0.02
+        rate = table_rate(self.rate)
         for _ in range(PASSES):
             turn = self.order.permutation(len(x))
             for i in range(0, len(x), BATCH):
@@ -389,51 +407,132 @@ class Trainer:
 
 # ---- counts over the training documents --------------------------------------------------
 
+def pair_tables(spec: str) -> dict:
+    """What byte pair encoding needs of a tokenizer's file: the id of each byte
+    within a piece and at its end, and of every merge the two ids and theirs
+    together, by rank; no merges where the model has other rules."""
+    model = json.loads(spec)["model"]
+    none = {"single": np.zeros(256, "<i4"), "last": np.zeros(256, "<i4"), "merges": np.zeros((0, 3), "<i4")}
+    if model.get("type", "BPE") != "BPE" or any(model.get(x) for x in (
+            "dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")):
+        return none
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [x for x in range(256) if x not in shown]
+    letters = [chr(x) if x in shown else chr(256 + rest.index(x)) for x in range(256)]
+    ids, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if not all(x in ids for c in letters for x in (c, c + suffix)) or not all(a in ids and b in ids and a + b in ids for a, b in merges):
+        return none
+    return {"single": np.array([ids[c] for c in letters], "<i4"), "last": np.array([ids[c + suffix] for c in letters], "<i4"),
+            "merges": np.array([(ids[a], ids[b], ids[a + b]) for a, b in merges], "<i4").reshape(-1, 3)}
+
+
+def scanned(docs: DataFrame, spec: str, vocabulary: int, head: dict, schema: str) -> DataFrame:
+    """The JVM's reading of the documents; column open: the words left to Python."""
+    shared = jvm.share(docs.sparkSession, {
+        **pair_tables(spec), **head, "sizes": np.array([vocabulary, FOLDS, HELD, COUNTED // 2], "<i8")})
+    return jvm.run(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text")),
+                   "scan", shared, schema + ", open binary, sequence binary")
+
+
+def completed(known: _Memo, lang: Language, sequence: bytes, left: bytes) -> bytes:
+    """A sequence with the symbols of its left words in the places that hold the padding."""
+    symbols = np.frombuffer(sequence, lang.ids_type())
+    at = np.flatnonzero(symbols == lang.pad)
+    parts, begin = [], 0
+    for i, w in zip(at.tolist(), left.split(b"\n")):
+        parts += [symbols[begin:i].tobytes(), known[w]]
+        begin = i + 1
+    return b"".join([*parts, symbols[begin:].tobytes()])
+
+
+def distinct_ids(lang: Language, sequence: bytes) -> bytes | None:
+    ids = np.unique(np.frombuffer(sequence, lang.ids_type()))
+    ids = ids[ids < lang.none]
+    return ids.astype("<u4").tobytes() if len(ids) else None
+
+
+def complete(rows: DataFrame, spec: str, vocabulary: int) -> DataFrame:
+    """The scanned rows without the column open, their sequences completed."""
+    spec_b = rows.sparkSession.sparkContext.broadcast(spec)
+    names = [c for c in rows.columns if c != "open"]
+
+    def run(batches):
+        lang, enc = Language.symbols(vocabulary), None
+        for b in batches:
+            left, columns = b.column("open"), {c: b.column(c) for c in names}
+            if left.null_count < len(left):
+                enc = enc or WordEncoder.shared(spec_b.value)
+                known = lang.younger(enc)
+                at = np.flatnonzero(left.is_valid().to_numpy(zero_copy_only=False)).tolist()
+                new = {c: columns[c].to_pylist() for c in ("sequence", "ids") if c in columns}
+                for i in at:
+                    new["sequence"][i] = completed(known, lang, new["sequence"][i], left[i].as_py())
+                    if "ids" in new:
+                        new["ids"][i] = distinct_ids(lang, new["sequence"][i])
+                columns.update({c: pa.array(x, pa.binary()) for c, x in new.items()})
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+
+    return rows.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "open"))
+
+
 def statistics(docs: DataFrame, spec: str, vocabulary: int) -> DataFrame:
-    """kind 0: word hash, count, the word; kind 2: number of documents;
-    kind 3, one row for every training document: its distinct ids (null: none), and
-    the subword ids of its words and the end, two bytes each (four with a large
-    vocabulary).  Counts are summed per task before they are written."""
+    """kind 0: in ``sequence`` pairs of word hash and count, eight bytes each;
+    kind 2: number of documents; kind 3, one row for every training document: its
+    distinct ids (null: none), and the subword ids of its words and the end, two
+    bytes each (four with a large vocabulary).  Counts are summed per task before
+    they are written."""
+    schema = "kind int, n long, ids binary, sequence binary"
+    if jvm.loader(docs.sparkSession):
+        return complete(scanned(docs, spec, vocabulary, {}, "kind int, n long, ids binary"), spec, vocabulary)
     spec_b = docs.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches):
         from collections import Counter
         lang, enc, words, n_docs = Language.symbols(vocabulary), WordEncoder.shared(spec_b.value), Counter(), 0
-        symbol = np.dtype(lang.ids_type())
-        end = np.array([lang.end], symbol).tobytes()
+        end = np.array([lang.end], lang.ids_type()).tobytes()
 
-        def out(kind, key, n, word=None, ids=None, sequence=None):
+        def out(kind, n, ids, sequence):
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(key), kind), pa.int32()), pa.array(key, pa.int64()), pa.array(n, pa.int64()),
-                 *[pa.array([None] * len(key) if x is None else x, pa.binary()) for x in (word, ids, sequence)]],
-                names=["kind", "key", "n", "word", "ids", "sequence"])
+                [pa.array([kind] * len(ids), pa.int32()), pa.array([n] * len(ids), pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array(sequence, pa.binary())], names=["kind", "n", "ids", "sequence"])
 
         def flush():
-            batch = out(0, list(map(word_hash, words)), list(words.values()), list(words))
+            pairs = np.array([list(map(word_hash, words)), list(words.values())], "<i8").T
             words.clear()
-            return batch
+            parts = [np.ascontiguousarray(pairs[i:i + (1 << 15)]).tobytes() for i in range(0, len(pairs), 1 << 15)]
+            return out(0, 0, [None] * len(parts), parts)
 
         for b in batches:
-            sets, sequences, known = [], [], lang.younger(enc)
+            sequences, known = [], lang.younger(enc)
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text")):
                 if is_held(d):
                     continue
                 ws = lower_words(t.as_py())
                 words.update(ws)
                 sequences.append(b"".join(map(known.__getitem__, ws)) + end)
-                ids = np.unique(np.frombuffer(sequences[-1], symbol))
-                ids = ids[ids < lang.none]
-                sets.append(ids.astype("<u4").tobytes() if len(ids) else None)
             if sequences:
                 n_docs += len(sequences)
-                yield out(3, [0] * len(sequences), [0] * len(sequences), None, sets, sequences)
+                yield out(3, 0, [distinct_ids(lang, x) for x in sequences], sequences)
             if len(words) >= COUNTED:
                 yield flush()
         yield flush()
-        yield out(2, [0], [n_docs])
+        yield out(2, n_docs, [None], [None])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "kind int, key long, n long, word binary, ids binary, sequence binary")
+
+def word_counts(stats: DataFrame) -> DataFrame:
+    """hash, c: all training documents' words."""
+
+    def run(batches):
+        for b in batches:
+            for x in b.column("sequence"):
+                pairs = np.frombuffer(x.as_py(), "<i8").reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs.T], names=["hash", "n"])
+
+    return (stats.where("kind = 0").select("sequence").mapInArrow(run, "hash long, n long")
+            .groupBy("hash").agg(F.sum("n").alias("c")))
 
 
 def summed(df: DataFrame, columns: list[str], size: int, add) -> np.ndarray:
@@ -455,10 +554,9 @@ def summed(df: DataFrame, columns: list[str], size: int, add) -> np.ndarray:
 
 def id_sets(column) -> tuple[np.ndarray, np.ndarray]:
     """Document number of each id, and the ids, of a column of id sets."""
-    sets = [np.frombuffer(d.as_py(), "<u4") for d in column]
-    if not sets:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets).astype(np.int64)
+    sets = column.to_pylist()
+    n = np.fromiter(map(len, sets), np.int64, len(sets)) // 4
+    return np.repeat(np.arange(len(sets)), n), np.frombuffer(b"".join(sets), "<u4").astype(np.int64)
 
 
 def cell_counts(column) -> np.ndarray:
@@ -621,6 +719,11 @@ class Language:
         self.own = np.ascontiguousarray(rows[a:b, :DIM], np.float32)
         self.turn, self.bias = np.ascontiguousarray(rows[b:, :DIM], np.float32), rows[b:, DIM].astype(np.float32)
 
+    def tables(self) -> dict:
+        """What the JVM needs of the model."""
+        kinds = {"flat": "<f4", "own": "<f4", "turn": "<f4", "bias": "<f4", "side": "<f4", "first": "<i8", "node": "<i4", "cls": "<i8"}
+        return {name: np.ascontiguousarray(getattr(self, name), kind) for name, kind in kinds.items()}
+
     def ids_type(self) -> str:
         return "<u2" if self.pad < 1 << 16 else "<u4"
 
@@ -656,31 +759,27 @@ def learn(docs: DataFrame, spec: str, vocabulary: int) -> tuple[Language, DataFr
     """The model, the word counts (hash, c) and the totals N, V, documents."""
     spark = docs.sparkSession
     stats = cut(statistics(docs, spec, vocabulary), "lm-statistics")
-    words = cut(stats.where("kind = 0").groupBy(F.col("key").alias("hash"))
-                .agg(F.sum("n").alias("c"), F.first("word").alias("word")), "lm-words")
+    words = cut(word_counts(stats), "lm-words")
     n_docs = stats.where("kind = 2").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     totals = {"N": tokens + n_docs, "V": distinct + (n_docs > 0), "docs": n_docs}
     lang = Language(cluster_ids(stats.where("kind = 3 and ids is not null").select(F.col("ids").alias("data")), vocabulary))
-    spec_b = spark.sparkContext.broadcast(spec)
-
-    def spelled(total, c, word):
-        enc = WordEncoder.shared(spec_b.value)
-        ids = [enc._word(w) for w in word.to_pylist()]
-        n = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
-        c = c.to_numpy()
-        total[:-1] += np.bincount(np.frombuffer(b"".join(ids), "<u4"), np.repeat(c, n), len(total) - 1)
-        total[-1] += c[n == 0].sum()
-
-    lang.count(summed(words, ["c", "word"], vocabulary + 1, spelled), n_docs)
-    sequences = sequences_of(stats)
+    sequences, kind = sequences_of(stats), lang.ids_type()
+
+    def count(total, data):
+        symbols = np.frombuffer(b"".join(data.to_pylist()), kind)
+        total += np.bincount(symbols, minlength=vocabulary + 2)[:-1]       # without the end
+
+    lang.count(summed(sequences, ["data"], vocabulary + 1, count), n_docs)
     columns = [f"c{i}" for i in range(DIM + 1)]
+    schema = "i long, n double, " + ", ".join(f"{c} double" for c in columns)
     for r in range(ROUNDS):
-        start = spark.sparkContext.broadcast(vars(lang))
+        rate = 0.02 / (r + 1)
+        start = None if jvm.loader(spark) else spark.sparkContext.broadcast(vars(lang))
 
-        def run(batches, r=r, start=start):
+        def run(batches, r=r, rate=rate, start=start):
             lang = Language.of(start.value)
-            trainer, some, n = Trainer(lang, 0.02 / (r + 1), r), [], 0
+            trainer, some, n = Trainer(lang, rate, r), [], 0
             for b in batches:
                 for d in b.column("data"):
                     some.append(np.frombuffer(d.as_py(), lang.ids_type()).astype(np.int64))
@@ -696,7 +795,13 @@ def learn(docs: DataFrame, spec: str, vocabulary: int) -> tuple[Language, DataFr
                     [pa.array(at[i:i + 8192]), pa.array(n[i:i + 8192].astype(float)),
                      *[pa.array(np.ascontiguousarray(c[i:i + 8192])) for c in (change * n[:, None]).T]], names=["i", "n", *columns])
 
-        mean = sequences.mapInArrow(run, "i long, n double, " + ", ".join(f"{c} double" for c in columns)).groupBy("i").agg(
+        if start is None:
+            shared = jvm.share(spark, {**lang.tables(), "rates": np.array([rate, table_rate(rate)], "<f4"),
+                                       "sizes": np.array([BATCH, PASSES, TOGETHER], "<i8"), "order": order_state(r)})
+            changes = jvm.run(sequences, "train", shared, schema)
+        else:
+            changes = sequences.mapInArrow(run, schema)
+        mean = changes.groupBy("i").agg(
             *[(F.sum(c) / F.sum("n")).alias(c) for c in columns]).toArrow()  # a row per id, node and DIM + 1 weights
         rows = lang.rows()
         rows[mean.column("i").to_numpy()] += np.stack([mean.column(c).to_numpy() for c in columns], axis=1).astype(np.float32)
@@ -744,6 +849,12 @@ def scored(docs: DataFrame, spec: str, vocabulary: int) -> DataFrame:
     h = top.column("hash").to_numpy()
     value = top.column("c").to_numpy()
     order = np.argsort(h)
+    if jvm.loader(spark):
+        head = {"head": h[order].astype("<i8"), "value": value[order].astype("<i8")}
+        columns = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, rare "
+        read = complete(scanned(docs, spec, vocabulary, head, columns + "binary"), spec, vocabulary)
+        out = jvm.run(read, "score", jvm.share(spark, lang.tables()), columns + "array<long>, cls double")
+        return with_rare(out, words, totals)
     shared = spark.sparkContext.broadcast((vars(lang), h[order], value[order], spec))
 
     def run(batches):
@@ -794,6 +905,11 @@ def scored(docs: DataFrame, spec: str, vocabulary: int) -> DataFrame:
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, rare array<long>, cls double")
+    return with_rare(out, words, totals)
+
+
+def with_rare(out: DataFrame, words: DataFrame, totals: dict) -> DataFrame:
+    """The scored documents with the words that the tasks did not know."""
     out = cut(out.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
     rare = out.select("row", F.explode("rare").alias("r")).join(words, F.col("r") == F.col("hash"), "left")
     n = F.coalesce("c", F.lit(0))

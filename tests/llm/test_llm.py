@@ -3,6 +3,7 @@ empty and long texts, repeated rows, ties and clashing column names."""
 
 import base64
 import hashlib
+import json
 import math
 import re
 import zlib
@@ -12,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from staylens.llm import attention_lm, bitpack, cotraining, decontamination, jaccard, lines, mixing, sharding, style_tree, warc
+from staylens.llm import attention_lm, bitpack, cotraining, decontamination, jaccard, jvm, lines, mixing, sharding, style_tree, warc
 from staylens.session import scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -545,6 +546,49 @@ def test_attention_equals_plain_softmax():
                 assert np.abs(h[w, i - attention_lm.STEP] - want).max() < 1e-5 * scale
 
 
+ODD_WORDS = ["It's WE'LL they'RE don't o'clock '' 'll l'l a's's *'s", "\u00c9lan \u00e0\u00d7b na\u00efve\u00f7 \u00fe\u00df\u00ff", "a<|endoftext|>b <|x a<b |>",
+             "12,3 x9y \u00bd 7%%%", "\u0130stanbul \u03a3\u0391\u03a3 \u65e5\u672c caf\u0065\u0301 \u0142\u00f3d\u017a", "a\x01b \x1c \x7f", "long" * 16 + " " + "longer" * 20, None, "", " \t\v\f\r\n "]
+
+
+def test_attention_on_the_jvm(spark, tokenizer, monkeypatch):
+    """The JVM's loops give what the Python code gives: words, ids, counts, the
+    trained tables (so also the order of the windows) and the scores."""
+    rng = np.random.default_rng(4)
+    letters = "etaoinshr\u00e9\u00c9\u00fc'.,-<|3 "
+    texts = ODD_WORDS + ["".join(rng.choice(list(letters), n)) for n in rng.integers(1, 900, 60)]
+    rows = [(None if i % 9 == 4 else i, t) for i, t in enumerate(texts)] + [(3, texts[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(attention_lm, "HEAD", 40)
+    monkeypatch.setattr(attention_lm, "COUNTED", 200)      # the table of words is written out and begun anew
+    monkeypatch.setattr(attention_lm, "TOGETHER", 5000)
+    assert jvm.loader(spark)
+
+    def run():
+        stats = attention_lm.statistics(df, tokenizer[0], 49408).collect()
+        lang, words, totals = attention_lm.learn(df, tokenizer[0], 49408)
+        scores = attention_lm.scored(df, tokenizer[0], 49408).collect()
+        sequences = sorted((r.sequence, r.ids or b"") for r in stats if r.kind == 3)
+        return sequences, sorted(tuple(r) for r in words.collect()), totals, lang.rows(), sorted(scores, key=lambda r: (r.doc_id or -1, r.n_tokens, r.base_score))
+
+    got = run()
+    monkeypatch.setattr(jvm, "loader", lambda spark: None)
+    want = run()
+    assert got[:3] == want[:3] and len(got[0]) > 50
+    assert np.abs(got[3] - want[3]).max() < 1e-3 and np.abs(want[3][-49000:, :attention_lm.DIM]).max() > 0.05     # trained
+    assert len(got[4]) == len(rows)
+    for a, b in zip(got[4], want[4]):
+        assert tuple(a)[:-2] == tuple(b)[:-2]
+        assert abs(a.base_score - b.base_score) < 1e-9 * abs(b.base_score) and abs(a.score - b.score) < 1e-4 * abs(b.score)
+
+
+def test_pair_tables_of_other_rules(tokenizer):
+    spec = json.loads(tokenizer[0])
+    assert len(attention_lm.pair_tables(tokenizer[0])["merges"]) == len(spec["model"]["merges"])
+    for change in ({"ignore_merges": True}, {"byte_fallback": True}, {"vocab": {"a": 0}}):
+        other = {**spec, "model": {**spec["model"], **change}}
+        assert not len(attention_lm.pair_tables(json.dumps(other))["merges"])     # all words are left to Python
+
+
 def test_cotraining_held_out(spark):
     from staylens.llm.common import load
     sf = "/root/testdata/sf0.01"
