@@ -6,6 +6,7 @@ Its vectors need the module ``jdk.incubator.vector``, which Spark's launcher add
 from __future__ import annotations
 
 import os
+import warnings
 import zipfile
 import zlib
 
@@ -40,7 +41,8 @@ def loader(spark: SparkSession):
             found.loadClass(CLASS).getField("LANES").getInt(None)     # fails without the vectors
             sc._jsc.addJar(jar)
             _loaders[key] = found
-        except Exception:
+        except Exception as e:
+            warnings.warn(f"Attention.java cannot run, the slower Python code does: {str(e)[:300]}")
             _loaders[key] = None
     return _loaders[key]
 
